@@ -13,12 +13,24 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .automaton_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import classify
 
@@ -41,7 +53,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SHARD_BYTES = 64 << 20
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_toxicity, op6_quality, op7_bpe, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op9_sharding)}
 
 ORACLE_SQL = {
     # the leaf of a row is the least depth at which its bucket fits; 30 bits suffice for any table of test size
