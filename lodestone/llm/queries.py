@@ -45,6 +45,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import linked
+
+    return linked(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard
 
@@ -53,7 +59,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SHARD_BYTES = 64 << 20
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding)}
 
 ORACLE_SQL = {
     # the leaf of a row is the least depth at which its bucket fits; 30 bits suffice for any table of test size
