@@ -57,9 +57,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), limit_bytes=SHARD_BYTES)
 
 
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+#: Bytes of text that a shard holds at most.
 SHARD_BYTES = 64 << 20
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding, op10_media)}
 
 ORACLE_SQL = {
     # the leaf of a row is the least depth at which its bucket fits; 30 bits suffice for any table of test size
