@@ -19,6 +19,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import classify
 
@@ -66,7 +72,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Bytes of text that a shard holds at most.
 SHARD_BYTES = 64 << 20
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op3_decontaminate, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding, op10_media)}
 
 ORACLE_SQL = {
     # the leaf of a row is the least depth at which its bucket fits; 30 bits suffice for any table of test size
