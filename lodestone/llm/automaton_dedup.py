@@ -82,9 +82,10 @@ class SuffixAutomaton:
         return out
 
 
-def compare(spec: Spec, contents: list[np.ndarray], ids: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Which windows of each content occur in a content before it, in the order (id, start)."""
+def compare(spec: Spec, units: np.ndarray, sizes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which windows of the contents occur in a content before theirs, in the order (id, start)."""
     W = spec.window
+    contents = np.split(units, np.cumsum(sizes)[:-1])
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(contents)
     anchors = np.zeros(len(contents), np.uint64)
     for owner, _, _, key, _ in runs_of_texts(spec, contents):
@@ -97,7 +98,7 @@ def compare(spec: Spec, contents: list[np.ndarray], ids: np.ndarray, starts: np.
         out[k] = np.array(automaton.statistics(words)[W - 1 :]) >= W
         if not out[k].all():
             automaton.add(words)
-    return out
+    return np.concatenate(out)
 
 
 def _words(texts: list[str]) -> list[np.ndarray]:

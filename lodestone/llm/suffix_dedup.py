@@ -71,19 +71,17 @@ def bucket_pointers(data: np.ndarray, depth: int) -> np.ndarray:
     return pointer[: len(data)]
 
 
-def compare(spec: Spec, contents: list[np.ndarray], ids: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Which windows of each content also start in a document of smaller id."""
+def compare(spec: Spec, units: np.ndarray, sizes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which windows of the contents also start in a document of smaller id."""
     W = spec.window
-    sizes = np.array([len(c) for c in contents])
-    begin = np.cumsum(sizes) - sizes
-    pointer = bucket_pointers(np.concatenate(contents), W)
+    pointer = bucket_pointers(units, W)
     windows = sizes - W + 1
-    owner = np.repeat(np.arange(len(contents)), windows)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + begin[owner]
-    kind, group = np.unique(pointer[at], return_inverse=True)
-    least = np.full(len(kind), np.iinfo(np.int64).max)
-    np.minimum.at(least, group, ids[owner])
-    return np.split(least[group] < ids[owner], np.cumsum(windows)[:-1])
+    owner = np.repeat(np.arange(len(sizes)), windows)
+    at = np.arange(len(owner)) + (np.cumsum(sizes) - sizes - np.cumsum(windows) + windows)[owner]
+    pointer, ids = pointer[at], ids[owner]
+    least = np.full(len(units) + 2 * W + Q, np.iinfo(np.int64).max)
+    np.minimum.at(least, pointer, ids)
+    return least[pointer] < ids
 
 
 def _bytes(texts: list[str]) -> list[np.ndarray]:

@@ -33,6 +33,8 @@ from .units import PIECE, Rolling
 
 #: Runs that a task gathers before it tells them.
 GATHER = 1_500_000
+#: Parts of a bucket that are worked on one after the other; a bucket's rows stay together, so that tasks x buckets rows travel.
+PARTS = 4
 #: Kinds of run of one anchor from which windows are routed one by one.
 MANY_KINDS = 2_000
 _LOW = np.uint64(0xFFFFFFFF)
@@ -48,8 +50,8 @@ class Spec:
     within: bool
     #: texts -> units of each
     units: Callable[[list[str]], list[np.ndarray]]
-    #: contents (units of each), ids, starts -> for each content a boolean for each of its windows: does it start earlier too
-    compare: Callable[["Spec", list[np.ndarray], np.ndarray, np.ndarray], list[np.ndarray]]
+    #: contents end to end, the size, id and start of each -> for each of their windows: does it start earlier too
+    compare: Callable[["Spec", np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     #: type of the units
     wire: str = "<u8"
     #: units -> 64-bit hashes of them
@@ -276,7 +278,14 @@ def _each_bucket(of: Callable[[int, list[bytes]], Iterator[tuple[int, bytes]]])
 
 def _settle(spec: Spec, buckets: int) -> Stage:
     def of(bucket: int, rows: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        ids, hashes, a, n, key, fp = (np.concatenate(x) for x in zip(*map(_unpack_runs, rows), strict=True))
+        every = [np.concatenate(x) for x in zip(*map(_unpack_runs, rows), strict=True)]
+        part = every[4] % np.uint64(PARTS)
+        for k in range(PARTS):
+            x = part == np.uint64(k)
+            if x.any():
+                yield from settle(bucket + k * buckets, *(y[x] for y in every))
+
+    def settle(to: int, ids, hashes, a, n, key, fp) -> Iterator[tuple[int, bytes]]:
         order, repeat, new = _repeats(spec, ids, a, [key, fp])
         ids, hashes, a, n, key = (x[order] for x in (ids, hashes, a, n, key))
         head = np.ones(len(key), bool)
@@ -287,7 +296,7 @@ def _settle(spec: Spec, buckets: int) -> Stage:
         ask = ~repeat & (kinds > 1) & (spec.within | several[group])
         kind = np.where(repeat, REPEAT, np.where(kinds > MANY_KINDS, ASK_SINGLY, ASK))
         x = repeat | ask
-        yield from _replies(buckets, ids[x], hashes[x], a[x], n[x], kind[x], np.full(int(x.sum()), bucket))
+        yield from _replies(buckets, ids[x], hashes[x], a[x], n[x], kind[x], np.full(int(x.sum()), to))
 
     return _each_bucket(of)
 
@@ -319,17 +328,20 @@ def _contents(spec: Spec, buckets: int) -> Stage:
                 elif how == ASK_SINGLY:
                     roll = Rolling(spec.lift(units[s : s + m + spec.window]))
                     at = np.arange(m + 1)
-                    for t, k in enumerate((mix(roll.spans(at, at + spec.window)) % np.uint64(buckets)).tolist()):
+                    for t, k in enumerate((mix(roll.spans(at, at + spec.window)) % np.uint64(buckets * PARTS)).tolist()):
                         yield k, i, h, s + t, units[s + t : s + t + spec.window]
 
     def send(held: dict, repeats: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, bytes]]:
         by = defaultdict(list)
         for k, (i, h, starts) in held.items():
             by[k[0]].append((i, h, starts, k[1]))
-        size = np.dtype(spec.wire).itemsize
-        for bucket, rows in by.items():
+        size, out = np.dtype(spec.wire).itemsize, defaultdict(list)
+        for to, rows in by.items():
             ids, hashes, starts, raws = zip(*rows, strict=True)
-            yield bucket, packed(np.array(ids).astype(np.uint64), np.array(hashes), np.array([len(s) for s in starts]), np.concatenate(starts), np.array([len(r) // size for r in raws]), np.frombuffer(b"".join(raws), spec.wire))
+            part = packed(np.array([to // buckets]), np.array(ids).astype(np.uint64), np.array(hashes), np.array([len(s) for s in starts]), np.concatenate(starts), np.array([len(r) // size for r in raws]), np.frombuffer(b"".join(raws), spec.wire))
+            out[to % buckets] += [len(part).to_bytes(4, "little"), part]
+        for bucket, parts in out.items():
+            yield bucket, b"".join(parts)
         if repeats:
             ids, hashes, a, n = (np.array(x, np.int64) for x in zip(*repeats, strict=True))
             yield from _replies(buckets, ids, hashes, a, n, np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64))
@@ -371,25 +383,38 @@ def _contents(spec: Spec, buckets: int) -> Stage:
 
 def _compare(spec: Spec, buckets: int) -> Stage:
     def of(bucket: int, rows: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        ids, hashes, starts, contents = [], [], [], []
+        parts: dict[int, list] = defaultdict(list)
         for p in rows:
-            i, h, counts, s, sizes, units = unpacked(p)
-            units = units.astype(spec.wire)
-            ids.append(i.astype(np.int64))
-            hashes.append(h)
-            starts += np.split(s.astype(np.int64), np.cumsum(counts)[:-1])
-            contents += np.split(units, np.cumsum(sizes)[:-1])
-        ids, hashes = np.concatenate(ids), np.concatenate(hashes).astype(np.int64)
-        found = spec.compare(spec, contents, ids, np.array([s[0] for s in starts]))
-        out = []
-        for k, hit in enumerate(found):
-            if hit.any():
-                edges = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-                for a, b in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist(), strict=True):
-                    out += [(ids[k], hashes[k], s + a, b - a - 1) for s in starts[k].tolist()]
-        if out:
-            cols = [np.array(x, np.int64) for x in zip(*out, strict=True)]
-            yield from _replies(buckets, *cols, np.zeros(len(out), np.int64), np.zeros(len(out), np.int64))
+            at = 0
+            while at < len(p):
+                n = int.from_bytes(p[at : at + 4], "little")
+                which, *more = unpacked(p[at + 4 : at + 4 + n])
+                parts[int(which[0])].append(more)
+                at += 4 + n
+        for part in parts.values():
+            yield from compare(*(np.concatenate(x) for x in zip(*part, strict=True)))
+
+    def compare(ids, hashes, counts, starts, sizes, units) -> Iterator[tuple[int, bytes]]:
+        ids, hashes, counts, starts, sizes = (x.astype(np.int64) for x in (ids, hashes, counts, starts, sizes))
+        begin = np.cumsum(counts) - counts
+        hit = spec.compare(spec, units.astype(spec.wire), sizes, ids, starts[begin])
+        windows = sizes - spec.window + 1
+        owner = np.repeat(np.arange(len(sizes)), windows)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at = np.flatnonzero(hit)
+        if not len(at):
+            return
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])
+        first = np.flatnonzero(new)
+        more = np.diff(np.append(first, len(at))) - 1
+        k, offset = owner[at[first]], place[at[first]]
+        # a content may stand at several starts of its text
+        every = np.repeat(np.arange(len(k)), counts[k])
+        nth = np.arange(len(every)) - np.repeat(np.cumsum(counts[k]) - counts[k], counts[k])
+        k = k[every]
+        zero = np.zeros(len(every), np.int64)
+        yield from _replies(buckets, ids[k], hashes[k], starts[begin[k] + nth] + offset[every], more[every], zero, zero)
 
     return _each_bucket(of)
 
@@ -405,7 +430,7 @@ LAST = (1 << 63) - 1
 def repeated(df: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame:
     """All rows of df as (orig, id, h, text, whole, part): packed intervals of repeated windows, null where there is none."""
     spark = df.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("orig"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("h"), text.alias("text"))
     told = docs.select("id", "h", "text").mapInArrow(_announce(spec, buckets), _ROWS_DDL)
