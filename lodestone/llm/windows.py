@@ -170,10 +170,11 @@ def _unpack_runs(raw: bytes) -> tuple[np.ndarray, ...]:
     return *head, key.astype(np.uint64), high.astype(np.uint64) << np.uint64(32) | low
 
 
-def _replies(blocks: int, ids, hashes, a, n, kind, bucket) -> Iterator[tuple[int, bytes]]:
-    """Rows (-1 - block, payload); a text's block is a hash of its id."""
+def _replies(buckets: int, ids, hashes, a, n, kind, bucket) -> Iterator[tuple[int, bytes]]:
+    """Rows (-1 - block, payload); a text's block is a hash of its id. Replies are short, so there is a block for four buckets."""
     if not len(ids):
         return
+    blocks = -(-buckets // 4)
     block = (mix(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
     order = np.lexsort((a, hashes, ids, block))
     cut = np.searchsorted(block[order], np.arange(blocks + 1))
