@@ -44,6 +44,8 @@ from .windows import LAST, _batches, _by_bucket, _sorted, pack_head, packed, unp
 SLICE = 400
 PIVOTS = 6
 LONGEST_MATCH = 4
+#: Frequencies are told apart up to here.
+MOST_OFTEN = 255
 #: Cost of verifying a candidate, in units of reading an entry of a list.
 VERIFY = 25.0
 _MASK = np.uint64((1 << 40) - 1)
@@ -137,7 +139,7 @@ def _count(buckets: int):
         sizes = np.diff(np.append(np.flatnonzero(new), len(key)))
         often = np.repeat(sizes, sizes)
         x = often > 1
-        ids, hashes, key, often = ids[x], hashes[x], key[x], np.minimum(often[x], 0xFFFF)
+        ids, hashes, key, often = ids[x], hashes[x], key[x], np.minimum(often[x], MOST_OFTEN)
         block = _blocks(ids, buckets)
         order = np.lexsort((hashes, ids, block))
         cut = np.searchsorted(block[order], np.arange(buckets + 1))
@@ -151,34 +153,68 @@ def _count(buckets: int):
     return run
 
 
+def _tell_classes(buckets: int):
+    """(id, h) of the documents that stand for a class -> to their blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hashes = (np.asarray(batch.column(i)).astype(np.int64) for i in (0, 1))
+            block = _blocks(ids, buckets)
+            order = np.lexsort((hashes, ids, block))
+            cut = np.searchsorted(block[order], np.arange(buckets + 1))
+            yield from _batches((-1 - b, packed(*pack_head(ids[x], hashes[x]))) for b in np.flatnonzero(np.diff(cut)).tolist() for x in [order[cut[b] : cut[b + 1]]])
+
+    return run
+
+
+def pack_tokens(token: np.ndarray, often: np.ndarray) -> bytes:
+    """Tokens in the order (frequency, token): their halves lie apart, so that the upper ones compress."""
+    return packed(token & np.uint64(0xFFFFFFFF), token >> np.uint64(32), often)
+
+
+def unpack_tokens(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    low, high, often = unpacked(raw)
+    return high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64), often.astype(np.int64)
+
+
+_SETS_DDL = "node long, n int, r int, tokens binary, first array<long>"
+
+
 def _gather(percent: int):
-    """In a block of ids: the documents that have a prefix of one match -> (id, h, n, tokens in order, frequencies, first: tokens of that prefix)."""
-    names, types = ["id", "h", "n", "tokens", "often", "first"], [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    """In a block of ids: of the documents that stand for a class those that have a prefix of one match -> (node, n, r: tokens, tokens in order, first: tokens of that prefix)."""
+    names, types = ["node", "n", "r", "tokens", "first"], [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_bucket(batches):
             size: dict[tuple[int, int], int] = {}
+            stands: set[tuple[int, int]] = set()
             parts = []
             for p in rows:
                 steps, hashes, counts, *more = unpacked(p)
                 ids, hs = unpack_head(steps, hashes, counts)
-                if len(more) == 1:
+                if not more:
+                    stands.update(zip(ids.tolist(), hs.tolist(), strict=True))
+                elif len(more) == 1:
                     size.update(zip(zip(ids.tolist(), hs.tolist(), strict=True), more[0].tolist(), strict=True))
                 else:
                     low, high, often, bucket = more
-                    parts.append((ids, hs, bucket.astype(np.uint64) << np.uint64(40) | high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64), often.astype(np.int64)))
+                    parts.append((ids, hs, bucket.astype(np.uint64) << np.uint64(40) | high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64), often.astype(np.uint8)))
             if not parts:
                 continue
             ids, hs, token, often = (np.concatenate(x) for x in zip(*parts, strict=True))
+            parts.clear()
             order = np.lexsort((token, often, hs, ids))
             ids, hs, token, often = ids[order], hs[order], token[order], often[order]
             cut = np.flatnonzero((ids[1:] != ids[:-1]) | (hs[1:] != hs[:-1])) + 1
             out = []
             for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(ids)], strict=True):
-                n = size[int(ids[s]), int(hs[s])]
+                me = int(ids[s]), int(hs[s])
+                if me not in stands:
+                    continue
+                n = size[me]
                 first = e - s - need(n, percent) + 1  # of the n - need + 1 first, n - (e - s) are of one document
                 if first > 0:
-                    out.append((int(ids[s]), int(hs[s]), n, token[s:e].tobytes(), often[s:e].astype("<u2").tobytes(), token[s : s + first].view(np.int64)))
+                    out.append((me[0], n, e - s, pack_tokens(token[s:e], often[s:e]), token[s : s + first].view(np.int64)))
                 if len(out) >= 1000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
                     out = []
@@ -268,15 +304,16 @@ def join_members(sizes: list[int], tokens: list[np.ndarray], often: list[np.ndar
 
 
 def _join_slices(percent: int):
-    """(slice, id, n, tokens, often, pivot), sorted by slice and pivots first -> links (a, b)."""
+    """(slice, node, n, tokens, pivot), sorted by slice -> links (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
 
         def flush() -> pa.RecordBatch:
-            rows = sorted(held, key=lambda r: (-r[4], r[0]))
+            rows = sorted(held, key=lambda r: (-r[3], r[0]))
             links = Links(len(rows))
-            join_members([r[1] for r in rows], [np.frombuffer(r[2], np.uint64) for r in rows], [np.frombuffer(r[3], "<u2") for r in rows], percent, links, sum(r[4] > 0 for r in rows))
+            tokens, often = zip(*(unpack_tokens(r[2]) for r in rows), strict=True)
+            join_members([r[1] for r in rows], tokens, often, percent, links, sum(r[3] > 0 for r in rows))
             return pa.RecordBatch.from_arrays([pa.array([rows[x][0] for x, _ in links.found], pa.int64()), pa.array([rows[y][0] for _, y in links.found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -293,16 +330,16 @@ def _join_slices(percent: int):
 
 
 def _adapted(percent: int):
-    """(id, n, tokens, often) -> (token, id, asks): the entries of each document's adapted prefix."""
+    """(id, n, tokens) -> (token, id, asks): the entries of each document's adapted prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             token, ids, asks = [], [], []
-            for i, n, raw, often in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                t, o = np.frombuffer(raw, np.int64), np.frombuffer(often, "<u2")
+            for i, n, raw in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                t, o = unpack_tokens(raw)
                 l = match_length(n, o, percent)
                 k = max(0, len(t) - need(n, percent) + l)
-                token.append(t[:k])
+                token.append(t[:k].view(np.int64))
                 ids.append(np.full(len(t[:k]), i))
                 asks.append(np.full(len(t[:k]), l, np.int32))
             if token:
@@ -316,7 +353,7 @@ def _verify(percent: int):
         for batch in batches:
             out = []
             for a, b, n, m, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                both = len(np.intersect1d(unpack_tokens(x)[0], unpack_tokens(y)[0], assume_unique=True))
                 if 100 * both >= percent * (n + m - both):
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
@@ -331,42 +368,46 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """sets (node, n, tokens, often, first), one a class -> links (a, b) that connect whatever is linked."""
+    """sets (node, n, r, tokens, first), one a class -> links (a, b) that connect whatever is linked."""
     entries = sets.select(F.col("node").alias("id"), F.explode("first").alias("token"))
     stars = entries.groupBy("token").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     edges = entries.join(stars, "token").where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
     groups = components(edges)
-    sized = groups.groupBy("root").agg(F.count("*").alias("size"))
-    members = _stored(sets.select("node", "n", "tokens", "often").join(groups.join(sized, "root").select("node", "root", "size"), "node"), "members")
-    slice_ = lambda root, k: F.xxhash64(root, k)
+    # narrow: which group a set is in, and how large it is
+    placed = _stored(groups.join(groups.groupBy("root").agg(F.count("*").alias("size")), "root").select("node", "root", "size"), "groups")
     slices = F.ceil(F.col("size") / SLICE).cast("long")
-    rows = members.select(slice_(F.col("root"), F.pmod(F.xxhash64("node"), slices)).alias("slice"), "node", "n", "tokens", "often", F.lit(0).alias("pivot"))
-    large = members.where(F.col("size") > SLICE)
-    if not large.isEmpty():
+    own = F.xxhash64("root", F.pmod(F.xxhash64("node"), slices)).alias("slice")
+    large = placed.where(F.col("size") > SLICE)
+    cut = not large.isEmpty()
+    members = sets.select("node", "n", "tokens")
+    if cut:
         # the most ordinary members: most of their shingles are shared; a maximum needs no group in one task
-        ordinary = F.struct((F.octet_length("tokens") / 8 / F.col("n")).alias("share"), "n", "node")
-        best = large.groupBy("root", F.pmod(F.xxhash64("node", F.lit(3)), F.lit(PIVOTS)).alias("k")).agg(F.max(ordinary).alias("best")).select("root", (F.col("k") + 1).alias("pivot"), F.col("best.node").alias("node"))
-        pivots = large.join(best, ["root", "node"]).select("root", "node", "n", "tokens", "often", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)).alias("k"), F.col("pivot").cast("int").alias("pivot"))
-        chosen = best.select("root", "node")
-        rest = members.join(chosen, ["root", "node"], "left_anti")
-        rows = rest.select(slice_(F.col("root"), F.pmod(F.xxhash64("node"), slices)).alias("slice"), "node", "n", "tokens", "often", F.lit(0).alias("pivot"))
-        rows = rows.unionByName(pivots.select(slice_(F.col("root"), F.col("k")).alias("slice"), "node", "n", "tokens", "often", "pivot"))
+        ordinary = F.struct((F.col("r") / F.col("n")).alias("share"), "n", "node")
+        narrow = sets.select("node", "n", "r").join(large, "node")
+        best = narrow.groupBy("root", "size", F.pmod(F.xxhash64("node", F.lit(3)), F.lit(PIVOTS)).alias("k")).agg(F.max(ordinary).alias("best"))
+        best = _stored(best.select("root", "size", (F.col("k") + 1).cast("int").alias("pivot"), F.col("best.node").alias("node")), "pivots")
+        rest = placed.join(best.select("node"), "node", "left_anti").select("node", own, F.lit(0).alias("pivot"))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), slices - 1))
+        roles = rest.unionByName(best.select("node", "root", "pivot", every.alias("k")).select("node", F.xxhash64("root", "k").alias("slice"), "pivot"))
+    else:
+        roles = placed.select("node", own, F.lit(0).alias("pivot"))
+    rows = members.join(roles, "node").select("slice", "node", "n", "tokens", "pivot")
     found = _stored(rows.repartition("slice").sortWithinPartitions("slice").mapInArrow(_join_slices(percent), "a long, b long"), "links")
-    if large.isEmpty():
+    if not cut:
         return found
     # of groups cut in slices, what isn't connected yet
-    done = components(found)
-    parts = _stored(large.join(done.withColumnRenamed("root", "part"), "node", "left").select("node", "root", F.coalesce("part", "node").alias("part"), "n", "tokens", "often"), "parts")
+    done = components(found).withColumnRenamed("root", "part")
+    parts = _stored(large.join(done, "node", "left").select("node", "root", F.coalesce("part", "node").alias("part")), "parts")
     open_ = parts.groupBy("root").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("root")
-    left = parts.join(open_, "root", "left_semi")
+    left = parts.join(open_, "root", "left_semi").select("node", "part")
     if left.isEmpty():
         return found
-    entry = left.select(F.col("node").alias("id"), "n", "tokens", "often").mapInArrow(_adapted(percent), "token long, id long, asks int").join(left.select(F.col("node").alias("id"), "part"), "id")
+    entry = members.join(left, "node").select("node", "n", "tokens").mapInArrow(_adapted(percent), "token long, id long, asks int").join(left.withColumnRenamed("node", "id"), "id")
     mixed = entry.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
     entry = _stored(entry.join(mixed, "token", "left_semi"), "entries")
     one, two = (entry.select("token", F.col("id").alias(i), F.col("asks").alias(f"asks_{i}"), F.col("part").alias(f"part_{i}")) for i in "ab")
     pairs = one.join(two, "token").where("part_a < part_b").groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("asks_a", "asks_b")).alias("asked")).where("shared >= asked").select("a", "b")
-    body = lambda i: left.select(F.col("node").alias(i), F.col("n").alias(f"n_{i}"), F.col("tokens").alias(f"t_{i}"))
+    body = lambda i: members.select(F.col("node").alias(i), F.col("n").alias(f"n_{i}"), F.col("tokens").alias(f"t_{i}"))
     full = pairs.join(body("a"), "a").join(body("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     return found.unionByName(full.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(_verify(percent), "a long, b long"))
 
@@ -383,9 +424,8 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     classes = _stored(info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct("id", "h")).alias("rep")).select("n", "s1", "s2", F.col("rep.id").alias("rep"), F.col("rep.h").alias("rep_h")), "classes")
     told = docs.mapInArrow(_tell(k, buckets), _ROWS_DDL)
     counted = _sorted(told).mapInArrow(_count(buckets), _ROWS_DDL)
-    gathered = _sorted(counted).mapInArrow(_gather(percent), "id long, h int, n int, tokens binary, often binary, first array<long>")
-    reps = classes.select(F.col("rep").alias("id"), F.col("rep_h").alias("h"), "n")
-    sets = _stored(gathered.join(reps.select("id", "h").distinct(), ["id", "h"], "left_semi").withColumn("node", F.col("id")), "prefixes")
+    reps = classes.select(F.col("rep").alias("id"), F.col("rep_h").alias("h")).mapInArrow(_tell_classes(buckets), _ROWS_DDL)
+    sets = _stored(_sorted(counted.unionByName(reps)).mapInArrow(_gather(percent), _SETS_DDL), "prefixes")
     roots = components(_links(sets, percent))
     labelled = classes.join(roots, classes["rep"] == roots["node"], "left").select("n", "s1", "s2", F.coalesce("root", "rep").alias("component"))
     out = info.join(labelled, ["n", "s1", "s2"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
