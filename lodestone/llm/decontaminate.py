@@ -4,10 +4,10 @@ Test items are indexed under BM25; impacts are divided by the item's score again
 a passage scores 0 to 1: the share of the item's weight that it holds. Every passage of every
 training text is a query: passages are `2 * stride` words long and begin every `stride` words, so each
 span of up to `stride` words lies in one (stride is at least the longest item). A query first
-adds up, for each block of items, the block maxima of its terms; where a block reaches the threshold, block-max
-WAND retrieves all items at or above it: cursors are kept in item order, the pivot is the
-first whose summed term maxima reach the threshold, block maxima are checked before a
-document is scored, and blocks that can't reach it are skipped. An item found so is verified:
+adds up, for each block of items, the block maxima of its terms; blocks that can't reach the
+threshold are skipped. In the others WAND retrieves all items at or above it: cursors are
+kept in item order, the pivot is the first whose summed maxima reach the threshold, cursors
+before it move to it, and an item is scored only when all stand there. An item found so is verified:
 the word trigrams of its question and of its answer must both occur in the passage, at least `overlap` of each.
 
 Items are indexed `SHARD_ITEMS` at a time, each index broadcast at a checked size and searched
@@ -22,6 +22,7 @@ passage of highest score (the first of several). Repeated rows of a table give o
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import islice
@@ -38,7 +39,7 @@ SHARD_ITEMS = 1_000
 MAX_ITEM_WORDS = 20_000
 MAX_SHARD_BYTES = 64 << 20
 K1, B = 1.2, 0.75
-BLOCK = 8
+BLOCK = 4
 _TOKEN = re.compile(r"\w+")
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, start_word long"
 
@@ -89,49 +90,56 @@ class Index:
         """Block-max WAND: all (item position, score) with score >= threshold, for distinct term ids."""
         docs, impacts, block_max, top = self.docs, self.impacts, self.block_max, self.term_max
         bound = threshold - 1e-6
-        live = [[docs[t][0], t, 0] for t in query]
-        out = []
-        while live:
-            live.sort()
-            upper, pivot = 0.0, -1
-            for k, (_, t, _) in enumerate(live):
-                upper += top[t]
-                if upper >= bound:
-                    pivot = k
+        # blocks whose maxima add up to less than the threshold are never entered
+        within = block_max[query].sum(axis=0) >= bound - 1e-4 if query else np.zeros(0, bool)
+        enter = np.flatnonzero(within).tolist()
+        out: list[tuple[int, float]] = []
+        for block in enter:
+            begin, end = block * BLOCK, (block + 1) * BLOCK
+            # cursors (document, term, place) at the block's first posting
+            live = []
+            for t in query:
+                if block_max[t, block] > 0:
+                    p = bisect_left(docs[t], begin)
+                    live.append((docs[t][p], t, p))
+            while live:
+                live.sort()
+                upper, pivot = 0.0, -1
+                for k, (_, t, _) in enumerate(live):
+                    upper += min(top[t], block_max[t, block])
+                    if upper >= bound:
+                        pivot = k
+                        break
+                if pivot < 0:
                     break
-            if pivot < 0:
-                break
-            at = live[pivot][0]
-            while pivot + 1 < len(live) and live[pivot + 1][0] == at:
-                pivot += 1
-            block = at // BLOCK
-            if sum(block_max[t, block] for _, t, _ in live[: pivot + 1]) < bound:
-                # none of these cursors can make a document of this block reach the threshold
-                goal = (block + 1) * BLOCK
-                if pivot + 1 < len(live):
-                    goal = min(goal, live[pivot + 1][0])
-                goal = max(goal, at + 1)
-                moved = live[: pivot + 1]
-            elif live[0][0] == at:
-                score = sum(impacts[t][p] for d, t, p in live[: pivot + 1])
-                if score >= bound:
-                    out.append((at, float(score)))
-                goal, moved = at + 1, live[: pivot + 1]
-            else:
-                goal, moved = at, [c for c in live[:pivot] if c[0] < at]
-            for c in moved:
-                d, p = docs[c[1]], c[2]
-                while p < len(d) and d[p] < goal:
-                    p += 1
-                c[0], c[2] = (d[p], p) if p < len(d) else (-1, p)
-            live = [c for c in live if c[0] >= 0]
+                at = live[pivot][0]
+                while pivot + 1 < len(live) and live[pivot + 1][0] == at:
+                    pivot += 1
+                if live[0][0] == at:
+                    score = float(sum(impacts[t][p] for _, t, p in live[: pivot + 1]))
+                    if score >= bound:
+                        out.append((at, score))
+                    goal = at + 1
+                else:
+                    goal = at
+                moved = []
+                for d, t, p in live:
+                    if d < goal:
+                        own = docs[t]
+                        p = bisect_left(own, goal, p)
+                        if p == len(own) or own[p] >= end:
+                            continue
+                        d = own[p]
+                    moved.append((d, t, p))
+                live = moved
         return out
 
     def candidates(self, ids: np.ndarray, passage: np.ndarray, threshold: float) -> list[tuple[int, np.ndarray]]:
-        """Passages (with their distinct terms) in which some block's maxima reach the threshold. ids, passage: of each indexed word."""
+        """Passages (with their distinct terms) whose term maxima reach the threshold in some block. ids, passage: of each indexed word."""
         if not len(ids):
             return []
-        key = np.unique(passage * len(self.terms) + ids)
+        key = np.sort(passage * len(self.terms) + ids)
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
         where, term = key // len(self.terms), key % len(self.terms)
         cut = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
         ends = np.append(cut[1:], len(where))
