@@ -31,14 +31,16 @@ def iri(p: str, o: Column, **more) -> Emit:
 
 def project(records: DataFrame, subject: Column, templates: list[Emit]) -> DataFrame:
     """The triples of the records: one scan, one explode, then a set."""
-    made = []
-    for t in templates:
-        def struct(value: Column, t: Emit = t) -> Column:
+
+    def one(t: Emit) -> Column:
+        def struct(value: Column) -> Column:
             kind = t.type if isinstance(t.type, Column) else F.lit(t.type)
             return F.struct(F.lit(t.p).alias("p"), value.cast("string").alias("o"), F.lit(t.kind).alias("o_kind"), kind.alias("o_type"), F.lit(t.lang).alias("o_lang"))
 
         value = t.o if t.when is None else F.when(t.when, t.o)
-        made.append(F.transform(F.coalesce(value, F.array()), struct) if t.each else F.array(struct(value)))
+        return F.transform(F.coalesce(value, F.array()), struct) if t.each else F.array(struct(value))
+
+    made = [one(t) for t in templates]
     every = F.filter(F.concat(*made), lambda x: x["o"].isNotNull())
     return records.select(subject.alias("s"), F.explode(every).alias("t")).where("s IS NOT NULL").select("s", "t.*").distinct()
 

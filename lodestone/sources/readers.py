@@ -48,11 +48,13 @@ def read_yaml(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 # --- a small YAML: block maps and lists, flow lists and maps, quoted and plain scalars, | and > blocks
 def _scalar(text: str):
     text = text.strip()
-    if text[:1] in "\"'" and text[-1:] == text[:1] and len(text) > 1:
+    if not text:
+        return None
+    if text[0] in "\"'" and text[-1:] == text[:1] and len(text) > 1:
         return json.loads(text) if text[0] == '"' else text[1:-1].replace("''", "'")
-    if text[:1] in "[{":
+    if text[0] in "[{":
         return _flow(text)
-    if text in ("", "~", "null"):
+    if text in ("~", "null"):
         return None
     if text in ("true", "false"):
         return text == "true"
@@ -92,7 +94,7 @@ def plain_yaml(text: str):
     at = 0
 
     def uncommented(s: str) -> str:
-        if s[:1] in "\"'":
+        if s and s[0] in "\"'":
             end = s.find(s[0], 1)
             while end > 0 and s[0] == '"' and s[end - 1] == "\\":
                 end = s.find(s[0], end + 1)
