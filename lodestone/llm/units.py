@@ -87,6 +87,8 @@ def word_units(raw: bytes) -> np.ndarray:
 
 def many_word_units(raws: list[bytes]) -> list[np.ndarray]:
     """word_units of each; short texts are hashed together."""
+    if not raws:
+        return []
     joined = word_units(b"\n".join(raws)) if sum(map(len, raws)) <= 4 * PIECE else None
     if joined is None:
         return [word_units(r) for r in raws]
