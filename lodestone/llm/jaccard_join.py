@@ -44,6 +44,8 @@ from .windows import LAST, _batches, _by_bucket, _sorted, pack_head, packed, unp
 SLICE = 400
 PIVOTS = 6
 LONGEST_MATCH = 4
+#: Parts of a bucket that are counted one after the other.
+PARTS = 4
 #: Frequencies are told apart up to here.
 MOST_OFTEN = 255
 #: Cost of verifying a candidate, in units of reading an entry of a list.
@@ -127,25 +129,37 @@ def _count(buckets: int):
     """In a bucket: shingles of several documents, told to the blocks of those documents with their frequency."""
 
     def of(bucket: int, rows: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        parts = []
+        ids, hashes, docs, keys, seen = [], [], [], [], 0
         for p in rows:
-            steps, hashes, counts, low, high = unpacked(p)
-            parts.append((*unpack_head(steps, hashes, counts), high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)))
-        ids, hashes, key = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(key, kind="stable")
-        ids, hashes, key = ids[order], hashes[order], key[order]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        sizes = np.diff(np.append(np.flatnonzero(new), len(key)))
-        often = np.repeat(sizes, sizes)
-        x = often > 1
-        ids, hashes, key, often = ids[x], hashes[x], key[x], np.minimum(often[x], MOST_OFTEN)
+            steps, hs, counts, low, high = unpacked(p)
+            i, h = unpack_head(steps, hs, np.ones(len(steps), np.int64))
+            ids.append(i)
+            hashes.append(h)
+            docs.append(np.repeat(np.arange(seen, seen + len(i), dtype=np.int32), counts))
+            keys.append(high.astype(np.uint64) << np.uint64(32) | low)
+            seen += len(i)
+        ids, hashes, doc, key = (np.concatenate(x) for x in (ids, hashes, docs, keys))
+        docs.clear()
+        keys.clear()
         block = _blocks(ids, buckets)
-        order = np.lexsort((hashes, ids, block))
-        cut = np.searchsorted(block[order], np.arange(buckets + 1))
+        # a part of the shingles at a time; of each the ones of several documents stay
+        kept = []
+        for k in range(PARTS):
+            x = np.flatnonzero(key % np.uint64(PARTS) == np.uint64(k))
+            x = x[np.argsort(key[x], kind="stable")]
+            own = key[x]
+            new = np.ones(len(own), bool)
+            new[1:] = own[1:] != own[:-1]
+            sizes = np.diff(np.append(np.flatnonzero(new), len(own)))
+            often = np.repeat(sizes, sizes)
+            several = often > 1
+            kept.append((doc[x[several]], own[several], np.minimum(often[several], MOST_OFTEN).astype(np.uint8)))
+        doc, key, often = (np.concatenate(x) for x in zip(*kept, strict=True))
+        order = np.lexsort((hashes[doc], ids[doc], block[doc]))
+        cut = np.searchsorted(block[doc[order]], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(cut)).tolist():
             y = order[cut[b] : cut[b + 1]]
-            yield -1 - b, packed(*pack_head(ids[y], hashes[y]), key[y] & np.uint64(0xFFFFFFFF), key[y] >> np.uint64(32), often[y], np.array([bucket]))
+            yield -1 - b, packed(*pack_head(ids[doc[y]], hashes[doc[y]]), key[y] & np.uint64(0xFFFFFFFF), key[y] >> np.uint64(32), often[y], np.array([bucket]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(r for bucket, rows in _by_bucket(batches) for r in (of(bucket, rows) if bucket >= 0 else ((bucket, p) for p in rows)))
