@@ -1,12 +1,17 @@
 """Connected components of a table of links, without collecting them.
 
-Alternating star contraction: each node links its larger neighbours to its least one, then its
-smaller ones to its least one, until no link changes. The stars keep the number of links, and a
-round at least halves long paths. Each round is written to the shared folder.
+Each task first contracts its own links to stars. Then stars alternate: each node links its
+larger neighbours to its least one, then its smaller ones to its least one, until every node
+has one parent that has none itself. The number of links doesn't grow, and a round at least
+halves long paths. Each round is written to the shared folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +24,42 @@ def _save(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links to stars around the least node of each component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        # hook each root of a link to the lesser one, then shorten paths
+        p, q = root[x], root[y]
+        low, high = np.minimum(p, q), np.maximum(p, q)
+        before = root.copy()
+        np.minimum.at(root, high, low)
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+        if (root == before).all():
+            break
+    child = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[child], nodes[root[child]]
+
+
+def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    a = b = np.zeros(0, np.int64)
+    for batch in batches:
+        a, b = np.concatenate([a, np.asarray(batch.column(0))]), np.concatenate([b, np.asarray(batch.column(1))])
+        if len(a) > 1_000_000:  # contracted links are at most as many as nodes
+            a, b = contract(a, b)
+            if len(a) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                a = b = np.zeros(0, np.int64)
+    if len(a):
+        a, b = contract(a, b)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
 def _large(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -31,14 +72,17 @@ def _small(links: DataFrame) -> DataFrame:
     return down.join(least, "a").select("b", "m").unionByName(least.select(F.col("a").alias("b"), "m")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Are all components stars: no node has two parents, or a parent and children?"""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up > 0 AND down > 0").isEmpty()
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """links (a, b: long) -> (node, root) for every node that is linked; the root is the least node."""
-    now = _save(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
+    now = _save(links.where("a <> b").select("a", "b").mapInArrow(_local, "a long, b long"))
     for _ in range(rounds):
-        now = _save(_small(_large(now)))
-        seen = now.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("b", "a").cast("decimal(20,0)"))).first()
-        if seen == mark:
+        if _settled(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        mark = seen
+        now = _save(_small(_large(now)))
     raise RuntimeError(f"links didn't settle in {rounds} rounds")
