@@ -118,3 +118,34 @@ def rolled_up(cited: DataFrame, text: str, keys: list[str], order: list[str]) ->
     """Citation texts of each issue, volume or of all (no keys), joined in journal order."""
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, text))), lambda x: x[text]), "\n")
     return (cited.groupBy(*keys) if keys else cited.groupBy()).agg(joined.alias(text))
+
+
+# Schema.org classes by type slug.
+SCHEMA_TYPES = {"data": "Dataset", "software": "SoftwareSourceCode", "poster": "Poster", "presentation": "PresentationDigitalDocument", "conference-paper": "ScholarlyArticle", "conference-proceeding": "ScholarlyArticle"}
+
+
+def schema_org(entries: DataFrame, journal: str, issn: str, iri: str) -> DataFrame:
+    """(id, node): a schema.org node as JSON text; absent fields are left out."""
+    kinds = F.create_map(*[F.lit(x) for kv in SCHEMA_TYPES.items() for x in kv])
+    people = F.transform(F.coalesce("creators", F.array()), lambda p: F.struct(F.lit("Person").alias("@type"), F.trim(F.concat_ws(" ", p["given"], p["family"])).alias("name")))
+    periodical = F.struct(F.lit("Periodical").alias("@type"), F.lit(iri).alias("@id"), F.lit(journal).alias("name"), F.lit(issn).alias("issn"))
+    volume = F.struct(F.lit("PublicationVolume").alias("@type"), F.regexp_replace("iri", "/[^/]*/[^/]*$", "").alias("@id"), _c("volume").cast("string").alias("volumeNumber"), periodical.alias("isPartOf"))
+    issue = F.struct(F.lit("PublicationIssue").alias("@type"), F.regexp_replace("iri", "/[^/]*$", "").alias("@id"), _c("issue").cast("string").alias("issueNumber"), volume.alias("isPartOf"))
+    has_doi = _c("doi").isNotNull()
+    event = F.when(F.length("event.name") > 0, F.struct(F.lit("Event").alias("@type"), F.col("event.name").alias("name"), F.when(F.coalesce("event.online", F.lit(False)), "https://schema.org/OnlineEventAttendanceMode").alias("eventAttendanceMode")))
+    node = F.struct(
+        F.lit("https://schema.org").alias("@context"), F.coalesce(F.try_element_at(kinds, _c("type")), F.lit("CreativeWork")).alias("@type"), F.col("iri").alias("@id"), F.col("title").alias("name"), F.concat("iri", F.lit("/")).alias("url"), people.alias("author"), issue.alias("isPartOf"), "genre",
+        F.coalesce("date", _c("year").cast("string")).alias("datePublished"), F.when(has_doi, F.struct(F.lit("PropertyValue").alias("@type"), F.lit("DOI").alias("propertyID"), F.col("doi").alias("value"))).alias("identifier"), F.when(has_doi, F.array("doi_url")).alias("sameAs"),
+        F.when(F.size("keywords") > 0, _c("keywords")).alias("keywords"), F.col("language").alias("inLanguage"), event.alias("recordedAt"),
+    )
+    return entries.select("id", F.to_json(node).alias("node"))
+
+
+def short_citation(entries: DataFrame, journal: str) -> DataFrame:
+    """(id, text): authors with initials, year or "n.d.", title, journal, label and link."""
+    begun = lambda g: F.array_join(F.transform(F.regexp_extract_all(g, F.lit(r"([A-ZÄÖÜ][a-zäöüß]*\.?)"), 1), lambda w: F.concat(F.substring(w, 1, 1), F.lit("."))), " ")
+    names = F.transform(F.coalesce("creators", F.array()), lambda p: F.regexp_replace(F.concat(p["family"], F.lit(", "), begun(F.coalesce(p["given"], F.lit("")))), r"^[, ]+|[, ]+$", ""))
+    authors = F.when(F.size(names) > 1, F.concat(F.array_join(F.slice(names, 1, F.size(names) - 1), ", "), F.lit(", & "), F.element_at(names, -1))).otherwise(F.coalesce(F.try_element_at(names, F.lit(1)), F.lit("")))
+    label = citation_label(_c("volume"), _c("issue"), _c("sigil"), _c("n"))
+    parts = [F.nullif(authors, F.lit("")), F.concat(F.lit("("), F.coalesce(_c("year").cast("string"), F.lit("n.d.")), F.lit(").")), F.concat("title", F.lit(".")), F.concat(F.lit(f"{journal}, "), label, F.lit(".")), F.coalesce("doi_url", "iri")]
+    return entries.select("id", F.concat_ws(" ", *parts).alias("text"))

@@ -188,3 +188,14 @@ def histogram(results: DataFrame) -> DataFrame:
 def grouped(results: DataFrame) -> DataFrame:
     """Results by (severity, path, message) with a number and the least focus as an example."""
     return results.groupBy("severity", "path", "message").agg(F.count("*").alias("n"), F.min("focus").alias("example"))
+
+
+def listing(shapes: list[Shape]) -> list[tuple[str, str, list[str]]]:
+    """(target, constraints, messages) of shapes for readers: messages where there are any, else counts in words."""
+    out = []
+    for s in shapes:
+        target = s.target_class or ", ".join(s.target_nodes or [])
+        words = [f"{p.path}: " + (f"at least {p.min_count}" if p.min_count is not None else "") + (" and " if p.min_count is not None and p.max_count is not None else "") + (f"at most {p.max_count}" if p.max_count is not None else "") for p in s.properties if p.min_count is not None or p.max_count is not None]
+        messages = sorted({p.message for p in s.properties if p.message} | {m for m, _ in s.sparql} | ({s.message} if s.message else set()))
+        out.append((target, f"{len(s.properties)} properties, {len(s.sparql)} rules", messages or words))
+    return out

@@ -87,3 +87,36 @@ def fingerprint(paths: list[Path]) -> str:
     for p in sorted(map(Path, paths)):
         h.update(str(p).encode() + b"\0" + hashlib.sha256(p.read_bytes()).digest())
     return h.hexdigest()
+
+
+def write_subgraphs(triples: DataFrame, path: str) -> None:
+    """N-Triples partitioned by the resource that a subject belongs to."""
+    o = term(F.col("o"), F.col("o_kind"), F.coalesce("o_type", F.lit("")), F.coalesce("o_lang", F.lit("")))
+    lines = triples.select(F.substring_index("s", "#", 1).alias("resource"), F.concat(F.lit("<"), "s", F.lit("> <"), "p", F.lit("> "), o, F.lit(" .")).alias("value")).distinct()
+    lines.repartition("resource").sortWithinPartitions("resource", "value").write.partitionBy("resource").mode("overwrite").text(path)
+
+
+def feature_collection(features: DataFrame, variable: str | None = None) -> str:
+    """Features (JSON texts, in order) as one GeoJSON collection, or as a script that sets a variable. For a map, so small."""
+    body = '{"type":"FeatureCollection","features":[' + ",\n".join(r.feature for r in features.toLocalIterator()) + "]}"
+    return f"window.{variable} = {body};\n" if variable else body + "\n"
+
+
+def query_text(title: str, intro: str, prefixes: dict[str, str], sparql: str) -> str:
+    """A query as a text of its own: title and introduction as comments, its prefixes, the query."""
+    import textwrap
+
+    used = {k: v for k, v in prefixes.items() if f"{k}:" in sparql}
+    head = [f"# {title}", *(f"# {line}" for line in textwrap.wrap(intro, 76))]
+    return "\n".join([*head, "", *(f"PREFIX {k}: <{v}>" for k, v in sorted(used.items())), "", sparql.strip(), ""])
+
+
+def report(title: str, tables: dict[str, DataFrame], most: int = 500) -> str:
+    """A Markdown report of small tables; of longer ones the first rows and their number."""
+    out = [f"# {title}", ""]
+    for name, df in tables.items():
+        rows, n = df.limit(most).collect(), df.count()
+        out += [f"## {name} ({n})", "", "| " + " | ".join(df.columns) + " |", "|" + "-|" * len(df.columns)]
+        out += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|").replace("\n", " ") for v in r) + " |" for r in rows]
+        out += ["" if n <= most else f"\n{n - most} more.\n"]
+    return "\n".join(out)
