@@ -11,6 +11,7 @@ tables give empty results; additional columns are carried along.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import bpe, decontaminate, jaccard_join, quality, secrets
 from lodestone.llm.common import scratch, table
+from lodestone.shipping import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -51,12 +53,26 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return bpe.encoded(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality classifier", quality_classifier),
-    ("n-gram Jaccard join", ngram_jaccard_join),
-    ("benchmark decontamination", benchmark_decontamination),
-    ("secret scans", secret_scan),
-    ("byte-level BPE", bpe_encoding),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _shipped(stage: Stage) -> Stage:
+    """The stage, with the package sent to the executors before it runs."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", _shipped(quality_classifier)),
+    ("n-gram Jaccard join", _shipped(ngram_jaccard_join)),
+    ("benchmark decontamination", _shipped(benchmark_decontamination)),
+    ("secret scans", _shipped(secret_scan)),
+    ("byte-level BPE", _shipped(bpe_encoding)),
 ]
 
 #: No SQL expresses the first stage; tests compare the stages with brute force.
