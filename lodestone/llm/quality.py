@@ -26,7 +26,11 @@ from pyspark.sql import functions as F
 
 from .common import fold, map_texts
 
-BINS = 12
+#: Quantiles of the unlabelled sample at which a statistic is cut; a value at a cut is an interval of its own, so that zero is told from little.
+QUANTILES = (0.002, 0.01, 0.03, 0.08, 0.2, 0.4, 0.6, 0.8, 0.92, 0.97, 0.99, 0.998)
+BINS = 2 * len(QUANTILES) + 1
+#: Weight of the squared norm.
+DECAY = 2e-3
 #: Texts of each kind (trusted, unlabelled) that the fit sees at most, about.
 SAMPLE = 10_000
 _LATIN = np.zeros(256, bool)
@@ -35,7 +39,7 @@ _MARKS = np.array([c for c in range(33, 127) if not chr(c).isalnum()])
 _SENTENCE = np.array([ord(c) for c in ".,;:'\"()-?"])
 _ODD = np.setdiff1d(_MARKS, _SENTENCE)
 _RUN = re.compile(r"([^\w\s])\1")
-NAMES = ("length", "words", "word_length", "upper", "digits", "odd", "sentence", "newlines", "beyond_ascii", "entropy", "distinct", "top_word", "repeats", "short", "bare", "marked", "long_words", "line_length", "same_lines", "runs")
+NAMES = ("length", "words", "word_length", "upper", "digits", "odd", "sentence", "newlines", "beyond_ascii", "entropy", "distinct", "top_word", "repeats", "short", "bare", "marked", "long_words", "line_length", "same_lines", "runs", "marks")
 
 
 def statistics(text: str) -> tuple[float, ...]:
@@ -52,27 +56,40 @@ def statistics(text: str) -> tuple[float, ...]:
         np.log1p(len(raw)), np.log1p(len(words)), len(raw) / w, hist[65:91].sum() / letters, hist[48:58].sum() / n, hist[_ODD].sum() / w, hist[_SENTENCE].sum() / w, hist[10] / w, hist[128:].sum() / n,
         float(-(p * np.log2(p)).sum()), len(counts) / w, max(counts.values(), default=0) / w, sum(map(str.__eq__, words, words[1:])) / w, sum(len(x) * c < 4 * c for x, c in counts.items()) / w,
         sum(c for x, c in counts.items() if x.isalpha()) / w, sum(c for x, c in counts.items() if not x[-1].isalnum() and x[-1] not in ".,") / w, sum(c for x, c in counts.items() if len(x) > 20) / w,
-        len(raw) / max(1, len(lines)), len(set(lines)) / max(1, len(lines)), len(_RUN.findall(text)) / w,
+        len(raw) / max(1, len(lines)), len(set(lines)) / max(1, len(lines)), len(_RUN.findall(text)) / w, sum(c for x, c in counts.items() if not any(map(str.isalnum, x))) / w,
     )
 
 
+def _interval(cuts: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return np.searchsorted(cuts, x, "left") + np.searchsorted(cuts, x, "right")
+
+
 class Model:
     def __init__(self, cuts: np.ndarray, weights: np.ndarray, bias: float, prior: float):
         self.cuts, self.weights, self.bias, self.prior = cuts, weights, bias, prior
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        return np.sum([self.weights[j][np.searchsorted(self.cuts[j], x[:, j], "right")] for j in range(len(self.cuts))], axis=0) + self.bias
+        return np.sum([self.weights[j][_interval(self.cuts[j], x[:, j])] for j in range(len(self.cuts))], axis=0) + self.bias
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margin(x), -30, 30)))
 
 
-def _onehot(cuts: np.ndarray, x: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(x), len(cuts), BINS), np.float32)
-    rows = np.arange(len(x))
-    for j in range(len(cuts)):
-        out[rows, j, np.searchsorted(cuts[j], x[:, j], "right")] = 1
-    return np.concatenate([out.reshape(len(x), -1), np.ones((len(x), 1), np.float32)], axis=1)
+class _Design:
+    """Rows as the numbers of their intervals; stands for a 0/1 matrix with a column of ones."""
+
+    def __init__(self, cuts: np.ndarray, x: np.ndarray):
+        self.at = np.stack([_interval(cuts[j], x[:, j]) + j * BINS for j in range(len(cuts))], axis=1)
+        self.size = len(cuts) * BINS + 1
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        return w[self.at].sum(axis=1) + w[-1]
+
+    def mean(self, v: np.ndarray) -> np.ndarray:
+        """The mean of v times the matrix's rows."""
+        out = np.bincount(self.at.ravel(), np.repeat(v, self.at.shape[1]), self.size)
+        out[-1] = v.sum()
+        return out / len(v)
 
 
 def _descend(gradient, size: int, steps: int, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
@@ -96,22 +113,21 @@ def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None, steps: int = 2
     """p, u: statistics of trusted positives and of unlabelled texts."""
     if not len(p) or not len(u):
         k = p.shape[1] if p.ndim == 2 else len(NAMES)
-        return Model(np.zeros((k, BINS - 1)), np.zeros((k, BINS)), 0.0, 0.5)
-    cuts = np.quantile(u, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    xp, xu = _onehot(cuts, p), _onehot(cuts, u)
+        return Model(np.zeros((k, len(QUANTILES))), np.zeros((k, BINS)), 0.0, 0.5)
+    cuts = np.quantile(u, QUANTILES, axis=0, method="nearest").T
+    xp, xu = _Design(cuts, p), _Design(cuts, u)
     sigma = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     if prior is None:
-        half = _descend(lambda w: xu.T @ sigma(xu @ w) / len(xu) - xp.T @ sigma(-(xp @ w)) / len(xp), xp.shape[1], 120)
-        prior = estimate_prior(xp @ half, xu @ half)
+        half = _descend(lambda w: xu.mean(sigma(xu.margins(w))) - xp.mean(sigma(-xp.margins(w))), xp.size, 120)
+        prior = estimate_prior(xp.margins(half), xu.margins(half))
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        zp, zu = xp @ w, xu @ w
-        sp, su = sigma(zp), sigma(zu)
+        zp, zu = xp.margins(w), xu.margins(w)
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        below = xu.T @ su / len(xu) - prior * (xp.T @ sp) / len(xp)  # gradient of the negative part
-        return -prior * (xp.T @ (1 - sp)) / len(xp) + below if negative >= 0 else -below
+        below = xu.mean(sigma(zu)) - prior * xp.mean(sigma(zp))  # gradient of the negative part
+        return -prior * xp.mean(sigma(-zp)) + below if negative >= 0 else -below
 
-    w = _descend(gradient, xp.shape[1], steps, decay=2e-3)
+    w = _descend(gradient, xp.size, steps, decay=DECAY)
     return Model(cuts, w[:-1].reshape(len(cuts), BINS), float(w[-1]), prior)
 
 
