@@ -32,7 +32,7 @@ from .common import mix, scratch, text_chunks
 from .units import PIECE, Rolling
 
 #: Runs that a task gathers before it tells them.
-GATHER = 1_500_000
+GATHER = 800_000
 #: Parts of a bucket that are worked on one after the other; a bucket's rows stay together, so that tasks x buckets rows travel.
 PARTS = 4
 #: Kinds of run of one anchor from which windows are routed one by one.
