@@ -6,7 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-DATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
