@@ -16,16 +16,37 @@ def anchored_clusters(rows: DataFrame, keys: list[str], at: str, order: list[str
     item = F.struct(*[F.col(c) for c in order], F.col(at).cast("date").alias("__at"), F.struct(*[F.col(c) for c in rows.columns]).alias("__row"))
     lists = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__items"))
 
+    numbered = lists.select("__items", _numbers(F.col("__items"), days).alias("__n"))
+    return numbered.select(F.explode(F.arrays_zip("__items", "__n")).alias("z")).select("z.__items.__row.*", F.col("z.__n").alias("cluster"))
+
+
+def _numbers(items: Column, days: int) -> Column:
+    """Cluster numbers of items (with a date `__at`) in their order: an ordered fold."""
+
     def step(acc: Column, x: Column) -> Column:
         day = x["__at"]
         stays = (acc["n"] > 0) & (day.isNull() | acc["anchor"].isNull() | (F.datediff(day, acc["anchor"]) <= days))
         n = F.when(stays, acc["n"]).otherwise(acc["n"] + 1)
-        anchor = F.when(stays, F.coalesce(acc["anchor"], F.lit(None).cast("date"))).otherwise(day)
-        return F.struct(n.alias("n"), anchor.alias("anchor"), F.array_append(acc["out"], n).alias("out"))
+        return F.struct(n.alias("n"), F.when(stays, acc["anchor"]).otherwise(day).alias("anchor"), F.array_append(acc["out"], n).alias("out"))
 
     start = F.struct(F.lit(0).alias("n"), F.lit(None).cast("date").alias("anchor"), F.array().cast("array<int>").alias("out"))
-    numbered = lists.select("__items", F.aggregate("__items", start, step, lambda a: a["out"]).alias("__n"))
-    return numbered.select(F.explode(F.arrays_zip("__items", "__n")).alias("z")).select("z.__items.__row.*", F.col("z.__n").alias("cluster"))
+    return F.aggregate(items, start, step, lambda a: a["out"])
+
+
+def anchored_by_day(rows: DataFrame, keys: list[str], at: str, days: int = 14) -> DataFrame:
+    """anchored_clusters in the order of `at` alone (missing dates first), for keys with very many rows.
+
+    Rows of one day are in one cluster, so the fold sees the distinct days of a key, which are
+    few and are gathered by partial aggregates; rows get their number by a join on key and day.
+    """
+    own = rows.withColumn("__at", F.col(at).cast("date"))
+    lists = own.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("__at"))).alias("__items"))
+    numbered = lists.select(*keys, F.explode(F.arrays_zip("__items", _numbers(F.col("__items"), days).alias("__n"))).alias("z"))
+    numbers = numbered.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("z.__items.__at").alias("__day"), F.col("z.__n").alias("cluster"))
+    same = own["__at"].eqNullSafe(numbers["__day"])
+    for k in keys:
+        same = same & own[k].eqNullSafe(numbers[f"__{k}"])
+    return own.join(numbers, same).select(*rows.columns, "cluster")
 
 
 def roll_up(rows: DataFrame, keys: list[str], start: str, end: str, place: str) -> DataFrame:

@@ -278,7 +278,7 @@ FROM c JOIN o ON o.user_id = c.user_id AND o.event_type = c.event_type AND o.y =
 def event_cluster(spark, sf_dir):
     """Clusters anchored at their first event."""
     e = table(spark, sf_dir, "events").select("user_id", "event_type", F.year("ts").alias("y"), "ts", "event_id")
-    return events.anchored_clusters(e, ["user_id", "event_type", "y"], "ts", ["ts", "event_id"]).select("event_id", "cluster")
+    return events.anchored_by_day(e, ["user_id", "event_type", "y"], "ts").select("event_id", "cluster")
 
 
 @register("SELECT user_id, event_type, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n FROM events GROUP BY 1, 2")

@@ -112,6 +112,8 @@ def test_clusters(spark, offsets):
     df = spark.createDataFrame([(1, i, d) for i, d in enumerate(days)], "k int, i int, d date")
     got = sorted((r.i, r.cluster) for r in events.anchored_clusters(df, ["k"], "d", ["i"]).collect())
     assert [c for _, c in got] == fold(days)
+    twice = df.unionByName(df)
+    assert sorted((r.i, r.cluster) for r in events.anchored_by_day(twice, ["k"], "d").collect()) == sorted(2 * got)
 
 
 def test_anchor_is_the_first_date(spark):
