@@ -205,3 +205,16 @@ def test_components(spark):
     got = {x.node: x.root for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(-5, 25), st.integers(-5, 25)), max_size=40))
+def test_contract(edges):
+    edges = [(a, b) for a, b in edges if a != b]
+    a, b = (np.array([e[i] for e in edges], np.int64) for i in (0, 1))
+    child, root = components.contract(a, b)
+    union = jaccard_join.Links(40)
+    for x, y in edges:
+        union.join(x + 5, y + 5)
+    nodes = {x for e in edges for x in e}
+    assert dict(zip(child.tolist(), root.tolist(), strict=True)) == {x: union.find(x + 5) - 5 for x in nodes if union.find(x + 5) - 5 != x}
