@@ -24,7 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import map_texts
 
-NONE = np.int64(1) << 40
+#: A node of a tree is rank << SHIFT | position.
+SHIFT = 32
+_POSITION = (1 << SHIFT) - 1
+#: The rank of no pair.
+NONE = np.int64(1) << 24
 #: A rank file of more bytes isn't shipped with the tasks.
 MAX_RANK_BYTES = 64 << 20
 #: Pieces kept in a worker's table.
@@ -76,12 +80,12 @@ class Codec:
         after = np.minimum(np.tile(col + 1, (n, 1)), width)  # the next live position; width is none
         before = np.tile(col - 1, (n, 1))
         after[col + 1 >= sizes[:, None]] = width
-        # a node holds rank << 20 | position, so the minimum is the leftmost of the least ranks
-        tree = np.full((n, 2 * width), NONE << 20, np.int64)
+        # the minimum of nodes is the leftmost of the least ranks
+        tree = np.full((n, 2 * width), NONE << SHIFT, np.int64)
         have = inside[:, 1:]
         first = np.full((n, width), NONE, np.int64)
         first[:, :-1][have] = self.rank_of(ids[:, :-1][have], ids[:, 1:][have])
-        tree[:, width:] = first << 20 | col
+        tree[:, width:] = first << SHIFT | col
         level = width // 2
         while level:
             tree[:, level : 2 * level] = np.minimum(tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2])
@@ -89,7 +93,7 @@ class Codec:
 
         def put(rows: np.ndarray, at: np.ndarray, rank: np.ndarray) -> None:
             node = at + width
-            tree[rows, node] = rank << 20 | at
+            tree[rows, node] = rank << SHIFT | at
             while node.size and node[0] > 1:
                 node = node >> 1
                 tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
@@ -97,11 +101,11 @@ class Codec:
         live = np.arange(n)
         while True:
             root = tree[live, 1]
-            go = root >> 20 < NONE
+            go = root >> SHIFT < NONE
             live, root = live[go], root[go]
             if not live.size:
                 break
-            at, rank = root & 0xFFFFF, root >> 20
+            at, rank = root & _POSITION, root >> SHIFT
             gone = after[live, at]
             ids[live, at] = rank
             ids[live, gone] = -1
