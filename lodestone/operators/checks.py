@@ -80,3 +80,22 @@ def broken_links(links: DataFrame, files: DataFrame) -> DataFrame:
     path = F.when(F.endswith(target, F.lit("/")) | (path == ""), F.concat(path, F.when(path == "", "index.html").otherwise("/index.html"))).otherwise(path)
     local = links.where(~F.col("href").rlike("^(?:[a-z]+:|//|#)")).select("page", "href", path.alias("path"))
     return local.join(files, "path", "left_anti")
+
+
+def gate(notes: DataFrame, strict: bool, what: str = "findings") -> int:
+    """The number of notes; an error if there are any and the run is strict."""
+    n = notes.count()
+    if n and strict:
+        examples = "; ".join(str(tuple(r)) for r in notes.limit(3).collect())
+        raise ValueError(f"{n} {what}: {examples}")
+    return n
+
+
+def unknown_terms(texts: DataFrame, column: str, terms: DataFrame, prefixes: dict[str, str]) -> DataFrame:
+    """CURIEs of a text column whose IRI isn't among `terms` (term)."""
+    from ..functions.text import curies
+
+    spaces = F.create_map(*[F.lit(x) for kv in prefixes.items() for x in kv])
+    found = texts.select(F.explode(curies(F.col(column), list(prefixes))).alias("curie")).distinct()
+    named = found.withColumn("term", F.concat(spaces[F.substring_index("curie", ":", 1)], F.regexp_replace("curie", "^[^:]*:", "")))
+    return named.join(terms, "term", "left_anti").select("curie")

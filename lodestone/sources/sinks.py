@@ -120,3 +120,16 @@ def report(title: str, tables: dict[str, DataFrame], most: int = 500) -> str:
         out += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|").replace("\n", " ") for v in r) + " |" for r in rows]
         out += ["" if n <= most else f"\n{n - most} more.\n"]
     return "\n".join(out)
+
+
+def sync_tree(source: Path, target: Path, pattern: str = "*") -> list[Path]:
+    """Copy a folder's files where they differ and remove what the source doesn't have; returns what the target then holds."""
+    source, target = Path(source), Path(target)
+    made = []
+    for p in sorted(source.rglob(pattern)):
+        if p.is_file():
+            out = target / p.relative_to(source)
+            write_if_changed(out, p.read_bytes())
+            made.append(out)
+    prune(target, set(made), pattern)
+    return made
