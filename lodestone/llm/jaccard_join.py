@@ -16,8 +16,8 @@ A document is the set of its distinct word shingles. Two link when 100 * |A & B|
    verified once it shares as many prefix shingles as the smaller of the two lengths asks for.
    Documents known to be connected aren't compared again: components need no more.
 5. Of a group that exceeds a task, members are compared with pivots (its most ordinary
-   members) and inside slices. What then isn't connected yet is joined on prefix shingles
-   between different components, with the same rule, pair by pair.
+   members) and inside slices. All that isn't connected to the group's largest part then is
+   compared with every slice, by the same rule.
 
 Cases: a null or empty text has no shingles and is linked with nothing, its component is its
 own id. A text of fewer than `k` words is one shingle. Repeated ids are kept as rows; texts of one id and
@@ -259,10 +259,11 @@ def match_length(n: int, often: np.ndarray, percent: int) -> int:
 
 
 class Links:
-    """Union-find that keeps the links which joined something."""
+    """Union-find that keeps the links which joined something; members of one part begin as one."""
 
-    def __init__(self, n: int):
-        self.root, self.found = list(range(n)), []
+    def __init__(self, n: int, parts: list | None = None):
+        first: dict = {}
+        self.root, self.found = [first.setdefault(p, i) for i, p in enumerate(parts if parts is not None else range(n))], []
 
     def find(self, x: int) -> int:
         root = self.root
@@ -318,14 +319,14 @@ def join_members(sizes: list[int], tokens: list[np.ndarray], often: list[np.ndar
 
 
 def _join_slices(percent: int):
-    """(slice, node, n, tokens, pivot), sorted by slice -> links (a, b)."""
+    """(slice, node, n, tokens, pivot, part), sorted by slice -> links (a, b); rows of one part are connected already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
 
         def flush() -> pa.RecordBatch:
             rows = sorted(held, key=lambda r: (-r[3], r[0]))
-            links = Links(len(rows))
+            links = Links(len(rows), [r[4] for r in rows])
             tokens, often = zip(*(unpack_tokens(r[2]) for r in rows), strict=True)
             join_members([r[1] for r in rows], tokens, often, percent, links, sum(r[3] > 0 for r in rows))
             return pa.RecordBatch.from_arrays([pa.array([rows[x][0] for x, _ in links.found], pa.int64()), pa.array([rows[y][0] for _, y in links.found], pa.int64())], names=["a", "b"])
@@ -343,38 +344,6 @@ def _join_slices(percent: int):
     return run
 
 
-def _adapted(percent: int):
-    """(id, n, tokens) -> (token, id, asks): the entries of each document's adapted prefix."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token, ids, asks = [], [], []
-            for i, n, raw in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                t, o = unpack_tokens(raw)
-                l = match_length(n, o, percent)
-                k = max(0, len(t) - need(n, percent) + l)
-                token.append(t[:k].view(np.int64))
-                ids.append(np.full(len(t[:k]), i))
-                asks.append(np.full(len(t[:k]), l, np.int32))
-            if token:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (token, ids, asks)], names=["token", "id", "asks"])
-
-    return run
-
-
-def _verify(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for a, b, n, m, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                both = len(np.intersect1d(unpack_tokens(x)[0], unpack_tokens(y)[0], assume_unique=True))
-                if 100 * both >= percent * (n + m - both):
-                    out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    return run
-
-
 def _stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
@@ -405,25 +374,32 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         roles = rest.unionByName(best.select("node", "root", "pivot", every.alias("k")).select("node", F.xxhash64("root", "k").alias("slice"), "pivot"))
     else:
         roles = placed.select("node", own, F.lit(0).alias("pivot"))
-    rows = members.join(roles, "node").select("slice", "node", "n", "tokens", "pivot")
-    found = _stored(rows.repartition("slice").sortWithinPartitions("slice").mapInArrow(_join_slices(percent), "a long, b long"), "links")
+    found = _joined(members.join(roles.withColumn("part", F.col("node")), "node"), percent)
     if not cut:
         return found
-    # of groups cut in slices, what isn't connected yet
+    # of groups cut in slices, what isn't connected yet: all but the largest part of a group are
+    # probes, compared with every slice; many probes are cut in chunks, so that a task has a slice and a chunk
     done = components(found).withColumnRenamed("root", "part")
-    parts = _stored(large.join(done, "node", "left").select("node", "root", F.coalesce("part", "node").alias("part")), "parts")
-    open_ = parts.groupBy("root").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("root")
-    left = parts.join(open_, "root", "left_semi").select("node", "part")
-    if left.isEmpty():
+    parts = _stored(large.join(done, "node", "left").select("node", "root", "size", F.coalesce("part", "node").alias("part")), "parts")
+    counted = parts.groupBy("root", "part").agg(F.count("*").alias("k"))
+    main = counted.groupBy("root").agg(F.max_by("part", F.struct("k", "part")).alias("main"), (F.sum("k") - F.max("k")).alias("probes")).where("probes > 0")
+    if main.isEmpty():
         return found
-    entry = members.join(left, "node").select("node", "n", "tokens").mapInArrow(_adapted(percent), "token long, id long, asks int").join(left.withColumnRenamed("node", "id"), "id")
-    mixed = entry.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
-    entry = _stored(entry.join(mixed, "token", "left_semi"), "entries")
-    one, two = (entry.select("token", F.col("id").alias(i), F.col("asks").alias(f"asks_{i}"), F.col("part").alias(f"part_{i}")) for i in "ab")
-    pairs = one.join(two, "token").where("part_a < part_b").groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("asks_a", "asks_b")).alias("asked")).where("shared >= asked").select("a", "b")
-    body = lambda i: members.select(F.col("node").alias(i), F.col("n").alias(f"n_{i}"), F.col("tokens").alias(f"t_{i}"))
-    full = pairs.join(body("a"), "a").join(body("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    return found.unionByName(full.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(_verify(percent), "a long, b long"))
+    left = parts.join(main, "root")
+    chunks = F.ceil(F.col("probes") / SLICE).cast("long")
+    task = lambda k, c: F.xxhash64("root", k, c, F.lit("probe")).alias("slice")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    slice_of, chunk_of = F.pmod(F.xxhash64("node"), slices), F.pmod(F.xxhash64("node", F.lit(5)), chunks)
+    standing = left.select("root", "node", "part", slice_of.alias("k"), upto(chunks).alias("c"))
+    moving = left.where("part <> main").select("root", "node", "part", slice_of.alias("own"), upto(slices).alias("k"), chunk_of.alias("c")).where("k <> own").drop("own")
+    roles = standing.unionByName(moving).select("node", task("k", "c"), F.lit(0).alias("pivot"), "part")
+    return found.unionByName(_joined(members.join(roles, "node"), percent))
+
+
+def _joined(rows: DataFrame, percent: int) -> DataFrame:
+    """rows (slice, node, n, tokens, pivot, part) -> the links found in each slice."""
+    picked = rows.select("slice", "node", "n", "tokens", "pivot", "part")
+    return _stored(picked.repartition("slice").sortWithinPartitions("slice").mapInArrow(_join_slices(percent), "a long, b long"), "links")
 
 
 def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
