@@ -32,6 +32,7 @@ def page() -> Column:
 
 
 def key() -> Column:
+    """The citation key (a fixed format)."""
     return F.format_string("sp_vol%d_iss%d_e%d", _c("volume").cast("int"), _c("issue").cast("int"), _c("n").cast("int"))
 
 

@@ -33,13 +33,13 @@ def test_facets(index):
 
 # --- resolution
 def test_canonical(spark):
-    s = spark.createDataFrame([("o", "Mees", "Allard", 8), ("o", "Mees", "Allard W.", 2), ("o", "Mees", "Allard Willem", 1), ("o", "Kasten", "K.", 1)], "orcid string, family string, given string, weight int")
-    assert rows(resolve.canonical_names(s), "orcid", "family", "given") == [("o", "Mees", "Allard W.")]
+    s = spark.createDataFrame([("o", "Voss", "Albert", 8), ("o", "Voss", "Albert W.", 2), ("o", "Voss", "Albert Willem", 1), ("o", "Kasten", "K.", 1)], "orcid string, family string, given string, weight int")
+    assert rows(resolve.canonical_names(s), "orcid", "family", "given") == [("o", "Voss", "Albert W.")]
 
 
 def test_persons(spark):
-    known = spark.createDataFrame([("o1", "Mees", "Allard W."), ("o2", "Smith", "Jo"), ("o3", "Smith", "Jan")], "orcid string, family string, given string")
-    people = spark.createDataFrame([(1, "MEES", "A."), (2, "Smith", "J."), (3, "Smith", "Jo"), (4, "Meesz", "A."), (5, "Old", "A.")], "id int, family string, given string")
+    known = spark.createDataFrame([("o1", "Voss", "Albert W."), ("o2", "Smith", "Jo"), ("o3", "Smith", "Jan")], "orcid string, family string, given string")
+    people = spark.createDataFrame([(1, "VOSS", "A."), (2, "Smith", "J."), (3, "Smith", "Jo"), (4, "Vossz", "A."), (5, "Old", "A.")], "id int, family string, given string")
     spelled = known.select("orcid", "family").union(spark.createDataFrame([("o1", "Old")], "orcid string, family string"))
     sure, unsure = resolve.match_persons(people, known, spelled)
     assert rows(sure, "id", "orcid") == [(1, "o1"), (5, "o1")] and rows(unsure, "id") == [2, 3]
@@ -151,26 +151,26 @@ def test_checks(spark):
 @pytest.fixture(scope="module")
 def entry(spark):
     ddl = "id string, iri string, volume int, issue int, n int, sigil string, title string, creators array<struct<family:string,given:string>>, editors array<struct<family:string,given:string>>, doi string, doi_url string, language string, date string, year int, keywords array<string>, genre string, type string, event struct<name:string,location:string,online:boolean>, container struct<bibtex_type:string,title:string,editors:array<struct<name:string>>,publisher:string,place:string>"
-    plain = ("v7-i4-e5", "http://x/v7/i4/e5", 7, 4, 5, "λ", "A & B", [("Mees", "Allard"), ("Team", "")], None, "10.1/a", "https://doi.org/10.1/a", "de", "2024-05-08", 2024, ["k1", "k2"], "Poster", "poster", ("CAA", "Mainz", False), None)
+    plain = ("v7-i4-e5", "http://x/v7/i4/e5", 7, 4, 5, "λ", "A & B", [("Voss", "Albert"), ("Team", "")], None, "10.1/a", "https://doi.org/10.1/a", "de", "2024-05-08", 2024, ["k1", "k2"], "Poster", "poster", ("CAA", "Mainz", False), None)
     paper = ("v7-i5-e1", "http://x/v7/i5/e1", 7, 5, 1, "𝒬", "C", [("Lee", "A.")], None, None, None, None, None, 2023, None, "Paper", "conference-proceeding", ("CAA", "Online", True), ("inproceedings", "Proc", [("Kim, B.",)], None, "Bonn"))
     return spark.createDataFrame([plain, paper], ddl)
 
 
 def test_bibtex(entry):
     a, b = (r.bibtex for r in cite.bibtex(entry, "J", "1").orderBy("id").collect())
-    assert a.startswith("@article{sp_vol7_iss4_e5,\n  title = {A \\& B},\n  author = {Mees, Allard and {Team}},\n  journal = {J},\n") and "  month = may,\n" in a and "  language = {german},\n" in a and "  note = {Poster, CAA, Mainz}\n}\n" in a
+    assert a.startswith("@article{sp_vol7_iss4_e5,\n  title = {A \\& B},\n  author = {Voss, Albert and {Team}},\n  journal = {J},\n") and "  month = may,\n" in a and "  language = {german},\n" in a and "  note = {Poster, CAA, Mainz}\n}\n" in a
     assert b.startswith("@inproceedings{") and "pages = {7(5), 𝒬1}" in b and "publisher = {J}" in b and "url = {http://x/v7/i5/e1}" in b and "note = {Paper, CAA}" in b and "month" not in b
 
 
 def test_ris(entry):
     a, b = (r.ris for r in cite.ris(entry, "J", "1").orderBy("id").collect())
-    assert a.startswith("TY  - JOUR\nID  - sp_vol7_iss4_e5\nTI  - A & B\nAU  - Mees, Allard\nAU  - Team\nPY  - 2024\nDA  - 2024/05/08\nJO  - J\n") and a.endswith("KW  - k1\nKW  - k2\nN1  - Poster\nER  -\n")
+    assert a.startswith("TY  - JOUR\nID  - sp_vol7_iss4_e5\nTI  - A & B\nAU  - Voss, Albert\nAU  - Team\nPY  - 2024\nDA  - 2024/05/08\nJO  - J\n") and a.endswith("KW  - k1\nKW  - k2\nN1  - Poster\nER  -\n")
     assert b.startswith("TY  - CPAPER\n") and "A2  - Kim, B.\nPB  - J\nCY  - Bonn\nT3  - J\n" in b
 
 
 def test_csl(entry):
     a, b = (json.loads(r.csl) for r in cite.csl(entry, "J", "1").orderBy("id").collect())
-    assert a["issued"] == {"date-parts": [[2024, 5, 8]]} and a["author"] == [{"family": "Mees", "given": "Allard"}, {"literal": "Team"}] and a["event-place"] == "Mainz" and "URL" not in a
+    assert a["issued"] == {"date-parts": [[2024, 5, 8]]} and a["author"] == [{"family": "Voss", "given": "Albert"}, {"literal": "Team"}] and a["event-place"] == "Mainz" and "URL" not in a
     assert b["type"] == "paper-conference" and "volume" not in b and b["editor"] == [{"family": "Kim", "given": "B."}] and b["publisher-place"] == "Bonn" and "event-place" not in b
 
 
@@ -180,7 +180,7 @@ MD = """# Volume
 *Special things*
 
 **λ1 [`Talk`] [`Poster`] A **title****
-* **`Authors`**: F. Thiery; A.W. Mees
+* **`Authors`**: F. Brandt; A.W. Voss
 * **DOI**: [10.1/x](y)
 * DOI: 10.1/second
 * loose
@@ -198,7 +198,7 @@ def test_markdown(spark, tmp_path):
     (tmp_path / "v.md").write_text(MD)
     placed = readers.volume_lines(readers.lines(spark, str(tmp_path / "v.md")))
     e = {r.n: r for r in readers.entries_of(placed).collect()}
-    assert e[1].labels == ["Talk", "Poster"] and e[1].title == "A title" and e[1].issue == 4 and e[1].fields == {"authors": "F. Thiery; A.W. Mees", "doi": "[10.1/x](y)"} and e[1].plain == ["loose"] and e[1].quotes == ["quoted"]
+    assert e[1].labels == ["Talk", "Poster"] and e[1].title == "A title" and e[1].issue == 4 and e[1].fields == {"authors": "F. Brandt; A.W. Voss", "doi": "[10.1/x](y)"} and e[1].plain == ["loose"] and e[1].quotes == ["quoted"]
     assert e[2].labels == ["Data Set"] and e[2].language == "de" and e[2].title == "Zwei" and e[3].issue == 1 and len(e) == 3
     assert rows(placed.where("issue_title IS NOT NULL"), "issue_title") == ["Special Issue on Data"]
 
