@@ -12,7 +12,6 @@ import pytest
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lodestone.llm import bpe, decontaminate, media, quality, queries, secrets, sharding, toxicity
 from lodestone.llm.common import fold
@@ -93,7 +92,7 @@ def test_viterbi():
     c = toxicity._CLASS[np.frombuffer(("\n" + text).encode("utf-32-le"), "<u4")]
     counts = np.bincount(c[:-2] << 12 | c[1:-1] << 6 | c[2:], minlength=1 << 18)
     r = toxicity.Restorer(toxicity.log_probabilities(counts))
-    for token, word in (("1d1ot", "idiot"), ("tr@sh", "trash"), ("idiiiiot", "idiot"), ("i d i o t", "idiot"), ("l-o-s-e-r", "loser"), ("l0$er", "loser")):
+    for token, word in (("1d1ot", "idiot"), ("tr@sh", "trash"), ("idiiiiot", "idiot"), ("i d i o t", "idiot"), ("l-o-s-e-r", "loser"), ("l0$er", "loser"), ("id10+", "idiot"), ("$.a.i.d", "said"), ("s*t*r*e*e*t", "street")):
         assert word in r.words(f"an {token} here"), token
     assert r.words("plain words stay") == {"plain", "words", "stay"}
 
