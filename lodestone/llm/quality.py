@@ -29,8 +29,8 @@ from .common import fold, map_texts
 #: Quantiles of the unlabelled sample at which a statistic is cut; a value at a cut is an interval of its own, so that zero is told from little.
 QUANTILES = (0.002, 0.01, 0.03, 0.08, 0.2, 0.4, 0.6, 0.8, 0.92, 0.97, 0.99, 0.998)
 BINS = 2 * len(QUANTILES) + 1
-#: Weight of the squared norm, for each statistic: the margin adds up over them.
-DECAY = 1e-4
+#: Weight of the squared norm for each statistic and text: the margin adds up over statistics, the evidence over texts.
+DECAY = 1.0
 #: Texts of each kind (trusted, unlabelled) that the fit sees at most, about.
 SAMPLE = 10_000
 _LATIN = np.zeros(256, bool)
@@ -125,10 +125,9 @@ def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None, steps: int = 2
         zp, zu = xp.margins(w), xu.margins(w)
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         below = xu.mean(sigma(zu)) - prior * xp.mean(sigma(zp))  # gradient of the negative part
-        # below zero the model has begun to learn the sample by heart: only the norm acts until it is back
-        return -prior * xp.mean(sigma(-zp)) + below if negative >= 0 else np.zeros(xp.size)
+        return -prior * xp.mean(sigma(-zp)) + below if negative >= 0 else -below
 
-    w = _descend(gradient, xp.size, steps, decay=DECAY * len(cuts))
+    w = _descend(gradient, xp.size, steps, decay=DECAY * len(cuts) / min(len(p), len(u)))
     return Model(cuts, w[:-1].reshape(len(cuts), BINS), float(w[-1]), prior)
 
 
