@@ -433,7 +433,8 @@ def repeated(df: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("orig"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("h"), text.alias("text"))
+    # both joins below take the same columns of the texts, so that Spark reuses their exchange
+    docs = df.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("h"), text.alias("text"))
     told = docs.select("id", "h", "text").mapInArrow(_announce(spec, buckets), _ROWS_DDL)
     settled = _sorted(told).mapInArrow(_settle(spec, buckets), _ROWS_DDL)
     path = scratch(spark, "windows")
@@ -443,7 +444,7 @@ def repeated(df: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame
     sent = asked.mapInArrow(_contents(spec, buckets), _ROWS_DDL)
     compared = _sorted(sent).mapInArrow(_compare(spec, buckets), _ROWS_DDL)
     part = _sorted(compared).mapInArrow(_collect, _TEXT_DDL)
-    return docs.join(whole.select("id", "h", F.col("answer").alias("whole")), ["id", "h"], "left").join(part.select("id", "h", F.col("answer").alias("part")), ["id", "h"], "left").select("orig", "id", "h", "text", "whole", "part")
+    return docs.join(whole.select("id", "h", F.col("answer").alias("whole")), ["id", "h"], "left").join(part.select("id", "h", F.col("answer").alias("part")), ["id", "h"], "left").select(F.when(F.col("id") != LAST, F.col("id")).alias("orig"), "id", "h", "text", "whole", "part")
 
 
 def covered(n: int, window: int, *answers: bytes | None) -> np.ndarray:
