@@ -9,10 +9,12 @@ threshold are skipped. In the others WAND retrieves all items at or above it: cu
 kept in item order, the pivot is the first whose summed maxima reach the threshold, cursors
 before it move to it, and an item is scored only when all stand there. An item found so is verified:
 the word trigrams of its question and of its answer must both occur in the passage, at least `overlap` of each.
+Of a part of one or two words it is that word or pair.
 
 Items are indexed `SHARD_ITEMS` at a time, each index broadcast at a checked size and searched
 in a pass of its own, so a large benchmark needs more passes, not more memory. Weights are
-those of the shard. Items of one text, without separate answer, count their first half as the question and the rest as the answer.
+those of the shard. Items of one text, without separate answer, count their first half as the question and the rest as the answer;
+up to three words are a question alone, whose words must stand together.
 
 Cases: a null or empty text has no passage; an item without words matches nothing; items with
 equal texts are all found; a text in several of whose passages an item is found gives the
@@ -154,6 +156,8 @@ class Index:
 
 
 def _halves(tokens: list[str]) -> tuple[list[str], list[str]]:
+    if len(tokens) <= 3:
+        return tokens, []
     return tokens[: (len(tokens) + 1) // 2], tokens[(len(tokens) + 1) // 2 :]
 
 
@@ -173,8 +177,15 @@ def shards(items: DataFrame, id_col: str, question_col: str, answer_col: str | N
             yield Index(held)
 
 
-def overlaps(index: Index, k: int, found: set) -> tuple[float, float]:
-    return tuple(len(p & found) / len(p) if p else 1.0 for p in index.parts[k])
+def overlaps(index: Index, k: int, passage: list[str], found: dict[int, set]) -> tuple[float, float]:
+    """Shares of the grams of question and answer in a passage, whose own grams are kept in `found` by their length."""
+    out = []
+    for part in index.parts[k]:
+        n = len(next(iter(part), ()))
+        if n and n not in found:
+            found[n] = grams(passage, n)
+        out.append(len(part & found[n]) / len(part) if n else 1.0)
+    return tuple(out)
 
 
 def _search(shared, threshold: float, overlap: float):
@@ -205,10 +216,9 @@ def _search(shared, threshold: float, overlap: float):
                     while segments[t] == 0:
                         t -= 1
                     at = (p - int(first[t])) * stride
-                    found = None
+                    passage, found = tokens[t][at : at + 2 * stride], {}
                     for k, score in index.search(terms.tolist(), threshold):
-                        found = found if found is not None else grams(tokens[t][at : at + 2 * stride])
-                        q, a = overlaps(index, k, found)
+                        q, a = overlaps(index, k, passage, found)
                         if q >= overlap and a >= overlap:
                             out.append((ids[start + t].as_py(), index.items[k][0], min(1.0, score), q, a, at))
             if out:

@@ -192,6 +192,19 @@ def test_question_and_answer_columns(spark):
     assert [r.doc_id for r in found.collect()] == [1]
 
 
+def test_items_and_answers_of_few_words(spark):
+    texts = ["alpha", "bravo carol", "delta echo fox", "golf hotel india jazz", "kilo lima mike nora oscar"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [*enumerate(texts), *((10 + i, f"some words before {t.title()}, and after") for i, t in enumerate(texts)), (20, "carol bravo"), (21, "echo of delta and fox"), (22, "india"), (23, "kilo lima mike")]
+    found = decontaminate.contaminated(docs(spark, rows), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i + k, i) for i in range(5) for k in (0, 10)}
+    assert all(r.score > 0.999 and r.question_overlap == r.answer_overlap == 1 for r in found)
+    items = spark.createDataFrame([(1, "what is the capital of the far land", "Belltown"), (2, "who wrote the book of tides", "Ann Marsh"), (3, "who", "me")], "item_id long, q string, a string")
+    rows = [(1, "what is the capital of the far land ? belltown !"), (2, "Who wrote the book of tides? Ann Marsh."), (3, "who wrote the book of tides ? marsh , not ann"), (4, "what is the capital of the far land ?"), (5, "who? me")]
+    found = decontaminate.contaminated(docs(spark, rows), items, question_col="q", answer_col="a").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 2), (5, 3)}
+
+
 # --- sharding
 def plain_shards(rows, limit):
     """(id, n) -> {id: depth, prefix} by splitting a directory."""
