@@ -97,6 +97,28 @@ def test_viterbi():
     assert r.words("plain words stay") == {"plain", "words", "stay"}
 
 
+def test_runs_are_decoded_whole_and_parted():
+    text = "you are an idiot and such a stupid trash said the loser in the street of the town " * 30
+    c = toxicity._CLASS[np.frombuffer(("\n" + text).encode("utf-32-le"), "<u4")]
+    cost = toxicity.log_probabilities(np.bincount(c[:-2] << 12 | c[1:-1] << 6 | c[2:], minlength=1 << 18))
+    for r in (toxicity.Restorer(cost), toxicity.Restorer(cost, {w: 3.0 for w in text.split()})):
+        assert "stupid" in r.words("such a s t u p i d dog") and {"you", "idiot"} <= r.words("y o u i d i o t") and {"you", "idiot"} <= r.words("y.o.u.1.d.i.0.t")
+        assert r.decode("such-trash") == "such trash" and r.decode("$tupid-l0ser") == "stupid loser"
+        long = "inthestreetofthetown" * 10 + "youidiot"
+        assert {"street", "town", "idiot"} <= r.words(" ".join(long)) and "idiot" in r.words(".".join(long))
+        assert "idiot" in r.words("in-the-street-of-the-town-" * 4 + "1d10t") and "st" + "u" * 3 not in r.words("stu" + "u" * 90 + "pid")
+
+
+def test_spaced_out_toxic_words_are_scored(spark):
+    rows = [(i, f"the good text of a kind of day n{i}") for i in range(40)] + [(i, f"you are such a stupid idiot n{i}") for i in range(40, 80)]
+    plain = ["of such a stupid day", "the you idiot day", "the " + "good text of a day " * 10 + "stupid idiot", "the good text of a kind"]
+    spread = ["of such a s t u p i d day", "the y o u i d i o t day", "the " + " ".join("goodtextofaday" * 10 + "stupididiot"), " ".join("thegoodtextofakind")]
+    rows += [*enumerate(plain, 100), *enumerate(spread, 200)]
+    labels = spark.createDataFrame([(i, int(i >= 40)) for i in range(80)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.classify(docs(spark, rows), labels).collect()}
+    assert all(abs(got[100 + i] - got[200 + i]) < 1e-9 for i in range(4)) and min(got[200 + i] for i in range(3)) > 2 * got[203]
+
+
 def test_trigram_counts_are_of_all_texts(spark):
     rows = [(i, t) for i, t in enumerate(["abc abd", None, "", "éa𝒬"])]
     got = toxicity.trigram_counts(docs(spark, rows).repartition(1))
