@@ -6,8 +6,11 @@ Source code and configuration are lexed into name-literal pairs (`name = "litera
 names are that it reaches and by how random it looks. Three base patterns are searched
 beside it; their spans are always kept.
 
+A value keeps its own pieces and the values that it refers to, and what scoring needs of them
+added up, so neither long chains nor doublings (`a = a + a`) outgrow the text.
+
 Cases: a null or empty text has no spans. Offsets are code points, ends exclusive. Very
-long texts are scanned whole; a name is looked up among the assignments of its own text
+long texts, names and chains are scanned whole; a name is looked up among the assignments of its own text
 only, in text order, and the last assignment before a use counts.
 """
 
@@ -30,7 +33,7 @@ _BASE_ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _BASE_HEX = re.compile(r"[0-9a-f]{16,}")
 
 #: name, operator, then what is assigned: literals and names joined by "+".
-_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,127}"
+_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
 _ATOM = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s\"'`,;(){}\[\]+]+"
 _PAIR = re.compile(rf"(?<![A-Za-z0-9_.\-])[\"']?({_NAME})[\"']?[\x20\t]*(=>|:=|[:=])(?!=)[\x20\t]*((?:{_ATOM})(?:[\x20\t]*\+[\x20\t]*(?:{_ATOM}))*)")
 _PART = re.compile(_ATOM)
@@ -48,41 +51,99 @@ def name_weight(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(w, 0.0) for w in set(words)) + (1.0 if "".join(words) in SENSITIVE else 0.0))
 
 
-def randomness(literal: str) -> float:
+class Sums:
+    """What `randomness` needs of a literal, however long: its length and characters (both times 2^-shift), first characters and last."""
+
+    __slots__ = ("shift", "n", "counts", "head", "tail")
+    HEAD, WIDE = 16, 1024
+
+    def __init__(self, literal: str = ""):
+        self.shift, self.n, self.counts, self.head, self.tail = 0, len(literal), Counter(literal), literal[: self.HEAD], literal[-1:]
+
+    def add(self, other: Sums) -> None:
+        """This literal becomes its concatenation with the other."""
+        up, down = max(0, other.shift - self.shift), max(0, self.shift - other.shift)
+        # doublings make numbers of many bits; what is far below the largest says nothing
+        over = self.WIDE if max(self.n >> up, other.n >> down).bit_length() > 2 * self.WIDE else 0
+        if up or over:
+            self.counts = Counter({c: k >> up + over for c, k in self.counts.items()})
+        for c, k in other.counts.items():
+            self.counts[c] += k >> down + over
+        self.n = (self.n >> up + over) + (other.n >> down + over)
+        self.shift += up + over
+        self.head = (self.head + other.head)[: self.HEAD]
+        self.tail = other.tail or self.tail
+
+    def sample(self) -> str:
+        """A literal of the same characters, beginning and end; the same one if it is short."""
+        return self.head if self.n == len(self.head) and not self.shift else self.head + "".join(self.counts) + self.tail
+
+
+def randomness(literal: str | Sums) -> float:
     """0 to 1: entropy of the characters, with length and mixed classes, less for placeholders."""
-    n = len(literal)
-    if n < 8 or _PLACEHOLDER.match(literal):
+    s = literal if isinstance(literal, Sums) else Sums(literal)
+    n, sample = s.n, s.sample()
+    if n < 8 or _PLACEHOLDER.match(sample):
         return 0.0
-    bits = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    classes = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    prose = 0.5 if " " in literal else 1.0
-    return prose * min(1.0, bits / 4) * min(1.0, n / 16) * (0.55 + 0.15 * classes)
+    bits = -sum(p * math.log2(p) for c in s.counts.values() if (p := c / n))
+    classes = sum(bool(re.search(p, sample)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    prose = 0.5 if " " in s.counts else 1.0
+    return prose * min(1.0, bits / 4) * min(1.0, n / 16 if n < 16 else 1.0) * (0.55 + 0.15 * classes)
+
+
+class Value:
+    """What a name holds: its pieces (start, end), the pieces of values before it, and its literal."""
+
+    __slots__ = ("pieces", "literal")
+
+    def __init__(self):
+        # of a value before this one, its list of pieces; a list is emptied once its spans are out
+        self.pieces: list = []
+        self.literal: list[str | Sums] = []
+
+    def sums(self) -> Sums:
+        if len(self.literal) != 1 or isinstance(self.literal[0], str):
+            total = Sums()
+            for x in self.literal:
+                total.add(Sums(x) if isinstance(x, str) else x)
+            self.literal = [total]
+        return self.literal[0]
 
 
 def lexed_spans(text: str, threshold: float = 0.45) -> list[tuple[str, int, int]]:
     """Spans of literals that reach a sensitive name, directly or through other names."""
     if not _PRE.search(text):
         return []
-    known: dict[str, list[tuple[int, int, str, bool]]] = {}
+    known: dict[str, Value] = {}
     out: dict[tuple[int, int], str] = {}
     for m in _PAIR.finditer(text):
-        name, parts, base = m[1], [], m.start(3)
+        name, value, base, refers = m[1], Value(), m.start(3), False
         for p in _PART.finditer(m[3]):
             raw, at = p[0], base + p.start()
             if raw[0] in "\"'`" and len(raw) > 1:
-                parts.append((at + 1, at + len(raw) - 1, raw[1:-1], False))
+                value.pieces.append((at + 1, at + len(raw) - 1))
+                value.literal.append(raw[1:-1])
             elif raw in known:
-                parts += [(a, b, lit, True) for a, b, lit, _ in known[raw]]
+                refers = True
+                value.pieces.append(known[raw].pieces)
+                value.literal.append(known[raw].sums())
             else:
-                parts.append((at, at + len(raw), raw, False))
-        # a chain of constants keeps its literals; its length stays bounded
-        known[name] = parts[:64]
-        if (weight := name_weight(name)) > 0 and weight * randomness("".join(p[2] for p in parts)) >= threshold:
-            for a, b, lit, moved in parts:
-                if lit:
-                    kind = "propagated" if moved else "lexed"
-                    if out.get((a, b)) != "lexed":
-                        out[a, b] = kind
+                value.pieces.append((at, at + len(raw)))
+                value.literal.append(raw)
+        known[name] = value
+        if refers:
+            value.sums()
+        if (weight := name_weight(name)) > 0 and weight * randomness(value.sums()) >= threshold:
+            pending, kind = [value.pieces], "lexed"
+            while pending:
+                pieces = pending.pop()
+                for x in pieces:
+                    if isinstance(x, list):
+                        pending.append(x)
+                    elif x[0] < x[1]:
+                        out.setdefault(x, kind)
+                pieces.clear()
+                kind = "propagated"
     return [(k, a, b) for (a, b), k in out.items()]
 
 

@@ -37,6 +37,37 @@ def test_lexing():
     assert spans('password = "changeme"') == spans('colour = "Zk29slLw02Kd81ma"') == spans("The token of the church") == set()
 
 
+def test_long_chains_and_names():
+    pieces = [f"{i:03}Kq" for i in range(200)]
+    chain = "x = ''\n" + "".join(f"x = x + '{p}'\n" for p in pieces)
+    assert spans(chain + "password = x") == {("propagated", p) for p in pieces}
+    assert spans("x = " + " + ".join(f"'{p}'" for p in pieces) + "\ny = x\npassword = y + 'tail'") == {("propagated", p) for p in pieces} | {("lexed", "tail")}
+    assert secrets.redact(chain + "password = x", secrets.scan_text(chain + "password = x")[1]).count("[SECRET]") == 200
+    assert spans("a_" * 200 + "pwd = 'Zk29slLw02Kd81ma'") == {("lexed", "Zk29slLw02Kd81ma")}
+    assert spans("n" * 300 + " = 'Zk29slLw02Kd81ma'\npwd = " + "n" * 300) == {("propagated", "Zk29slLw02Kd81ma")}
+    assert spans("x = 'aK3x9Q'\n" + "x = x + x\n" * 20_000 + "password = x") == {("propagated", "aK3x9Q")} == spans("x = 'aK3x9Q'\n" + "x = x + x\n" * 3 + "password_key = x")
+    assert len(spans("".join(f"key_token = key_token + '{i:05}Kq9x'\n" for i in range(20_000)))) >= 20_000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "password", "key"]), st.lists(st.sampled_from(["a", "b", "password", "'k9Q'", "'Zk29slLw'", "''", "xx", "'<'", "'>'", "'your_'"]), min_size=1, max_size=4)), max_size=8))
+def test_values_against_joined_literals(lines):
+    text = "api secret\n" + "\n".join(f"{n} = {' + '.join(v)}" for n, v in lines)
+    known, want = {}, {}
+    for m in secrets._PAIR.finditer(text):
+        parts = []
+        for p in secrets._PART.finditer(m[3]):
+            at = m.start(3) + p.start()
+            quoted = p[0][0] == "'" and len(p[0]) > 1
+            parts += [(*x[:3], True) for x in known[p[0]]] if p[0] in known and not quoted else [(at + quoted, at + len(p[0]) - quoted, p[0][1:-1] if quoted else p[0], False)]
+        known[m[1]] = parts
+        if secrets.name_weight(m[1]) * secrets.randomness("".join(x[2] for x in parts)) >= 0.45:
+            for a, b, _, moved in parts:
+                if a < b and want.get((a, b)) != "lexed":
+                    want[a, b] = "propagated" if moved else "lexed"
+    assert {(a, b): k for k, a, b in secrets.lexed_spans(text)} == want
+
+
 def test_base_patterns():
     t = "API_KEY = 'abcdefghijkl' x=tokens: short; AKIA" + "A" * 14 + " deadbeefdeadbeef AKIAX ffff password='a/b+c=d_e-f.g' pasſword=abcdefghijklm"
     base = secrets.base_spans(t)
