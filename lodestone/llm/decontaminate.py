@@ -12,8 +12,10 @@ the word trigrams of its question and of its answer must both occur in the passa
 Of a part of one or two words it is that word or pair.
 
 Items are indexed `SHARD_ITEMS` at a time, each index broadcast at a checked size and searched
-in a pass of its own, so a large benchmark needs more passes, not more memory. Weights are
-those of the shard. Items of one text, without separate answer, count their first half as the question and the rest as the answer;
+in a pass of its own, so a large benchmark needs more passes, not more memory. Weights and
+stride are those of the whole benchmark: its number of items, their mean and greatest length
+and the items that hold a word are counted over all of it first, and a shard only asks for
+the counts of its own words. Items of one text, without separate answer, count their first half as the question and the rest as the answer;
 up to three words are a question alone, whose words must stand together.
 
 Cases: a null or empty text has no passage; an item without words matches nothing; items with
@@ -28,13 +30,14 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import drop_scratch, scratch, text_chunks
 
 SHARD_ITEMS = 1_000
 #: Words and bytes of an item above which it is refused: an index is broadcast.
@@ -54,22 +57,32 @@ def grams(tokens: list[str], n: int = 3) -> set[tuple[str, ...]]:
     return {tuple(tokens[i : i + n]) for i in range(max(1, len(tokens) - n + 1))} if tokens else set()
 
 
+class Statistics(NamedTuple):
+    """Of a benchmark: items, words of all and of the longest, and the items that hold a word."""
+
+    n: int
+    total: int
+    longest: int
+    df: dict[str, int]
+
+
 class Index:
-    """Postings of a shard of items (id, question words, answer words), with block maxima."""
+    """Postings of a shard of items (id, question words, answer words), with block maxima; statistics are those of the items if none are given."""
 
-    def __init__(self, items: list[tuple[int, list[str], list[str]]]):
+    def __init__(self, items: list[tuple[int, list[str], list[str]]], statistics: Statistics | None = None):
         # items that share rare words lie near each other, which keeps block maxima low
         df = Counter(t for _, q, a in items for t in {*q, *a})
         items = sorted(items, key=lambda x: (min(({*x[1], *x[2]}), key=lambda t: (-df[t], t), default=""), x[0]))
         self.items = items
-        n, total = len(items), sum(len(q) + len(a) for _, q, a in items)
-        mean = max(1.0, total / max(1, n))
-        self.longest = max((len(q) + len(a) for _, q, a in items), default=0)
+        sizes = [len(q) + len(a) for _, q, a in items]
+        all_items, total, self.longest, df = statistics or Statistics(len(items), sum(sizes), max(sizes, default=0), df)
+        mean = max(1.0, total / max(1, all_items))
+        n = len(items)
         raw: dict[str, list[tuple[int, float]]] = defaultdict(list)
         self_score = np.zeros(n)
         for k, (_, q, a) in enumerate(items):
             for term, tf in Counter([*q, *a]).items():
-                idf = np.log(1 + (n - df[term] + 0.5) / (df[term] + 0.5))
+                idf = np.log(1 + (all_items - df[term] + 0.5) / (df[term] + 0.5))
                 w = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * (len(q) + len(a)) / mean))
                 raw[term].append((k, w))
                 self_score[k] += w
@@ -161,20 +174,45 @@ def _halves(tokens: list[str]) -> tuple[list[str], list[str]]:
     return tokens[: (len(tokens) + 1) // 2], tokens[(len(tokens) + 1) // 2 :]
 
 
+def _split(with_answer: bool):
+    """Rows (i, q, a) of texts as rows of words, without items that have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.string())
+        for batch in batches:
+            ids, qs, as_ = [], [], []
+            for i, q, a in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                q, a = (words(q or ""), words(a or "")) if with_answer else _halves(words(q or ""))
+                if q or a:
+                    ids.append(i), qs.append(q), as_.append(a)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(qs, kind), pa.array(as_, kind)], names=["i", "q", "a"])
+
+    return run
+
+
 def shards(items: DataFrame, id_col: str, question_col: str, answer_col: str | None, size: int = SHARD_ITEMS) -> Iterator[Index]:
-    """Indexes of `size` items at a time; no more than that is on the driver."""
+    """Indexes of `size` items at a time; no more than that, and the counts of their words, is on the driver."""
+    spark = items.sparkSession
     cols = [F.col(id_col).cast("long").alias("i"), F.col(question_col).cast("string").alias("q"), (F.col(answer_col) if answer_col else F.lit(None)).cast("string").alias("a")]
-    rows = items.select(*cols).where("i IS NOT NULL").distinct().orderBy("i", "q", "a").toLocalIterator()
-    while part := list(islice(rows, size)):
-        held = []
-        for r in part:
-            q, a = (words(r.q or ""), words(r.a or "")) if answer_col else _halves(words(r.q or ""))
-            if len(q) + len(a) > MAX_ITEM_WORDS:
-                raise ValueError(f"item {r.i} has more than {MAX_ITEM_WORDS} words")
-            if q or a:
-                held.append((r.i, q, a))
-        if held:
-            yield Index(held)
+    path = scratch(spark, "benchmark")
+    try:
+        items.select(*cols).where("i IS NOT NULL").distinct().mapInArrow(_split(answer_col is not None), "i long, q array<string>, a array<string>").write.parquet(f"{path}/items")
+        held = spark.read.parquet(f"{path}/items")
+        length = F.size("q") + F.size("a")
+        n, total, longest = held.agg(F.count("*"), F.sum(length), F.max(length)).first()
+        if not n:
+            return
+        if longest > MAX_ITEM_WORDS:
+            raise ValueError(f"item {held.where(length > MAX_ITEM_WORDS).first().i} has more than {MAX_ITEM_WORDS} words")
+        held.select(F.explode(F.array_distinct(F.concat("q", "a"))).alias("t")).groupBy("t").agg(F.count("*").alias("df")).write.parquet(f"{path}/df")
+        counts = spark.read.parquet(f"{path}/df")
+        rows = held.orderBy("i", "q", "a").toLocalIterator()
+        while part := [(r.i, r.q, r.a) for r in islice(rows, size)]:
+            own = pa.table({"t": pa.array(sorted({t for _, q, a in part for t in (*q, *a)}), pa.string())})
+            df = {r.t: r.df for r in counts.join(F.broadcast(spark.createDataFrame(own)), "t").collect()}
+            yield Index(part, Statistics(n, total, longest, df))
+    finally:
+        drop_scratch(spark, path)
 
 
 def overlaps(index: Index, k: int, passage: list[str], found: dict[int, set]) -> tuple[float, float]:

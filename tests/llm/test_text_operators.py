@@ -245,6 +245,19 @@ def test_question_and_answer_columns(spark):
     assert [r.doc_id for r in found.collect()] == [1]
 
 
+def test_scores_do_not_depend_on_shards(spark):
+    r = random.Random(5)
+    vocabulary = [f"c{i}" for i in range(12)] * 4 + [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.choice([3, 8, 20, 60])))) for i in range(60)]
+    rows = []
+    for i, (_, t) in enumerate(items):
+        w = t.split()
+        rows.append((i, " ".join(["before"] * r.randrange(60) + w[: len(w) * r.randint(5, 10) // 10] + ["after"] * 20 + [t for t in w if r.random() < 0.6])))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    one, many = ({(x.doc_id, x.item_id): (round(x.score, 9), x.question_overlap, x.answer_overlap, x.start_word) for x in decontaminate.contaminated(docs(spark, rows), table, shard_items=n).collect()} for n in (1000, 7))
+    assert one == many and any(v[0] < 0.95 for v in one.values())
+
+
 def test_items_and_answers_of_few_words(spark):
     texts = ["alpha", "bravo carol", "delta echo fox", "golf hotel india jazz", "kilo lima mike nora oscar"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
