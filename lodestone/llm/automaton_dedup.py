@@ -11,8 +11,8 @@ matching statistic at a word is the length of the longest suffix that occurs the
 `against` is the broadcast form for a separate reference of checked size.
 
 Cases: a null or empty text has no words, a text of fewer than `window` words loses none.
-Repeated rows (same id and text) count as one document and get the same answer; texts of one
-id are ordered by their starts; a null id counts as the largest. An empty table gives no rows.
+Repeated rows (same id and text) count as one document and get the same answer; different texts
+of one id, or without id, don't remove from each other; a null id counts as the largest. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -82,22 +82,35 @@ class SuffixAutomaton:
         return out
 
 
-def compare(spec: Spec, units: np.ndarray, sizes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which windows of the contents occur in a content before theirs, in the order (id, start)."""
+def compare(spec: Spec, units: np.ndarray, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which windows of the contents occur in a content of a smaller id, or earlier in their own text."""
     W = spec.window
     contents = np.split(units, np.cumsum(sizes)[:-1])
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(contents)
     anchors = np.zeros(len(contents), np.uint64)
     for owner, _, _, key, _ in runs_of_texts(spec, contents):
         anchors[owner] = key
+    order = np.lexsort((starts, hashes, ids, anchors))
+    cut = lambda *keys: np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
     automaton, of = SuffixAutomaton(), None
-    for k in np.lexsort((starts, ids, anchors)).tolist():
-        if anchors[k] != of:  # windows of other anchors can't be equal: a shard has an automaton for each
-            automaton, of = SuffixAutomaton(), anchors[k]
-        words = contents[k].tolist()
-        out[k] = np.array(automaton.statistics(words)[W - 1 :]) >= W
-        if not out[k].all():
-            automaton.add(words)
+    for group in np.split(order, cut(anchors[order], ids[order])):
+        if anchors[group[0]] != of:  # windows of other anchors can't be equal: a shard has an automaton for each
+            automaton, of = SuffixAutomaton(), anchors[group[0]]
+        texts = np.split(group, cut(hashes[group]))
+        for text in texts:
+            # texts that share an id don't see each other, only what has a smaller id, and themselves
+            own = automaton if len(texts) == 1 else SuffixAutomaton()
+            for k in text.tolist():
+                words = contents[k].tolist()
+                out[k] = np.array(automaton.statistics(words)[W - 1 :]) >= W
+                if own is not automaton:
+                    out[k] |= np.array(own.statistics(words)[W - 1 :]) >= W
+                if not out[k].all():
+                    own.add(words)
+        if len(texts) > 1:
+            for k in group.tolist():
+                if not out[k].all():
+                    automaton.add(contents[k].tolist())
     return np.concatenate(out)
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +23,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder under the shared checkpoint folder; a default is set only where none is configured."""
+    """A new folder under the shared checkpoint folder. Where none is configured a local master gets a temporary one; a cluster is refused, as its nodes would each write their own. What isn't dropped before goes when the process ends."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = "/tmp/lodestone-checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="lodestone-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _KEPT:
+        atexit.register(_drop_all)
+    _KEPT[path] = (spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration())
+    return path
+
+
+_KEPT: dict[str, tuple] = {}
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
+    """Remove a scratch folder that nothing reads any more."""
+    _drop(*_KEPT.pop(path, (spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration())), path)
+
+
+def _drop(jvm, configuration, path: str) -> None:
     p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    p.getFileSystem(configuration).delete(p, True)
+
+
+def _drop_all() -> None:
+    """Results are read lazily, so what they rest on stays until the driver's process ends."""
+    for path, (jvm, configuration) in list(_KEPT.items()):
+        with contextlib.suppress(Py4JError, OSError):  # the JVM may be gone
+            _drop(jvm, configuration, path)
+    _KEPT.clear()
+
+
+def spare(df: DataFrame, label: str) -> str:
+    """A column name like `label` that df doesn't have."""
+    taken, name, k = {c.lower() for c in df.columns}, label, 0
+    while name.lower() in taken:
+        k += 1
+        name = f"{label}_{k}"
+    return name
 
 
 def fold(id_col: str) -> Column:
@@ -59,7 +93,7 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, extra: str, fn: Cal
     `fn(texts)` (or `fn(texts, state)` with `state = make()`, made once a task) returns a
     row for each text. Rows stay where they are: no shuffle, and a chunk of text at a time.
     """
-    picked = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text"))
+    picked = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(spare(df, "text")))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
     schema = f"{kept}, {extra}" if kept else extra
     out_fields = spark_schema(schema)

@@ -20,9 +20,10 @@ A document is the set of its distinct word shingles. Two link when 100 * |A & B|
    compared with every slice, by the same rule.
 
 Cases: a null or empty text has no shingles and is linked with nothing, its component is its
-own id. A text of fewer than `k` words is one shingle. Repeated ids are kept as rows; texts of one id and
-equal sets are a class of one id. A null id counts as the largest id and its component is null
-if it is alone. An empty table gives no rows.
+own id. A text of fewer than `k` words is one shingle. Repeated ids are kept as rows and linked
+by their texts alone; different texts of one id, or without id, are told apart. A null id
+counts as the largest id, as 2^63 - 1, and its component is null if no other is reached. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, scratch, text_chunks
-from .components import components
+from .common import mix, scratch, spare, text_chunks
+from .components import attach, components
 from .units import many_word_units, shingle_hashes
-from .windows import LAST, _batches, _by_bucket, _sorted, pack_head, packed, unpack_head, unpacked
+from .windows import LAST, _batches, _by_bucket, _sorted, block_of, bucket_number, identified, pack_head, packed, unpack_head, unpacked
 
 #: Members of a candidate group that a task joins at most; a larger group is cut in slices.
 SLICE = 400
@@ -52,6 +53,8 @@ MOST_OFTEN = 255
 VERIFY = 25.0
 _MASK = np.uint64((1 << 40) - 1)
 _ROWS_DDL = "bucket int, payload binary"
+#: What a payload for a block tells: sizes of sets, their shared shingles, who stands for a class.
+SIZES, SHARED, STANDS = 0, 1, 2
 
 
 def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
@@ -59,6 +62,11 @@ def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
     return [np.unique(shingle_hashes(w, k)) for w in many_word_units([t.encode("utf-8", "surrogatepass").lower() for t in texts])]
 
 
+def _print(s: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell a set from others."""
+    return (int(mix(s).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(s * np.uint64(0x9FB21C651E98DF25))))) if len(s) else (0, 0)
+
+
 def need(n, percent: int):
     """Shingles that a linked set shares with one of n."""
     return (percent * n + 99) // 100
@@ -71,8 +79,7 @@ def _describe(k: int):
             for start, texts in text_chunks(batch, 2):
                 sets = shingle_sets(texts, k)
                 n = np.array([len(s) for s in sets], np.int64)
-                one = np.array([int(mix(s).sum(dtype=np.uint64)) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
-                two = np.array([int(np.bitwise_xor.reduce(mix(s * np.uint64(0x9FB21C651E98DF25)))) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
+                one, two = (np.array(x, np.uint64).view(np.int64) for x in zip(*map(_print, sets), strict=True))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(start, len(texts)) for i in (0, 1)), pa.array(n), pa.array(one), pa.array(two)], names=["id", "h", "n", "s1", "s2"])
 
     return run
@@ -94,20 +101,20 @@ def _tell(k: int, buckets: int):
             x = by[cut[b] : cut[b + 1]]
             key = every[x] & _MASK
             yield b, packed(*pack_head(ids[doc[x]], hashes[doc[x]]), key & np.uint64(0xFFFFFFFF), key >> np.uint64(32))
-        block = _blocks(ids, buckets)
+        block = block_of(ids, hashes, buckets)
         for b in np.unique(block).tolist():
             x = np.flatnonzero(block == b)
-            yield -1 - b, packed(*pack_head(ids[x], hashes[x]), n[x])
+            yield -1 - b, packed(np.array([SIZES]), *pack_head(ids[x], hashes[x]), n[x])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple[int, int, np.ndarray]] = {}
+        held: dict[tuple, tuple[int, int, np.ndarray]] = {}
         size = 0
         for batch in batches:
             ids, hashes = (batch.column(i).to_pylist() for i in (0, 1))
             for start, texts in text_chunks(batch, 2):
                 for i, s in enumerate(shingle_sets(texts, k)):
                     if len(s):
-                        mine, key = (ids[start + i], hashes[start + i], s), int(mix(s).sum(dtype=np.uint64)).to_bytes(8, "little") + len(s).to_bytes(8, "little")
+                        mine, key = (ids[start + i], hashes[start + i], s), (len(s), *_print(s))
                         if key not in held:
                             size += len(s)
                         if key not in held or mine[:2] < held[key][:2]:
@@ -121,10 +128,6 @@ def _tell(k: int, buckets: int):
     return run
 
 
-def _blocks(ids: np.ndarray, blocks: int) -> np.ndarray:
-    return (mix(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
-
-
 def _count(buckets: int):
     """In a bucket: shingles of several documents, told to the blocks of those documents with their frequency."""
 
@@ -141,7 +144,7 @@ def _count(buckets: int):
         ids, hashes, doc, key = (np.concatenate(x) for x in (ids, hashes, docs, keys))
         docs.clear()
         keys.clear()
-        block = _blocks(ids, buckets)
+        block = block_of(ids, hashes, buckets)
         # a part of the shingles at a time; of each the ones of several documents stay
         kept = []
         for k in range(PARTS):
@@ -159,7 +162,7 @@ def _count(buckets: int):
         cut = np.searchsorted(block[doc[order]], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(cut)).tolist():
             y = order[cut[b] : cut[b + 1]]
-            yield -1 - b, packed(*pack_head(ids[doc[y]], hashes[doc[y]]), key[y] & np.uint64(0xFFFFFFFF), key[y] >> np.uint64(32), often[y], np.array([bucket]))
+            yield -1 - b, packed(np.array([SHARED]), *pack_head(ids[doc[y]], hashes[doc[y]]), key[y] & np.uint64(0xFFFFFFFF), key[y] >> np.uint64(32), often[y], np.array([bucket]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(r for bucket, rows in _by_bucket(batches) for r in (of(bucket, rows) if bucket >= 0 else ((bucket, p) for p in rows)))
@@ -168,15 +171,15 @@ def _count(buckets: int):
 
 
 def _tell_classes(buckets: int):
-    """(id, h) of the documents that stand for a class -> to their blocks."""
+    """(id, h, node) of the documents that stand for a class -> to their blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes = (np.asarray(batch.column(i)).astype(np.int64) for i in (0, 1))
-            block = _blocks(ids, buckets)
+            ids, hashes, nodes = (np.asarray(batch.column(i)).astype(np.int64) for i in (0, 1, 2))
+            block = block_of(ids, hashes, buckets)
             order = np.lexsort((hashes, ids, block))
             cut = np.searchsorted(block[order], np.arange(buckets + 1))
-            yield from _batches((-1 - b, packed(*pack_head(ids[x], hashes[x]))) for b in np.flatnonzero(np.diff(cut)).tolist() for x in [order[cut[b] : cut[b + 1]]])
+            yield from _batches((-1 - b, packed(np.array([STANDS]), *pack_head(ids[x], hashes[x]), nodes[x])) for b in np.flatnonzero(np.diff(cut)).tolist() for x in [order[cut[b] : cut[b + 1]]])
 
     return run
 
@@ -201,14 +204,14 @@ def _gather(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_bucket(batches):
             size: dict[tuple[int, int], int] = {}
-            stands: set[tuple[int, int]] = set()
+            stands: dict[tuple[int, int], int] = {}
             parts = []
             for p in rows:
-                steps, hashes, counts, *more = unpacked(p)
+                kind, steps, hashes, counts, *more = unpacked(p)
                 ids, hs = unpack_head(steps, hashes, counts)
-                if not more:
-                    stands.update(zip(ids.tolist(), hs.tolist(), strict=True))
-                elif len(more) == 1:
+                if kind[0] == STANDS:
+                    stands.update(zip(zip(ids.tolist(), hs.tolist(), strict=True), more[0].tolist(), strict=True))
+                elif kind[0] == SIZES:
                     size.update(zip(zip(ids.tolist(), hs.tolist(), strict=True), more[0].tolist(), strict=True))
                 else:
                     low, high, often, bucket = more
@@ -228,7 +231,7 @@ def _gather(percent: int):
                 n = size[me]
                 first = e - s - need(n, percent) + 1  # of the n - need + 1 first, n - (e - s) are of one document
                 if first > 0:
-                    out.append((me[0], n, e - s, pack_tokens(token[s:e], often[s:e]), token[s : s + first].view(np.int64)))
+                    out.append((stands[me], n, e - s, pack_tokens(token[s:e], often[s:e]), token[s : s + first].view(np.int64)))
                 if len(out) >= 1000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
                     out = []
@@ -357,7 +360,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     edges = entries.join(stars, "token").where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
     groups = components(edges)
     # narrow: which group a set is in, and how large it is
-    placed = _stored(groups.join(groups.groupBy("root").agg(F.count("*").alias("size")), "root").select("node", "root", "size"), "groups")
+    sizes = groups.groupBy("root").agg(F.count("*").alias("size")).withColumn("weight", F.col("size"))
+    placed = _stored(attach(groups, "root", sizes).select("node", "root", "size"), "groups")
     slices = F.ceil(F.col("size") / SLICE).cast("long")
     own = F.xxhash64("root", F.pmod(F.xxhash64("node"), slices)).alias("slice")
     large = placed.where(F.col("size") > SLICE)
@@ -402,22 +406,38 @@ def _joined(rows: DataFrame, percent: int) -> DataFrame:
     return _stored(picked.repartition("slice").sortWithinPartitions("slice").mapInArrow(_join_slices(percent), "a long, b long"), "links")
 
 
-def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """id, n_shingles, component_id: a row for each row of df."""
+def labelled(df: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """(id, h, n, least_id, least_h): a row for each row of df; the least text reached by links, by id and then hash. A null id is LAST."""
     if not 50 < percent <= 100:
         raise ValueError("percent must lie above 50 and not above 100")
-    spark = df.sparkSession
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    docs = df.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("h"), text.alias("text"))
-    info = _stored(docs.mapInArrow(_describe(k), "id long, h int, n long, s1 long, s2 long"), "sets")
-    classes = _stored(info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct("id", "h")).alias("rep")).select("n", "s1", "s2", F.col("rep.id").alias("rep"), F.col("rep.h").alias("rep_h")), "classes")
+    buckets = bucket_number(df)
+    docs = identified(df, id_col, text_col)
+    info = _stored(docs.mapInArrow(_describe(k), "id long, h long, n long, s1 long, s2 long"), "sets")
+    # classes are numbered as they are written; ids may be null or repeated
+    classes = info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct("id", "h")).alias("rep"))
+    classes = _stored(classes.select("n", "s1", "s2", "rep", F.monotonically_increasing_id().alias("node")), "classes")
     told = docs.mapInArrow(_tell(k, buckets), _ROWS_DDL)
-    counted = _sorted(told).mapInArrow(_count(buckets), _ROWS_DDL)
-    reps = classes.select(F.col("rep").alias("id"), F.col("rep_h").alias("h")).mapInArrow(_tell_classes(buckets), _ROWS_DDL)
-    sets = _stored(_sorted(counted.unionByName(reps)).mapInArrow(_gather(percent), _SETS_DDL), "prefixes")
+    counted = _sorted(told, buckets).mapInArrow(_count(buckets), _ROWS_DDL)
+    reps = classes.select("rep.id", "rep.h", "node").mapInArrow(_tell_classes(buckets), _ROWS_DDL)
+    sets = _stored(_sorted(counted.unionByName(reps), buckets).mapInArrow(_gather(percent), _SETS_DDL), "prefixes")
     roots = components(_links(sets, percent))
-    labelled = classes.join(roots, classes["rep"] == roots["node"], "left").select("n", "s1", "s2", F.coalesce("root", "rep").alias("component"))
-    out = info.join(labelled, ["n", "s1", "s2"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
+    joined = classes.join(roots, "node", "left").select("n", "s1", "s2", "rep", "root")
+    least = joined.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"), F.count("*").alias("weight"))
+    found = attach(joined, "root", least, "left").select("n", "s1", "s2", F.coalesce("least", "rep").alias("least"))
+    return info.join(found, ["n", "s1", "s2"], "left").select("id", "h", "n", F.coalesce("least.id", "id").alias("least_id"), F.coalesce("least.h", "h").alias("least_h"))
+
+
+def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """id, n_shingles, component_id: a row for each row of df."""
     none = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return out.select(none("id").alias(id_col), "n_shingles", none("component").alias("component_id"))
+    return labelled(df, id_col, text_col, k, percent).select(none("id").alias(id_col), F.col("n").alias("n_shingles"), none("least_id").alias("component_id"))
+
+
+def distinct_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """df with one document of each group, the one of least id (of texts of that id, or without id, the one of least hash); repeated rows, of one id and one text, are one document and stay together."""
+    copies = labelled(df, id_col, text_col, k, percent).where("id <> least_id OR h <> least_h").select("id", "h").distinct()
+    i, h = spare(df, "id"), spare(df, "h")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = df.withColumn(i, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))).withColumn(h, F.xxhash64(text).bitwiseAND(F.lit(LAST)))
+    copies = copies.withColumnsRenamed({"id": i, "h": h})
+    return rows.join(copies, [i, h], "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

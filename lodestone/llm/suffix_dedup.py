@@ -71,7 +71,7 @@ def bucket_pointers(data: np.ndarray, depth: int) -> np.ndarray:
     return pointer[: len(data)]
 
 
-def compare(spec: Spec, units: np.ndarray, sizes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def compare(spec: Spec, units: np.ndarray, sizes: np.ndarray, ids: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Which windows of the contents also start in a document of smaller id."""
     W = spec.window
     pointer = bucket_pointers(units, W)

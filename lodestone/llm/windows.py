@@ -12,9 +12,10 @@ anchor form a run, about (W - k) / 2 windows long.
    suffix automaton) says which of their windows occur in earlier ones. The runs of an anchor
    with very many kinds are sent window by window, each to the bucket of its own hash.
 
-Answers are intervals of window starts. They go to blocks of ids, are put together there for
-each text, and meet the texts by a join on the id and 16 bits of the text's hash; the exchange
-of the texts is the same for both joins, so Spark reuses it. A null id counts as the largest.
+Answers are intervals of window starts. They go to blocks of texts, are put together there for
+each text, and meet the texts by a join on the id and 63 bits of the text's hash, which tell
+apart texts that share an id or have none; the exchange of the texts is the same for both
+joins, so Spark reuses it. A null id counts as the largest, as 2^63 - 1.
 """
 
 from __future__ import annotations
@@ -50,8 +51,8 @@ class Spec:
     within: bool
     #: texts -> units of each
     units: Callable[[list[str]], list[np.ndarray]]
-    #: contents end to end, the size, id and start of each -> for each of their windows: does it start earlier too
-    compare: Callable[["Spec", np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    #: contents end to end, the size, id, hash and start of each -> for each of their windows: does it start earlier too
+    compare: Callable[["Spec", np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     #: type of the units
     wire: str = "<u8"
     #: units -> 64-bit hashes of them
@@ -170,12 +171,17 @@ def _unpack_runs(raw: bytes) -> tuple[np.ndarray, ...]:
     return *head, key.astype(np.uint64), high.astype(np.uint64) << np.uint64(32) | low
 
 
+def block_of(ids: np.ndarray, hashes: np.ndarray, blocks: int) -> np.ndarray:
+    """Where a text's answers meet: by its id and hash, so that texts of one id or of none are spread."""
+    return (mix(ids.astype(np.uint64) ^ mix(hashes.astype(np.uint64))) % np.uint64(blocks)).astype(np.int64)
+
+
 def _replies(buckets: int, ids, hashes, a, n, kind, bucket) -> Iterator[tuple[int, bytes]]:
-    """Rows (-1 - block, payload); a text's block is a hash of its id. Replies are short, so there is a block for four buckets."""
+    """Rows (-1 - block, payload). Replies are short, so there is a block for four buckets."""
     if not len(ids):
         return
     blocks = -(-buckets // 4)
-    block = (mix(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+    block = block_of(ids, hashes, blocks)
     order = np.lexsort((a, hashes, ids, block))
     cut = np.searchsorted(block[order], np.arange(blocks + 1))
     for k in np.flatnonzero(np.diff(cut)).tolist():
@@ -201,19 +207,21 @@ def _batches(rows: Iterable[tuple[int, bytes]], most: int = 4 << 20) -> Iterator
         yield made()
 
 
-def _repeats(spec: Spec, ids, a, groups: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order by (groups, id, start); in it: is an entry a repeat of its group's first, does a group begin."""
-    order = np.lexsort((a, ids, *groups[::-1]))
+def _repeats(spec: Spec, ids, hashes, a, groups: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by (groups, id, hash, start); in it: does an entry repeat one of a smaller id (or of its own text), does a group begin."""
+    order = np.lexsort((a, hashes, ids, *groups[::-1]))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for g in groups:
         s = g[order]
         new[1:] |= s[1:] != s[:-1]
     first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    ids_s, a_s = ids[order], a[order]
+    ids_s, a_s, h_s = ids[order], a[order], hashes[order]
     repeat = ids_s > ids_s[first]
     if spec.within:
-        repeat |= a_s > a_s[first]
+        text = new.copy()
+        text[1:] |= (ids_s[1:] != ids_s[:-1]) | (h_s[1:] != h_s[:-1])
+        repeat |= a_s > a_s[np.maximum.accumulate(np.where(text, np.arange(len(order)), 0))]
     return order, repeat, new
 
 
@@ -226,7 +234,7 @@ def _announce(spec: Spec, buckets: int) -> Stage:
 
     def tell(held: list[tuple]) -> Iterator[tuple[int, bytes]]:
         ids, hashes, a, n, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-        order, repeat, _ = _repeats(spec, ids, a, [key, fp])
+        order, repeat, _ = _repeats(spec, ids, hashes, a, [key, fp])
         gone, stay = order[repeat], order[~repeat]
         zero = np.zeros(len(gone), np.int64)
         yield from _replies(buckets, ids[gone], hashes[gone], a[gone], n[gone], zero, zero)
@@ -287,7 +295,7 @@ def _settle(spec: Spec, buckets: int) -> Stage:
                 yield from settle(bucket + k * buckets, *(y[x] for y in every))
 
     def settle(to: int, ids, hashes, a, n, key, fp) -> Iterator[tuple[int, bytes]]:
-        order, repeat, new = _repeats(spec, ids, a, [key, fp])
+        order, repeat, new = _repeats(spec, ids, hashes, a, [key, fp])
         ids, hashes, a, n, key = (x[order] for x in (ids, hashes, a, n, key))
         head = np.ones(len(key), bool)
         head[1:] = key[1:] != key[:-1]
@@ -304,7 +312,7 @@ def _settle(spec: Spec, buckets: int) -> Stage:
 
 def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The replies of a block of ids -> (id, h, answer), a row for each text."""
-    names, types = ["id", "h", "asks", "answer"], [pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    names, types = ["id", "h", "asks", "answer"], [pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
     for _, rows in _by_bucket(batches):
         ids, hashes, a, n, kind, bucket = (np.concatenate(x) for x in zip(*map(_unpack_entries, rows), strict=True))
         order = np.lexsort((a, hashes, ids))
@@ -398,7 +406,7 @@ def _compare(spec: Spec, buckets: int) -> Stage:
     def compare(ids, hashes, counts, starts, sizes, units) -> Iterator[tuple[int, bytes]]:
         ids, hashes, counts, starts, sizes = (x.astype(np.int64) for x in (ids, hashes, counts, starts, sizes))
         begin = np.cumsum(counts) - counts
-        hit = spec.compare(spec, units.astype(spec.wire), sizes, ids, starts[begin])
+        hit = spec.compare(spec, units.astype(spec.wire), sizes, ids, hashes, starts[begin])
         windows = sizes - spec.window + 1
         owner = np.repeat(np.arange(len(sizes)), windows)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -420,30 +428,49 @@ def _compare(spec: Spec, buckets: int) -> Stage:
     return _each_bucket(of)
 
 
-def _sorted(df: DataFrame) -> DataFrame:
-    return df.repartition("bucket").sortWithinPartitions("bucket")
+def _sorted(df: DataFrame, buckets: int) -> DataFrame:
+    """Buckets meet, as many of them in a task as there are more than shuffle partitions; a worker holds one at a time."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(tasks, buckets // 8), "bucket").sortWithinPartitions("bucket")
 
 
-_TEXT_DDL = "id long, h int, asks boolean, answer binary"
+_TEXT_DDL = "id long, h long, asks boolean, answer binary"
 LAST = (1 << 63) - 1
+#: Bytes of input for each bucket, about; a bucket is worked on in one worker's memory.
+BUCKET_BYTES = 64 << 20
+MOST_BUCKETS = 50_000
+
+
+def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, text): what tells a text from all others; equal rows are alike."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return df.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).bitwiseAND(F.lit(LAST)).alias("h"), text.alias("text"))
+
+
+def bucket_number(df: DataFrame) -> int:
+    """Buckets for a table: a shuffle partition each, more where the plan's estimate of its bytes asks for it. Results don't depend on it."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:  # nothing is known of it
+        return max(1, least)
+    return max(1, least, min(MOST_BUCKETS, size // BUCKET_BYTES))
 
 
 def repeated(df: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame:
     """All rows of df as (orig, id, h, text, whole, part): packed intervals of repeated windows, null where there is none."""
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    buckets = bucket_number(df)
     # both joins below take the same columns of the texts, so that Spark reuses their exchange
-    docs = df.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("h"), text.alias("text"))
+    docs = identified(df, id_col, text_col)
     told = docs.select("id", "h", "text").mapInArrow(_announce(spec, buckets), _ROWS_DDL)
-    settled = _sorted(told).mapInArrow(_settle(spec, buckets), _ROWS_DDL)
+    settled = _sorted(told, buckets).mapInArrow(_settle(spec, buckets), _ROWS_DDL)
     path = scratch(spark, "windows")
-    _sorted(settled).mapInArrow(_collect, _TEXT_DDL).write.parquet(path)
+    _sorted(settled, buckets).mapInArrow(_collect, _TEXT_DDL).write.parquet(path)
     whole = spark.read.parquet(path)
     asked = docs.join(whole.where("asks").select("id", "h", "answer"), ["id", "h"]).select("id", "h", "text", "answer")
     sent = asked.mapInArrow(_contents(spec, buckets), _ROWS_DDL)
-    compared = _sorted(sent).mapInArrow(_compare(spec, buckets), _ROWS_DDL)
-    part = _sorted(compared).mapInArrow(_collect, _TEXT_DDL)
+    compared = _sorted(sent, buckets).mapInArrow(_compare(spec, buckets), _ROWS_DDL)
+    part = _sorted(compared, buckets).mapInArrow(_collect, _TEXT_DDL)
     return docs.join(whole.select("id", "h", F.col("answer").alias("whole")), ["id", "h"], "left").join(part.select("id", "h", F.col("answer").alias("part")), ["id", "h"], "left").select(F.when(F.col("id") != LAST, F.col("id")).alias("orig"), "id", "h", "text", "whole", "part")
 
 

@@ -29,14 +29,16 @@ def word_dedup(docs, window=20):
         words = (t or "").encode().split()
         for s in range(len(words) - window + 1):
             w = tuple(words[s : s + window])
-            first[w] = min(first.get(w, (i, s)), (i, s))
+            first[w] = min(first.get(w, i), i)
     out = {}
     for i, t in docs:
         words = (t or "").encode().split()
-        gone = [False] * len(words)
+        gone, own = [False] * len(words), set()
         for s in range(len(words) - window + 1):
-            if first[tuple(words[s : s + window])] < (i, s):
+            w = tuple(words[s : s + window])
+            if first[w] < i or w in own:
                 gone[s : s + window] = [True] * window
+            own.add(w)
         out[i, t] = (len(words), sum(gone), hashlib.sha256(b" ".join(w for w, g in zip(words, gone) if not g)).hexdigest())
     return out
 

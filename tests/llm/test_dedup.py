@@ -218,3 +218,54 @@ def test_contract(edges):
         union.join(x + 5, y + 5)
     nodes = {x for e in edges for x in e}
     assert dict(zip(child.tolist(), root.tolist(), strict=True)) == {x: union.find(x + 5) - 5 for x in nodes if union.find(x + 5) - 5 != x}
+
+
+# --- texts without id, or of one id
+def crowd(i, n=3000):
+    """n different short texts of one id, some of which share a passage with a text of id 1."""
+    r = random.Random(9)
+    vocabulary = [f"word{k}" for k in range(50)]
+    shared = [f"part{k}" for k in range(25)]
+    out = [(1, " ".join(["first", *shared, "last"]))]
+    for k in range(n):
+        words = [r.choice(vocabulary) for _ in range(14)]
+        if k % 7 == 0:
+            words[5:5] = shared
+        if k % 11 == 0:  # linked with text 1
+            words = ["first", *shared[: 24 + k % 2], "last"]
+        out.append((i, " ".join([*words, f"own{k // 2}"])))
+    return out
+
+
+@pytest.mark.parametrize("i", [None, 5])
+@pytest.mark.parametrize("module, plain", [(suffix_dedup, brute.byte_dedup), (automaton_dedup, brute.word_dedup)])
+def test_crowds(spark, module, plain, i):
+    docs = crowd(i)
+    last = windows.LAST
+    want = plain([(last if j is None else j, t) for j, t in docs])
+    check(module.dedup(frame(spark, docs)).collect(), [(j, *want[last if j is None else j, t]) for j, t in docs])
+
+
+@pytest.mark.parametrize("i", [None, 5])
+def test_join_of_crowds(spark, i):
+    docs = crowd(i)
+    by_row = brute.jaccard_components(list(enumerate(t for _, t in docs)))
+    least = {}
+    for k, (j, _) in enumerate(docs):
+        root = by_row[k][1]
+        least[root] = min(least.get(root, windows.LAST), windows.LAST if j is None else j)
+    none = lambda x: None if x == windows.LAST else x
+    check(jaccard_join.linked(frame(spark, docs)).collect(), [(j, by_row[k][0], none(least[by_row[k][1]])) for k, (j, _) in enumerate(docs)])
+    kept = jaccard_join.distinct_documents(frame(spark, docs)).collect()
+    assert len({r.text for r in kept}) == len({r for _, r in by_row.values()}) and all(len(r) == 4 for r in kept)
+
+
+def test_hubs_are_joined_apart(spark, monkeypatch):
+    monkeypatch.setattr(components, "HUB_ROWS", 3)
+    monkeypatch.setattr(components, "HUBS", 3)
+    edges = [(0, k) for k in range(1, 40)] + [(50, 51), (51, 52), (39, 60), (60, 61)]
+    got = {x.node: x.root for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: 50 if 50 <= x <= 52 else 0 for e in edges for x in e}
+    rows = spark.createDataFrame([(1, "a")] * 9 + [(2, "b"), (None, "c"), (3, "d")], "k long, v string")
+    facts = spark.createDataFrame([(1, "one", 9), (2, "two", 1)], "k long, f string, weight long")
+    assert sorted(r.v + str(r.f) for r in components.attach(rows, "k", facts, "left").collect()) == ["aone"] * 9 + ["btwo", "cNone", "dNone"]
