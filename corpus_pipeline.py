@@ -4,9 +4,11 @@ Each stage takes (spark, docs, sf_dir) and returns what it kept, with the column
 (the last adds ids). `run` writes what a stage returns as Parquet in the shared folder and
 reads it again for the next.
 
-Cases: rows whose doc_id is null pass every stage that compares ids; a null text counts as
-empty in each decision and stays null until the last stage, which encodes it as no ids. Empty
-tables give empty results; additional columns are carried along.
+Cases: a null doc_id counts as the largest, its rows are judged by their texts like any other;
+repeated rows share each decision. A null text counts as empty in each decision and stays null
+until the last stage, which encodes it as no ids. Empty tables give empty results; additional
+columns are carried along, whatever their names; `input_ids` and `n_tokens` are replaced by the
+last stage.
 """
 
 from __future__ import annotations
@@ -31,10 +33,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one of least id stays; rows of that id and another text too."""
-    found = jaccard_join.linked(docs.select("doc_id", "text"))
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
+    """Of each group of linked documents the one of least id stays."""
+    return jaccard_join.distinct_documents(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
