@@ -1,17 +1,20 @@
 """Secret scan: assignment-aware lexing.
 
 Source code and configuration are lexed into name-literal pairs (`name = "literal"`,
-`"name": "literal"`, `NAME=literal`, `name => 'literal'`), constants are propagated
-(`key = BASE + "tail"`, `password = DEFAULT`), and a literal is scored by how sensitive the
-names are that it reaches and by how random it looks. Three base patterns are searched
-beside it; their spans are always kept.
+`"name": "literal"`, `NAME=literal`, `name => 'literal'`, a literal in three quotes, a block
+under `name: |`), with block comments, line ends after "+" and parentheses between their parts;
+literals that stand side by side are one. Constants are propagated (`key = BASE + "tail"`,
+`password = DEFAULT`), and a literal is scored by how sensitive the names are that it reaches
+and by how random it looks. Three base patterns are searched beside it; their spans are always
+kept.
 
 A value keeps its own pieces and the values that it refers to, and what scoring needs of them
 added up, so neither long chains nor doublings (`a = a + a`) outgrow the text.
 
 Cases: a null or empty text has no spans. Offsets are code points, ends exclusive. Very
-long texts, names and chains are scanned whole; a name is looked up among the assignments of its own text
-only, in text order, and the last assignment before a use counts.
+long texts, names and chains are scanned whole. A name is looked up among the assignments of its own
+text only, without regard to scopes: the last one before a use counts, or the first after it if
+there is none; names that only refer to each other hold nothing.
 """
 
 from __future__ import annotations
@@ -19,11 +22,13 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, spare
 
 KINDS = ("assign", "access", "hex", "lexed", "propagated")
 ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -32,11 +37,19 @@ _BASE_ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:
 _BASE_ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _BASE_HEX = re.compile(r"[0-9a-f]{16,}")
 
-#: name, operator, then what is assigned: literals and names joined by "+".
+#: name, operator, then what is assigned: an indented block, or literals and names joined by "+".
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
-_ATOM = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s\"'`,;(){}\[\]+]+"
-_PAIR = re.compile(rf"(?<![A-Za-z0-9_.\-])[\"']?({_NAME})[\"']?[\x20\t]*(=>|:=|[:=])(?!=)[\x20\t]*((?:{_ATOM})(?:[\x20\t]*\+[\x20\t]*(?:{_ATOM}))*)")
-_PART = re.compile(_ATOM)
+_COMMENT = r"/\*(?:[^*]|\*(?!/))*+\*/"
+_GAP = rf"(?:[\x20\t]|{_COMMENT})*+"
+_QUOTED = r"(?:[rRbBuUfF]{1,2}(?=[\"']))?(?:\"{3}(?:[^\"\\]|\\.|\"(?!\"\"))*+\"{3}|'{3}(?:[^'\\]|\\.|'(?!''))*+'{3}|\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+')|`[^`]*+`"
+_ATOM = rf"{_QUOTED}|[^\s\"'`,;(){{}}\[\]+]+"
+_JOIN = rf"{_GAP}(?:(?:\\?\n{_GAP})?\+(?:{_GAP}\\?\n)?{_GAP}|(?:\\?\n{_GAP})?(?=[\"']|[rRbBuUfF]{{1,2}}[\"']))"
+_BLOCK = r"[|>][+\-]?[\x20\t]*\n(?:[\x20\t]+\S[^\n]*+(?:\n|\Z))++"
+_PAIR = re.compile(rf"(?<![A-Za-z0-9_.\-])[\"']?({_NAME})[\"']?{_GAP}(=>|:=|[:=])(?!=){_GAP}(?:({_BLOCK})|(?:\({_GAP}(?:\n{_GAP})?)?((?:{_ATOM})(?:{_JOIN}(?:{_ATOM}))*))", re.S)
+_PART = re.compile(_ATOM, re.S)
+_COMMENTS = re.compile(_COMMENT, re.S)
+_LITERAL = re.compile(r"[rRbBuUfF]{0,2}(\"{3}|'{3}|[\"'`])")
+_LINE = re.compile(r"\S(?:[^\n]*\S)?")
 
 #: Weights of words that make a name sensitive.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "private": 0.5, "access": 0.4, "auth": 0.6, "bearer": 0.8, "key": 0.5, "signing": 0.4, "encryption": 0.4, "api": 0.4}
@@ -110,40 +123,85 @@ class Value:
         return self.literal[0]
 
 
+def _pairs(text: str) -> list[tuple[str, list[tuple[int, int, bool]]]]:
+    """(name, parts of what is assigned: begin, end, may it be a name), in text order."""
+    out = []
+    for m in _PAIR.finditer(text):
+        if m[3] is not None:
+            base = m.start(3)
+            parts = [(base + x.start(), base + x.end(), False) for x in _LINE.finditer(m[3], m[3].index("\n"))]
+        else:
+            parts = []
+            for x in _PART.finditer(_COMMENTS.sub(lambda c: " " * len(c[0]), m[4]) if "/*" in m[4] else m[4]):
+                quote = _LITERAL.match(x[0])
+                a, b = m.start(4) + x.start(), m.start(4) + x.end()
+                parts.append((a + quote.end(), b - len(quote[1]), False) if quote else (a, b, True))
+        out.append((m[1], parts))
+    return out
+
+
+def _valued(text: str, pairs: list) -> list[Value]:
+    """What each pair's name holds: names among the parts are replaced by their values."""
+    places: dict[str, list[int]] = {}
+    for k, (name, _) in enumerate(pairs):
+        places.setdefault(name, []).append(k)
+
+    def meant(k: int, word: str) -> int | None:
+        own = places.get(word)
+        if own is None:
+            return None
+        i = bisect_left(own, k)
+        return own[i - 1] if i else None if own[0] == k else own[0]
+
+    values: list[Value | None] = [None] * len(pairs)
+    begun = [False] * len(pairs)
+    for first in range(len(pairs)):
+        waiting = [first] if values[first] is None else []
+        while waiting:
+            k = waiting[-1]
+            targets = [meant(k, text[a:b]) if name else None for a, b, name in pairs[k][1]]
+            if not begun[k]:
+                begun[k] = True
+                missing = [t for t in targets if t is not None and not begun[t]]
+                if missing:
+                    waiting += reversed(missing)
+                    continue
+            waiting.pop()
+            if values[k] is not None:
+                continue
+            value, refers = Value(), False
+            for (a, b, _), t in zip(pairs[k][1], targets, strict=True):
+                if t is None:
+                    value.pieces.append((a, b))
+                    value.literal.append(text[a:b])
+                elif values[t] is not None:
+                    refers = True
+                    value.pieces.append(values[t].pieces)
+                    value.literal.append(values[t].sums())
+            values[k] = value
+            if refers:
+                value.sums()
+    return values
+
+
 def lexed_spans(text: str, threshold: float = 0.45) -> list[tuple[str, int, int]]:
     """Spans of literals that reach a sensitive name, directly or through other names."""
     if not _PRE.search(text):
         return []
-    known: dict[str, Value] = {}
+    pairs = _pairs(text)
     out: dict[tuple[int, int], str] = {}
-    for m in _PAIR.finditer(text):
-        name, value, base, refers = m[1], Value(), m.start(3), False
-        for p in _PART.finditer(m[3]):
-            raw, at = p[0], base + p.start()
-            if raw[0] in "\"'`" and len(raw) > 1:
-                value.pieces.append((at + 1, at + len(raw) - 1))
-                value.literal.append(raw[1:-1])
-            elif raw in known:
-                refers = True
-                value.pieces.append(known[raw].pieces)
-                value.literal.append(known[raw].sums())
-            else:
-                value.pieces.append((at, at + len(raw)))
-                value.literal.append(raw)
-        known[name] = value
-        if refers:
-            value.sums()
-        if (weight := name_weight(name)) > 0 and weight * randomness(value.sums()) >= threshold:
-            pending, kind = [value.pieces], "lexed"
-            while pending:
-                pieces = pending.pop()
-                for x in pieces:
-                    if isinstance(x, list):
-                        pending.append(x)
-                    elif x[0] < x[1]:
-                        out.setdefault(x, kind)
-                pieces.clear()
-                kind = "propagated"
+    bad = [v for (name, _), v in zip(pairs, _valued(text, pairs), strict=True) if (weight := name_weight(name)) > 0 and weight * randomness(v.sums()) >= threshold]
+    for value in bad:
+        out.update(((x, "lexed") for x in value.pieces if isinstance(x, tuple) and x[0] < x[1]))
+    pending = [v.pieces for v in bad]
+    while pending:
+        pieces = pending.pop()
+        for x in pieces:
+            if isinstance(x, list):
+                pending.append(x)
+            elif x[0] < x[1]:
+                out.setdefault(x, "propagated")
+        pieces.clear()
     return [(k, a, b) for (a, b), k in out.items()]
 
 
@@ -190,8 +248,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
 
 def redacted(df: DataFrame, text_col: str = "text", threshold: float = 0.45) -> DataFrame:
     """The same rows and columns, each secret in the text replaced by a mark; null texts stay null."""
-    from pyspark.sql import functions as F
-
     others = [c for c in df.columns if c != text_col]
-    made = map_texts(df.withColumn("__null", F.col(f"`{text_col}`").isNull()), [*others, "__null"], text_col, "__redacted string", lambda texts: [(redact(t, scan_text(t, threshold)[1]),) for t in texts])
-    return made.select(*[F.when(~F.col("__null"), F.col("__redacted")).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
+    null, made = spare(df, "null"), spare(df, "redacted")
+    out = map_texts(df.withColumn(null, F.col(f"`{text_col}`").isNull()), [*others, null], text_col, f"`{made}` string", lambda texts: [(redact(t, scan_text(t, threshold)[1]),) for t in texts])
+    return out.select(*[F.when(~F.col(null), F.col(made)).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
