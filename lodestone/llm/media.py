@@ -1,12 +1,13 @@
 """Media columns: archives of media members as a Spark data source.
 
 `media_archive` is a custom data source. Writing rolls members into ZIP archives (stored, with
-a central directory) under a folder; the commit writes a manifest of the archives of tasks
-that succeeded, so what a lost attempt left behind is never read. Reading plans partitions as
-byte ranges over those archives from the manifest alone (the driver opens no archive); a task
+a central directory) under a folder; each commit adds a manifest of the archives of tasks that
+succeeded, so what a lost attempt left behind is never read, and appending keeps what is there
+(overwriting removes the manifests before it, and their archives). Reading plans partitions as
+byte ranges over those archives from the manifests alone (the driver opens no archive); a task
 reads its archive's directory, takes the members whose header starts in its range, and streams
 them as Arrow batches of bounded size. A member is fetched by its offset, checked by its CRC
-and retried alone.
+and retried alone; opening an archive and reading its directory are retried too.
 
 A payload is a text's UTF-8 bytes with spaces up to a positive multiple of 192, stored as an
 RGB image of 64 x n/192 pixels in PNG: lossless 8-bit samples.
@@ -25,7 +26,7 @@ import time
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,32 +102,43 @@ class _Retry:
 
     def __init__(self, uri: str, tries: int = 4, pause: float = 0.2):
         self.uri, self.tries, self.pause = uri, tries, pause
-        self.file = self._open()
+        self.file = None
 
     def _open(self):
         store, path = _at(self.uri)
         return store.open_input_file(path)
 
-    def member(self, info: zipfile.ZipInfo) -> bytes:
+    def _tried(self, what: str, read: Callable[[], object]):
         for k in range(self.tries):
             try:
-                self.file.seek(info.header_offset)
-                head = self.file.read(30)
-                if head[:4] != b"PK\x03\x04":
-                    raise OSError("no member at this offset")
-                name, extra = struct.unpack("<HH", head[26:30])
-                self.file.seek(info.header_offset + 30 + name + extra)
-                body = self.file.read(info.file_size)
-                if len(body) != info.file_size or zlib.crc32(body) != info.CRC:
-                    raise OSError("a member was cut short or damaged")
-                return body
-            except OSError as e:
+                if self.file is None:
+                    self.file = self._open()
+                return read()
+            except (OSError, zipfile.BadZipFile) as e:
+                self.file = None
                 if k + 1 == self.tries:
-                    raise OSError(f"{self.uri}, member {info.filename} at {info.header_offset}: {e}") from e
+                    raise OSError(f"{self.uri}, {what}: {e}") from e
                 time.sleep(self.pause * 2**k)
-                self.file = self._open()
         raise AssertionError
 
+    def directory(self) -> list[zipfile.ZipInfo]:
+        return self._tried("directory", lambda: zipfile.ZipFile(self.file).infolist())
+
+    def member(self, info: zipfile.ZipInfo) -> bytes:
+        def read() -> bytes:
+            self.file.seek(info.header_offset)
+            head = self.file.read(30)
+            if head[:4] != b"PK\x03\x04":
+                raise OSError("no member at this offset")
+            name, extra = struct.unpack("<HH", head[26:30])
+            self.file.seek(info.header_offset + 30 + name + extra)
+            body = self.file.read(info.file_size)
+            if len(body) != info.file_size or zlib.crc32(body) != info.CRC:
+                raise OSError("a member was cut short or damaged")
+            return body
+
+        return self._tried(f"member {info.filename} at {info.header_offset}", read)
+
 
 @dataclass
 class Written(WriterCommitMessage):
@@ -134,8 +146,8 @@ class Written(WriterCommitMessage):
 
 
 class ArchiveWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict):
-        self.path, self.most = options["path"].rstrip("/"), int(options.get("archivebytes", 64 << 20))
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.path, self.most, self.overwrite = options["path"].rstrip("/"), int(options.get("archivebytes", 64 << 20)), overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = _at(self.path)
@@ -171,8 +183,15 @@ class ArchiveWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         store, root = _at(self.path)
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/_manifest.json") as f:
+        before = _manifests(store, root) if self.overwrite else []
+        gone = [name for m in before for name, _ in _listed(store, m)]
+        name = f"{uuid.uuid4().hex}.json"
+        # a manifest counts once it has its name, whole
+        with store.open_output_stream(f"{root}/_unfinished-{name}") as f:
             f.write(json.dumps(sorted(a for m in messages if m for a in m.archives)).encode())
+        store.move(f"{root}/_unfinished-{name}", f"{root}/_manifest-{name}")
+        for path in [*before, *(f"{root}/{x}" for x in gone)]:
+            store.delete_file(path)
 
     def abort(self, messages: list[Written | None]) -> None:
         store, root = _at(self.path)
@@ -181,6 +200,16 @@ class ArchiveWriter(DataSourceArrowWriter):
                 store.delete_file(f"{root}/{name}")
 
 
+def _manifests(store: fs.FileSystem, root: str) -> list[str]:
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    return sorted(x.path for x in found if x.base_name.startswith("_manifest-"))
+
+
+def _listed(store: fs.FileSystem, manifest: str) -> list[tuple[str, int]]:
+    with store.open_input_stream(manifest) as f:
+        return [tuple(x) for x in json.loads(f.read())]
+
+
 class Range(InputPartition):
     """Bytes [begin, end) of an archive."""
 
@@ -196,16 +225,17 @@ class ArchiveReader(DataSourceReader):
 
     def partitions(self) -> list[Range]:
         store, root = _at(self.path)
-        with store.open_input_stream(f"{root}/_manifest.json") as f:
-            archives = json.loads(f.read())
+        manifests = _manifests(store, root)
+        if not manifests:
+            raise FileNotFoundError(f"no archive was written to {self.path}")
+        archives = [a for m in manifests for a in _listed(store, m)]
         return [Range(f"{self.path}/{name}", a, min(size, a + self.step)) for name, size in archives for a in range(0, size, self.step)] or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.uri:
             return
         source = _Retry(partition.uri)
-        with zipfile.ZipFile(source._open()) as pack:
-            members = [m for m in pack.infolist() if partition.begin <= m.header_offset < partition.end]
+        members = [m for m in source.directory() if partition.begin <= m.header_offset < partition.end]
         ids, sizes, media, held = [], [], [], 0
         for m in sorted(members, key=lambda m: m.header_offset):
             _, i, n = m.filename.removesuffix(".png").split("_")
@@ -236,11 +266,11 @@ class MediaArchive(DataSource):
         return ArchiveReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> ArchiveWriter:
-        return ArchiveWriter(self.options)
+        return ArchiveWriter(self.options, overwrite)
 
 
-def store(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", archive_bytes: int = 64 << 20) -> None:
-    """Write each text as a media member of archives under `path`."""
+def store(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", archive_bytes: int = 64 << 20, overwrite: bool = False) -> None:
+    """Write each text as a media member of archives under `path`, beside those that are there or instead of them."""
     df.sparkSession.dataSource.register(MediaArchive)
 
     def rows(texts):
@@ -249,7 +279,7 @@ def store(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
             yield len(raw), to_png(payload(raw))
 
     made = map_texts(df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")), ["id"], "text", "n_bytes long, media binary", rows)
-    made.write.format("media_archive").option("archivebytes", archive_bytes).mode("append").save(path)
+    made.write.format("media_archive").option("archivebytes", archive_bytes).mode("overwrite" if overwrite else "append").save(path)
 
 
 def load(spark: SparkSession, path: str, range_bytes: int = 16 << 20) -> DataFrame:
