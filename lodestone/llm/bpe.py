@@ -175,7 +175,7 @@ def digests(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id"
 
 
 def encoded(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_name: str = "input_ids", count_name: str = "n_tokens") -> DataFrame:
-    """All columns, with the ids and their number."""
+    """All columns, with the ids and their number; columns of those two names are replaced."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     keep = [c for c in df.columns if c not in (ids_name, count_name)]
 

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, map_texts
+from .common import fold, map_texts, spare
 
 #: Quantiles of the unlabelled sample at which a statistic is cut; a value at a cut is an interval of its own, so that zero is told from little.
 QUANTILES = (0.002, 0.01, 0.03, 0.08, 0.2, 0.4, 0.6, 0.8, 0.92, 0.97, 0.99, 0.998)
@@ -163,6 +163,6 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def accepted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of df that the classifier accepts, with df's columns."""
-    keep = list(df.columns)
-    made = scored(df, train(df, labels, id_col, text_col), keep, text_col, "__score")
-    return made.where(F.col("__score") >= threshold).select(*[F.col(f"`{c}`") for c in keep])
+    keep, score = list(df.columns), spare(df, "score")
+    made = scored(df, train(df, labels, id_col, text_col), keep, text_col, score)
+    return made.where(F.col(score) >= threshold).select(*[F.col(f"`{c}`") for c in keep])
