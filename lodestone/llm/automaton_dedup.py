@@ -21,10 +21,11 @@ import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import map_texts
 from .units import many_word_units
-from .windows import Spec, covered, finished, repeated, runs_of_texts
+from .windows import Spec, covered, finished, intervals, repeated, runs_of_texts
 
 
 class SuffixAutomaton:
@@ -124,15 +125,32 @@ def spec(window: int = 20, gram: int = 8) -> Spec:
     return Spec(window=window, gram=gram, within=True, units=_words, compare=compare)
 
 
+def _cut(text: str, window: int, whole: bytes | None, part: bytes | None) -> tuple[list[bytes], list[tuple[int, int]], list[bytes]]:
+    """Words of a text, the spans of words that go, and the words that stay."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    if whole is None and part is None:
+        return words, [], words
+    gone = covered(len(words), window, whole, part)
+    return words, intervals(gone), [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+
+
+def kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
+    """id, kept_text (words that stay, joined by a blank), spans (begin, end of removed runs of words)."""
+
+    def row(text: str, whole: bytes | None, part: bytes | None) -> tuple:
+        _, spans, rest = _cut(text, window, whole, part)
+        return b" ".join(rest).decode("utf-8", "surrogatepass"), [{"begin": a, "end": b} for a, b in spans]
+
+    s = spec(window)
+    return finished(repeated(df, s, id_col, text_col), s, id_col, "kept_text string, spans array<struct<begin:long,end:long>>", row)
+
+
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
     """id, n_words, n_removed, kept_sha256."""
 
     def row(text: str, whole: bytes | None, part: bytes | None) -> tuple:
-        words = text.encode("utf-8", "surrogatepass").split()
-        if whole is None and part is None:
-            return len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest()
-        gone = covered(len(words), window, whole, part)
-        return len(words), int(gone.sum()), hashlib.sha256(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)).hexdigest()
+        words, _, rest = _cut(text, window, whole, part)
+        return len(words), len(words) - len(rest), hashlib.sha256(b" ".join(rest)).hexdigest()
 
     s = spec(window)
     return finished(repeated(df, s, id_col, text_col), s, id_col, "n_words long, n_removed long, kept_sha256 string", row)
@@ -140,13 +158,17 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
 
 #: Words of a reference that may be broadcast as automata.
 MAX_REFERENCE_WORDS = 2_000_000
+MAX_REFERENCE_BYTES = 64 << 20
 
 
 def against(df: DataFrame, reference: DataFrame, keep: list[str], text_col: str = "text", window: int = 20, out: str = "kept_text") -> DataFrame:
     """df's texts without the spans of `window` words or more that occur in `reference` (of checked size, broadcast)."""
-    texts = reference.select(text_col).limit(MAX_REFERENCE_WORDS + 1).toPandas()[text_col]
-    units = _words([t or "" for t in texts])
-    if len(texts) > MAX_REFERENCE_WORDS or sum(map(len, units)) > MAX_REFERENCE_WORDS:
+    # rows and bytes are bounded before anything comes to the driver
+    rows_, size = reference.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()
+    if rows_ > MAX_REFERENCE_WORDS or size > MAX_REFERENCE_BYTES:
+        raise ValueError("the reference exceeds MAX_REFERENCE_WORDS or MAX_REFERENCE_BYTES; join it to the corpus and use dedup")
+    units = _words([t or "" for t in reference.select(F.col(text_col).cast("string").alias("t")).toPandas()["t"]])
+    if sum(map(len, units)) > MAX_REFERENCE_WORDS:
         raise ValueError("the reference exceeds MAX_REFERENCE_WORDS; join it to the corpus and use dedup")
     shared = df.sparkSession.sparkContext.broadcast(units)
 

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from .units import BYTE_UNITS
-from .windows import Spec, covered, finished, repeated
+from .windows import Spec, covered, finished, intervals, repeated
 
 Q = 4
 
@@ -94,16 +94,32 @@ def spec(length: int = 50, gram: int = 20) -> Spec:
     return Spec(window=length, gram=gram, within=False, units=_bytes, compare=compare, wire="<u1", lift=BYTE_UNITS.__getitem__)
 
 
+def _cut(text: str, length: int, whole: bytes | None, part: bytes | None) -> tuple[int, list[tuple[int, int]], bytes]:
+    """Bytes of a text, the spans that go, and the bytes that stay."""
+    raw = text.encode("utf-8", "surrogatepass")
+    if whole is None and part is None:
+        return len(raw), [], raw
+    gone = covered(len(raw), length, whole, part)
+    return len(raw), intervals(gone), np.frombuffer(raw, np.uint8)[~gone].tobytes()
+
+
+def kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
+    """id, kept (bytes that stay; a cut may part a character), spans (begin, end of removed runs of bytes)."""
+
+    def row(text: str, whole: bytes | None, part: bytes | None) -> tuple:
+        _, spans, rest = _cut(text, length, whole, part)
+        return rest, [{"begin": a, "end": b} for a, b in spans]
+
+    s = spec(length)
+    return finished(repeated(df, s, id_col, text_col), s, id_col, "kept binary, spans array<struct<begin:long,end:long>>", row)
+
+
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256."""
 
     def row(text: str, whole: bytes | None, part: bytes | None) -> tuple:
-        raw = text.encode("utf-8", "surrogatepass")
-        if whole is None and part is None:
-            return len(raw), 0, 0, hashlib.sha256(raw).hexdigest()
-        gone = covered(len(raw), length, whole, part)
-        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-        return len(raw), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest()
+        n, spans, rest = _cut(text, length, whole, part)
+        return n, n - len(rest), len(spans), hashlib.sha256(rest).hexdigest()
 
     s = spec(length)
     return finished(repeated(df, s, id_col, text_col), s, id_col, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", row)

@@ -486,6 +486,12 @@ def covered(n: int, window: int, *answers: bytes | None) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def intervals(gone: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of True."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+
+
 def finished(found: DataFrame, spec: Spec, id_col: str, extra: str, row: Callable[[str, bytes | None, bytes | None], tuple]) -> DataFrame:
     """A row for each text: its id and what `row(text, whole, part)` returns."""
     from .common import spark_schema
