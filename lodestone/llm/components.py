@@ -22,7 +22,7 @@ from .common import drop_scratch, scratch
 
 
 #: A key of more rows than this, and of more than this share of all rows, is joined by broadcast; so at most HUBS keys are.
-HUB_ROWS, HUBS = 10_000, 10_000
+HUB_ROWS, HUBS = 500, 10_000
 
 
 def _save(df: DataFrame) -> tuple[DataFrame, str]:

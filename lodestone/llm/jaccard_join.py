@@ -45,6 +45,8 @@ from .windows import LAST, _batches, _by_bucket, _sorted, block_of, bucket_numbe
 SLICE = 400
 PIVOTS = 6
 LONGEST_MATCH = 4
+#: Characters of texts that are hashed at a time.
+CHUNK = 1 << 18
 #: Parts of a bucket that are counted one after the other.
 PARTS = 4
 #: Frequencies are told apart up to here.
@@ -76,7 +78,7 @@ def need(n, percent: int):
 def _describe(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_chunks(batch, 2):
+            for start, texts in text_chunks(batch, 2, CHUNK):
                 sets = shingle_sets(texts, k)
                 n = np.array([len(s) for s in sets], np.int64)
                 one, two = (np.array(x, np.uint64).view(np.int64) for x in zip(*map(_print, sets), strict=True))
@@ -111,7 +113,7 @@ def _tell(k: int, buckets: int):
         size = 0
         for batch in batches:
             ids, hashes = (batch.column(i).to_pylist() for i in (0, 1))
-            for start, texts in text_chunks(batch, 2):
+            for start, texts in text_chunks(batch, 2, CHUNK):
                 for i, s in enumerate(shingle_sets(texts, k)):
                     if len(s):
                         mine, key = (ids[start + i], hashes[start + i], s), (len(s), *_print(s))
