@@ -1,5 +1,6 @@
 """Duplicate removal and the join against brute force, with the cases of their docstrings."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -51,6 +52,18 @@ def test_against_brute_force(spark, module, plain, seed):
     check(module.dedup(frame(spark, docs)).collect(), [(i, *want[i, t]) for i, t in docs])
 
 
+def test_what_is_kept(spark):
+    docs = texts(3, 30)
+    by_bytes, by_words = brute.byte_dedup(docs), brute.word_dedup(docs)
+    for r in suffix_dedup.kept(frame(spark, docs)).collect():
+        text = dict(docs)[r.doc_id].encode()
+        assert hashlib.sha256(r.kept).hexdigest() == by_bytes[r.doc_id, dict(docs)[r.doc_id]][3] and len(r.spans) == by_bytes[r.doc_id, dict(docs)[r.doc_id]][2]
+        assert len(text) - sum(s.end - s.begin for s in r.spans) == len(r.kept)
+    for r in automaton_dedup.kept(frame(spark, docs)).collect():
+        n, gone, sha = by_words[r.doc_id, dict(docs)[r.doc_id]]
+        assert hashlib.sha256(r.kept_text.encode()).hexdigest() == sha and sum(s.end - s.begin for s in r.spans) == gone
+
+
 @pytest.mark.parametrize("module, plain", [(suffix_dedup, brute.byte_dedup), (automaton_dedup, brute.word_dedup)])
 def test_odd_rows(spark, module, plain):
     last = windows.LAST

@@ -49,3 +49,27 @@ def test_odd_rows(spark, rows):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() <= len(rows)
+
+
+#: Names that the operators use inside, now or before.
+INNER = ["text_1", "score", "score_1", "null", "redacted", "holds", "id", "h", "n", "node", "bucket", "payload", "component_id", "__score", "__text", "__bad", "__null", "__redacted", "__copy", "input_ids", "n_tokens"]
+
+
+def test_clashing_names_null_ids_and_repeated_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    near = docs.orderBy(F.length("text").desc()).limit(1).select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), *docs.columns[1:])
+    docs = docs.unionByName(near).unionByName(near)
+    for k, name in enumerate(INNER):
+        docs = docs.withColumn(name, F.lit(k))
+    columns = docs.columns
+    for k, (name, stage) in enumerate(C.STAGES):
+        out = stage(spark, docs, SF).persist()
+        last = k == len(C.STAGES) - 1
+        assert sorted(out.columns) == sorted(columns) and (last or out.columns == columns), name
+        rows = out.collect()
+        assert rows and all(r[c] == j for r in rows for j, c in enumerate(INNER) if not (last and c in ("input_ids", "n_tokens"))), name
+        if k == 1:  # the copies without id go, their original stays
+            assert all(r.doc_id is not None for r in rows)
+        docs = out
+    for _, stage in C.STAGES:
+        assert stage(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(0), SF).count() == 0

@@ -53,21 +53,61 @@ def test_long_chains_and_names():
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "password", "key"]), st.lists(st.sampled_from(["a", "b", "password", "'k9Q'", "'Zk29slLw'", "''", "xx", "'<'", "'>'", "'your_'"]), min_size=1, max_size=4)), max_size=8))
 def test_values_against_joined_literals(lines):
     text = "api secret\n" + "\n".join(f"{n} = {' + '.join(v)}" for n, v in lines)
-    known, want = {}, {}
-    for m in secrets._PAIR.finditer(text):
-        parts = []
-        for p in secrets._PART.finditer(m[3]):
-            at = m.start(3) + p.start()
-            quoted = p[0][0] == "'" and len(p[0]) > 1
-            parts += [(*x[:3], True) for x in known[p[0]]] if p[0] in known and not quoted else [(at + quoted, at + len(p[0]) - quoted, p[0][1:-1] if quoted else p[0], False)]
-        known[m[1]] = parts
-        if secrets.name_weight(m[1]) * secrets.randomness("".join(x[2] for x in parts)) >= 0.45:
-            for a, b, _, moved in parts:
+    at, found, begun, want = len("api secret\n"), {}, set(), {}
+    places = []
+    for n, v in lines:
+        at += len(n) + 3
+        places.append([])
+        for x in v:
+            places[-1].append((at, at + len(x)))
+            at += len(x) + 3
+        at += 1 - 3
+
+    def value(k):
+        """Pieces (begin, end, text, of another name) of a line."""
+        if k in begun:
+            return found.get(k, [])
+        begun.add(k)
+        out = []
+        for x, (a, b) in zip(lines[k][1], places[k], strict=True):
+            own = [j for j, (n, _) in enumerate(lines) if n == x]
+            before, after = [j for j in own if j < k], [j for j in own if j > k and lines[k][0] != x]
+            if before or after:
+                out += [(*p[:3], True) for p in value(before[-1] if before else after[0])]
+            elif not own or k in own:
+                out.append((a + 1, b - 1, x[1:-1], False) if x[0] == "'" else (a, b, x, False))
+        found[k] = out
+        return out
+
+    for k, (n, _) in enumerate(lines):
+        if secrets.name_weight(n) * secrets.randomness("".join(x[2] for x in value(k))) >= 0.45:
+            for a, b, _, moved in value(k):
                 if a < b and want.get((a, b)) != "lexed":
                     want[a, b] = "propagated" if moved else "lexed"
     assert {(a, b): k for k, a, b in secrets.lexed_spans(text)} == want
 
 
+def test_lexing_of_several_lines_and_orders():
+    key, tail = "Zk3vQ9xP2mL8wR5t", "Hh7Jj2Kk9Ll4Mm1N"
+    for text in (
+        f'SECRET_KEY = """{key}"""', f"secret_key = '''{key}'''", f'password /* of the db */ = /* now */ "{key}"', f'api_token = r"{key}"',
+        f"signing_secret: |\n    {key}\n", f'db_password = (\n    "{key}"\n)', f"access_token: `{key}`",
+    ):
+        assert ("lexed", key) in spans(text), text
+    assert {("lexed", key), ("lexed", tail)} <= spans(f'auth_token = "{key}" \\\n    "{tail}"') and {("lexed", key), ("lexed", tail)} <= spans(f'auth_token = "{key}" +\n  "{tail}"')
+    # a constant that is defined below its use, through another one; of several the last before the use
+    assert ("propagated", key) in spans(f'connect(password=BASE)\nBASE = OTHER\nOTHER = "{key}"')
+    found = spans(f'BASE = "{tail}"\nBASE = "{key}"\npassword = BASE\nBASE = "{tail}"')
+    assert ("propagated", key) in found and ("propagated", tail) not in found
+    assert spans("password = a\na = b\nb = a") == set() and spans("secret = secret") == set()
+    chain = "\n".join([f"password = n0", *(f"n{k} = n{k + 1}" for k in range(5000)), f'n5000 = "{key}"'])
+    assert ("propagated", key) in spans(chain)
+    long = "p" * 200 + "_password"
+    assert ("lexed", key) in spans(f'{long} = "{key}"')
+    pieces = "\n".join([*(f'v{k} = "{key[k % 9:]}{k}"' for k in range(70)), "password = " + " + ".join(f"v{k}" for k in range(70))])
+    assert sum(k == "propagated" for k, _ in spans(pieces)) == 70
+
+
 def test_base_patterns():
     t = "API_KEY = 'abcdefghijkl' x=tokens: short; AKIA" + "A" * 14 + " deadbeefdeadbeef AKIAX ffff password='a/b+c=d_e-f.g' pasſword=abcdefghijklm"
     base = secrets.base_spans(t)
@@ -125,7 +165,12 @@ def test_viterbi():
     r = toxicity.Restorer(toxicity.log_probabilities(counts))
     for token, word in (("1d1ot", "idiot"), ("tr@sh", "trash"), ("idiiiiot", "idiot"), ("i d i o t", "idiot"), ("l-o-s-e-r", "loser"), ("l0$er", "loser"), ("id10+", "idiot"), ("$.a.i.d", "said"), ("s*t*r*e*e*t", "street")):
         assert word in r.words(f"an {token} here"), token
-    assert r.words("plain words stay") == {"plain", "words", "stay"}
+    for token, word in (("tr/\\sh", "trash"), ("i|)iot", "idiot"), ("l()ser", "loser"), ("lоser", "loser"), ("ｔｒａｓｈ", "trash"), ("/\\nd", "and")):
+        assert word in r.words(f"an {token} here"), token
+    assert r.words("plain words stay") == {"plain", "words", "stay"} and r.words("and/or") == {"and", "or"}
+    assert "the" in r.words("see t h e") and "said" in r.words("." .join("said" * 1)) and "idiot" in r.words("1d10t" + "!" * 3)
+    marked = "st0pthetr@shinthestreet" * 7
+    assert "stopthetrashinthestreet" * 7 in r.words(marked)
 
 
 def test_runs_are_decoded_whole_and_parted():
@@ -205,12 +250,14 @@ def test_wand():
     r = random.Random(1)
     vocabulary = [f"w{i}" for i in range(60)] + [f"c{i}" for i in range(8)] * 6
     items = [(i, [r.choice(vocabulary) for _ in range(r.randint(1, 20))], [r.choice(vocabulary) for _ in range(r.randint(0, 9))]) for i in range(120)]
-    index = decontaminate.Index(items)
+    names = {w: k for k, w in enumerate(sorted({w for _, q, a in items for w in (*q, *a)}))}
+    index = decontaminate.Index(items, decontaminate.Statistics.of(items), names)
     for _ in range(300):
-        query = sorted({index.terms[w] for w in r.sample(sorted(index.terms), r.randint(1, 40))})
+        query = sorted({int(index.local[names[w]]) for w in r.sample(sorted(names), r.randint(1, 40))})
         score = np.zeros(len(items))
         for t in query:
-            score[index.docs[t]] += index.impacts[t]
+            own = slice(index.begin[t], index.begin[t + 1])
+            score[index.docs[own]] += index.impacts[own]
         for threshold in (0.3, 0.6):
             got = dict(index.search(query, threshold))
             assert set(got) == set(np.flatnonzero(score >= threshold - 1e-6).tolist()) and all(abs(got[k] - score[k]) < 1e-9 for k in got)
@@ -230,8 +277,8 @@ def test_decontamination(spark):
     rows += [(60, None), (61, ""), (62, items[-1][1]), (62, items[-1][1]), (63, items[10][1].rsplit(" ", len(items[10][1].split()) // 2)[0])]
     want |= {(62, 1000), (62, 1001)}
     table = spark.createDataFrame(items, "item_id long, text string")
-    for size in (1000, 7):
-        got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), table, shard_items=size).collect()]
+    for size in (10**6, 150):
+        got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), table, postings=size).collect()]
         assert len(got) == len(set(got)) and set(got) == want
     kept = decontaminate.clean(docs(spark, rows), table)
     assert kept.columns == ["doc_id", "text", "x", "score"] and {r.doc_id for r in kept.collect()} == {*range(20), 60, 61, 63}
@@ -254,10 +301,25 @@ def test_scores_do_not_depend_on_shards(spark):
         w = t.split()
         rows.append((i, " ".join(["before"] * r.randrange(60) + w[: len(w) * r.randint(5, 10) // 10] + ["after"] * 20 + [t for t in w if r.random() < 0.6])))
     table = spark.createDataFrame(items, "item_id long, text string")
-    one, many = ({(x.doc_id, x.item_id): (round(x.score, 9), x.question_overlap, x.answer_overlap, x.start_word) for x in decontaminate.contaminated(docs(spark, rows), table, shard_items=n).collect()} for n in (1000, 7))
+    one, many = ({(x.doc_id, x.item_id): (round(x.score, 9), x.question_overlap, x.answer_overlap, x.start_word) for x in decontaminate.contaminated(docs(spark, rows), table, postings=n).collect()} for n in (10**6, 150))
     assert one == many and any(v[0] < 0.95 for v in one.values())
 
 
+def test_long_items_and_benchmarks_of_many_words(spark):
+    """Neither is refused, and an item matches the same, whatever others there are."""
+    own = [(i, " ".join(f"w{i}x{k}" for k in range(80))) for i in range(1000)]
+    short = [(2000, "seven short words make up this item"), (2001, "another item of quite a few short words")]
+    long = [(3000, " ".join(f"long{k}" for k in range(30_000)))]
+    rows = [(i, f"before {t} after") for i, t in own[::100]] + [(5000, short[0][1]), (5001, " ".join(["seven short", *["x"] * 90, "words make", *["y"] * 90, "up this item"])), (5002, long[0][1]), (5003, "x"), (None, short[1][1])]
+    one = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs(spark, rows), spark.createDataFrame(short, "item_id long, text string")).collect()}
+    assert set(one) == {(5000, 2000), (None, 2001)}
+    for size in (10**6, 20_000):
+        got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), spark.createDataFrame(own + short + long, "item_id long, text string"), postings=size).collect()}
+        assert got == {(i, i) for i, _ in own[::100]} | {(5002, 3000)} | set(one)
+        kept = decontaminate.clean(docs(spark, rows), spark.createDataFrame(own + short + long, "item_id long, text string"), postings=size).collect()
+        assert {r.doc_id for r in kept} == {5001, 5003}
+
+
 def test_items_and_answers_of_few_words(spark):
     texts = ["alpha", "bravo carol", "delta echo fox", "golf hotel india jazz", "kilo lima mike nora oscar"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
@@ -317,6 +379,7 @@ def test_sharding_sql(spark):
     cur = con.execute(queries.ORACLE_SQL["op9_sharding"])
     columns = [c[0] for c in cur.description]
     got = queries.QUERIES["op9_sharding"](spark, SF).select(columns).collect()
+    assert len({(r.depth, r.prefix) for r in got}) > 50 and any(r.over_limit and r.page for r in got)
     assert sorted(map(tuple, got)) == sorted(cur.fetchall())
 
 
@@ -334,6 +397,35 @@ def test_round_trip(spark, tmp_path):
     assert media.round_trip(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_appending_and_overwriting(spark, tmp_path):
+    path = str(tmp_path / "m")
+    for k in range(3):
+        media.store(docs(spark, [(k, f"text {k}")]), path)
+    assert sorted(r.id for r in media.load(spark, path).collect()) == [0, 1, 2]
+    media.store(docs(spark, [(7, "other")]), path, overwrite=True)
+    assert [r.id for r in media.load(spark, path).collect()] == [7]
+    assert len(list((tmp_path / "m").glob("*.zip"))) == 1
+    with pytest.raises(Exception, match="no archive was written"):
+        media.load(spark, str(tmp_path / "none")).collect()
+
+
+def test_opening_is_retried(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    media.store(docs(spark, [(k, f"text {k}") for k in range(9)]).coalesce(1), path)
+    reader, whole, calls = media.ArchiveReader({"path": path}), media._Retry._open, []
+    (part,) = reader.partitions()
+
+    def flaky(self):
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("not yet")
+        return whole(self)
+
+    monkeypatch.setattr(media._Retry, "_open", flaky)
+    monkeypatch.setattr(media.time, "sleep", lambda s: None)
+    assert sum(b.num_rows for b in reader.read(part)) == 9 and len(calls) >= 3
+
+
 def test_byte_ranges_and_retries(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "m")
     media.store(docs(spark, [(i, f"text {i} " * 30) for i in range(50)]).coalesce(1), path, archive_bytes=2000)
