@@ -14,12 +14,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import sparql
+from .triples import Graph
 
 RDF_TYPE = sparql.RDF_TYPE
 SUB_CLASS = "http://www.w3.org/2000/01/rdf-schema#subClassOf"
 RESULT = ["focus", "path", "severity", "message", "value"]
 
 
+@dataclass(frozen=True)
+class Term:
+    """An RDF term as a value to compare with: kind, datatype and language count."""
+
+    value: str
+    kind: str = "iri"
+    type: str = ""
+    lang: str = ""
+
+
+def literal(value: str, type: str = sparql.XSD + "string", lang: str = "") -> Term:
+    return Term(value, "literal", type, lang)
+
+
 @dataclass
 class Property:
     """Constraints on the values of a path (a predicate; inverse: towards the focus)."""
@@ -33,9 +48,10 @@ class Property:
     node_kind: str | None = None
     pattern: str | None = None
     min_length: int | None = None
-    in_: list[str] | None = None
-    has_value: str | None = None
+    in_: list[Term] | None = None
+    has_value: Term | None = None
     or_datatypes: list[str] | None = None
+    or_classes: list[str] | None = None
     language_in: list[str] | None = None
     unique_lang: bool = False
     node: "Shape | None" = None
@@ -49,33 +65,40 @@ class Shape:
     target_nodes: list[str] | None = None
     properties: list[Property] = field(default_factory=list)
     pattern: str | None = None
+    node_kind: str | None = None
+    class_: str | None = None
     sparql: list[tuple[str, str]] = field(default_factory=list)  # (message, SELECT with $this)
+    id: str = ""
     severity: str = "Violation"
     message: str = ""
 
 
-def class_closure(triples: DataFrame) -> DataFrame | None:
-    """(sub, super) along rdfs:subClassOf, each class with itself too; None where no class has a superclass."""
-    edges = triples.where(F.col("p") == SUB_CLASS).select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
+def class_closure(triples: Graph | DataFrame) -> DataFrame | None:
+    """(sub, super) along rdfs:subClassOf, without a class itself; None where no class has a superclass."""
+    edges = Graph.of(triples).scan([SUB_CLASS]).select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
     if edges.isEmpty():
         return None
-    classes = triples.where(F.col("p").isin(RDF_TYPE, SUB_CLASS)).select(F.col("o").alias("a")).union(edges.select("a"))
-    return sparql.closure(edges).union(classes.select("a", F.col("a").alias("b"))).distinct().select(F.col("a").alias("sub"), F.col("b").alias("super"))
+    return sparql.closure(edges).distinct().select(F.col("a").alias("sub"), F.col("b").alias("super"))
 
 
-def instances(triples: DataFrame, class_: str, closure: DataFrame | None = None) -> DataFrame:
+#: Classes below one that are told to the scan as constants; more are joined.
+FEW_CLASSES = 200
+
+
+def instances(triples: Graph | DataFrame, class_: str, closure: DataFrame | None = None) -> DataFrame:
     """(node) of a class or of one below it."""
-    typed = triples.where(F.col("p") == RDF_TYPE)
-    if closure is None:
-        return typed.where(F.col("o") == class_).select(F.col("s").alias("node")).distinct()
-    below = closure.where(F.col("super") == class_).select("sub")
-    return typed.join(below, F.col("o") == F.col("sub"), "left_semi").select(F.col("s").alias("node")).distinct()
+    typed = Graph.of(triples).scan([RDF_TYPE])
+    below = [] if closure is None else [r["sub"] for r in closure.where(F.col("super") == class_).select("sub").limit(FEW_CLASSES + 1).collect()]
+    if len(below) <= FEW_CLASSES:
+        return typed.where(F.col("o").isin([class_, *below]) if below else F.col("o") == class_).select(F.col("s").alias("node")).distinct()
+    every = closure.where(F.col("super") == class_).select("sub").union(closure.sparkSession.createDataFrame([(class_,)], "sub string"))
+    return typed.join(every, F.col("o") == F.col("sub"), "left_semi").select(F.col("s").alias("node")).distinct()
 
 
 class Validator:
-    def __init__(self, triples: DataFrame, prefixes: dict[str, str] | None = None, closure: DataFrame | None = None):
-        self.triples, self.prefixes = triples, prefixes or {}
-        self.closure = closure if closure is not None else class_closure(triples)
+    def __init__(self, triples: Graph | DataFrame, prefixes: dict[str, str] | None = None, closure: DataFrame | None = None):
+        self.triples, self.prefixes = Graph.of(triples), prefixes or {}
+        self.closure = closure if closure is not None else class_closure(self.triples)
 
     def focus(self, shape: Shape) -> DataFrame:
         parts = []
@@ -99,19 +122,37 @@ class Validator:
         parts = [self.property(p, focus) for p in shape.properties]
         if shape.pattern:
             parts.append(self.rows(focus.where(~F.col("node").rlike(shape.pattern)), "", shape.severity, shape.message or "pattern", F.col("node")))
+        if shape.node_kind:
+            parts.append(self.rows(focus.where(~self.is_iri(shape.node_kind)), "", shape.severity, shape.message or "nodeKind", F.col("node")))
+        if shape.class_:
+            members = instances(self.triples, shape.class_, self.closure)
+            parts.append(self.rows(focus.join(members, "node", "left_anti"), "", shape.severity, shape.message or "class", F.col("node")))
         parts += [self.select(message, text, focus, shape.severity) for message, text in shape.sparql]
+        if not parts:
+            return self.rows(focus.limit(0), "", shape.severity, "", F.lit(None))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
 
     @staticmethod
-    def rows(df: DataFrame, path: str, severity: str, message: str, value: Column) -> DataFrame:
-        return df.select(F.col("node").alias("focus"), F.lit(path).alias("path"), F.lit(severity).alias("severity"), F.lit(message).alias("message"), F.coalesce(value.cast("string"), F.lit("")).alias("value"))
+    def rows(df: DataFrame, path: str, severity: str, message: str | Column, value: Column) -> DataFrame:
+        said = message if isinstance(message, Column) else F.lit(message)
+        return df.select(F.col("node").alias("focus"), F.lit(path).alias("path"), F.lit(severity).alias("severity"), said.alias("message"), F.coalesce(value.cast("string"), F.lit("")).alias("value"))
+
+    @staticmethod
+    def is_iri(kind: str) -> Column:
+        """Does a node that isn't a literal fit the kind? Names of blank nodes begin with "_:"."""
+        blank = F.startswith(F.col("node"), F.lit("_:"))
+        return (blank & F.lit("Blank" in kind)) | (~blank & F.lit("IRI" in kind))
+
+    @staticmethod
+    def equal(t: Term) -> Column:
+        return (F.col("o") == t.value) & (F.col("o_kind") == t.kind) & (F.lit(t.kind == "iri") | (F.col("o_type") == t.type) & (F.col("o_lang") == t.lang))
 
     def values(self, p: Property, focus: DataFrame) -> DataFrame:
         """(node, o, o_kind, o_type, o_lang) of the path."""
-        t = self.triples.where(F.col("p") == p.path)
+        t = self.triples.scan([p.path])
         if p.inverse:
             t = t.where("o_kind = 'iri'").select(F.col("o").alias("s"), F.col("s").alias("o"), F.lit("iri").alias("o_kind"), F.lit("").alias("o_type"), F.lit("").alias("o_lang"))
         return t.join(focus, t["s"] == focus["node"]).select("node", "o", "o_kind", F.coalesce("o_type", F.lit("")).alias("o_type"), F.coalesce("o_lang", F.lit("")).alias("o_lang"))
@@ -135,20 +176,34 @@ class Validator:
             bad(v.join(members, (F.col("o") == F.col("member")) & ~literal, "left_anti"), "class", F.col("o"))
         if p.datatype:
             bad(v.where(~(literal & (F.col("o_type") == p.datatype))), "datatype", F.col("o"))
-        if p.or_datatypes:
-            bad(v.where(~(literal & F.col("o_type").isin(p.or_datatypes))), "or", F.col("o"))
+        if p.or_datatypes or p.or_classes:
+            rest = v.where(~(literal & F.col("o_type").isin(p.or_datatypes or [])))
+            for c in p.or_classes or []:
+                members = instances(self.triples, c, self.closure).withColumnRenamed("node", "member")
+                rest = rest.join(members, (F.col("o") == F.col("member")) & ~literal, "left_anti")
+            bad(rest, "or", F.col("o"))
         if p.node_kind:
-            bad(v.where(~literal if p.node_kind == "Literal" else literal), "nodeKind", F.col("o"))
+            blank = F.startswith(F.col("o"), F.lit("_:"))
+            fits = F.when(literal, F.lit("Literal" in p.node_kind)).when(blank, F.lit("Blank" in p.node_kind)).otherwise(F.lit("IRI" in p.node_kind))
+            bad(v.where(~fits), "nodeKind", F.col("o"))
         if p.pattern:
             bad(v.where(~F.col("o").rlike(p.pattern)), "pattern", F.col("o"))
         if p.min_length is not None:
             bad(v.where(F.length("o") < p.min_length), "minLength", F.col("o"))
         if p.in_ is not None:
-            bad(v.where(~F.col("o").isin(p.in_)), "in", F.col("o"))
+            among = F.lit(False)
+            for x in p.in_:
+                among = among | self.equal(x)
+            bad(v.where(~among), "in", F.col("o"))
         if p.has_value is not None:
-            bad(focus.join(v.where(F.col("o") == p.has_value).select("node"), "node", "left_anti"), "hasValue", F.lit(None))
+            bad(focus.join(v.where(self.equal(p.has_value)).select("node"), "node", "left_anti"), "hasValue", F.lit(None))
         if p.language_in is not None:
-            bad(v.where(~(literal & F.col("o_lang").isin(p.language_in))), "languageIn", F.col("o"))
+            # a range also admits its regions: "en" fits "en-GB"
+            ranges = [F.lower("o_lang").startswith(x.lower() + "-") | (F.lower("o_lang") == x.lower()) for x in p.language_in]
+            spoken = F.lit(False)
+            for r in ranges:
+                spoken = spoken | r
+            bad(v.where(~(literal & spoken)), "languageIn", F.col("o"))
         if p.unique_lang:
             twice = v.where("o_lang <> ''").groupBy("node", "o_lang").agg(F.count("*").alias("n")).where("n > 1")
             bad(twice, "uniqueLang", F.lit(None))
@@ -163,10 +218,16 @@ class Validator:
         return out
 
     def select(self, message: str, text: str, focus: DataFrame, severity: str) -> DataFrame:
-        """Solutions of a SELECT, with $this joined to the focus set: none is run node by node."""
+        """Solutions of a SELECT, with $this joined to the focus set: none is run node by node. Where no pattern binds $this, each solution holds for each focus node."""
         found = sparql.query(self.triples, text, self.prefixes)
+        if "this" in sparql.variables(sparql.parse(text, self.prefixes).where):
+            joined = found.join(focus, found["this"] == focus["node"])
+        else:
+            joined = found.crossJoin(F.broadcast(focus)) if focus.limit(FEW_CLASSES + 1).count() <= FEW_CLASSES else found.crossJoin(focus)
         value = F.col("value") if "value" in found.columns else F.lit(None)
-        return self.rows(found.join(focus, found["this"] == focus["node"]), "", severity, message, value)
+        # {?value} and {$this} in a message stand for the solution's terms
+        said = F.replace(F.replace(F.lit(message), F.lit("{?value}"), F.coalesce(value.cast("string"), F.lit(""))), F.lit("{$this}"), F.col("node"))
+        return self.rows(joined, "", severity, said, value)
 
 
 def without_dangling(references: DataFrame, properties: DataFrame) -> tuple[DataFrame, DataFrame]:

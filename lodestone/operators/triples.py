@@ -20,29 +20,162 @@ class Emit:
     o: Column
     kind: str = "literal"
     type: str | Column = XSD + "string"
-    lang: str = ""
+    lang: str | Column = ""
     when: Column | None = None
     each: bool = False
+    #: the object, where it is the same for all records, and what all objects begin with
+    const: str | None = None
+    begins: str = ""
 
 
 def iri(p: str, o: Column, **more) -> Emit:
     return Emit(p, o, "iri", "", **more)
 
 
+def a(class_: str, when: Column | None = None) -> Emit:
+    """The records' class."""
+    return Emit(RDF + "type", F.lit(class_), "iri", "", when=when, const=class_)
+
+
+def column(x: str | Column) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
+
+def _struct(t: Emit, value: Column) -> Column:
+    return F.struct(F.lit(t.p).alias("p"), value.cast("string").alias("o"), F.lit(t.kind).alias("o_kind"), column(t.type).alias("o_type"), column(t.lang).alias("o_lang"))
+
+
+def _value(t: Emit) -> Column:
+    return t.o if t.when is None else F.when(t.when, t.o)
+
+
+def _emitted(records: DataFrame, subject: Column, templates: list[Emit]) -> DataFrame:
+    """The triples of the records as a bag, from one scan; a single template needs no array."""
+    if len(templates) == 1 and not templates[0].each:
+        t = templates[0]
+        return records.select(subject.alias("s"), _struct(t, _value(t)).alias("t")).where("s IS NOT NULL AND t.o IS NOT NULL").select("s", "t.*")
+
+    def all_of(t: Emit) -> Column:
+        return F.transform(F.coalesce(_value(t), F.array()), lambda x: _struct(t, x)) if t.each else F.array(_struct(t, _value(t)))
+
+    every = F.filter(F.concat(*map(all_of, templates)), lambda x: x["o"].isNotNull())
+    return records.select(subject.alias("s"), F.explode(every).alias("t")).where("s IS NOT NULL").select("s", "t.*")
+
+
 def project(records: DataFrame, subject: Column, templates: list[Emit]) -> DataFrame:
     """The triples of the records: one scan, one explode, then a set."""
+    return _emitted(records, subject, templates).distinct()
 
-    def one(t: Emit) -> Column:
-        def struct(value: Column) -> Column:
-            kind = t.type if isinstance(t.type, Column) else F.lit(t.type)
-            return F.struct(F.lit(t.p).alias("p"), value.cast("string").alias("o"), F.lit(t.kind).alias("o_kind"), kind.alias("o_type"), F.lit(t.lang).alias("o_lang"))
 
-        value = t.o if t.when is None else F.when(t.when, t.o)
-        return F.transform(F.coalesce(value, F.array()), struct) if t.each else F.array(struct(value))
+# --- graphs that aren't written ------------------------------------------------------------
+@dataclass(frozen=True)
+class View:
+    """Triples that are made of records when they are asked for.
+
+    `kind` names the subjects: views of different kinds have none in common. `key`: each record
+    has a subject of its own."""
+
+    kind: str
+    records: DataFrame
+    subject: Column
+    templates: tuple[Emit, ...]
+    key: bool = True
+    graph: str = ""
 
-    made = [one(t) for t in templates]
-    every = F.filter(F.concat(*made), lambda x: x["o"].isNotNull())
-    return records.select(subject.alias("s"), F.explode(every).alias("t")).where("s IS NOT NULL").select("s", "t.*").distinct()
+    def emits(self, predicates: list[str] | None) -> list[Emit]:
+        return [t for t in self.templates if predicates is None or t.p in predicates]
+
+    def answers(self, p: str, o: str | None) -> list[Emit]:
+        """Templates that may emit this predicate, with this object if one is given."""
+        return [t for t in self.templates if t.p == p and (o is None or t.const in (None, o) and o.startswith(t.begins))]
+
+
+@dataclass(frozen=True)
+class Listed:
+    """Triples whose predicates are numbered: they begin with `prefix`."""
+
+    kind: str
+    triples: DataFrame
+    prefix: str
+    graph: str = ""
+
+
+class Graph:
+    """Views and stored triples as one set of triples.
+
+    A scan makes the triples of the predicates asked for only, from the views that have them,
+    and a set of them only where something could be there twice. `fold` gives a star of
+    predicates on one subject as one projection of its view, without a join."""
+
+    def __init__(self, views: list[View] | None = None, stored: DataFrame | None = None, listed: list[Listed] | None = None):
+        if not views and stored is None:
+            raise ValueError("a graph needs views or stored triples")
+        self.views, self.stored, self.listed = list(views or []), stored, list(listed or [])
+        self.sparkSession = (stored if stored is not None else self.views[0].records).sparkSession
+
+    @staticmethod
+    def of(triples: "Graph | DataFrame") -> "Graph":
+        return triples if isinstance(triples, Graph) else Graph(stored=triples)
+
+    def __add__(self, other: "Graph | DataFrame") -> "Graph":
+        other = Graph.of(other)
+        stored = [x for x in (self.stored, other.stored) if x is not None]
+        return Graph(self.views + other.views, union(*stored) if len(stored) == 2 else stored[0] if stored else None, self.listed + other.listed)
+
+    def scan(self, predicates: list[str] | None = None, graph: str | None = None) -> DataFrame:
+        """(s, p, o, o_kind, o_type, o_lang) of these predicates, of one named graph if asked for."""
+        parts, twice, seen = [], False, set()
+        for v in self.views:
+            templates = v.emits(predicates)
+            if not templates or graph is not None and v.graph != graph:
+                continue
+            parts.append(_emitted(v.records, v.subject, templates))
+            own = [(v.kind, t.p) for t in templates]
+            twice |= not v.key or any(t.each for t in templates) or len(set(own)) < len(own) or bool(seen & set(own))
+            seen |= set(own)
+        for x in self.listed:
+            own = None if predicates is None else [p for p in predicates if p.startswith(x.prefix)]
+            if own == [] or graph is not None and x.graph != graph:
+                continue
+            twice |= any(k == x.kind for k, _ in seen) and own is None
+            parts.append((x.triples if own is None else x.triples.where(F.col("p").isin(own))).select(*COLUMNS))
+        if self.stored is not None:
+            df = self.stored if predicates is None else self.stored.where(F.col("p").isin(predicates) if len(predicates) > 1 else F.col("p") == predicates[0])
+            if graph is not None:
+                df = df.where(F.col("graph") == graph) if "graph" in df.columns else df.limit(0)
+            twice |= bool(parts) or graph is None and "graph" in df.columns
+            parts.append(df.select(*COLUMNS))
+        if not parts:
+            return self.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNS))
+        out = parts[0]
+        for x in parts[1:]:
+            out = out.unionByName(x)
+        return out.distinct() if twice else out
+
+    def graphs(self) -> DataFrame:
+        """(graph): the names of the named graphs."""
+        own = self.sparkSession.createDataFrame([(g,) for g in sorted({v.graph for v in [*self.views, *self.listed] if v.graph})], "graph string")
+        return own.union(self.stored.select("graph").where("graph <> ''").distinct()).distinct() if self.stored is not None and "graph" in self.stored.columns else own
+
+    def fold(self, wanted: list[tuple[str, str | None]]) -> tuple[View, list[int]] | None:
+        """Of a star of (predicate, constant object) on one subject: a view, and which of them it alone can answer, each once."""
+        if self.stored is not None:
+            return None
+
+        def whose(p: str, o: str | None) -> list[View]:
+            return [v for v in self.views if v.answers(p, o)]
+
+        if any(p.startswith(x.prefix) for p, _ in wanted for x in self.listed):
+            return None
+        anchors = [vs[0] for p, o in wanted if len(vs := whose(p, o)) == 1]
+        best: tuple[View, list[int]] | None = None
+        for v in anchors:
+            if not v.key:
+                continue
+            mine = [k for k, (p, o) in enumerate(wanted) if len(found := v.answers(p, o)) == 1 and not found[0].each and not any(w is not v and w.kind == v.kind for w in whose(p, o))]
+            if len(mine) > 1 and (best is None or len(mine) > len(best[1])):
+                best = v, mine
+        return best
 
 
 def union(*views: DataFrame) -> DataFrame:
@@ -53,10 +186,15 @@ def union(*views: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def ordered_list(records: DataFrame, subject: Column, members: Column, kind: str = "iri") -> DataFrame:
-    """An rdf:Seq: members rdf:_1 ... rdf:_n in order."""
+def ordered_members(records: DataFrame, subject: Column, members: Column, kind: str = "iri") -> DataFrame:
+    """The members of a list, rdf:_1 ... rdf:_n in order."""
     rows = records.select(subject.alias("s"), F.posexplode(members).alias("k", "o"))
-    seq = rows.select("s", F.format_string(RDF + "_%d", F.col("k") + 1).alias("p"), F.col("o").cast("string").alias("o"), F.lit(kind).alias("o_kind"), F.lit("" if kind == "iri" else XSD + "string").alias("o_type"), F.lit("").alias("o_lang"))
+    return rows.select("s", F.format_string(RDF + "_%d", F.col("k") + 1).alias("p"), F.col("o").cast("string").alias("o"), F.lit(kind).alias("o_kind"), F.lit("" if kind == "iri" else XSD + "string").alias("o_type"), F.lit("").alias("o_lang"))
+
+
+def ordered_list(records: DataFrame, subject: Column, members: Column, kind: str = "iri") -> DataFrame:
+    """An rdf:Seq: its class and its members."""
+    seq = ordered_members(records, subject, members, kind)
     head = records.where(F.size(members) > 0).select(subject.alias("s"), F.lit(RDF + "type").alias("p"), F.lit(RDF + "Seq").alias("o"), F.lit("iri").alias("o_kind"), F.lit("").alias("o_type"), F.lit("").alias("o_lang"))
     return seq.unionByName(head)
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write df under spark.checkpoint.dir and read it again: lineage is cut, and lost executors cost nothing that is written. The folder is set only where none is."""
+    """Write df under spark.checkpoint.dir and read it again: lineage is cut, and lost executors cost nothing that is written. Where no folder is set, a local master gets a temporary one and a cluster is refused."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = "/tmp/lodestone-checkpoints"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="lodestone-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)

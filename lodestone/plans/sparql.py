@@ -1,4 +1,4 @@
-"""SPARQL SELECT on a table of triples, compiled to DataFrames.
+"""SPARQL SELECT, ASK and CONSTRUCT on a graph of triples, compiled to DataFrames.
 
 text -> tokens -> a small algebra -> DataFrame calls; Catalyst does the rest. A variable is up
 to four columns: its lexical value, and kind, datatype and language where it may be a literal.
@@ -6,25 +6,32 @@ A variable that stands for subjects or predicates is an IRI and needs the value
 on subjects compare one string. Basic graph patterns are ordered before compiling: constant
 terms first, then patterns connected with what is bound, by the counts of their predicates
 where those are given. A pattern that binds nothing new becomes a semi-join; an alternative of
-predicates one scan with IN.
+predicates one scan with IN. Where the graph is made of views of records, only the triples of
+the predicates asked for are made, and a star on one subject is one projection of its records.
 
-Not supported, and refused: joins on a variable that an OPTIONAL may have left unbound (SQL's
-equality isn't SPARQL's compatibility), GRAPH, SERVICE, CONSTRUCT, ASK, blank nodes.
-Transitive paths (+, *) take one predicate.
+EXISTS is Spark's own correlated subquery, wherever it stands; a filter inside may use
+variables from outside. A variable that an OPTIONAL may have left unbound is compatible with
+any value when joined on; without another common variable such a join compares all pairs.
+
+Not supported, and refused: SERVICE, DESCRIBE, blank nodes, variables from outside below the
+first level of an EXISTS. Transitive paths (+, *) take one predicate. Patterns without a common
+variable are multiplied, as SPARQL means it; `product_rows` bounds the smaller side of that.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.triples import Graph, column
 from .shared import stored
 
 XSD = "http://www.w3.org/2001/XMLSchema#"
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+INTEGERS = [XSD + t for t in ("integer", "long", "int", "short", "byte", "positiveInteger", "nonNegativeInteger")]
 NUMERIC = [XSD + t for t in ("integer", "decimal", "double", "float", "long", "int", "short", "byte", "positiveInteger", "nonNegativeInteger")]
 
 
@@ -75,7 +82,7 @@ class Expr:
 
 @dataclass
 class Group:
-    """Elements in order: Triple, ("optional", Group), ("filter", Expr), ("bind", Expr, name), ("union", [Group]), ("minus", Group), ("values", names, rows), ("select", Select), Group."""
+    """Elements in order: Triple, ("optional", Group), ("filter", Expr), ("bind", Expr, name), ("union", [Group]), ("minus", Group), ("values", names, rows), ("select", Select), ("graph", term, Group), Group."""
 
     parts: list
 
@@ -90,6 +97,9 @@ class Select:
     order: list  # (Expr, ascending)
     limit: int | None
     offset: int | None
+    #: "select", "ask" or "construct", and the triples of the last
+    form: str = "select"
+    template: list = field(default_factory=list)
 
 
 # --- text to algebra ----------------------------------------------------------------------
@@ -156,7 +166,19 @@ class Parser:
         while self.word("PREFIX"):
             name = self.take()[1]
             self.prefixes[name.rstrip(":")] = self.take()[1][1:-1]
-        out = self.select()
+        if self.word("ASK"):
+            self.word("WHERE")
+            out = Select([], False, self.group(), [], [], [], 1, None, "ask")
+        elif self.word("CONSTRUCT"):
+            self.need("{")
+            template = []
+            while not self.op("}"):
+                if not self.op("."):
+                    template += self.triples()
+            self.word("WHERE")
+            out = self.modifiers(Select([], False, self.group(), [], [], [], None, None, "construct", template))
+        else:
+            out = self.select()
         if self.peek()[0] != "end":
             raise SparqlError(f"unexpected {self.peek()[1]!r} after the query")
         return out
@@ -180,7 +202,9 @@ class Parser:
             if not items:
                 raise SparqlError("nothing is selected")
         self.word("WHERE")
-        where = self.group()
+        return self.modifiers(Select(items, distinct, self.group(), [], [], [], None, None))
+
+    def modifiers(self, out: Select) -> Select:
         group, having, order, limit, offset = [], [], [], None, None
         if self.word("GROUP"):
             self.need("BY")
@@ -213,7 +237,7 @@ class Parser:
                 limit = int(self.take()[1])
             elif self.word("OFFSET"):
                 offset = int(self.take()[1])
-        return Select(items, distinct, where, group, having, order, limit, offset)
+        return replace(out, group=group, having=having, order=order, limit=limit, offset=offset)
 
     def new(self) -> str:
         self.fresh += 1
@@ -244,8 +268,10 @@ class Parser:
                 self.need(")")
             elif self.word("VALUES"):
                 parts.append(self.values())
-            elif self.word("GRAPH", "SERVICE"):
-                raise SparqlError("GRAPH and SERVICE aren't supported")
+            elif self.word("GRAPH"):
+                parts.append(("graph", self.term(), self.group()))
+            elif self.word("SERVICE"):
+                raise SparqlError("SERVICE isn't supported: nothing is fetched from elsewhere")
             elif self.peek() == ("op", "{"):
                 branches = [self.group()]
                 while self.word("UNION"):
@@ -417,10 +443,12 @@ class Value:
 
 @dataclass
 class Bound:
-    """what: as in Value; maybe: it may be unbound."""
+    """what: as in Value; maybe: it may be unbound; at: what its columns' names begin with, where it belongs to the query around an EXISTS; outer: it is looked at from inside."""
 
     what: str
     maybe: bool = False
+    at: str = ""
+    outer: bool = False
 
 
 @dataclass
@@ -443,8 +471,9 @@ def _c(name: str) -> Column:
 
 
 class Compiler:
-    def __init__(self, triples: DataFrame, counts: dict[str, int] | None = None, depth: int = 0):
-        self.triples, self.counts, self.depth, self.fresh = triples, counts or {}, depth, 0
+    def __init__(self, triples: Graph | DataFrame, counts: dict[str, int] | None = None, depth: int = 0, product_rows: int | None = None):
+        self.triples, self.counts, self.depth, self.fresh, self.product_rows = Graph.of(triples), counts or {}, depth, 0, product_rows
+        self.graph: Iri | Var | None = None  # of the GRAPH around a pattern
 
     def new(self) -> str:
         self.fresh += 1
@@ -457,10 +486,9 @@ class Compiler:
             return self.path(t)
         if isinstance(t.p, Path) and t.p.op == "alt" and any(x.op != "iri" for x in t.p.parts):
             return self.union([Group([Triple(t.s, x, t.o)]) for x in t.p.parts])
-        df, cols, bound = self.triples, [], {}
-        if isinstance(t.p, Path):
-            names = [x.name for x in t.p.parts] or [t.p.name]
-            df = df.where(F.col("p").isin(names) if len(names) > 1 else F.col("p") == names[0])
+        cols, bound = [], {}
+        names = ([x.name for x in t.p.parts] or [t.p.name]) if isinstance(t.p, Path) else [t.p.value] if isinstance(t.p, Iri) else None
+        df = self.triples.scan(names, self.graph.value if isinstance(self.graph, Iri) else None)
         for position, term in (("s", t.s), ("p", t.p), ("o", t.o)):
             if isinstance(term, Path):
                 continue
@@ -496,7 +524,7 @@ class Compiler:
             return Table(out.df.select(*[_c(c) for v in keep for c in _cols(v, out.vars[v])], *([] if keep else [F.lit(1).alias(".one")])), {v: out.vars[v] for v in keep})
         if p.parts[0].op != "iri":
             raise SparqlError("+ and * take a single predicate")
-        edges = self.triples.where((F.col("p") == p.parts[0].name) & (F.col("o_kind") == "iri")).select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
+        edges = self.triples.scan([p.parts[0].name], self.graph.value if isinstance(self.graph, Iri) else None).where(F.col("o_kind") == "iri").select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
         reached = closure(edges, self.depth)
         if p.op == "star":
             nodes = edges.select("a").union(edges.select("b")).distinct()
@@ -521,8 +549,77 @@ class Compiler:
         rows = sum(self.counts.get(x.name, 0) for x in (t.p.parts or [t.p]) if x.op == "iri") if isinstance(t.p, Path) else sum(self.counts.values())
         return bool(bound) and not names & bound, -fixed, rows
 
+    def folded(self, patterns: list[Triple]) -> list:
+        """The patterns, with stars that one view answers as tables of one projection."""
+        if self.graph is not None or not self.triples.views:
+            return patterns
+        out: list = []
+        by: dict[str, list[Triple]] = {}
+        for t in patterns:
+            if isinstance(t.s, Var) and isinstance(t.p, Path) and t.p.op == "iri" and not (isinstance(t.o, Var) and t.o.name == t.s.name):
+                by.setdefault(t.s.name, []).append(t)
+            else:
+                out.append(t)
+        for name, star in by.items():
+            while len(star) > 1:
+                found = self.triples.fold([(t.p.name, t.o.value if isinstance(t.o, Iri) else None) for t in star])
+                if found is None:
+                    break
+                view, which = found
+                objects = [star[k].o.name for k in which if isinstance(star[k].o, Var)]
+                if len(set(objects)) < len(objects):
+                    break
+                out.append(self.star(view, name, [star[k] for k in which]))
+                star = [t for k, t in enumerate(star) if k not in which]
+            out += star
+        return sorted(out, key=lambda x: isinstance(x, Triple))
+
+    def star(self, view, name: str, star: list[Triple]) -> Table:
+        """Patterns on one subject as columns of a view's records: a triple is there where its value is."""
+        cols, bound, keep = [view.subject.alias(name)], {name: Bound("iri")}, [F.col(f"`{name}`").isNotNull()]
+        for k, t in enumerate(star):
+            (e,) = view.answers(t.p.name, t.o.value if isinstance(t.o, Iri) else None)
+            value = (e.o if e.when is None else F.when(e.when, e.o)).cast("string")
+            if isinstance(t.o, Var):
+                n = t.o.name
+                bound[n] = Bound("term")
+                cols += [value.alias(n), F.lit(e.kind).alias(f"{n}|kind"), column(e.type).alias(f"{n}|type"), column(e.lang).alias(f"{n}|lang")]
+                keep.append(_c(n).isNotNull())
+                continue
+            if isinstance(t.o, Iri):
+                fits = (value == t.o.value) & F.lit(e.kind == "iri")
+            else:
+                fits = (value == t.o.value) & F.lit(e.kind == "literal") & (column(e.lang) == t.o.lang)
+                if t.o.type in NUMERIC or t.o.type == XSD + "boolean":
+                    fits = fits & (column(e.type) == t.o.type)
+            if e.const is None or e.when is not None:
+                cols.append(fits.alias(f".f{k}"))
+                keep.append(_c(f".f{k}"))
+        df = view.records.select(*cols)
+        for c in keep:
+            df = df.where(c)
+        return Table(df.select(*[_c(c) for v in bound for c in _cols(v, bound[v])]), bound, bag=False)
+
+    def later(self, out: Table, star: Table, todo: list[Triple]) -> Table:
+        """Two stars without a common variable, joined through patterns that connect them where there are any."""
+        while todo:
+            links = [t for t in todo if {x.name for x in (t.s, t.p, t.o) if isinstance(x, Var)} & set(out.vars)]
+            if not links:
+                break
+            best = min(links, key=lambda t: self.weight(t, set(out.vars)))
+            todo.remove(best)
+            out = self.join(out, self.pattern(best))
+            if set(out.vars) & set(star.vars):
+                break
+        return self.join(out, star)
+
     def bgp(self, patterns: list[Triple], start: Table | None) -> Table:
-        out, todo = start, list(patterns)
+        out, todo = start, []
+        for x in self.folded(list(patterns)):
+            if isinstance(x, Triple):
+                todo.append(x)
+            else:  # a star that is one projection of a view
+                out = x if out is None else self.join(out, x) if set(out.vars) & set(x.vars) else self.later(out, x, todo)
         while todo:
             best = min(todo, key=lambda t: self.weight(t, set(out.vars) if out else set()))
             todo.remove(best)
@@ -530,26 +627,48 @@ class Compiler:
             out = now if out is None else self.join(out, now)
         return out
 
-    def keys(self, a: Table, b: Table, shared: list[str]) -> tuple[DataFrame, list[Column]]:
-        """b with its shared variables renamed, and the conditions of equality."""
+    def keys(self, a: Table, b: Table, shared: list[str], outer: bool = False) -> tuple[DataFrame, list[Column]]:
+        """b with its shared variables renamed, and the conditions of compatibility; with `outer` a is the query around an EXISTS."""
         right, on = b.df, []
         for v in shared:
             x, y = a.vars[v], b.vars[v]
-            if x.maybe or y.maybe:
-                raise SparqlError(f"?{v} may be unbound and can't be joined on")
+            mine = (lambda n, x=x: _c(x.at + n).outer()) if outer else _c
             for c in _cols(v, y):
                 right = right.withColumnRenamed(c, f"{c}|r")
-            on.append(_c(v) == _c(f"{v}|r"))
+            equal = [mine(v) == _c(f"{v}|r")]
             if x.what == y.what == "term":
-                on += [_c(v + s) == _c(f"{v}{s}|r") for s in _SUFFIX[1:]]
+                equal += [mine(v + s) == _c(f"{v}{s}|r") for s in _SUFFIX[1:]]
             elif "term" in (x.what, y.what):
-                kind = _c(f"{v}|kind") if x.what == "term" else _c(f"{v}|kind|r")
+                kind = mine(f"{v}|kind") if x.what == "term" else _c(f"{v}|kind|r")
                 other = (y if x.what == "term" else x).what
-                on.append(kind == ("iri" if other == "iri" else "literal"))
+                equal.append(kind == ("iri" if other == "iri" else "literal"))
+            if x.maybe or y.maybe:  # what is unbound is compatible with anything
+                both = equal[0]
+                for c in equal[1:]:
+                    both = both & c
+                for bound, c in ((x, mine(v)), (y, _c(f"{v}|r"))):
+                    both = both | c.isNull() if bound.maybe else both
+                equal = [both]
+            on += equal
         return right, on
 
+    def widened(self, t: Table, names: list[str]) -> Table:
+        """t with all that is known of these variables in four columns."""
+        df, bound = t.df, dict(t.vars)
+        for v in names:
+            if bound[v].what != "term":
+                value = self.value(Var(v), t)
+                for c, s in zip(self.terms(value), _SUFFIX[1:], strict=True):
+                    df = df.withColumn(v + s, c)
+                df = df.withColumn(v, self.string(value))
+                bound[v] = Bound("term", bound[v].maybe)
+        return Table(df, bound, t.bag)
+
     def join(self, a: Table, b: Table, how: str = "inner") -> Table:
         shared = [v for v in a.vars if v in b.vars]
+        loose = [v for v in shared if a.vars[v].maybe or b.vars[v].maybe]
+        mixed = [v for v in loose if a.vars[v].what != b.vars[v].what]
+        a, b = self.widened(a, mixed), self.widened(b, mixed)
         right, on = self.keys(a, b, shared)
         if not shared and how in ("left_semi", "left_anti"):
             on = [F.lit(True)]
@@ -557,20 +676,23 @@ class Compiler:
         condition = on[0] if on else None
         for c in on[1:]:
             condition = condition & c
-        if how == "inner" and not new and ".one" not in b.df.columns:
+        if how == "inner" and not new and not loose and ".one" not in b.df.columns:
             # a triple matches a bound pattern once; of a bag (a path, a union) each row would count
             if not b.bag:
                 return Table(a.df.join(right, condition, "left_semi"), a.vars)
             joined = a.df.join(right, condition)
             return Table(joined.select(*[_c(c) for v in a.vars for c in _cols(v, a.vars[v])]), a.vars)
         if condition is None:
+            if ".one" not in b.df.columns and self.product_rows is not None and min(t.df.limit(self.product_rows + 1).count() for t in (a, b)) > self.product_rows:
+                raise SparqlError(f"patterns without a common variable: both sides have more than {self.product_rows} rows")
             joined = a.df.crossJoin(F.broadcast(right)) if ".one" in b.df.columns else a.df.crossJoin(right)
         else:
             joined = a.df.join(right, condition, how)
         if how in ("left_semi", "left_anti"):
             return Table(joined, a.vars)
-        keep = [_c(c) for v in a.vars for c in _cols(v, a.vars[v])] + [_c(c) for v in new for c in _cols(v, b.vars[v])]
+        keep = [F.coalesce(_c(c), _c(f"{c}|r")).alias(c) if v in loose else _c(c) for v in a.vars for c in _cols(v, a.vars[v])] + [_c(c) for v in new for c in _cols(v, b.vars[v])]
         bound = a.vars | {v: Bound(b.vars[v].what, b.vars[v].maybe or how == "left") for v in new}
+        bound |= {v: Bound(a.vars[v].what, a.vars[v].maybe and (b.vars[v].maybe or how == "left")) for v in loose}
         # what an IRI-only side knows holds for both
         return Table(joined.select(*keep, *([] if keep else [F.lit(1).alias(".one")])), bound)
 
@@ -610,6 +732,9 @@ class Compiler:
             if isinstance(part, Group):
                 now = self.group(part)
                 out = now if out is None else self.join(out, now)
+            elif part[0] == "graph":
+                now = self.named(part[1], part[2])
+                out = now if out is None else self.join(out, now)
             elif part[0] == "optional":
                 out = self.optional(out or self.unit(), part[1])
             elif part[0] == "union":
@@ -633,6 +758,27 @@ class Compiler:
             out = self.filter(out, e)
         return out
 
+    def named(self, name, g: Group) -> Table:
+        """A group inside one named graph, or inside each in turn, whose name then is a variable."""
+        before = self.graph
+        try:
+            if isinstance(name, Iri):
+                self.graph = name
+                return self.group(g)
+            parts = []
+            for row in self.triples.graphs().collect():  # graphs are few: a handful of files
+                self.graph = Iri(row.graph)
+                t = self.group(g)
+                parts.append(self.join(t, self.inline([name.name], [[Iri(row.graph)]])))
+        finally:
+            self.graph = before
+        if not parts:
+            return Table(self.unit().df.limit(0).withColumn(name.name, F.lit("")), {name.name: Bound("iri")})
+        out = parts[0]
+        for t in parts[1:]:
+            out = Table(out.df.unionByName(t.df), out.vars)
+        return out
+
     def unit(self) -> Table:
         return Table(self.triples.sparkSession.range(1).select(F.lit(1).alias(".one")), {})
 
@@ -670,16 +816,22 @@ class Compiler:
         return Table(df, out.vars | {v: Bound(now.vars[v].what, True) for v in new})
 
     def filter(self, out: Table, e) -> Table:
-        if isinstance(e, Expr) and e.op in ("exists", "notexists"):
-            now = self.group(e.args[0])
-            return self.join(out, now, "left_semi" if e.op == "exists" else "left_anti")
         if isinstance(e, Expr) and e.op == "&&":
             return self.filter(self.filter(out, e.args[0]), e.args[1])
-        return Table(out.df.where(self.boolean(self.value(e, out))), out.vars)
+        if not _asks(e):
+            return Table(out.df.where(self.boolean(self.value(e, out))), out.vars)
+        # inside the subquery no column may be taken for one of this query: they get names of their own
+        at = self.new() + "!"
+        named = out.df.select(*[_c(c).alias(at + c) for c in out.df.columns])
+        around = Table(named, {v: replace(b, at=at) for v, b in out.vars.items()})
+        kept = named.where(self.boolean(self.value(e, around)))
+        return Table(kept.select(*[_c(at + c).alias(c) for c in out.df.columns]), out.vars)
 
     def bind(self, out: Table, e, name: str) -> Table:
         if name in out.vars:
             raise SparqlError(f"?{name} is bound already")
+        if _asks(e):
+            raise SparqlError("EXISTS is supported in FILTER only")
         v = self.value(e, out)
         what = "term" if v.what == "term" else v.what
         bound = Bound(what, True)
@@ -688,6 +840,24 @@ class Compiler:
             df = df.withColumn(n, c)
         return Table(df, out.vars | {name: bound})
 
+    def exists(self, g: Group, out: Table) -> Column:
+        """Is there a solution of the group that fits this row? Filters at the group's first level may use the row's variables."""
+        inner = Group([p for p in g.parts if not (isinstance(p, tuple) and p[0] == "filter")])
+        tests = [p[1] for p in g.parts if isinstance(p, tuple) and p[0] == "filter"]
+        now = self.group(inner)
+        for name in _free(inner) - set(now.vars):
+            if name in out.vars:
+                raise SparqlError(f"?{name} belongs to the query around EXISTS and can't be used below its first level")
+        for e in [e for e in tests if _names(e) <= set(now.vars) or not _names(e) & set(out.vars)]:
+            now = self.filter(now, e)
+        late = [e for e in tests if not (_names(e) <= set(now.vars) or not _names(e) & set(out.vars))]
+        shared = [v for v in out.vars if v in now.vars]
+        right, on = self.keys(out, now, shared, outer=True)
+        both = Table(right, {v: replace(b, outer=True) for v, b in out.vars.items()} | {v: b for v, b in now.vars.items() if v not in out.vars})
+        for c in [*on, *(self.boolean(self.value(e, both)) for e in late)]:
+            right = right.where(c)
+        return right.exists()
+
     # expressions
     def terms(self, v: Value) -> list[Column]:
         """Kind, datatype and language of a value; null where it is unbound."""
@@ -728,7 +898,9 @@ class Compiler:
             if op in ("=", "!="):
                 alike = (a.col == b.col) & (a.kind == b.kind) & (a.lang == b.lang)
                 same = alike if op == "=" else ~alike
-            return F.when(numbers, apply(a.col.try_cast("double"), b.col.try_cast("double"))).otherwise(same)
+            exact = F.when(numbers, apply(a.col.try_cast("double"), b.col.try_cast("double")))
+            # a number and something else have no order
+            return exact.otherwise(same) if op in ("=", "!=") else exact.when(~a.type.isin(NUMERIC) & ~b.type.isin(NUMERIC), same)
         if "iri" in (a.what, b.what) and "term" in (a.what, b.what) and op in ("=", "!="):
             t = a if a.what == "term" else b
             alike = (a.col == b.col) & (t.kind == "iri")
@@ -740,9 +912,10 @@ class Compiler:
             bound = t.vars.get(e.name)
             if bound is None:
                 return Value("string", F.lit(None).cast("string"))
+            mine = (lambda n: _c(bound.at + n).outer()) if bound.outer else lambda n: _c(bound.at + n)
             if bound.what == "term":
-                return Value("term", *(_c(e.name + s) for s in _SUFFIX))
-            return Value(bound.what, _c(e.name))
+                return Value("term", *(mine(e.name + s) for s in _SUFFIX))
+            return Value(bound.what, mine(e.name))
         if isinstance(e, Iri):
             return Value("iri", F.lit(e.value))
         if isinstance(e, Literal):
@@ -755,7 +928,8 @@ class Compiler:
             return Value("string", F.lit(e.value))
         op = e.op
         if op in ("exists", "notexists"):
-            raise SparqlError("EXISTS stands alone in a FILTER")
+            found = self.exists(e.args[0], t)
+            return Value("boolean", found if op == "exists" else ~found)
         v = [self.value(a, t) for a in e.args]
         if op in ("&&", "||"):
             a, b = map(self.boolean, v)
@@ -843,6 +1017,13 @@ class Compiler:
             return F.coalesce(joined, F.lit("")), "string"
         if e.op in ("SUM", "AVG"):
             n = self.number(v)
+            if e.op == "SUM" and v.what == "term":
+                # of integers an integer, else a double; what isn't a number makes no sum of the others wrong
+                whole = F.coalesce(F.bool_and(F.when(n.isNotNull(), v.type.isin(INTEGERS))), F.lit(True))
+                add = F.sum_distinct if distinct else F.sum
+                exact = F.coalesce(add(F.when(v.type.isin(INTEGERS), v.col.try_cast("bigint"))), F.lit(0)).cast("string")
+                total = F.when(whole, exact).otherwise(F.coalesce(add(n), F.lit(0.0)).cast("string"))
+                return F.struct(total.alias("v"), F.when(whole, XSD + "integer").otherwise(XSD + "double").alias("t")), "sum"
             if e.op == "SUM":
                 return F.coalesce((F.sum_distinct if distinct else F.sum)(n), F.lit(0)), "number"
             return (F.try_divide(F.sum_distinct(n), F.count_distinct(n)) if distinct else F.avg(n)), "number"
@@ -887,7 +1068,10 @@ class Compiler:
         columns = [_c(c) for v in keys for c in _cols(v, t.vars[v])]
         aggs = [c.alias(n) for n, (c, _) in found.items()] or [F.count(F.lit(1)).alias(".n")]
         df = t.df.groupBy(*columns).agg(*aggs)
-        out = Table(df, {v: t.vars[v] for v in keys} | {n: Bound(what, True) for n, (_, what) in found.items()})
+        for n, (_, what) in found.items():
+            if what == "sum":
+                df = df.withColumn(f"{n}|kind", F.lit("literal")).withColumn(f"{n}|type", _c(n)["t"]).withColumn(f"{n}|lang", F.lit("")).withColumn(n, _c(n)["v"])
+        out = Table(df, {v: t.vars[v] for v in keys} | {n: Bound("term" if what == "sum" else what, True) for n, (_, what) in found.items()})
         for e, name in items:
             if isinstance(e, Var) and e.name == name:
                 if name not in out.vars:
@@ -926,8 +1110,44 @@ def _aggregates(e) -> bool:
     return isinstance(e, Expr) and (e.op in _AGGREGATES or any(map(_aggregates, e.args)))
 
 
+def _asks(e) -> bool:
+    """Is there an EXISTS in an expression?"""
+    return isinstance(e, Expr) and (e.op in ("exists", "notexists") or any(map(_asks, e.args)))
+
+
 def _names(e) -> set[str]:
-    return {e.name} if isinstance(e, Var) else set().union(*map(_names, e.args)) if isinstance(e, Expr) else set()
+    """Variables of an expression; of an EXISTS in it those that it takes from outside or shares."""
+    return {e.name} if isinstance(e, Var) else _free(e) if isinstance(e, Group) else set().union(*map(_names, e.args)) if isinstance(e, Expr) else set()
+
+
+def variables(g: Group) -> set[str]:
+    """Variables that a group's patterns bind, at any depth."""
+    out: set[str] = set()
+    for p in g.parts:
+        if isinstance(p, Triple):
+            out |= {x.name for x in (p.s, p.p, p.o) if isinstance(x, Var)}
+        elif isinstance(p, Group):
+            out |= variables(p)
+        elif p[0] in ("bind", "values"):
+            out |= {p[2]} if p[0] == "bind" else set(p[1])
+        elif p[0] == "select":
+            out |= {n for _, n in p[1].items} or variables(p[1].where)
+        elif p[0] in ("optional", "graph", "union"):
+            for x in p[1] if p[0] == "union" else p[-1:]:
+                out |= variables(x)
+    return out
+
+
+def _free(g: Group) -> set[str]:
+    """Variables that filters and expressions of a group use, at any depth."""
+    out: set[str] = set()
+    for p in g.parts:
+        if isinstance(p, Group):
+            out |= _free(p)
+        elif isinstance(p, tuple):
+            for x in p[1:]:
+                out |= _free(x) if isinstance(x, Group) else set().union(*map(_free, x)) if isinstance(x, list) and x and isinstance(x[0], Group) else _names(x) if isinstance(x, Expr) else set()
+    return out
 
 
 def closure(edges: DataFrame, depth: int = 0) -> DataFrame:
@@ -947,12 +1167,40 @@ def closure(edges: DataFrame, depth: int = 0) -> DataFrame:
     return known
 
 
+def constructed(compiler: Compiler, q: Select) -> DataFrame:
+    """The template's triples for each solution, where all of their terms are bound and fit their places."""
+    t = compiler.modify(q, compiler.group(q.where))
+
+    def columns(x) -> list[Column]:
+        if isinstance(x, Path):
+            x = Iri(x.name)
+        if isinstance(x, Literal):
+            return [F.lit(x.value), F.lit("literal"), F.lit(x.type), F.lit(x.lang)]
+        v = compiler.value(x, t)
+        return [compiler.string(v), *compiler.terms(v)]
+
+    out = None
+    for triple in q.template:
+        (s, s_kind, *_), (p, p_kind, *_), o = (columns(x) for x in (triple.s, triple.p, triple.o))
+        part = t.df.where((s_kind == "iri") & (p_kind == "iri") & o[0].isNotNull()).select(s.alias("s"), p.alias("p"), *[c.alias(n) for c, n in zip(o, ("o", "o_kind", "o_type", "o_lang"), strict=True)])
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
 def parse(text: str, prefixes: dict[str, str] | None = None) -> Select:
     return Parser(text, prefixes).query()
 
 
-def query(triples: DataFrame, text: str, prefixes: dict[str, str] | None = None, counts: dict[str, int] | None = None, as_strings: bool = False) -> DataFrame:
-    """Run a SELECT on (s, p, o, o_kind, o_type, o_lang). Values keep their types; with `as_strings` all are text."""
-    t = Compiler(triples, counts).select(parse(text, prefixes))
+def query(triples: Graph | DataFrame, text: str, prefixes: dict[str, str] | None = None, counts: dict[str, int] | None = None, as_strings: bool = False, product_rows: int | None = None) -> DataFrame:
+    """Run a text on a Graph, or on triples (s, p, o, o_kind, o_type, o_lang, and `graph` where GRAPH is used).
+
+    SELECT gives a column for each variable; values keep their types, with `as_strings` all are
+    text. ASK gives one row (answer: boolean), CONSTRUCT a set of triples."""
+    q, compiler = parse(text, prefixes), Compiler(triples, counts, product_rows=product_rows)
+    if q.form == "ask":
+        return compiler.group(q.where).df.limit(1).agg((F.count("*") > 0).alias("answer"))
+    if q.form == "construct":
+        return constructed(compiler, q)
+    t = compiler.select(q)
     cols = [_c(v).cast("string").alias(v) if as_strings else _c(v) for v in t.vars]
     return t.df.select(*cols)

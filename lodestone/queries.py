@@ -43,10 +43,10 @@ def node(kind: str, key: str) -> F.Column:
 
 
 # --- the graph of the tables --------------------------------------------------------------
-def graph(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    """Triples of the named tables."""
+def graph(spark: SparkSession, sf_dir: str, *names: str) -> triples.Graph:
+    """Triples of the named tables, made when they are asked for."""
     e, iri = triples.Emit, triples.iri
-    a = lambda c: iri(sparql.RDF_TYPE, F.lit(BASE + c))
+    a = lambda c: triples.a(BASE + c)
     p = lambda n: BASE + n
     number = XSD + "double"
     made = {
@@ -55,17 +55,20 @@ def graph(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
         "customer": ("customer", "c_custkey", [a("Customer"), e(p("name"), F.col("c_name")), e(p("segment"), F.col("c_mktsegment")), e(p("balance"), F.col("c_acctbal"), type=number), iri(p("nation"), F.concat(F.lit(BASE + "nation/"), F.col("c_nationkey").cast("string")))]),
         "supplier": ("supplier", "s_suppkey", [a("Supplier"), e(p("name"), F.col("s_name")), iri(p("base"), F.concat(F.lit(BASE + "nation/"), F.col("s_nationkey").cast("string")))]),
         "orders": ("order", "o_orderkey", [a("Order"), e(p("status"), F.col("o_orderstatus")), e(p("priority"), F.col("o_orderpriority")), e(p("date"), F.date_format("o_orderdate", "yyyy-MM-dd"), type=XSD + "date"), e(p("price"), F.col("o_totalprice"), type=number), iri(p("customer"), F.concat(F.lit(BASE + "customer/"), F.col("o_custkey").cast("string")))]),
+        "lineitem": ("order", "l_orderkey", [e(p("part"), F.col("l_partkey"), type=XSD + "integer")]),
+        "items": ("item", "item", [iri(p("order"), F.concat(F.lit(BASE + "order/"), F.col("l_orderkey").cast("string"))), e(p("number"), F.col("l_partkey"), type=XSD + "integer"), e(p("quantity"), F.col("l_quantity"), type=number)]),
+        "events": ("event", "event_id", [a("Event"), e(p("kind"), F.col("event_type")), e(p("time"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), type=XSD + "dateTime"), iri(p("user"), F.concat(F.lit(BASE + "customer/"), F.col("user_id").cast("string")))]),
         "documents": ("doc", "doc_id", [a("Document"), e(p("language"), F.col("lang")), e(p("source"), F.col("source")), e(p("size"), F.col("n_chars"), type=XSD + "nonNegativeInteger")]),
         "labels": ("doc", "doc_id", [e(p("quality"), F.col("quality"), type=XSD + "integer"), e(p("toxic"), F.col("toxic"), type=XSD + "integer")]),
     }
-    parts = []
+    views = []
     for name in names:
         kind, key, templates = made[name]
-        parts.append(triples.project(table(spark, sf_dir, name), node(kind, key), templates))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)  # their subjects differ, or their predicates
-    return out
+        records = table(spark, sf_dir, "lineitem" if name == "items" else name)
+        if name == "items":
+            records = records.withColumn("item", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+        views.append(triples.View(kind, records, node(kind, key), tuple(templates), key=name != "lineitem"))
+    return triples.Graph(views)
 
 
 def ask(spark: SparkSession, sf_dir: str, names: list[str], text: str) -> DataFrame:
@@ -111,9 +114,8 @@ def people_alternation(spark, sf_dir):
 @register("SELECT a.l_partkey AS a, b.l_partkey AS b, count(DISTINCT a.l_orderkey) AS n FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey GROUP BY 1, 2 HAVING count(DISTINCT a.l_orderkey) > 1")
 def coauthors(spark, sf_dir):
     """Pairs that share an order, each once: self-join with inequality and HAVING."""
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    a, b = items.withColumnRenamed("l_partkey", "a"), items.withColumnRenamed("l_partkey", "b")
-    return a.join(b, "l_orderkey").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    out = sparql.query(graph(spark, sf_dir, "lineitem"), "SELECT ?a ?b (COUNT(DISTINCT ?o) AS ?n) WHERE { ?o x:part ?a, ?b FILTER(?a < ?b) } GROUP BY ?a ?b HAVING (COUNT(DISTINCT ?o) > 1)", PREFIXES)
+    return out.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), "n")
 
 
 @register("SELECT CASE WHEN lang = 'en' THEN 'English' WHEN lang = 'de' THEN 'German' ELSE coalesce(lang, '-') END AS language, count(DISTINCT doc_id) AS n, sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END)::BIGINT AS flagged FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
@@ -126,8 +128,8 @@ def languages(spark, sf_dir):
 @register("SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, count(DISTINCT event_type) AS kinds, count(c_custkey) AS known FROM events LEFT JOIN customer ON user_id = c_custkey GROUP BY 1, 2")
 def events_places(spark, sf_dir):
     """Events by user and day, with what is optionally known of the user."""
-    e, c = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer").select("c_custkey")
-    return e.join(c, e["user_id"] == c["c_custkey"], "left").groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"), F.count_distinct("event_type").alias("kinds"), F.count("c_custkey").alias("known"))
+    text = "SELECT ?user ?day (COUNT(?e) AS ?n) (COUNT(DISTINCT ?k) AS ?kinds) (COUNT(?s) AS ?known) WHERE { ?e a x:Event ; x:kind ?k ; x:time ?t ; x:user ?user OPTIONAL { ?user x:segment ?s } BIND(SUBSTR(STR(?t), 1, 10) AS ?day) } GROUP BY ?user ?day"
+    return ask(spark, sf_dir, ["events", "customer"], text).select(F.substring_index("user", "/", -1).cast("long").alias("user_id"), "day", "n", "kinds", "known")
 
 
 @register("SELECT 'http://example.org/order/' || o_orderkey AS o, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders ORDER BY strftime(o_orderdate, '%Y-%m-%d') DESC, 'http://example.org/order/' || o_orderkey LIMIT 200")
@@ -143,12 +145,11 @@ def bytes_round(spark, sf_dir):
     return out.select("source", "n", F.col("size").cast("double").alias("size"))
 
 
-@register("SELECT c_name AS name, o_orderpriority AS priority, l_partkey AS part FROM customer LEFT JOIN (orders JOIN lineitem ON l_orderkey = o_orderkey AND l_quantity > 45) ON o_custkey = c_custkey AND o_totalprice > 300000")
+@register("SELECT c_name AS name, o_orderpriority AS priority, l_partkey AS part FROM customer LEFT JOIN (orders JOIN lineitem ON l_orderkey = o_orderkey) ON o_custkey = c_custkey")
 def optional_group(spark, sf_dir):
-    """An OPTIONAL of two patterns: left join to an inner join."""
-    c, o, l = (table(spark, sf_dir, n) for n in ("customer", "orders", "lineitem"))
-    inner = o.where("o_totalprice > 300000").join(l.where("l_quantity > 45"), F.col("o_orderkey") == F.col("l_orderkey"))
-    return c.join(inner, F.col("c_custkey") == F.col("o_custkey"), "left").select(F.col("c_name").alias("name"), F.col("o_orderpriority").alias("priority"), F.col("l_partkey").alias("part"))
+    """An OPTIONAL of several patterns: left join to an inner join."""
+    out = ask(spark, sf_dir, ["customer", "orders", "items"], "SELECT ?name ?priority ?part WHERE { ?c a x:Customer ; x:name ?name OPTIONAL { ?o x:customer ?c ; x:priority ?priority . ?i x:order ?o ; x:number ?part } }")
+    return out.select("name", "priority", F.col("part").cast("long").alias("part"))
 
 
 @register("SELECT 'http://example.org/customer/' || c_custkey AS c FROM customer WHERE c_acctbal < 0 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
@@ -157,17 +158,35 @@ def sparql_exists(spark, sf_dir):
     return ask(spark, sf_dir, ["customer", "orders"], "SELECT ?c WHERE { ?c a x:Customer ; x:balance ?b FILTER(?b < 0) FILTER NOT EXISTS { ?o x:customer ?c ; x:status 'F' } FILTER EXISTS { ?u x:customer ?c ; x:priority '1-URGENT' } }")
 
 
+@register("SELECT c_nationkey AS nation, count(*) AS n FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 20 * c.c_acctbal) GROUP BY 1")
+def sparql_exists_correlated(spark, sf_dir):
+    """NOT EXISTS whose filter compares with a variable from outside."""
+    out = ask(spark, sf_dir, ["customer", "orders"], "SELECT ?nation (COUNT(?c) AS ?n) WHERE { ?c a x:Customer ; x:balance ?b ; x:nation ?nation FILTER NOT EXISTS { ?o x:customer ?c ; x:price ?p FILTER(?p > 20 * ?b) } } GROUP BY ?nation")
+    return out.select(F.substring_index("nation", "/", -1).cast("long").alias("nation"), "n")
+
+
+@register("SELECT 'http://example.org/customer/' || c_custkey AS c FROM customer WHERE c_acctbal > 9000 OR EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
+def sparql_exists_or(spark, sf_dir):
+    """EXISTS as one side of an OR."""
+    return ask(spark, sf_dir, ["customer", "orders"], "SELECT ?c WHERE { ?c a x:Customer ; x:balance ?b FILTER(?b > 9000 || EXISTS { ?o x:customer ?c ; x:status 'P' }) }")
+
+
+@register("SELECT c_mktsegment AS segment, n_name AS place FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey = 1 WHERE c_acctbal > 9900")
+def sparql_optional_region(spark, sf_dir):
+    """A filter inside OPTIONAL: what doesn't fit stays unbound."""
+    return ask(spark, sf_dir, ["customer", "nation"], "SELECT ?segment ?place WHERE { ?c x:segment ?segment ; x:balance ?b ; x:nation ?k OPTIONAL { ?k x:name ?place ; x:region <http://example.org/region/1> } FILTER(?b > 9900) }")
+
+
 @register("SELECT DISTINCT n_name AS name FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name IN ('ASIA', 'EUROPE')) AND n_nationkey IN (SELECT s_nationkey FROM supplier) UNION SELECT r_name FROM region WHERE r_name IN ('ASIA', 'EUROPE')")
 def sparql_union_values(spark, sf_dir):
     """UNION, VALUES, DISTINCT and a subselect."""
     return ask(spark, sf_dir, ["nation", "region", "supplier"], "SELECT DISTINCT ?name WHERE { VALUES ?r { 'ASIA' 'EUROPE' } ?g x:name ?r { SELECT ?g ?name WHERE { { ?g a x:Region ; x:name ?name } UNION { ?k x:region ?g ; x:name ?name . ?s x:base ?k } } } }")
 
 
-@register("SELECT 'http://example.org/nation/' || n_nationkey AS k FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey <= 40) ORDER BY 1 LIMIT 10 OFFSET 2")
+@register("SELECT 'http://example.org/customer/' || c_custkey AS c FROM customer WHERE c_mktsegment <> 'BUILDING' ORDER BY 1 LIMIT 10 OFFSET 2")
 def sparql_minus(spark, sf_dir):
     """MINUS, ORDER BY, LIMIT and OFFSET."""
-    t = graph(spark, sf_dir, "nation").unionByName(triples.project(table(spark, sf_dir, "supplier").where("s_suppkey <= 40"), node("supplier", "s_suppkey"), [triples.iri(BASE + "base", F.concat(F.lit(BASE + "nation/"), F.col("s_nationkey").cast("string")))]))
-    return sparql.query(t, "SELECT ?k WHERE { ?k a x:Nation MINUS { ?s x:base ?k } } ORDER BY ?k LIMIT 10 OFFSET 2", PREFIXES)
+    return ask(spark, sf_dir, ["customer"], "SELECT ?c WHERE { ?c a x:Customer MINUS { ?c x:segment 'BUILDING' } } ORDER BY ?c LIMIT 10 OFFSET 2")
 
 
 @register("SELECT c_mktsegment AS segment, min(c_acctbal) AS least, max(c_acctbal) AS most, round(avg(c_acctbal) * count(*), 2) AS total FROM customer GROUP BY 1")
@@ -217,12 +236,15 @@ def text_search(spark, sf_dir):
     return facets.search(indexed(spark, sf_dir), "  Éllè ment").select("doc_id")
 
 
-@register("SELECT facet AS key, n AS left_value, n AS right_value FROM (SELECT '' AS facet, 0::BIGINT AS n) WHERE false")
+@register("""SELECT key, l.n AS left_value, r.n AS right_value FROM (SELECT source AS key, count(*) AS n FROM documents WHERE length(text) > 300 GROUP BY 1) l
+FULL JOIN (SELECT lang AS key, count(*) AS n FROM documents GROUP BY 1 UNION ALL SELECT source, count(*) FROM documents GROUP BY 1) r USING (key) WHERE l.n IS DISTINCT FROM r.n""")
 def crosscheck_diff(spark, sf_dir):
-    """Counts by two routes, the graph and the facets: nothing may differ."""
-    g = ask(spark, sf_dir, ["documents"], "SELECT ?key (COUNT(DISTINCT ?d) AS ?n) WHERE { ?d a x:Document ; x:language ?key } GROUP BY ?key")
-    f = facets.counts(indexed(spark, sf_dir)).where("facet = 'lang'").select(F.col("value").alias("key"), "n")
-    return checks.crosscheck(g, f)
+    """Counts by two routes, the graph of longer documents and the facets of all: keys that differ, or that one side lacks."""
+    long = table(spark, sf_dir, "documents").where(F.length("text") > 300)
+    g = triples.Graph([triples.View("doc", long, node("doc", "doc_id"), (triples.a(BASE + "Document"), triples.Emit(BASE + "source", F.col("source"))))])
+    counted = sparql.query(g, "SELECT ?key (COUNT(DISTINCT ?d) AS ?n) WHERE { ?d a x:Document ; x:source ?key } GROUP BY ?key", PREFIXES)
+    f = facets.counts(indexed(spark, sf_dir)).where("facet IN ('lang', 'source')").select(F.col("value").alias("key"), "n")
+    return checks.crosscheck(counted, f)
 
 
 # --- joins and sets -----------------------------------------------------------------------
@@ -234,12 +256,15 @@ def missing_on_map(spark, sf_dir):
 
 @register("SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier")
 def index_union(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).union(table(spark, sf_dir, "supplier").select("s_nationkey")).distinct()
+    """The union of two graphs as a set: nations that either names."""
+    g = lambda name, key: triples.project(table(spark, sf_dir, name), node("nation", key), [triples.a(BASE + "Nation"), triples.Emit(BASE + "key", F.col(key), type=XSD + "integer")])
+    return triples.union(g("customer", "c_nationkey"), g("supplier", "s_nationkey")).where(F.col("p") == BASE + "key").select(F.col("o").cast("long").alias("k"))
 
 
-@register("SELECT user_id AS k FROM events EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 400000")
+@register("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
 def set_diff(spark, sf_dir):
-    return checks.lost(table(spark, sf_dir, "events").select(F.col("user_id").alias("k")), table(spark, sf_dir, "orders").where("o_totalprice > 400000").select("o_custkey"))
+    """Customers that no order names."""
+    return checks.lost(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select("o_custkey"))
 
 
 @register("SELECT trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS title, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -306,11 +331,12 @@ def person_match(spark, sf_dir):
     return resolve.match_persons(people, known, known.select("orcid", "family"))[0].select("id", F.col("orcid").alias("k"))
 
 
-@register(
-    "SELECT lang, CASE WHEN de > en AND de >= 2 THEN 'de' WHEN en > de AND en >= 1 THEN 'en' END AS guess, count(*) AS n FROM (SELECT lang, len(list_filter(w, lambda x: list_contains(['"
-    + "','".join(T.GERMAN_WORDS) + "'], x))) + 2 * len(regexp_extract_all(t, '[äöüß]')) AS de, len(list_filter(w, lambda x: list_contains(['" + "','".join(T.ENGLISH_WORDS)
-    + "'], x))) AS en FROM (SELECT lang, lower(text) AS t, regexp_extract_all(lower(text), '[a-zäöüß]+') AS w FROM documents)) GROUP BY 1, 2"
-)
+@register("""WITH de(w) AS (VALUES ('der'), ('die'), ('das'), ('und'), ('mit'), ('von'), ('für'), ('im'), ('in'), ('zur'), ('zum'), ('den'), ('dem'), ('des'), ('ein'), ('eine'), ('einer'), ('auf'), ('über'), ('zwischen'), ('bei'), ('als'), ('wie'), ('oder'), ('nach'), ('aus'), ('am'), ('vom'), ('ist'), ('sind'), ('neue'), ('digitale'), ('daten')),
+en(w) AS (VALUES ('the'), ('and'), ('of'), ('for'), ('with'), ('to'), ('in'), ('on'), ('a'), ('an'), ('from'), ('by'), ('as'), ('how'), ('using'), ('into'), ('towards'), ('between'), ('is'), ('are'), ('new'), ('data')),
+t AS (SELECT doc_id, lang, lower(text) AS t FROM documents), words AS (SELECT doc_id, unnest(regexp_extract_all(t, '[a-zäöüß]+')) AS w FROM t),
+n AS (SELECT doc_id, count(*) FILTER (w IN (SELECT w FROM de)) AS de, count(*) FILTER (w IN (SELECT w FROM en)) AS en FROM words GROUP BY 1),
+g AS (SELECT lang, coalesce(de, 0) + 2 * len(regexp_extract_all(t, '[äöüß]')) AS de, coalesce(en, 0) AS en FROM t LEFT JOIN n USING (doc_id))
+SELECT lang, CASE WHEN de > en AND de >= 2 THEN 'de' WHEN en > de AND en >= 1 THEN 'en' END AS guess, count(*) AS n FROM g GROUP BY 1, 2""")
 def guess_language(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("lang", T.guess_language(F.col("text")).alias("guess")).agg(F.count("*").alias("n"))
 
@@ -350,13 +376,12 @@ def next_numbers(spark, sf_dir):
 
 
 # --- constraints --------------------------------------------------------------------------
-def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = graph(spark, sf_dir, "orders", "customer")
-    l = triples.project(table(spark, sf_dir, "lineitem"), node("order", "l_orderkey"), [triples.iri(BASE + "item", F.concat(F.lit(BASE + "item/"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string")))])
-    return o.unionByName(l)
+def orders_with_items(spark: SparkSession, sf_dir: str) -> triples.Graph:
+    item = triples.iri(BASE + "item", F.concat(F.lit(BASE + "item/"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string")))
+    return graph(spark, sf_dir, "orders", "customer") + triples.Graph([triples.View("order", table(spark, sf_dir, "lineitem"), node("order", "l_orderkey"), (item,), key=False)])
 
 
-def violations(spark, sf_dir, prop: shacl.Property, target: str = "Order", data: DataFrame | None = None) -> DataFrame:
+def violations(spark, sf_dir, prop: shacl.Property, target: str = "Order", data: triples.Graph | None = None) -> DataFrame:
     t = data if data is not None else graph(spark, sf_dir, "orders", "customer", "documents", "labels")
     return shacl.Validator(t, PREFIXES).validate([shacl.Shape(target_class=BASE + target, properties=[prop])]).select("focus", "message", "value")
 
@@ -381,12 +406,12 @@ def shacl_pattern(spark, sf_dir):
 
 @register(_V.format(key="o_orderkey", message="in", value="o_orderstatus", rest="orders WHERE o_orderstatus NOT IN ('F', 'O')"))
 def shacl_in(spark, sf_dir):
-    return violations(spark, sf_dir, shacl.Property(BASE + "status", in_=["F", "O"]))
+    return violations(spark, sf_dir, shacl.Property(BASE + "status", in_=[shacl.literal("F"), shacl.literal("O")]))
 
 
 @register(_V.format(key="o_orderkey", message="hasValue", value="''", rest="orders WHERE o_orderstatus <> 'F'"))
 def shacl_hasvalue(spark, sf_dir):
-    return violations(spark, sf_dir, shacl.Property(BASE + "status", has_value="F"))
+    return violations(spark, sf_dir, shacl.Property(BASE + "status", has_value=shacl.literal("F")))
 
 
 @register(_V.format(key="o_orderkey", message="class", value="'http://example.org/customer/' || o_custkey", rest="orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"))
@@ -394,7 +419,7 @@ def shacl_class(spark, sf_dir):
     """The class is checked along rdfs:subClassOf."""
     c = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
     sub = spark.createDataFrame([(BASE + "Builder", shacl.SUB_CLASS, BASE + "Buyer", "iri", "", "")], "s string, p string, o string, o_kind string, o_type string, o_lang string")
-    t = graph(spark, sf_dir, "orders").unionByName(triples.project(c, node("customer", "c_custkey"), [triples.iri(sparql.RDF_TYPE, F.lit(BASE + "Builder"))])).unionByName(sub)
+    t = graph(spark, sf_dir, "orders") + triples.Graph([triples.View("customer", c, node("customer", "c_custkey"), (triples.a(BASE + "Builder"),))]) + sub
     return violations(spark, sf_dir, shacl.Property(BASE + "customer", class_=BASE + "Buyer"), data=t)
 
 
@@ -408,8 +433,60 @@ def shacl_uniquelang(spark, sf_dir):
     """Two names in one language."""
     d = table(spark, sf_dir, "documents")
     l = table(spark, sf_dir, "labels").where("toxic = 1")
-    tagged = lambda f, t: triples.project(f, node("doc", "doc_id"), [triples.Emit(BASE + "label", F.lit(t), type=triples.RDF + "langString", lang="en")])
-    return violations(spark, sf_dir, shacl.Property(BASE + "label", unique_lang=True), "Document", graph(spark, sf_dir, "documents").unionByName(tagged(d, "one")).unionByName(tagged(l, "two")))
+    tagged = lambda f, t: triples.Graph([triples.View("doc", f, node("doc", "doc_id"), (triples.Emit(BASE + "label", F.lit(t), type=triples.RDF + "langString", lang="en"),))])
+    return violations(spark, sf_dir, shacl.Property(BASE + "label", unique_lang=True), "Document", graph(spark, sf_dir, "documents") + tagged(d, "one") + tagged(l, "two"))
+
+
+@register(_V.format(key="o_orderkey", message="nodeKind", value="'http://example.org/customer/' || o_custkey", rest="orders"))
+def shacl_nodekind(spark, sf_dir):
+    return violations(spark, sf_dir, shacl.Property(BASE + "customer", node_kind="Literal"))
+
+
+@register(_V.format(key="o_orderkey", message="minLength", value="o_orderpriority", rest="orders WHERE length(o_orderpriority) < 6"))
+def shacl_minlength(spark, sf_dir):
+    return violations(spark, sf_dir, shacl.Property(BASE + "priority", min_length=6))
+
+
+@register(_V.format(key="o_orderkey", message="or", value="o_orderpriority", rest="orders"))
+def shacl_or(spark, sf_dir):
+    """A value of one of several datatypes."""
+    return violations(spark, sf_dir, shacl.Property(BASE + "priority", or_datatypes=[XSD + "date", XSD + "gYear"]))
+
+
+@register(_V.format(key="o_orderkey", message="node", value="'http://example.org/customer/' || o_custkey", rest="orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment <> 'BUILDING'"))
+def shacl_node(spark, sf_dir):
+    """A value that must fit another shape."""
+    inner = shacl.Shape(properties=[shacl.Property(BASE + "segment", has_value=shacl.literal("BUILDING"))])
+    return violations(spark, sf_dir, shacl.Property(BASE + "customer", node=inner))
+
+
+@register("SELECT 'http://example.org/doc/' || doc_id AS focus, 'languageIn' AS message, source AS value FROM documents WHERE lang NOT IN ('en', 'de')")
+def shacl_languagein(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    tagged = [triples.View("doc", d.where(F.col("lang") == x), node("doc", "doc_id"), (triples.Emit(BASE + "label", F.col("source"), type=triples.RDF + "langString", lang=x),)) for x in ("en", "de", "fr", "es")]
+    others = triples.View("doc", d.where(~F.col("lang").isin("en", "de", "fr", "es")), node("doc", "doc_id"), (triples.Emit(BASE + "label", F.col("source")),))
+    return violations(spark, sf_dir, shacl.Property(BASE + "label", language_in=["en", "de"]), "Document", graph(spark, sf_dir, "documents") + triples.Graph([*tagged, others]))
+
+
+@register("SELECT 'http://example.org/nation/' || n_nationkey AS focus, 'maxCount' AS message, '' AS value FROM nation WHERE n_nationkey IN (3, 7) AND (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) > 5")
+def shacl_inverse_nodes(spark, sf_dir):
+    """Two nodes as targets, and an inverse path."""
+    shape = shacl.Shape(target_nodes=[BASE + "nation/3", BASE + "nation/7"], properties=[shacl.Property(BASE + "nation", inverse=True, max_count=5)])
+    return shacl.Validator(graph(spark, sf_dir, "customer"), PREFIXES).validate([shape]).select("focus", "message", "value")
+
+
+@register("SELECT severity, count(*) AS n FROM (SELECT 'Violation' AS severity FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT 'Warning' FROM orders WHERE o_orderpriority = '5-LOW') GROUP BY 1")
+def shacl_histogram(spark, sf_dir):
+    """Results by severity."""
+    shape = shacl.Shape(target_class=BASE + "Order", properties=[shacl.Property(BASE + "status", in_=[shacl.literal("F"), shacl.literal("O")]), shacl.Property(BASE + "priority", pattern="^[1-4]", severity="Warning")])
+    return shacl.histogram(shacl.Validator(graph(spark, sf_dir, "orders"), PREFIXES).validate([shape]))
+
+
+@register("SELECT 'Violation' AS severity, 'http://example.org/priority' AS path, 'pattern' AS message, count(*) AS n, min('http://example.org/order/' || o_orderkey) AS example FROM orders WHERE o_orderpriority = '5-LOW' HAVING count(*) > 0")
+def shacl_grouped(spark, sf_dir):
+    """Findings that are alike, with their number and an example."""
+    shape = shacl.Shape(target_class=BASE + "Order", properties=[shacl.Property(BASE + "priority", pattern="^[1-4]")])
+    return shacl.grouped(shacl.Validator(graph(spark, sf_dir, "orders"), PREFIXES).validate([shape]))
 
 
 @register(_V.format(key="o_orderkey", message="date", value="''", rest="orders WHERE o_orderdate < (SELECT min(o_orderdate) + INTERVAL 365 DAY FROM orders) AND o_orderstatus = 'O'"))
@@ -429,17 +506,16 @@ def html_clean(spark, sf_dir):
 
 @register()
 def similarity_pairs(spark, sf_dir):
-    """Matching-block ratio of parts of one brand and type with neighbouring sizes."""
+    """Matching-block ratio of the names of parts of one brand, type and size: each pair of a block once."""
     p = table(spark, sf_dir, "part")
-    a = p.select("p_brand", "p_type", F.col("p_size").alias("a_size"), F.col("p_partkey").alias("a"), T.norm(F.col("p_name")).alias("a_name"))
-    b = p.select("p_brand", "p_type", (F.col("p_size") - 1).alias("a_size"), F.col("p_partkey").alias("b"), T.norm(F.col("p_name")).alias("b_name"))
-    return a.join(b, ["p_brand", "p_type", "a_size"]).select("a", "b", F.round(T.similarity(F.col("a_name"), F.col("b_name")), 6).alias("ratio"))
+    side = lambda x: p.select("p_brand", "p_type", "p_size", F.col("p_partkey").alias(x), T.norm(F.col("p_name")).alias(f"{x}_name"))
+    return side("a").join(side("b"), ["p_brand", "p_type", "p_size"]).where("a < b").select("a", "b", F.round(T.similarity(F.col("a_name"), F.col("b_name")), 6).alias("ratio"))
 
 
 @register()
 def geojson_features(spark, sf_dir):
-    """A feature for each nation with its customers' latest orders as entries."""
-    n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer").where("c_acctbal > 9000")
+    """A feature for each nation with its customers as entries."""
+    n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
     rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_nationkey").cast("string").alias("event"), F.col("n_name").alias("name"), F.lit("2024-01-01").alias("start"), F.lit("2024-01-02").alias("end"), (F.col("n_nationkey") * 3.0).alias("lon"), (F.col("n_nationkey") * 1.0).alias("lat"), F.col("n_regionkey").cast("string").alias("place"), F.col("n_name").alias("place_label"), F.col("c_custkey").cast("string").alias("entry"), F.col("c_name").alias("label"), F.col("c_name").alias("title"), F.lit("2024").alias("issued"), F.lit(1).alias("volume"), F.lit(1).alias("issue"), F.col("c_custkey").alias("n"))
     return events.features(rows)
 
@@ -475,9 +551,9 @@ def cite_csl(spark, sf_dir):
 @register("SELECT s, p, o FROM (SELECT 'http://example.org/customer/' || c_custkey AS s, 'http://example.org/segment' AS p, c_mktsegment AS o FROM customer UNION ALL SELECT 'http://example.org/customer/' || c_custkey, 'http://example.org/nation', 'http://example.org/nation/' || c_nationkey FROM customer)")
 def project_triples(spark, sf_dir):
     """Records to triples by templates."""
-    return graph(spark, sf_dir, "customer").where(F.col("p").isin(BASE + "segment", BASE + "nation")).select("s", "p", "o")
+    return graph(spark, sf_dir, "customer").scan([BASE + "segment", BASE + "nation"]).select("s", "p", "o")
 
 
 @register("SELECT 'http://example.org/' || p AS p, n FROM (SELECT 'status' AS p, count(*) AS n FROM orders UNION ALL SELECT 'priority', count(*) FROM orders)")
 def predicate_counts(spark, sf_dir):
-    return triples.predicate_counts(graph(spark, sf_dir, "orders")).where(F.col("p").isin(BASE + "status", BASE + "priority"))
+    return triples.predicate_counts(graph(spark, sf_dir, "orders").scan([BASE + "status", BASE + "priority"]))

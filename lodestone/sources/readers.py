@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.text import collapse, normalise_doi
+from .turtle import turtle
 
 
 def read_json(spark: SparkSession, path: str, ddl: str, key: str | None = None) -> DataFrame:
@@ -191,86 +193,22 @@ def read_ntriples(spark: SparkSession, path: str, graph: str = "") -> DataFrame:
     ).distinct()
 
 
-_TURTLE = re.compile(r"""\s+|\#[^\n]*|(?P<iri><[^>]*>)|(?P<text>\"\"\"(?:[^\\]|\\.)*?\"\"\"|"(?:[^"\\\n]|\\.)*")|(?P<at>@[A-Za-z0-9-]+)|(?P<type>\^\^)|(?P<number>[-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)|(?P<name>[\w-]*:[\w./%-]*[\w/%-]|[\w-]*:|a\b|true\b|false\b)|(?P<end>[.;,\[\]()])""", re.S)
-
-
-def turtle(text: str) -> list[tuple[str, str, str, str, str, str]]:
-    """Triples (s, p, o, kind, type, lang) of Turtle without blank nodes or collections."""
-    xsd = "http://www.w3.org/2001/XMLSchema#"
-    tokens, at = [], 0
-    while at < len(text):
-        m = _TURTLE.match(text, at)
-        if not m:
-            raise ValueError(f"no Turtle at {text[at : at + 30]!r}")
-        at = m.end()
-        if m.lastgroup:
-            tokens.append((m.lastgroup, m[0]))
-    prefixes, out, i = {}, [], 0
-
-    def iri(token) -> str:
-        kind, t = token
-        if kind == "iri":
-            return t[1:-1]
-        if t == "a":
-            return "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
-        prefix, _, local = t.partition(":")
-        return prefixes[prefix] + local
-
-    while i < len(tokens):
-        if tokens[i] == ("at", "@prefix"):
-            prefixes[tokens[i + 1][1].rstrip(":")] = tokens[i + 2][1][1:-1]
-            i += 4
-            continue
-        s = iri(tokens[i])
-        i += 1
-        while True:
-            p = iri(tokens[i])
-            i += 1
-            while True:
-                kind, t = tokens[i]
-                i += 1
-                if kind == "text":
-                    cut = 3 if t.startswith('"""') else 1
-                    value = re.sub(r"\\(u[0-9A-Fa-f]{4}|.)", lambda m: {"n": "\n", "t": "\t", "r": "\r"}.get(m[1]) or (chr(int(m[1][1:], 16)) if len(m[1]) > 1 else m[1]), t[cut:-cut])
-                    type_, lang = xsd + "string", ""
-                    if i < len(tokens) and tokens[i][0] == "at":
-                        type_, lang = "http://www.w3.org/1999/02/22-rdf-syntax-ns#langString", tokens[i][1][1:].lower()
-                        i += 1
-                    elif i < len(tokens) and tokens[i][0] == "type":
-                        type_ = iri(tokens[i + 1])
-                        i += 2
-                    out.append((s, p, value, "literal", type_, lang))
-                elif kind == "number":
-                    out.append((s, p, t, "literal", xsd + ("double" if "e" in t.lower() else "decimal" if "." in t else "integer"), ""))
-                elif t in ("true", "false"):
-                    out.append((s, p, t, "literal", xsd + "boolean", ""))
-                elif kind in ("iri", "name"):
-                    out.append((s, p, iri((kind, t)), "iri", "", ""))
-                else:
-                    raise ValueError(f"{t!r} isn't supported as an object")
-                if tokens[i][1] != ",":
-                    break
-                i += 1
-            while tokens[i][1] == ";":
-                i += 1
-            if tokens[i][1] == ".":
-                i += 1
-                break
-    return out
-
-
 def read_turtle(spark: SparkSession, path: str, graph: str = "") -> DataFrame:
-    """Turtle files to one set of triples; files are parsed on the executors."""
+    """Turtle files to one set of triples; files are parsed on the executors, and blank nodes are named by the file."""
 
     def parse(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            rows = [r for t in b.column(0).to_pylist() for r in turtle(t)]
+            rows = []
+            for path_, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = hashlib.sha256(path_.encode()).hexdigest()[:12]
+                named = lambda x, own=own: f"_:{own}.{x[2:]}" if x.startswith("_:") else x
+                rows += [(named(s), p, named(o) if kind == "iri" else o, kind, *more) for s, p, o, kind, *more in turtle(text)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names=["s", "p", "o", "o_kind", "o_type", "o_lang"])
 
-    made = spark.read.text(path, wholetext=True).mapInArrow(parse, schema.TRIPLES.replace("graph string, ", ""))
+    made = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value").mapInArrow(parse, schema.TRIPLES.replace("graph string, ", ""))
     return made.select(F.lit(graph).alias("graph"), "*").distinct()
 
 
