@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ..functions.text import citation_label, tex
 
@@ -122,26 +123,54 @@ def rolled_up(cited: DataFrame, text: str, keys: list[str], order: list[str]) ->
 
 
 # Schema.org classes by type slug.
-SCHEMA_TYPES = {"data": "Dataset", "software": "SoftwareSourceCode", "poster": "Poster", "presentation": "PresentationDigitalDocument", "conference-paper": "ScholarlyArticle", "conference-proceeding": "ScholarlyArticle"}
+SCHEMA_TYPES = {
+    "journal-article": "ScholarlyArticle", "conference-paper": "ScholarlyArticle", "conference-proceeding": "ScholarlyArticle", "preprint": "ScholarlyArticle", "working-paper": "ScholarlyArticle",
+    "methodological-working-paper": "ScholarlyArticle", "position-paper": "ScholarlyArticle", "abstract": "ScholarlyArticle", "presentation": "PresentationDigitalDocument", "poster": "CreativeWork", "data": "Dataset",
+    "ontology": "Dataset", "software": "SoftwareSourceCode", "book": "Book", "book-section": "Chapter", "report": "Report", "image": "ImageObject", "video": "VideoObject",
+}
+#: Characters of an abstract that a node carries.
+ABSTRACT = 2000
 
 
 def schema_org(entries: DataFrame, journal: str, issn: str, iri: str) -> DataFrame:
-    """(id, node): a schema.org node as JSON text; absent fields are left out."""
+    """(id, node): a schema.org node as JSON text; absent fields are left out.
+
+    Read beside the fields above, where the entries have them: creators.orcid, abstract, licence
+    (url), event (start, end, place: name, label, wikidata, lat, lon)."""
+    have = _paths(entries.schema)
+    maybe = lambda path, kind="string": F.col(path) if path in have else F.lit(None).cast(kind)
     kinds = F.create_map(*[F.lit(x) for kv in SCHEMA_TYPES.items() for x in kv])
-    people = F.transform(F.coalesce("creators", F.array()), lambda p: F.struct(F.lit("Person").alias("@type"), F.trim(F.concat_ws(" ", p["given"], p["family"])).alias("name")))
+    people = F.transform(F.coalesce("creators", F.array()), lambda p: F.struct(F.lit("Person").alias("@type"), F.trim(F.concat_ws(" ", p["given"], p["family"])).alias("name"), (F.concat(F.lit("https://orcid.org/"), p["orcid"]) if "creators.orcid" in have else F.lit(None).cast("string")).alias("@id")))
     periodical = F.struct(F.lit("Periodical").alias("@type"), F.lit(iri).alias("@id"), F.lit(journal).alias("name"), F.lit(issn).alias("issn"))
     volume = F.struct(F.lit("PublicationVolume").alias("@type"), F.regexp_replace("iri", "/[^/]*/[^/]*$", "").alias("@id"), _c("volume").cast("string").alias("volumeNumber"), periodical.alias("isPartOf"))
     issue = F.struct(F.lit("PublicationIssue").alias("@type"), F.regexp_replace("iri", "/[^/]*$", "").alias("@id"), _c("issue").cast("string").alias("issueNumber"), volume.alias("isPartOf"))
     has_doi = _c("doi").isNotNull()
-    event = F.when(F.length("event.name") > 0, F.struct(F.lit("Event").alias("@type"), F.col("event.name").alias("name"), F.when(F.coalesce("event.online", F.lit(False)), "https://schema.org/OnlineEventAttendanceMode").alias("eventAttendanceMode")))
+    lat, lon = maybe("event.place.lat", "double"), maybe("event.place.lon", "double")
+    geo = F.when(lat.isNotNull(), F.struct(F.lit("GeoCoordinates").alias("@type"), lat.alias("latitude"), lon.alias("longitude")))
+    place = F.coalesce(maybe("event.place.name"), maybe("event.place.label"))
+    located = F.when(place.isNotNull(), F.struct(F.lit("Place").alias("@type"), place.alias("name"), F.concat(F.lit("http://www.wikidata.org/entity/"), maybe("event.place.wikidata")).alias("sameAs"), geo.alias("geo")))
+    online = F.when(place.isNull() & F.coalesce("event.online", F.lit(False)), "https://schema.org/OnlineEventAttendanceMode")
+    event = F.when(F.length("event.name") > 0, F.struct(F.lit("Event").alias("@type"), F.col("event.name").alias("name"), maybe("event.start").alias("startDate"), maybe("event.end").alias("endDate"), located.alias("location"), online.alias("eventAttendanceMode")))
     node = F.struct(
         F.lit("https://schema.org").alias("@context"), F.coalesce(F.try_element_at(kinds, _c("type")), F.lit("CreativeWork")).alias("@type"), F.col("iri").alias("@id"), F.col("title").alias("name"), F.concat("iri", F.lit("/")).alias("url"), people.alias("author"), issue.alias("isPartOf"), "genre",
         F.coalesce("date", _c("year").cast("string")).alias("datePublished"), F.when(has_doi, F.struct(F.lit("PropertyValue").alias("@type"), F.lit("DOI").alias("propertyID"), F.col("doi").alias("value"))).alias("identifier"), F.when(has_doi, F.array("doi_url")).alias("sameAs"),
         F.when(F.size("keywords") > 0, _c("keywords")).alias("keywords"), F.col("language").alias("inLanguage"), event.alias("recordedAt"),
+        F.substring(maybe("abstract"), 1, ABSTRACT).alias("abstract"), maybe("licence.url").alias("license"),
     )
     return entries.select("id", F.to_json(node).alias("node"))
 
 
+def _paths(kind: StructType, head: str = "") -> set[str]:
+    """Dotted names of all fields, those of structs in arrays too."""
+    out = set()
+    for f in kind.fields:
+        out.add(head + f.name)
+        inner = f.dataType.elementType if isinstance(f.dataType, ArrayType) else f.dataType
+        if isinstance(inner, StructType):
+            out |= _paths(inner, f"{head}{f.name}.")
+    return out
+
+
 def short_citation(entries: DataFrame, journal: str) -> DataFrame:
     """(id, text): authors with initials, year or "n.d.", title, journal, label and link."""
     begun = lambda g: F.array_join(F.transform(F.regexp_extract_all(g, F.lit(r"([A-ZÄÖÜ][a-zäöüß]*\.?)"), 1), lambda w: F.concat(F.substring(w, 1, 1), F.lit("."))), " ")

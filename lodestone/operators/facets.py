@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
+from urllib.parse import quote, unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse, fold
@@ -63,9 +65,53 @@ def counts(indexed: DataFrame, query: str = "", chosen: dict[str, list[str]] | N
     return out
 
 
+#: Values of a facet that are shown before the others are asked for.
+SHOWN = 8
+
+
+def shown(counted: DataFrame, facet: str, chosen: list[str] | None = None, most: int = SHOWN) -> DataFrame:
+    """The first values of a facet in their order (as many as are chosen, if those are more), and every chosen one."""
+    chosen = chosen or []
+    rows = counted.where(F.col("facet") == facet)
+    place = F.row_number().over(Window.partitionBy("facet").orderBy(*_order(facet)))
+    return rows.withColumn("place", place).where((F.col("place") <= max(most, len(chosen))) | F.col("value").isin(chosen)).orderBy("place")
+
+
+def to_hash(query: str, chosen: dict[str, list[str]], facets: list[str]) -> str:
+    """The state of a search as the fragment of an address: "q=...", then each facet's choices."""
+    parts = ([f"q={quote(query, safe=SAFE)}"] if query else []) + [f"{f}={','.join(quote(v, safe=SAFE) for v in chosen[f])}" for f in facets if chosen.get(f)]
+    return "&".join(parts)
+
+
+def from_hash(fragment: str, facets: list[str]) -> tuple[str, dict[str, list[str]]]:
+    """(query, choices) of a fragment; unknown names are left out."""
+    query, chosen = "", {}
+    for part in fragment.removeprefix("#").split("&"):
+        name, _, value = part.partition("=")
+        if name == "q":
+            query = unquote(value)
+        elif name in facets and value:
+            chosen[name] = [unquote(v) for v in value.split(",")]
+    return query, chosen
+
+
+#: Characters that an address's component keeps beside letters and digits.
+SAFE = "-_.!~*'()"
+
+
+def files(indexed: DataFrame, facets: list[str], variable: str | None = None) -> str:
+    """The index as one JSON text, or as a script that sets a variable: what a page searches in, so small."""
+    rows = [json.loads(r.value) for r in indexed.select(F.to_json(F.struct("*")).alias("value")).toLocalIterator()]
+    body = json.dumps({"facets": facets, "records": rows}, ensure_ascii=False, sort_keys=True)
+    return f"window.{variable} = {body};\n" if variable else body + "\n"
+
+
 def ordered(counted: DataFrame, facet: str, years: str = "year", volumes: str = "volume") -> DataFrame:
     """The values of a facet as they are shown: years and volumes falling, others by count, then label."""
-    rows = counted.where(F.col("facet") == facet)
+    return counted.where(F.col("facet") == facet).orderBy(*_order(facet, years, volumes))
+
+
+def _order(facet: str, years: str = "year", volumes: str = "volume") -> list[Column]:
     if facet in (years, volumes):
-        return rows.orderBy(F.col("value").try_cast("int").desc_nulls_last())
-    return rows.orderBy(F.col("n").desc(), F.collate("value", "UNICODE"), "value")
+        return [F.col("value").try_cast("int").desc_nulls_last(), F.col("value")]
+    return [F.col("n").desc(), F.collate("value", "UNICODE"), F.col("value")]

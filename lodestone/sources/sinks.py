@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +64,59 @@ def canonical_json(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, indent=1) + "\n"
 
 
+def script_json(value: object) -> str:
+    """JSON for a script element: no character of it can end the element."""
+    return json.dumps(value, ensure_ascii=False, sort_keys=True).translate({ord(c): f"\\u{ord(c):04x}" for c in "<>&"})
+
+
+_PLAIN_YAML = re.compile(r"[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ0-9 _./()+-]*[A-Za-zÀ-ÿ0-9_./()+-]|[A-Za-zÀ-ÿ]")
+#: Words that YAML readers take for something else than text.
+_NO_TEXT = {"true", "false", "yes", "no", "on", "off", "null", "y", "n"}
+
+
+def yaml_text(value: object, depth: int = 0) -> str:
+    """YAML of nested dicts, lists and scalars with the keys in their order; texts of several lines are blocks."""
+    pad = "  " * depth
+    if isinstance(value, dict) and value:
+        out = []
+        for k, v in value.items():
+            nested = isinstance(v, (dict, list)) and v
+            out.append(f"{pad}{_yaml_scalar(str(k), depth)}:" + ("\n" + yaml_text(v, depth + 1) if nested else f" {_yaml_scalar(v, depth + 1)}\n"))
+        return "".join(out)
+    if isinstance(value, list) and value:
+        out = []
+        for v in value:
+            if isinstance(v, (dict, list)) and v:
+                out.append(f"{pad}- " + yaml_text(v, depth + 1)[2 * (depth + 1) :])
+            else:
+                out.append(f"{pad}- {_yaml_scalar(v, depth + 1)}\n")
+        return "".join(out)
+    return f"{pad}{_yaml_scalar(value, depth)}\n"
+
+
+def _yaml_scalar(v: object, depth: int) -> str:
+    if v is None:
+        return "null"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    if isinstance(v, (dict, list)):
+        return "{}" if isinstance(v, dict) else "[]"
+    text = str(v)
+    if "\n" in text and text.strip() == text and all(line == line.rstrip() and "\t" not in line for line in text.split("\n")) and text.isprintable() is False and all(c.isprintable() or c == "\n" for c in text):
+        pad = "  " * depth
+        return "|-\n" + "\n".join(pad + line if line else "" for line in text.split("\n"))
+    if _PLAIN_YAML.fullmatch(text) and text.lower() not in _NO_TEXT:
+        return text
+    return json.dumps(text, ensure_ascii=False)
+
+
+def write_yaml(path: Path, value: object) -> bool:
+    """A YAML file, written if its bytes change."""
+    return write_if_changed(path, yaml_text(value).encode())
+
+
 def write_if_changed(path: Path, data: bytes) -> bool:
     """Write unless the file has these bytes already; sizes are compared first."""
     path = Path(path)

@@ -36,7 +36,7 @@ def test_containers(spark):
 
 def test_schema_org_and_short_citation(entry):  # noqa: F811
     a, b = (json.loads(r.node) for r in cite.schema_org(entry, "J", "1", "http://x/").orderBy("id").collect())
-    assert a["@type"] == "Poster" and a["isPartOf"]["isPartOf"]["@id"] == "http://x/v7" and a["identifier"]["value"] == "10.1/a" and "identifier" not in b and b["datePublished"] == "2023"
+    assert a["@type"] == "CreativeWork" and a["isPartOf"]["isPartOf"]["@id"] == "http://x/v7" and a["identifier"]["value"] == "10.1/a" and "identifier" not in b and b["datePublished"] == "2023"
     a, b = (r.text for r in cite.short_citation(entry, "J").orderBy("id").collect())
     assert a == "Voss, A., & Team (2024). A & B. J, 7(4), λ5. https://doi.org/10.1/a" and b.endswith("J, 7(5), 𝒬1. http://x/v7/i5/e1")
 
