@@ -75,13 +75,12 @@ SHARD_BYTES = 32 << 10
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op3_decontaminate, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding, op10_media)}
 
 ORACLE_SQL = {
-    # the leaf of a row is the least depth at which its bucket fits; a row above the limit is a page of its own
+    # the leaf of a row is the least depth at which its bucket fits or it is alone; above the limit it is a page of its own
     "op9_sharding": f"""
         WITH r AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
         g AS (SELECT doc_id, n_bytes, h, d FROM r CROSS JOIN range(0, 61) t(d)),
-        s AS (SELECT doc_id, n_bytes, d, h >> (60 - d) AS prefix, sum(n_bytes) OVER (PARTITION BY d, h >> (60 - d))::BIGINT AS bytes FROM g)
-        SELECT doc_id, n_bytes, d::INTEGER AS depth, prefix::BIGINT AS prefix, 0::BIGINT AS page, bytes AS shard_bytes, false AS over_limit
-        FROM s WHERE bytes <= {SHARD_BYTES} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d) = 1
-        UNION ALL SELECT doc_id, n_bytes, 60, h, -1, n_bytes, true FROM r WHERE n_bytes > {SHARD_BYTES}
+        s AS (SELECT doc_id, n_bytes, d, h >> (60 - d) AS prefix, sum(n_bytes) OVER (PARTITION BY d, h >> (60 - d))::BIGINT AS bytes, count(*) OVER (PARTITION BY d, h >> (60 - d)) AS n FROM g)
+        SELECT doc_id, n_bytes, d::INTEGER AS depth, prefix::BIGINT AS prefix, CASE WHEN bytes > {SHARD_BYTES} THEN -1 ELSE 0 END::BIGINT AS page, bytes AS shard_bytes, bytes > {SHARD_BYTES} AS over_limit
+        FROM s WHERE bytes <= {SHARD_BYTES} OR n = 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d) = 1
     """,
 }

@@ -1,17 +1,19 @@
 """Sharding by extendible hashing.
 
 The directory is a binary trie over the leading bits of a row's hash. A bucket splits on its
-next bit only while its rows exceed the byte limit, so the leaves depend on the rows alone,
-not on their order. Ids, hashes and sizes (narrow rows) are written once to the shared folder.
-A pass adds up the bytes of cells a few bits below the expected depth (partial sums before the
-shuffle); cells add themselves to their ancestors; a node is a leaf if it fits and its parent
-doesn't. Only rows under a cell that still doesn't fit go on to a deeper pass.
-
-Cases: rows with the whole hash in common (repeated ids, null ids) can't be split by bits.
-Their bucket is cut into pages: running bytes are added up inside each partition, partitions
-are offset by the sums before them, and a page holds what starts within half a limit; a row of
-over half a limit gets a page of its own, `over_limit` if it exceeds the limit by itself. Null
-ids and texts count as empty. An empty table gives no rows. Repeated rows are all kept.
+next bit only while its rows exceed the byte limit and differ in their hashes, so the leaves
+depend on the rows alone, not on their order. Ids, hashes and sizes (narrow rows) are written
+once to the shared folder. A pass adds up the bytes of cells a few bits below the expected depth
+(partial sums before the shuffle); cells add themselves to their ancestors; a node is a leaf if
+it fits, or holds one hash only, and its parent doesn't. Only rows under a cell that isn't
+settled go on to a deeper pass.
+
+Cases: rows with the whole hash in common (repeated ids, null ids) can't be split by bits, nor
+can a row that exceeds the limit by itself. Their bucket ends where they're alone in it and is
+cut into pages: running bytes are added up inside each partition, partitions are offset by the
+sums before them, and a page holds what starts within half a limit; a row of over half a limit
+gets a page of its own (numbered from -1 downwards), `over_limit` if it exceeds the limit by
+itself. Null ids and texts count as empty. An empty table gives no rows. Repeated rows are all kept.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from .common import scratch
 
 #: Bits of the hash kept: 15 hexadecimal digits of md5.
 HASH_BITS = 60
+#: Nodes down to this depth are broadcast; below it no node has more than its share of cells.
+SHALLOW = 12
 #: Bits that a pass looks below the depth where buckets are expected to fit.
 AHEAD = 6
 
@@ -44,21 +48,33 @@ def _prefix(depth: str | int) -> F.Column:
 
 
 def _leaves(rows: DataFrame, limit: int, low: int, high: int) -> DataFrame:
-    """(cell, depth, prefix, shard_bytes): the node for each cell of `high` bits; depth is null where the cell doesn't fit."""
-    cells = rows.groupBy(_prefix(high).alias("cell")).agg(F.sum("n_bytes").alias("bytes"))
-    up = cells.select("cell", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"), "bytes").withColumn("prefix", F.expr(f"shiftright(cell, {high} - depth)"))
-    fits = up.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes")).where(F.col("shard_bytes") <= limit)
-    # of the nodes above a cell that fit, the highest is the leaf
-    return (
-        up.drop("bytes").join(fits, ["depth", "prefix"], "left")
-        .groupBy("cell")
-        .agg(F.min(F.when(F.col("shard_bytes").isNotNull(), F.struct("depth", "prefix", "shard_bytes"))).alias("leaf"))
-        .select("cell", "leaf.depth", "leaf.prefix", "leaf.shard_bytes")
-    )
+    """(cell, depth, prefix, shard_bytes): the leaf for each cell of `high` bits; depth is null where the cell isn't settled."""
+    cells = rows.groupBy(_prefix(high).alias("cell")).agg(F.sum("n_bytes").alias("bytes"), F.min("h").alias("least"), F.max("h").alias("most"))
+    path = scratch(rows.sparkSession, "cells")
+    cells.write.parquet(path)
+    cells = rows.sparkSession.read.parquet(path)
+
+    def up(first: int) -> DataFrame:
+        return cells.withColumn("depth", F.explode(F.sequence(F.lit(first), F.lit(high)))).withColumn("prefix", F.expr(f"shiftright(cell, {high} - depth)"))
+
+    sums = up(low).groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.min("least").alias("least"), F.max("most").alias("most"))
+    path = scratch(rows.sparkSession, "nodes")
+    sums.where((F.col("shard_bytes") <= limit) | (F.col("least") == F.col("most"))).select("depth", "prefix", "shard_bytes").write.parquet(path)
+    settled = rows.sparkSession.read.parquet(path)
+    # above the first settled node there is no leaf, and few nodes that all cells would meet in
+    first = settled.agg(F.min("depth")).first()[0]
+    if first is None:
+        return cells.select("cell", F.lit(None).cast("int").alias("depth"), F.lit(None).cast("long").alias("prefix"), F.lit(None).cast("long").alias("shard_bytes"))
+    nodes = up(first).select("cell", "depth", "prefix")
+    few = settled.where(F.col("depth") <= SHALLOW)  # fewer than 2^(SHALLOW + 1) nodes
+    met = nodes.where(F.col("depth") <= SHALLOW).join(F.broadcast(few), ["depth", "prefix"]).unionByName(nodes.where(F.col("depth") > SHALLOW).join(settled.where(F.col("depth") > SHALLOW), ["depth", "prefix"]))
+    # of the settled nodes above a cell the highest is the leaf
+    leaf = met.groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes")).alias("leaf"))
+    return cells.select("cell").join(leaf, "cell", "left").select("cell", "leaf.depth", "leaf.prefix", "leaf.shard_bytes")
 
 
 def _pages(rows: DataFrame, limit: int) -> DataFrame:
-    """Buckets that no bit can split: pages of running bytes, never a whole bucket in one task."""
+    """Buckets that no bit can split (rows with their depth and prefix): pages of running bytes, never a whole bucket in one task."""
     rows = rows.withColumn("__part", F.spark_partition_id()).withColumn("__own", F.col("n_bytes") * 2 > limit).withColumn("__weight", F.when(F.col("__own"), 0).otherwise(F.col("n_bytes")))
     # the order inside a partition only has to be one order; ties are alike
     inside = Window.partitionBy("h", "__part").orderBy("__own", "id", "n_bytes").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -67,7 +83,7 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
     parts = parts.select("h", "__part", F.coalesce(F.sum("__w").over(before), F.lit(0)).alias("__w0"), F.coalesce(F.sum("__o").over(before), F.lit(0)).alias("__o0"))
     run = rows.withColumn("__w1", F.sum("__weight").over(inside) - F.col("__weight")).withColumn("__o1", F.sum(F.col("__own").cast("long")).over(inside)).join(parts, ["h", "__part"])
     page = F.when(F.col("__own"), -(F.col("__o0") + F.col("__o1"))).otherwise(F.floor((F.col("__w0") + F.col("__w1")) / F.lit(max(1, limit // 2))))
-    paged = run.select("id", "n_bytes", "h", F.lit(HASH_BITS).alias("depth"), F.col("h").alias("prefix"), page.cast("long").alias("page"))
+    paged = run.select("id", "n_bytes", "h", "depth", "prefix", page.cast("long").alias("page"))
     sums = paged.groupBy("h", "page").agg(F.sum("n_bytes").alias("shard_bytes"))
     return paged.join(sums, ["h", "page"]).select("id", "n_bytes", "depth", "prefix", "page", "shard_bytes")
 
@@ -85,18 +101,19 @@ def shard(df: DataFrame, limit_bytes: int, id_col: str = "doc_id", text_col: str
     done: list[DataFrame] = []
     while True:
         leaves = _leaves(todo, limit_bytes, low, high)
-        placed = todo.withColumn("cell", _prefix(high)).join(leaves, "cell")
-        done.append(placed.where("depth IS NOT NULL").select("id", "n_bytes", "depth", "prefix", F.lit(0).cast("long").alias("page"), "shard_bytes"))
+        path = scratch(spark, "sharding")
+        todo.withColumn("cell", _prefix(high)).join(leaves, "cell").drop("cell").write.parquet(path)
+        placed = spark.read.parquet(path)
+        fits = F.col("shard_bytes") <= limit_bytes
+        done.append(placed.where("depth IS NOT NULL").where(fits).select("id", "n_bytes", "depth", "prefix", F.lit(0).cast("long").alias("page"), "shard_bytes"))
+        alone = placed.where("depth IS NOT NULL").where(~fits).drop("shard_bytes")
+        if not alone.isEmpty():
+            done.append(_pages(alone, limit_bytes))
         deeper = placed.where("depth IS NULL").select("id", "n_bytes", "h")
         if deeper.isEmpty():
             break
-        path = scratch(spark, "sharding")
-        deeper.write.parquet(path)
-        todo = spark.read.parquet(path)
-        if high == HASH_BITS:
-            done.append(_pages(todo, limit_bytes))
-            break
-        low, high = high + 1, min(HASH_BITS, high + 8)
+        # at the last bit a cell is one hash, so nothing is left after it
+        todo, low, high = deeper, high + 1, min(HASH_BITS, high + 8)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

@@ -340,7 +340,7 @@ def plain_shards(rows, limit):
     out = {}
 
     def split(members, depth):
-        if sum(n for _, n in members) <= limit or depth == 60:
+        if sum(n for _, n in members) <= limit or len({h[i] for i, _ in members}) == 1:
             out.update({i: (depth, h[i] >> (60 - depth)) for i, _ in members})
             return
         for bit in (0, 1):
@@ -352,12 +352,12 @@ def plain_shards(rows, limit):
     return out
 
 
-@pytest.mark.parametrize("limit", [10**6, 4000, 900])
+@pytest.mark.parametrize("limit", [10**6, 4000, 900, 60])
 def test_sharding(spark, limit):
     rows = [(i, "x" * (i % 97)) for i in range(200)]
     want = plain_shards([(i, len(t)) for i, t in rows], limit)
     out = sharding.shard(docs(spark, rows), limit).collect()
-    assert {r.doc_id: (r.depth, r.prefix) for r in out} == want and all(r.shard_bytes <= limit for r in out)
+    assert {r.doc_id: (r.depth, r.prefix) for r in out} == want and all(r.shard_bytes <= limit or r.over_limit and r.page == -1 for r in out)
 
 
 def test_sharding_of_what_no_bit_splits(spark):
