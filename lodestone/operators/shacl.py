@@ -81,15 +81,29 @@ def class_closure(triples: Graph | DataFrame) -> DataFrame | None:
     return sparql.closure(edges).distinct().select(F.col("a").alias("sub"), F.col("b").alias("super"))
 
 
-#: Classes below one that are told to the scan as constants; more are joined.
-FEW_CLASSES = 200
+#: Pairs of a class and one below it that are told to scans as constants; more are joined.
+FEW_CLASSES = 1000
 
 
-def instances(triples: Graph | DataFrame, class_: str, closure: DataFrame | None = None) -> DataFrame:
+def classes_below(closure: DataFrame | None) -> dict[str, list[str]] | None:
+    """Each class with those below it, where they're few enough to be told to a scan; else None."""
+    if closure is None:
+        return {}
+    rows = closure.limit(FEW_CLASSES + 1).collect()
+    if len(rows) > FEW_CLASSES:
+        return None
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        out.setdefault(r["super"], []).append(r["sub"])
+    return out
+
+
+def instances(triples: Graph | DataFrame, class_: str, closure: DataFrame | None = None, below: dict[str, list[str]] | None = None) -> DataFrame:
     """(node) of a class or of one below it."""
     typed = Graph.of(triples).scan([RDF_TYPE])
-    below = [] if closure is None else [r["sub"] for r in closure.where(F.col("super") == class_).select("sub").limit(FEW_CLASSES + 1).collect()]
-    if len(below) <= FEW_CLASSES:
+    known = classes_below(closure) if below is None else below
+    if known is not None:
+        below = known.get(class_, [])
         return typed.where(F.col("o").isin([class_, *below]) if below else F.col("o") == class_).select(F.col("s").alias("node")).distinct()
     every = closure.where(F.col("super") == class_).select("sub").union(closure.sparkSession.createDataFrame([(class_,)], "sub string"))
     return typed.join(every, F.col("o") == F.col("sub"), "left_semi").select(F.col("s").alias("node")).distinct()
@@ -99,6 +113,7 @@ class Validator:
     def __init__(self, triples: Graph | DataFrame, prefixes: dict[str, str] | None = None, closure: DataFrame | None = None):
         self.triples, self.prefixes = Graph.of(triples), prefixes or {}
         self.closure = closure if closure is not None else class_closure(self.triples)
+        self.below = classes_below(self.closure)
 
     def focus(self, shape: Shape) -> DataFrame:
         parts = []
@@ -119,13 +134,19 @@ class Validator:
         return out.distinct()
 
     def shape(self, shape: Shape, focus: DataFrame) -> DataFrame:
-        parts = [self.property(p, focus) for p in shape.properties]
+        """The results of a shape on its focus nodes (node)."""
+        parts = []
+        forward, others = [p for p in shape.properties if not p.inverse], [p for p in shape.properties if p.inverse]
+        if forward:
+            parts += self.together(forward, self.values(forward, focus), focus)
+        for p in others:
+            parts += self.together([p], self.values([p], focus), focus)
         if shape.pattern:
             parts.append(self.rows(focus.where(~F.col("node").rlike(shape.pattern)), "", shape.severity, shape.message or "pattern", F.col("node")))
         if shape.node_kind:
             parts.append(self.rows(focus.where(~self.is_iri(shape.node_kind)), "", shape.severity, shape.message or "nodeKind", F.col("node")))
         if shape.class_:
-            members = instances(self.triples, shape.class_, self.closure)
+            members = self.instances(shape.class_)
             parts.append(self.rows(focus.join(members, "node", "left_anti"), "", shape.severity, shape.message or "class", F.col("node")))
         parts += [self.select(message, text, focus, shape.severity) for message, text in shape.sparql]
         if not parts:
@@ -135,6 +156,9 @@ class Validator:
             out = out.unionByName(p)
         return out
 
+    def instances(self, class_: str) -> DataFrame:
+        return instances(self.triples, class_, self.closure, self.below)
+
     @staticmethod
     def rows(df: DataFrame, path: str, severity: str, message: str | Column, value: Column) -> DataFrame:
         said = message if isinstance(message, Column) else F.lit(message)
@@ -150,71 +174,89 @@ class Validator:
     def equal(t: Term) -> Column:
         return (F.col("o") == t.value) & (F.col("o_kind") == t.kind) & (F.lit(t.kind == "iri") | (F.col("o_type") == t.type) & (F.col("o_lang") == t.lang))
 
-    def values(self, p: Property, focus: DataFrame) -> DataFrame:
-        """(node, o, o_kind, o_type, o_lang) of the path."""
-        t = self.triples.scan([p.path])
-        if p.inverse:
-            t = t.where("o_kind = 'iri'").select(F.col("o").alias("s"), F.col("s").alias("o"), F.lit("iri").alias("o_kind"), F.lit("").alias("o_type"), F.lit("").alias("o_lang"))
-        return t.join(focus, t["s"] == focus["node"]).select("node", "o", "o_kind", F.coalesce("o_type", F.lit("")).alias("o_type"), F.coalesce("o_lang", F.lit("")).alias("o_lang"))
-
-    def property(self, p: Property, focus: DataFrame) -> DataFrame:
-        v = self.values(p, focus)
-        literal = F.col("o_kind") == "literal"
-        parts: list[DataFrame] = []
-
-        def bad(df: DataFrame, what: str, value: Column) -> None:
-            parts.append(self.rows(df, p.path, p.severity, p.message or what, value))
-
-        if p.min_count is not None or p.max_count is not None:
-            counted = focus.join(v.groupBy("node").agg(F.count("*").alias("n")), "node", "left").select("node", F.coalesce("n", F.lit(0)).alias("n"))
-            if p.min_count is not None:
-                bad(counted.where(F.col("n") < p.min_count), "minCount", F.lit(None))
-            if p.max_count is not None:
-                bad(counted.where(F.col("n") > p.max_count), "maxCount", F.lit(None))
-        if p.class_:
-            members = instances(self.triples, p.class_, self.closure).withColumnRenamed("node", "member")
-            bad(v.join(members, (F.col("o") == F.col("member")) & ~literal, "left_anti"), "class", F.col("o"))
+    def values(self, properties: list[Property], focus: DataFrame) -> DataFrame:
+        """(node, p, o, o_kind, o_type, o_lang) of the properties' paths, all forward or all inverse, from one scan."""
+        t = self.triples.scan(sorted({p.path for p in properties}))
+        if properties[0].inverse:
+            t = t.where("o_kind = 'iri'").select(F.col("o").alias("s"), "p", F.col("s").alias("o"), F.lit("iri").alias("o_kind"), F.lit("").alias("o_type"), F.lit("").alias("o_lang"))
+        return t.join(focus, t["s"] == focus["node"]).select("node", "p", "o", "o_kind", F.coalesce("o_type", F.lit("")).alias("o_type"), F.coalesce("o_lang", F.lit("")).alias("o_lang"))
+
+    def by_value(self, p: Property) -> list[tuple[str, Column]]:
+        """Constraints that look at one value: (name, is the value bad)."""
+        literal, o = F.col("o_kind") == "literal", F.col("o")
+        out = []
         if p.datatype:
-            bad(v.where(~(literal & (F.col("o_type") == p.datatype))), "datatype", F.col("o"))
-        if p.or_datatypes or p.or_classes:
-            rest = v.where(~(literal & F.col("o_type").isin(p.or_datatypes or [])))
-            for c in p.or_classes or []:
-                members = instances(self.triples, c, self.closure).withColumnRenamed("node", "member")
-                rest = rest.join(members, (F.col("o") == F.col("member")) & ~literal, "left_anti")
-            bad(rest, "or", F.col("o"))
+            out.append(("datatype", ~(literal & (F.col("o_type") == p.datatype))))
+        if p.or_datatypes and not p.or_classes:
+            out.append(("or", ~(literal & F.col("o_type").isin(p.or_datatypes))))
         if p.node_kind:
-            blank = F.startswith(F.col("o"), F.lit("_:"))
-            fits = F.when(literal, F.lit("Literal" in p.node_kind)).when(blank, F.lit("Blank" in p.node_kind)).otherwise(F.lit("IRI" in p.node_kind))
-            bad(v.where(~fits), "nodeKind", F.col("o"))
+            blank = F.startswith(o, F.lit("_:"))
+            out.append(("nodeKind", ~F.when(literal, F.lit("Literal" in p.node_kind)).when(blank, F.lit("Blank" in p.node_kind)).otherwise(F.lit("IRI" in p.node_kind))))
         if p.pattern:
-            bad(v.where(~F.col("o").rlike(p.pattern)), "pattern", F.col("o"))
+            out.append(("pattern", ~o.rlike(p.pattern)))
         if p.min_length is not None:
-            bad(v.where(F.length("o") < p.min_length), "minLength", F.col("o"))
+            out.append(("minLength", F.length(o) < p.min_length))
         if p.in_ is not None:
             among = F.lit(False)
             for x in p.in_:
                 among = among | self.equal(x)
-            bad(v.where(~among), "in", F.col("o"))
-        if p.has_value is not None:
-            bad(focus.join(v.where(self.equal(p.has_value)).select("node"), "node", "left_anti"), "hasValue", F.lit(None))
+            out.append(("in", ~among))
         if p.language_in is not None:
             # a range also admits its regions: "en" fits "en-GB"
-            ranges = [F.lower("o_lang").startswith(x.lower() + "-") | (F.lower("o_lang") == x.lower()) for x in p.language_in]
             spoken = F.lit(False)
-            for r in ranges:
-                spoken = spoken | r
-            bad(v.where(~(literal & spoken)), "languageIn", F.col("o"))
-        if p.unique_lang:
-            twice = v.where("o_lang <> ''").groupBy("node", "o_lang").agg(F.count("*").alias("n")).where("n > 1")
-            bad(twice, "uniqueLang", F.lit(None))
-        if p.node is not None:
-            nested = self.shape(p.node, v.where(~literal).select(F.col("o").alias("node")).distinct()).select(F.col("focus").alias("o")).distinct()
-            bad(v.join(nested, "o", "left_semi").unionByName(v.where(literal)), "node", F.col("o"))
-        if not parts:
-            return self.rows(focus.limit(0), p.path, p.severity, "", F.lit(None))
-        out = parts[0]
-        for x in parts[1:]:
-            out = out.unionByName(x)
+            for x in p.language_in:
+                spoken = spoken | (F.lower("o_lang") == x.lower()) | F.startswith(F.lower("o_lang"), F.lit(x.lower() + "-"))
+            out.append(("languageIn", ~(literal & spoken)))
+        return out
+
+    def together(self, properties: list[Property], v: DataFrame, focus: DataFrame) -> list[DataFrame]:
+        """Results of several properties on their values: what looks at one value from one scan, what counts from one aggregate, the rest by joins."""
+        out: list[DataFrame] = []
+
+        def found(p: Property, what: str, bad: Column, value: Column) -> Column:
+            return F.when(bad, F.struct(F.lit(p.path).alias("path"), F.lit(p.severity).alias("severity"), F.lit(p.message or what).alias("message"), F.coalesce(value.cast("string"), F.lit("")).alias("value")))
+
+        def told(df: DataFrame, cases: list[Column]) -> None:
+            if cases:
+                rows = df.select(F.col("node").alias("focus"), F.explode(F.array_compact(F.array(*cases))).alias("x"))
+                out.append(rows.select("focus", "x.path", "x.severity", "x.message", "x.value"))
+
+        of = lambda p: F.col("p") == p.path
+        told(v, [found(p, what, of(p) & bad, F.col("o")) for p in properties for what, bad in self.by_value(p)])
+        # counts, of nodes without values too
+        counts, cases = [], []
+        for k, p in enumerate(properties):
+            n = F.coalesce(F.col(f"n{k}"), F.lit(0))
+            if p.min_count is not None or p.max_count is not None:
+                counts.append(F.count_if(of(p)).alias(f"n{k}"))
+            if p.min_count is not None:
+                cases.append(found(p, "minCount", n < p.min_count, F.lit(None)))
+            if p.max_count is not None:
+                cases.append(found(p, "maxCount", n > p.max_count, F.lit(None)))
+            if p.has_value is not None:
+                counts.append(F.count_if(of(p) & self.equal(p.has_value)).alias(f"h{k}"))
+                cases.append(found(p, "hasValue", F.coalesce(F.col(f"h{k}"), F.lit(0)) == 0, F.lit(None)))
+        if counts:
+            told(focus.join(v.groupBy("node").agg(*counts), "node", "left"), cases)
+        if unique := [p for p in properties if p.unique_lang]:
+            twice = v.where((F.col("o_lang") != "") & F.col("p").isin([p.path for p in unique])).groupBy("node", "p", "o_lang").agg(F.count("*").alias("n")).where("n > 1")
+            told(twice, [found(p, "uniqueLang", of(p), F.lit(None)) for p in unique])
+        literal = F.col("o_kind") == "literal"
+        for p in properties:
+            own = v.where(of(p))
+            bad = lambda df, what, p=p: out.append(self.rows(df, p.path, p.severity, p.message or what, F.col("o")))
+            if p.class_:
+                members = self.instances(p.class_).withColumnRenamed("node", "member")
+                bad(own.join(members, (F.col("o") == F.col("member")) & ~literal, "left_anti"), "class")
+            if p.or_classes:
+                rest = own.where(~(literal & F.col("o_type").isin(p.or_datatypes or [])))
+                for c in p.or_classes:
+                    members = self.instances(c).withColumnRenamed("node", "member")
+                    rest = rest.join(members, (F.col("o") == F.col("member")) & ~literal, "left_anti")
+                bad(rest, "or")
+            if p.node is not None:
+                nested = self.shape(p.node, own.where(~literal).select(F.col("o").alias("node")).distinct()).select(F.col("focus").alias("o")).distinct()
+                bad(own.join(nested, "o", "left_semi").select(own.columns).unionByName(own.where(literal)), "node")
         return out
 
     def select(self, message: str, text: str, focus: DataFrame, severity: str) -> DataFrame:

@@ -53,13 +53,14 @@ def _emitted(records: DataFrame, subject: Column, templates: list[Emit]) -> Data
     """The triples of the records as a bag, from one scan; a single template needs no array."""
     if len(templates) == 1 and not templates[0].each:
         t = templates[0]
-        return records.select(subject.alias("s"), _struct(t, _value(t)).alias("t")).where("s IS NOT NULL AND t.o IS NOT NULL").select("s", "t.*")
+        values = [F.lit(t.p).alias("p"), _value(t).cast("string").alias("o"), F.lit(t.kind).alias("o_kind"), column(t.type).alias("o_type"), column(t.lang).alias("o_lang")]
+        return records.select(subject.alias("s"), *values).where("s IS NOT NULL AND o IS NOT NULL")
 
     def all_of(t: Emit) -> Column:
         return F.transform(F.coalesce(_value(t), F.array()), lambda x: _struct(t, x)) if t.each else F.array(_struct(t, _value(t)))
 
     every = F.filter(F.concat(*map(all_of, templates)), lambda x: x["o"].isNotNull())
-    return records.select(subject.alias("s"), F.explode(every).alias("t")).where("s IS NOT NULL").select("s", "t.*")
+    return records.select(subject.alias("s"), every.alias("every")).where("s IS NOT NULL").select("s", F.inline("every"))
 
 
 def project(records: DataFrame, subject: Column, templates: list[Emit]) -> DataFrame:

@@ -954,14 +954,14 @@ class Compiler:
             test = self.boolean(v[0])
             if v[1].what == v[2].what != "term":
                 return Value(v[1].what, F.when(test, v[1].col).otherwise(v[2].col))
-            if {v[1].what, v[2].what} <= {"string", "term", "iri"}:
-                pairs = zip([v[1].col, *self.terms(v[1])], [v[2].col, *self.terms(v[2])], strict=True)
-                return Value("term", *[F.when(test, a).otherwise(b) for a, b in pairs])
-            return Value("string", F.when(test, self.string(v[1])).otherwise(self.string(v[2])))
+            pairs = zip([self.string(v[1]), *self.terms(v[1])], [self.string(v[2]), *self.terms(v[2])], strict=True)
+            return Value("term", *[F.when(test, a).otherwise(b) for a, b in pairs])
         if op == "COALESCE":
             if len({x.what for x in v}) == 1 and v[0].what != "term":
                 return Value(v[0].what, F.coalesce(*[x.col for x in v]))
-            return Value("string", F.coalesce(*[self.string(x) for x in v]))
+            # of several kinds: the first that is bound, with all that is known of it
+            whole = F.coalesce(*[F.when(x.col.isNotNull(), F.struct(self.string(x).alias("v"), *[c.alias(n) for c, n in zip(self.terms(x), "ktl", strict=True)])) for x in v])
+            return Value("term", whole["v"], whole["k"], whole["t"], whole["l"])
         if op == "BOUND":
             return Value("boolean", v[0].col.isNotNull())
         if op in ("STR", XSD + "string"):
