@@ -16,8 +16,10 @@ A document is the set of its distinct word shingles. Two link when 100 * |A & B|
    verified once it shares as many prefix shingles as the smaller of the two lengths asks for.
    Documents known to be connected aren't compared again: components need no more.
 5. Of a group that exceeds a task, members are compared with pivots (its most ordinary
-   members) and inside slices. All that isn't connected to the group's largest part then is
-   compared with every slice, by the same rule.
+   members) and inside slices. What then isn't connected to the group's largest part (a probe)
+   is compared with the members that share a token of its one-match prefix with it, or with
+   every slice of the group, whichever sends fewer rows; a token whose sets are connected
+   already asks nothing.
 
 Cases: a null or empty text has no shingles and is linked with nothing, its component is its
 own id. A text of fewer than `k` words is one shingle. Repeated ids are kept as rows and linked
@@ -43,6 +45,8 @@ from .windows import LAST, _batches, _by_bucket, _sorted, block_of, bucket_numbe
 
 #: Members of a candidate group that a task joins at most; a larger group is cut in slices.
 SLICE = 400
+#: A row of a token's task against one of a slice of the whole group.
+TOKEN_COST = 1.0
 PIVOTS = 6
 LONGEST_MATCH = 4
 #: Characters of texts that are hashed at a time.
@@ -383,23 +387,38 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     found = _joined(members.join(roles.withColumn("part", F.col("node")), "node"), percent)
     if not cut:
         return found
-    # of groups cut in slices, what isn't connected yet: all but the largest part of a group are
-    # probes, compared with every slice; many probes are cut in chunks, so that a task has a slice and a chunk
+    # of groups cut in slices, what isn't connected yet: all but the largest part of a group are probes
     done = components(found).withColumnRenamed("root", "part")
     parts = _stored(large.join(done, "node", "left").select("node", "root", "size", F.coalesce("part", "node").alias("part")), "parts")
     counted = parts.groupBy("root", "part").agg(F.count("*").alias("k"))
-    main = counted.groupBy("root").agg(F.max_by("part", F.struct("k", "part")).alias("main"), (F.sum("k") - F.max("k")).alias("probes")).where("probes > 0")
+    main = counted.groupBy("root").agg(F.max_by("part", F.struct("k", "part")).alias("main"), (F.sum("k") - F.max("k")).alias("probes"), F.sum("k").alias("weight")).where("probes > 0")
     if main.isEmpty():
         return found
-    left = parts.join(main, "root")
-    chunks = F.ceil(F.col("probes") / SLICE).cast("long")
-    task = lambda k, c: F.xxhash64("root", k, c, F.lit("probe")).alias("slice")
+    left = _stored(attach(parts, "root", main).withColumn("probe", F.col("part") != F.col("main")), "left")
+    # linked sets share a token of their one-match prefixes; a token whose sets are connected already asks nothing
+    entries = _stored(sets.select("node", F.explode("first").alias("token")).join(left.select("node", "root", "part", "probe"), "node"), "entries")
+    cut_in = lambda n: F.ceil(F.col(n) / SLICE).cast("long")
+    cost = lambda n: F.col(n) * F.col("chunks") + F.col("probes") * (F.col("slices") - 1)
+    shared = entries.groupBy("token", "root").agg(F.count("*").alias("weight"), F.count_if("probe").alias("probes"), F.min("part").alias("least"), F.max("part").alias("most")).where("probes > 0 AND least < most")
+    shared = _stored(shared.select("token", "root", "weight", "probes", cut_in("weight").alias("slices"), cut_in("probes").alias("chunks")), "shared")
+    # of the two ways (a group's slices, or its tokens) the one that sends fewer rows
+    by_token = shared.groupBy("root").agg(F.sum(cost("weight")).alias("cost"))
+    groups_ = main.select("root", "probes", "weight", cut_in("weight").alias("slices"), cut_in("probes").alias("chunks"))
+    way = groups_.join(by_token, "root", "left").select("root", "slices", "chunks", (F.coalesce("cost", F.lit(0)) * TOKEN_COST < cost("weight")).alias("by_token"), "weight")
+    way = _stored(way, "ways")
+    tasks = attach(left.select("node", "root", "part", "probe"), "root", way.where("NOT by_token")).select("node", "part", "probe", "slices", "chunks", F.col("root").alias("of"))
+    asked = attach(entries, "root", way.where("by_token").select("root", "weight")).drop("root")
+    tasks = tasks.unionByName(attach(asked, "token", shared.drop("root", "probes")).select("node", "part", "probe", "slices", "chunks", F.xxhash64("token", F.lit("token")).alias("of")))
+    return found.unionByName(_joined(members.join(_placed(tasks), "node"), percent))
+
+
+def _placed(tasks: DataFrame) -> DataFrame:
+    """tasks (node, part, probe, slices, chunks, of) -> (node, slice, pivot, part): a task has a slice of the members and a chunk of the probes, so that each probe meets each member once."""
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    slice_of, chunk_of = F.pmod(F.xxhash64("node"), slices), F.pmod(F.xxhash64("node", F.lit(5)), chunks)
-    standing = left.select("root", "node", "part", slice_of.alias("k"), upto(chunks).alias("c"))
-    moving = left.where("part <> main").select("root", "node", "part", slice_of.alias("own"), upto(slices).alias("k"), chunk_of.alias("c")).where("k <> own").drop("own")
-    roles = standing.unionByName(moving).select("node", task("k", "c"), F.lit(0).alias("pivot"), "part")
-    return found.unionByName(_joined(members.join(roles, "node"), percent))
+    slice_of, chunk_of = F.pmod(F.xxhash64("node"), F.col("slices")), F.pmod(F.xxhash64("node", F.lit(5)), F.col("chunks"))
+    standing = tasks.select("node", "of", "part", slice_of.alias("k"), upto(F.col("chunks")).alias("c"))
+    moving = tasks.where("probe AND slices > 1").select("node", "of", "part", slice_of.alias("own"), upto(F.col("slices")).alias("k"), chunk_of.alias("c")).where("k <> own").drop("own")
+    return standing.unionByName(moving).select("node", F.xxhash64("of", "k", "c", F.lit("probe")).alias("slice"), F.lit(0).alias("pivot"), "part")
 
 
 def _joined(rows: DataFrame, percent: int) -> DataFrame:

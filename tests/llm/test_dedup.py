@@ -162,8 +162,11 @@ def test_join(spark, seed):
     check(jaccard_join.linked(frame(spark, docs)).collect(), pairs_of(docs))
 
 
-def test_join_of_groups_larger_than_a_task(spark, monkeypatch):
+@pytest.mark.parametrize("token_cost", [1.0, 0.0, 1e9])
+def test_join_of_groups_larger_than_a_task(spark, monkeypatch, token_cost):
     monkeypatch.setattr(jaccard_join, "SLICE", 12)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 1)
+    monkeypatch.setattr(jaccard_join, "TOKEN_COST", token_cost)
     r = random.Random(3)
     vocabulary = [f"v{i}" for i in range(2000)]
     docs = []
