@@ -5,18 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write df under spark.checkpoint.dir and read it again: lineage is cut, and lost executors cost nothing that is written. Where no folder is set, a local master gets a temporary one and a cluster is refused."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, label: str) -> str:
+    """A new folder under spark.checkpoint.dir. Where none is set, a local master gets a temporary one and a cluster is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lodestone-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write df to a scratch folder and read it again: lineage is cut, and lost executors cost nothing that is written."""
+    path = folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -6,6 +6,7 @@ import re
 import duckdb
 import pytest
 
+from lodestone import more_queries  # noqa: F401  registers its queries
 from lodestone import queries as Q
 
 DATA = "/root/testdata"
