@@ -239,11 +239,13 @@ def identifier_lines(rows: DataFrame) -> DataFrame:
     return volumes.unionByName(rows.where(t.rlike(i)).select(F.regexp_extract(t, i, 1).cast("int").alias("volume"), F.regexp_extract(t, i, 2).cast("int").alias("issue"), F.regexp_extract(t, i, 3).alias("item")))
 
 
-#: Signs before an entry's number (fixed values).
+# Fixed values, the format of a volume's Markdown: signs before an entry's number; the lines that
+# begin an entry, an issue and a field; fields without marks; badges.
 SIGILS = "#λ§𝒬"
 _HEAD = rf"^(?:[>*\-]\s*)*\**\s*([{SIGILS}])([0-9]+)\s+(.*)$"
 _ISSUE = r"^###\s+(?:Issue\s+([0-9]+)|([0-9]{4}):\(([0-9]+)\)([0-9]+)\s*(?:=>\s*SI:\s*(.+?))?)\s*$"
 _FIELD = r"^[*-]\s+\*\*`?([A-Za-z][A-Za-z /-]*?)`?\*\*:?\s*(.*)$"
+_BADGE = r"!\[[^\]]*\]\(https://img\.shields\.io/badge/([A-Z]+)-([^)]*?)-[a-z]+\)"
 _PLAIN = r"(?i)^[*-]\s+(DOI|Wikidata|ISBN|Link)\s*:\s*(.*)$"
 
 
@@ -261,9 +263,8 @@ def volume_lines(rows: DataFrame) -> DataFrame:
     close = issue.isNotNull() | t.rlike("^##? ")
     marked = rows.withColumn("t", t).withColumn("at_issue", issue).withColumn("is_head", head).withColumn("closes", close)
     placed = marked.withColumn("issue", F.last("at_issue", True).over(w)).withColumn("entry_line", F.last(F.when(F.col("is_head"), F.col("line")).when(F.col("closes"), F.lit(-1)), True).over(w))
-    badge = r"!\[[^\]]*\]\(https://img\.shields\.io/badge/([A-Z]+)-([^)]*?)-[a-z]+\)"
     rest = F.regexp_replace(F.replace(F.regexp_extract("t", _HEAD, 3), F.lit("<br>"), F.lit(" ")), r"\*\*\s*$", "")
-    kinds, values = F.regexp_extract_all(rest, F.lit(badge), 1), F.regexp_extract_all(rest, F.lit(badge), 2)
+    kinds, values = F.regexp_extract_all(rest, F.lit(_BADGE), 1), F.regexp_extract_all(rest, F.lit(_BADGE), 2)
     badges = F.zip_with(kinds, values, lambda k, v: F.struct(k.alias("k"), F.translate(F.replace(v, F.lit("%20"), F.lit(" ")), "_", " ").alias("v")))
     bare = F.trim(F.regexp_replace(rest, r"!\[[^\]]*\]\(https://img\.shields\.io/[^)]*\)\s*", ""))
     tags = F.regexp_extract(bare, r"^((?:\[`?[^\]`]+`?\]\s*)*)", 1)
@@ -297,13 +298,16 @@ def entries_of(placed: DataFrame) -> DataFrame:
     return grouped.select("source", "issue", "line", "sigil", "n", "title", "labels", "language", unique.alias("fields"), "plain", "quotes")
 
 
+# Fixed value, the format of a publication line: "- ![flag](picture) authors (year). _title_, rest".
+_PUBLICATION = r"^-\s+!\[([a-z]{2})\]\([^)]*\)\s*(.+?)\s*\(([0-9]{4})\)\.?\s*(.*)$"
+
+
 def publication_lines(rows: DataFrame, until_year: int = 2019) -> DataFrame:
     """One-line publications under "## year" headers, up to a year -> (source, line, year, flag, authors, title, tail, doi_text)."""
     w = Window.partitionBy("source").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = F.trim("text")
     years = rows.withColumn("t", t).withColumn("year", F.last(F.nullif(F.regexp_extract("t", r"^##\s+([0-9]{4})", 1), F.lit("")).cast("int"), True).over(w))
-    p = r"^-\s+!\[([a-z]{2})\]\([^)]*\)\s*(.+?)\s*\(([0-9]{4})\)\.?\s*(.*)$"
-    found = years.where((F.col("year") <= until_year) & F.col("t").rlike(p)).select("source", "line", "year", *[F.regexp_extract("t", p, k).alias(n) for k, n in ((1, "flag"), (2, "authors"), (4, "rest"))])
+    found = years.where((F.col("year") <= until_year) & F.col("t").rlike(_PUBLICATION)).select("source", "line", "year", *[F.regexp_extract("t", _PUBLICATION, k).alias(n) for k, n in ((1, "flag"), (2, "authors"), (4, "rest"))])
     body = F.regexp_replace("rest", r"DOI:.*$", "")
     title = F.array_join(F.transform(F.regexp_extract_all(body, F.lit("_([^_]+)_"), 1), lambda x: F.regexp_replace(F.trim(x), ",+$", "")), " ")
     tail = F.regexp_replace(F.regexp_replace(body, "^.*_[^_]+_", ""), r"^[ ,.]+|[ ,.]+$", "")
