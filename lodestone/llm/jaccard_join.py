@@ -44,7 +44,7 @@ from .units import many_word_units, shingle_hashes
 from .windows import LAST, _batches, _by_bucket, _sorted, block_of, bucket_number, identified, pack_head, packed, unpack_head, unpacked
 
 #: Members of a candidate group that a task joins at most; a larger group is cut in slices.
-SLICE = 400
+SLICE = 128
 #: A row of a token's task against one of a slice of the whole group.
 TOKEN_COST = 1.0
 PIVOTS = 6
