@@ -20,16 +20,21 @@ from ..functions import text as T
 from ..plans.shared import stored
 from . import resolve
 
-# Licences of the archive and their texts; three-letter languages.
+# Licences of the archive and their addresses (one that is open has none); languages by their longer codes.
 LICENCES = {
     "cc-by-4.0": "https://creativecommons.org/licenses/by/4.0/",
+    "cc-by": "https://creativecommons.org/licenses/by/4.0/",
     "cc-by-sa-4.0": "https://creativecommons.org/licenses/by-sa/4.0/",
     "cc-zero": "https://creativecommons.org/publicdomain/zero/1.0/",
     "cc0-1.0": "https://creativecommons.org/publicdomain/zero/1.0/",
-    "mit": "https://opensource.org/license/mit",
-    "mit-license": "https://opensource.org/license/mit",
+    "mit-license": "https://spdx.org/licenses/MIT.html",
+    "mit": "https://spdx.org/licenses/MIT.html",
+    "gpl-2.0": "https://spdx.org/licenses/GPL-2.0-only.html",
+    "gpl-3.0": "https://spdx.org/licenses/GPL-3.0-only.html",
+    "apache-2.0": "https://spdx.org/licenses/Apache-2.0.html",
+    "other-open": None,
 }
-SHORT_LANGUAGES = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "ita": "it", "spa": "es"}
+SHORT_LANGUAGES = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "ita": "it", "spa": "es", "enc": "en"}
 # Kinds of state by which a country is told to exist today.
 STATES, HISTORICAL = ["Q6256", "Q3624078"], ["Q3024240"]
 ROLES = ["creators", "editors", "contributors"]
@@ -48,7 +53,7 @@ class Merged:
     notes: DataFrame
 
 
-def _table(values: dict[str, str], key: Column) -> Column:
+def _table(values: dict[str, str | None], key: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), key)
 
 
@@ -217,7 +222,7 @@ def merge(volumes: DataFrame, archive: DataFrame, places: DataFrame, items: Data
     note(e.where(date.isNull() & ~ignored & ~c("draft")), "no-date", F.lit("the volume's year"))
     note(e.where((c("volume") > 1) & (year != c("volume_year"))), "year-outside-volume", date)
     note(e.where(c("zenodo").isNull() & c("doi").isNotNull() & ~c("draft")), "no-archive-record", c("doi"))
-    note(e.where(c("licence.id").isNotNull() & c("licence.url").isNull()), "licence-unmapped", c("licence.id"))
+    note(e.where(~c("licence.id").isin(list(LICENCES))), "licence-unmapped", c("licence.id"))
     unlike = c("a_title").isNotNull() & (T.similarity(T.norm(c("title")), T.norm(c("a_title"))) < least)
     event = F.when(c("event").isNotNull(), F.struct(*[c(f"event.{x}").alias(x) for x in ("name", "start", "end", "date_text", "session", "location", "online")], c("place").alias("place")))
     entries = out.select(

@@ -75,7 +75,7 @@ def test_build(spark, tmp_path):
     bib, ris = (out / "journal.bib").read_text(), (out / "journal.ris").read_text()
     assert bib.count("@article{") == 2 and bib.index("The use of maps") < bib.index("A tool for maps") and ris.count("ER  -") == 2 and len(json.loads((out / "journal.csl.json").read_text())) == 2
     nodes = json.loads((out / "schema.json").read_text())
-    assert [n["@type"] for n in nodes] == ["PresentationDigitalDocument", "SoftwareSourceCode"] and nodes[0]["abstract"] == "On maps" and nodes[0]["recordedAt"]["location"]["geo"]["latitude"] == 50.5 and nodes[0]["license"].endswith("/mit")
+    assert [n["@type"] for n in nodes] == ["PresentationDigitalDocument", "SoftwareSourceCode"] and nodes[0]["abstract"] == "On maps" and nodes[0]["recordedAt"]["location"]["geo"]["latitude"] == 50.5 and nodes[0]["license"].endswith("/MIT.html")
     features = json.loads((out / "events.geojson").read_text())["features"]
     assert len(features) == 1 and features[0]["geometry"]["coordinates"] == [8.25, 50.5] and features[0]["properties"]["entries"][0]["label"] == "1(1), #1"
     index = json.loads((out / "search.json").read_text())
