@@ -448,12 +448,12 @@ def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def bucket_number(df: DataFrame) -> int:
-    """Buckets for a table: a shuffle partition each, more where the plan's estimate of its bytes asks for it. Results don't depend on it."""
+    """Buckets for a table: a shuffle partition each, more where the bytes of the files that it is read from ask for it. Results don't depend on it."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= 1 << 60:  # nothing is known of it
-        return max(1, least)
-    return max(1, least, min(MOST_BUCKETS, size // BUCKET_BYTES))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)  # of other leaves nothing is known
+    return max(1, least, min(MOST_BUCKETS, known // BUCKET_BYTES))
 
 
 def repeated(df: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame:

@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 import public_tokenizers as P
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -373,6 +374,24 @@ def test_sharding_of_what_no_bit_splits(spark):
     assert sharding.shard(docs(spark, rows).limit(0), 200).count() == 0
 
 
+def test_written_shards(spark, tmp_path):
+    rows = [(5, "y" * 40)] * 50 + [(None, "zz")] * 30 + [(7, "w" * 500), (8, None), (9, "")] + [(i, "x" * (i % 30)) for i in range(100, 300)]
+    df = docs(spark, rows).repartition(4)
+    sharding.write(df, str(tmp_path / "s"), 200)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.columns == ["doc_id", "text", "x", "score", "shard"]
+    got = back.collect()
+    assert sorted(repr((r.doc_id, r.text)) for r in got) == sorted(repr(r) for r in rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.shard, []).append(len(r.text or ""))
+    assert len(by) > 10 and all(sum(n) <= 200 or len(n) == 1 for n in by.values())
+    sharding.write(df, str(tmp_path / "whole"), 500, size=sharding.row_bytes(df))
+    sizes = spark.read.parquet(str(tmp_path / "whole")).groupBy("shard").agg(F.sum(F.octet_length(F.to_json(F.struct("doc_id", "text", "x", "score")))).alias("n"), F.count("*").alias("k")).collect()
+    assert all(r.n <= 500 or r.k == 1 for r in sizes)
+    sharding.write(df.limit(0), str(tmp_path / "none"), 200)
+
+
 def test_sharding_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
