@@ -139,8 +139,8 @@ def _count(buckets: int):
 
     def of(bucket: int, rows: list[bytes]) -> Iterator[tuple[int, bytes]]:
         ids, hashes, docs, keys, seen = [], [], [], [], 0
-        for p in rows:
-            steps, hs, counts, low, high = unpacked(p)
+        while rows:  # what is unpacked is let go
+            steps, hs, counts, low, high = unpacked(rows.pop())
             i, h = unpack_head(steps, hs, np.ones(len(steps), np.int64))
             ids.append(i)
             hashes.append(h)
@@ -212,8 +212,8 @@ def _gather(percent: int):
             size: dict[tuple[int, int], int] = {}
             stands: dict[tuple[int, int], int] = {}
             parts = []
-            for p in rows:
-                kind, steps, hashes, counts, *more = unpacked(p)
+            while rows:
+                kind, steps, hashes, counts, *more = unpacked(rows.pop())
                 ids, hs = unpack_head(steps, hashes, counts)
                 if kind[0] == STANDS:
                     stands.update(zip(zip(ids.tolist(), hs.tolist(), strict=True), more[0].tolist(), strict=True))
