@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import divergence, licenses
 from .common import table
 
 
@@ -69,10 +70,28 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings")).drop("deviation_exact")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 #: Bytes of text that a shard holds at most: small, so that the directory splits at every size of the tables.
 SHARD_BYTES = 32 << 10
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op3_decontaminate, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_suffix_dedup, op3_decontaminate, op4_toxicity, op5_automaton_dedup, op6_quality, op7_bpe, op8_jaccard_join, op9_sharding, op10_media, op11_whitening, op12_divergence, op13_license_scan)}
 
 ORACLE_SQL = {
     # the leaf of a row is the least depth at which its bucket fits or it is alone; above the limit it is a page of its own
@@ -83,4 +102,6 @@ ORACLE_SQL = {
         SELECT doc_id, n_bytes, d::INTEGER AS depth, prefix::BIGINT AS prefix, CASE WHEN bytes > {SHARD_BYTES} THEN -1 ELSE 0 END::BIGINT AS page, bytes AS shard_bytes, bytes > {SHARD_BYTES} AS over_limit
         FROM s WHERE bytes <= {SHARD_BYTES} OR n = 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d) = 1
     """,
+    "op12_divergence": divergence.oracle(),
+    "op13_license_scan": licenses.oracle(),
 }
