@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import compatible, norm, similarity
+from ..functions.text import compatible, initials, norm, similarity
+from ..plans.shared import stored
 
 
 def canonical_names(spellings: DataFrame, key: str = "orcid", share: int = 4) -> DataFrame:
@@ -23,34 +24,53 @@ def canonical_names(spellings: DataFrame, key: str = "orcid", share: int = 4) ->
     return often.groupBy(key).agg(F.first("family").alias("family"), F.max_by("given", F.struct(F.length("given"), "given")).alias("given"))
 
 
+def _beginnings(i: Column, proper: bool = False) -> Column:
+    """All beginnings of a text, from the empty one on."""
+    every = F.transform(F.sequence(F.lit(0), F.length(i)), lambda k: F.substring(i, F.lit(1), k))
+    return F.slice(every, F.lit(1), F.length(i)) if proper else every
+
+
 def match_persons(persons: DataFrame, known: DataFrame, spellings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """persons (id, family, given) against known (orcid, family, given): (id, orcid) where exactly one fits, and (id, orcids) where several do.
 
     A family matches the canonical one or any known spelling of it; given names match where the
-    initials of one begin the other's. The join is on the normal family name.
+    initials of one begin the other's. People of one family and the same initials are one class; a
+    class meets what its initials begin with, and what begins with them, by joins on equal texts.
     """
-    names = known.select("orcid", norm(F.col("family")).alias("f")).union(spellings.select("orcid", norm(F.col("family")))).distinct().join(known.select("orcid", F.col("given").alias("g")), "orcid")
-    hits = persons.withColumn("f", norm(F.col("family"))).join(names, "f").where(compatible(F.col("g"), F.col("given"))).groupBy("id").agg(F.collect_set("orcid").alias("orcids"))
+    names = known.select("orcid", norm(F.col("family")).alias("f")).union(spellings.select("orcid", norm(F.col("family")))).distinct().join(known.select("orcid", initials(F.col("given")).alias("i")), "orcid").where("i IS NOT NULL")
+    own = persons.select("id", norm(F.col("family")).alias("f"), initials(F.col("given")).alias("i"))
+    classes = own.select("f", "i").distinct()
+    shorter = classes.select("f", "i", F.explode(_beginnings(F.col("i"))).alias("b")).join(names.select("f", F.col("i").alias("b"), "orcid"), ["f", "b"])
+    longer = names.select("f", "orcid", F.explode(_beginnings(F.col("i"), proper=True)).alias("i")).join(classes, ["f", "i"])
+    fits = shorter.select("f", "i", "orcid").union(longer.select("f", "i", "orcid")).groupBy("f", "i").agg(F.sort_array(F.collect_set("orcid")).alias("orcids"))
+    hits = own.join(fits, ["f", "i"]).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("orcids"))).alias("orcids"))
     return hits.where(F.size("orcids") == 1).select("id", F.col("orcids")[0].alias("orcid")), hits.where(F.size("orcids") > 1).select("id", F.sort_array("orcids").alias("orcids"))
 
 
 def loose_persons(persons: DataFrame) -> DataFrame:
     """Persons without identifier (id, family, given) -> (id, keeper): each joins the first compatible one of its family in the order (longest given name, given, id).
 
-    Not a transitive closure: who joined somebody doesn't attract others.
+    Not a transitive closure: who joined somebody doesn't attract others. People of one family with
+    the same initials share their keeper, so what is decided are these classes: a class joins the
+    first keeper among the classes before it whose initials begin its own or the other way round, and
+    can be decided once these are. Initials are short, and so is a chain of classes that wait for
+    each other: it passes each beginning of a text once.
     """
     order = F.struct((-F.length("given")).alias("l"), "given", "id")
-    members = persons.select(norm(F.col("family")).alias("f"), order.alias("m"))
-    lists = members.groupBy("f").agg(F.array_sort(F.collect_list("m")).alias("ms"))  # the people of one family name
-
-    def step(acc: Column, m: Column) -> Column:
-        found = F.try_element_at(F.filter(acc, lambda k: k["keeper"].isNull() & compatible(k["m"]["given"], m["given"])), F.lit(1))
-        return F.array_append(acc, F.struct(m.alias("m"), found["m"]["id"].alias("keeper")))
-
-    kind = dict(persons.dtypes)["id"]
-    start = F.array().cast(f"array<struct<m:struct<l:int,given:string,id:{kind}>,keeper:{kind}>>")
-    folded = lists.select(F.explode(F.aggregate("ms", start, step)).alias("x"))
-    return folded.select(F.col("x.m.id").alias("id"), F.coalesce("x.keeper", "x.m.id").alias("keeper"))
+    members = persons.select("id", F.coalesce(norm(F.col("family")), F.lit("\0")).alias("f"), initials(F.col("given")).alias("i"), order.alias("m"))
+    classes = stored(members.where("i IS NOT NULL").groupBy("f", "i").agg(F.min("m").alias("m")), "persons")
+    shorter = classes.select("f", F.explode(_beginnings(F.col("i"), proper=True)).alias("b"), "i", "m").join(classes.select("f", F.col("i").alias("b"), F.col("m").alias("bm")), ["f", "b"])
+    first = F.col("bm") < F.col("m")
+    later, earlier = F.when(first, F.col("i")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("i"))
+    waiting = stored(shorter.select("f", later.alias("i"), earlier.alias("e"), F.least("m", "bm").alias("em")), "persons")
+    decided = stored(classes.join(waiting, ["f", "i"], "left_anti").select("f", "i", F.col("m.id").alias("keeper"), F.lit(True).alias("keeps")), "persons")
+    while not waiting.isEmpty():
+        told = waiting.join(decided.select("f", F.col("i").alias("e"), "keeps"), ["f", "e"], "left")
+        ready = told.groupBy("f", "i").agg(F.bool_and(F.col("keeps").isNotNull()).alias("ready"), F.min(F.when(F.col("keeps"), F.col("em"))).alias("joins")).where("ready")
+        fresh = stored(ready.join(classes, ["f", "i"]).select("f", "i", F.coalesce("joins.id", "m.id").alias("keeper"), F.col("joins").isNull().alias("keeps")), "persons")
+        waiting = stored(waiting.join(fresh, ["f", "i"], "left_anti"), "persons")
+        decided = decided.unionByName(fresh)
+    return members.join(decided, ["f", "i"], "left").select("id", F.coalesce("keeper", "id").alias("keeper"))
 
 
 def fuller_spelling(creators: Column, family: Column, given: Column) -> Column:

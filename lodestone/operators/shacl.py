@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import sparql
+from . import orbits
+
 from .triples import Graph
 
 RDF_TYPE = sparql.RDF_TYPE
@@ -78,7 +80,7 @@ def class_closure(triples: Graph | DataFrame) -> DataFrame | None:
     edges = Graph.of(triples).scan([SUB_CLASS]).select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
     if edges.isEmpty():
         return None
-    return sparql.closure(edges).distinct().select(F.col("a").alias("sub"), F.col("b").alias("super"))
+    return orbits.closure(edges).select(F.col("a").alias("sub"), F.col("b").alias("super"))
 
 
 #: Pairs of a class and one below it that are told to scans as constants; more are joined.

@@ -10,8 +10,10 @@ predicates one scan with IN. Where the graph is made of views of records, only t
 the predicates asked for are made, and a star on one subject is one projection of its records.
 
 EXISTS is Spark's own correlated subquery, wherever it stands; a filter inside may use
-variables from outside. A variable that an OPTIONAL may have left unbound is compatible with
-any value when joined on; without another common variable such a join compares all pairs.
+variables from outside. A variable that an OPTIONAL or BIND may have left unbound is
+compatible with any value when joined on: each side is parted by what it binds, and the parts
+are joined on what both bind; only rows that bind nothing in common meet as a product.
+A path from or to a given term is searched from there; without one all pairs are made, by doubling.
 
 Not supported, and refused: SERVICE, DESCRIBE, blank nodes, variables from outside below the
 first level of an EXISTS. Transitive paths (+, *) take one predicate. Patterns without a common
@@ -20,16 +22,20 @@ variable are multiplied, as SPARQL means it; `product_rows` bounds the smaller s
 
 from __future__ import annotations
 
+import functools
+import itertools
+import operator
 import re
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import orbits
 from ..operators.triples import Graph, column
-from .shared import stored
 
 XSD = "http://www.w3.org/2001/XMLSchema#"
+LANG_STRING = "http://www.w3.org/1999/02/22-rdf-syntax-ns#langString"
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 INTEGERS = [XSD + t for t in ("integer", "long", "int", "short", "byte", "positiveInteger", "nonNegativeInteger")]
 NUMERIC = [XSD + t for t in ("integer", "decimal", "double", "float", "long", "int", "short", "byte", "positiveInteger", "nonNegativeInteger")]
@@ -470,9 +476,16 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _same_kind(x: Literal, type_: Column, lang: Column) -> Column:
+    """Has a literal with this datatype and language those of x? A language says all; a plain text may be stored without datatype."""
+    if x.lang:
+        return F.lower(lang) == x.lang.lower()
+    return (lang == "") & (type_.isin("", x.type) if x.type == XSD + "string" else type_ == x.type)
+
+
 class Compiler:
-    def __init__(self, triples: Graph | DataFrame, counts: dict[str, int] | None = None, depth: int = 0, product_rows: int | None = None):
-        self.triples, self.counts, self.depth, self.fresh, self.product_rows = Graph.of(triples), counts or {}, depth, 0, product_rows
+    def __init__(self, triples: Graph | DataFrame, counts: dict[str, int] | None = None, product_rows: int | None = None):
+        self.triples, self.counts, self.fresh, self.product_rows = Graph.of(triples), counts or {}, 0, product_rows
         self.graph: Iri | Var | None = None  # of the GRAPH around a pattern
 
     def new(self) -> str:
@@ -497,9 +510,7 @@ class Compiler:
             elif isinstance(term, Literal):
                 if position != "o":
                     raise SparqlError("a literal can only be an object")
-                df = df.where((F.col("o") == term.value) & (F.col("o_kind") == "literal") & (F.coalesce("o_lang", F.lit("")) == term.lang))
-                if term.type in NUMERIC or term.type == XSD + "boolean":
-                    df = df.where(F.col("o_type") == term.type)
+                df = df.where((F.col("o") == term.value) & (F.col("o_kind") == "literal") & _same_kind(term, F.coalesce("o_type", F.lit("")), F.coalesce("o_lang", F.lit(""))))
             elif term.name in bound:  # the same variable again
                 df = df.where((F.col("o") == F.col("s" if isinstance(t.s, Var) and t.s.name == term.name else "p")) & (F.col("o_kind") == "iri"))
             elif position == "o":
@@ -525,12 +536,20 @@ class Compiler:
         if p.parts[0].op != "iri":
             raise SparqlError("+ and * take a single predicate")
         edges = self.triples.scan([p.parts[0].name], self.graph.value if isinstance(self.graph, Iri) else None).where(F.col("o_kind") == "iri").select(F.col("s").alias("a"), F.col("o").alias("b")).distinct()
-        reached = closure(edges, self.depth)
-        if p.op == "star":
-            nodes = edges.select("a").union(edges.select("b")).distinct()
-            if isinstance(t.s, Iri):  # a path of no step is there for any term
-                nodes = nodes.union(self.triples.sparkSession.createDataFrame([(t.s.value,)], "a string")).distinct()
-            reached = reached.union(nodes.select("a", F.col("a").alias("b"))).distinct()
+        given = next((k for k, x in (("a", t.s), ("b", t.o)) if isinstance(x, Iri)), None)
+        if given:  # from the bound end, without the pairs of other sources
+            end = t.s.value if given == "a" else t.o.value
+            start = self.triples.sparkSession.createDataFrame([(end,)], "node string")
+            nodes = orbits.reached(edges if given == "a" else edges.select(F.col("b").alias("a"), F.col("a").alias("b")), start)
+            if p.op == "star":  # a path of no step is there for any term
+                nodes = nodes.union(start).distinct()
+            here, there = F.lit(end).alias(given), F.col("node").alias("b" if given == "a" else "a")
+            reached = nodes.select(here, there)
+        else:
+            reached = orbits.closure(edges)
+            if p.op == "star":
+                nodes = edges.select("a").union(edges.select("b")).distinct()
+                reached = reached.union(nodes.select("a", F.col("a").alias("b"))).distinct()
         out, bound = reached, {}
         for col, term in (("a", t.s), ("b", t.o)):
             if isinstance(term, Iri):
@@ -589,9 +608,7 @@ class Compiler:
             if isinstance(t.o, Iri):
                 fits = (value == t.o.value) & F.lit(e.kind == "iri")
             else:
-                fits = (value == t.o.value) & F.lit(e.kind == "literal") & (column(e.lang) == t.o.lang)
-                if t.o.type in NUMERIC or t.o.type == XSD + "boolean":
-                    fits = fits & (column(e.type) == t.o.type)
+                fits = (value == t.o.value) & F.lit(e.kind == "literal") & _same_kind(t.o, column(e.type), column(e.lang))
             if e.const is None or e.when is not None:
                 cols.append(fits.alias(f".f{k}"))
                 keep.append(_c(f".f{k}"))
@@ -669,6 +686,8 @@ class Compiler:
         loose = [v for v in shared if a.vars[v].maybe or b.vars[v].maybe]
         mixed = [v for v in loose if a.vars[v].what != b.vars[v].what]
         a, b = self.widened(a, mixed), self.widened(b, mixed)
+        if loose:
+            return self.join_by_masks(a, b, shared, loose, how)
         right, on = self.keys(a, b, shared)
         if not shared and how in ("left_semi", "left_anti"):
             on = [F.lit(True)]
@@ -676,26 +695,79 @@ class Compiler:
         condition = on[0] if on else None
         for c in on[1:]:
             condition = condition & c
-        if how == "inner" and not new and not loose and ".one" not in b.df.columns:
+        if how == "inner" and not new and ".one" not in b.df.columns:
             # a triple matches a bound pattern once; of a bag (a path, a union) each row would count
             if not b.bag:
                 return Table(a.df.join(right, condition, "left_semi"), a.vars)
             joined = a.df.join(right, condition)
             return Table(joined.select(*[_c(c) for v in a.vars for c in _cols(v, a.vars[v])]), a.vars)
         if condition is None:
-            if ".one" not in b.df.columns and self.product_rows is not None and min(t.df.limit(self.product_rows + 1).count() for t in (a, b)) > self.product_rows:
-                raise SparqlError(f"patterns without a common variable: both sides have more than {self.product_rows} rows")
-            joined = a.df.crossJoin(F.broadcast(right)) if ".one" in b.df.columns else a.df.crossJoin(right)
+            joined = self.product(a.df, right, ".one" in b.df.columns)
         else:
             joined = a.df.join(right, condition, how)
         if how in ("left_semi", "left_anti"):
             return Table(joined, a.vars)
-        keep = [F.coalesce(_c(c), _c(f"{c}|r")).alias(c) if v in loose else _c(c) for v in a.vars for c in _cols(v, a.vars[v])] + [_c(c) for v in new for c in _cols(v, b.vars[v])]
+        keep = [_c(c) for v in a.vars for c in _cols(v, a.vars[v])] + [_c(c) for v in new for c in _cols(v, b.vars[v])]
         bound = a.vars | {v: Bound(b.vars[v].what, b.vars[v].maybe or how == "left") for v in new}
-        bound |= {v: Bound(a.vars[v].what, a.vars[v].maybe and (b.vars[v].maybe or how == "left")) for v in loose}
-        # what an IRI-only side knows holds for both
         return Table(joined.select(*keep, *([] if keep else [F.lit(1).alias(".one")])), bound)
 
+    def product(self, left: DataFrame, right: DataFrame, one: bool = False) -> DataFrame:
+        """All pairs: patterns without a common variable, as SPARQL means it."""
+        if not one and self.product_rows is not None and min(x.limit(self.product_rows + 1).count() for x in (left, right)) > self.product_rows:
+            raise SparqlError(f"patterns without a common variable: both sides have more than {self.product_rows} rows")
+        return left.crossJoin(F.broadcast(right) if one else right)
+
+    def join_by_masks(self, a: Table, b: Table, shared: list[str], loose: list[str], how: str) -> Table:
+        """A join on variables that a side may have left unbound, which are compatible with anything.
+
+        Each side is parted by which of them its rows bind (their mask); of two masks the rows meet by
+        an equi-join on what both bind. Where that is nothing there is a product, made only if there are
+        such rows."""
+        right, _ = self.keys(a, b, shared)
+        masks = lambda t: itertools.product(*[(True, False) if t.vars[v].maybe else (True,) for v in loose])
+        new = [v for v in b.vars if v not in a.vars]
+
+        def part(df: DataFrame, t: Table, mask: tuple[bool, ...], end: str) -> DataFrame:
+            for v, there in zip(loose, mask, strict=True):
+                if t.vars[v].maybe:
+                    df = df.where(_c(v + end).isNotNull() if there else _c(v + end).isNull())
+            return df
+
+        def met(x: tuple[bool, ...], y: tuple[bool, ...]) -> Column | None:
+            both = [v for v in shared if v not in loose or (x[loose.index(v)] and y[loose.index(v)])]
+            firm = Table(a.df, {v: replace(a.vars[v], maybe=False) for v in both}), Table(b.df, {v: replace(b.vars[v], maybe=False) for v in both})
+            on = self.keys(*firm, both)[1]
+            return functools.reduce(operator.and_, on) if on else None
+
+        keep = [F.coalesce(_c(c), _c(f"{c}|r")).alias(c) if v in loose else _c(c) for v in a.vars for c in _cols(v, a.vars[v])] + [_c(c) for v in new for c in _cols(v, b.vars[v])]
+        parts = []
+        for x in masks(a):
+            left, alone = part(a.df, a, x, ""), None
+            for y in masks(b):
+                other, on = part(right, b, y, "|r"), met(x, y)
+                if how == "left_anti":  # rows that have nothing in common take nothing away
+                    left = left if on is None else left.join(other, on, "left_anti")
+                    continue
+                if on is None:
+                    if left.isEmpty() or other.isEmpty():
+                        continue
+                    parts.append(self.product(left, other).select(*keep))
+                    alone = left.limit(0) if alone is None else alone.limit(0)
+                    continue
+                parts.append(left.join(other, on).select(*keep))
+                if how == "left":
+                    alone = (left if alone is None else alone).join(other, on, "left_anti")
+            if how == "left_anti":
+                parts.append(left)
+            elif how == "left":
+                missing = [F.lit(None).cast("string" if c != v else right.schema[c].dataType).alias(c) for v in new for c in _cols(v, b.vars[v])]
+                parts.append((left if alone is None else alone).select(*[_c(c) for v in a.vars for c in _cols(v, a.vars[v])], *missing))
+        if how == "left_anti":
+            return Table(functools.reduce(DataFrame.unionByName, parts), a.vars)
+        bound = a.vars | {v: Bound(b.vars[v].what, b.vars[v].maybe or how == "left") for v in new} | {v: Bound(a.vars[v].what, a.vars[v].maybe and (b.vars[v].maybe or how == "left")) for v in loose}
+        empty = a.df.crossJoin(F.broadcast(right.limit(0))).limit(0).select(*keep) if not parts else None
+        return Table(functools.reduce(DataFrame.unionByName, parts) if parts else empty, bound)
+
     def union(self, groups: list[Group]) -> Table:
         tables = [self.group(g) for g in groups]
         names = list(dict.fromkeys(v for t in tables for v in t.vars))
@@ -834,7 +906,7 @@ class Compiler:
             raise SparqlError("EXISTS is supported in FILTER only")
         v = self.value(e, out)
         what = "term" if v.what == "term" else v.what
-        bound = Bound(what, True)
+        bound = Bound(what, not _sure(e, out))
         df = out.df
         for c, n in zip([v.col, *self.terms(v)] if what == "term" else [v.col], _cols(name, bound), strict=True):
             df = df.withColumn(n, c)
@@ -883,28 +955,41 @@ class Compiler:
         return v.col != ""
 
     def compare(self, op: str, a: Value, b: Value) -> Column:
+        """Numbers by value; other literals are equal if text, datatype and language are, IRIs if both are such."""
+
         def apply(x: Column, y: Column) -> Column:
             return {"=": x == y, "!=": x != y, "<": x < y, ">": x > y, "<=": x <= y, ">=": x >= y}[op]
 
-        if a.what == "boolean" and b.what == "boolean":
+        def told(alike: Column) -> Column:
+            return alike if op == "=" else ~alike
+
+        equality, kinds = op in ("=", "!="), {a.what, b.what}
+        if kinds == {"boolean"}:
             return apply(a.col, b.col)
-        if "boolean" in (a.what, b.what):
+        if "boolean" in kinds:
+            x, y = (a, b) if a.what == "boolean" else (b, a)
+            if equality and y.what == "term":
+                return told((y.type == XSD + "boolean") & (y.col.isin("true", "1") == x.col))
             return apply(self.boolean(a), self.boolean(b))
-        if "number" in (a.what, b.what):
+        if "number" in kinds:
+            if equality and "iri" in kinds:
+                return told(F.when(a.col.isNotNull() & b.col.isNotNull(), F.lit(False)))
             return apply(self.number(a), self.number(b))
-        if a.what == b.what == "term":
+        if equality and kinds == {"iri", "string"}:
+            return told(F.when(a.col.isNotNull() & b.col.isNotNull(), F.lit(False)))
+        if kinds == {"term"}:
             numbers = a.type.isin(NUMERIC) & b.type.isin(NUMERIC)
-            same = apply(a.col, b.col)
-            if op in ("=", "!="):
-                alike = (a.col == b.col) & (a.kind == b.kind) & (a.lang == b.lang)
-                same = alike if op == "=" else ~alike
             exact = F.when(numbers, apply(a.col.try_cast("double"), b.col.try_cast("double")))
+            if equality:
+                plain = lambda v: F.when(v.type == XSD + "string", "").otherwise(v.type)
+                return exact.otherwise(told((a.col == b.col) & (a.kind == b.kind) & (F.lower(a.lang) == F.lower(b.lang)) & (plain(a) == plain(b))))
             # a number and something else have no order
-            return exact.otherwise(same) if op in ("=", "!=") else exact.when(~a.type.isin(NUMERIC) & ~b.type.isin(NUMERIC), same)
-        if "iri" in (a.what, b.what) and "term" in (a.what, b.what) and op in ("=", "!="):
-            t = a if a.what == "term" else b
-            alike = (a.col == b.col) & (t.kind == "iri")
-            return alike if op == "=" else ~alike
+            return exact.when(~a.type.isin(NUMERIC) & ~b.type.isin(NUMERIC), apply(a.col, b.col))
+        if "term" in kinds and equality:
+            t, other = (a, b) if a.what == "term" else (b, a)
+            if other.what == "iri":
+                return told((a.col == b.col) & (t.kind == "iri"))
+            return told((a.col == b.col) & (t.kind == "literal") & (t.lang == "") & t.type.isin("", XSD + "string"))
         return apply(self.string(a), self.string(b))
 
     def value(self, e, t: Table) -> Value:
@@ -923,7 +1008,7 @@ class Compiler:
                 return Value("number", F.lit(float(e.value)) if e.type != XSD + "integer" else F.lit(int(e.value)))
             if e.type == XSD + "boolean":
                 return Value("boolean", F.lit(e.value == "true"))
-            if e.lang:
+            if e.lang or e.type != XSD + "string":
                 return Value("term", F.lit(e.value), F.lit("literal"), F.lit(e.type), F.lit(e.lang))
             return Value("string", F.lit(e.value))
         op = e.op
@@ -971,7 +1056,25 @@ class Compiler:
         if op == "DATATYPE":
             return Value("iri", self.terms(v[0])[1])
         if op in ("ISIRI", "ISURI"):
-            return Value("boolean", self.terms(v[0])[0] == "iri")
+            return Value("boolean", (self.terms(v[0])[0] == "iri") & ~F.startswith(self.string(v[0]), F.lit("_:")))
+        if op == "ISBLANK":
+            return Value("boolean", (self.terms(v[0])[0] == "iri") & F.startswith(self.string(v[0]), F.lit("_:")))
+        if op == "ISNUMERIC":
+            return Value("boolean", self.terms(v[0])[1].isin(NUMERIC) & self.number(v[0]).isNotNull())
+        if op == "SAMETERM":
+            x, y = ([self.string(z), *self.terms(z)] for z in v)
+            return Value("boolean", (x[0] == y[0]) & (x[1] == y[1]) & (x[2] == y[2]) & (x[3] == y[3]))
+        if op in ("IRI", "URI"):
+            return Value("iri", self.string(v[0]))
+        if op == "STRDT":
+            return Value("term", self.string(v[0]), *(F.when(v[0].col.isNotNull(), c) for c in (F.lit("literal"), v[1].col, F.lit(""))))
+        if op == "STRLANG":
+            return Value("term", self.string(v[0]), *(F.when(v[0].col.isNotNull(), c) for c in (F.lit("literal"), F.lit(LANG_STRING), F.lower(self.string(v[1])))))
+        if op == "LANGMATCHES":
+            tag, asked = F.lower(self.string(v[0])), F.lower(self.string(v[1]))
+            return Value("boolean", F.when(asked == "*", tag != "").otherwise((tag == asked) | F.startswith(tag, F.concat(asked, F.lit("-")))))
+        if op == "NOW":
+            return Value("term", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("literal"), F.lit(XSD + "dateTime"), F.lit(""))
         if op == "ISLITERAL":
             return Value("boolean", self.terms(v[0])[0] == "literal")
         s = [self.string(x) for x in v]
@@ -984,6 +1087,13 @@ class Compiler:
             return Value("string", F.concat(*s))
         if op in ("STRSTARTS", "STRENDS", "CONTAINS"):
             return Value("boolean", {"STRSTARTS": F.startswith, "STRENDS": F.endswith, "CONTAINS": F.contains}[op](s[0], s[1]))
+        if op in ("STRBEFORE", "STRAFTER"):
+            at = F.position(s[1], s[0])
+            cut = F.substring(s[0], F.lit(1), at - 1) if op == "STRBEFORE" else F.substring(s[0], at + F.length(s[1]), F.length(s[0]))
+            return Value("string", F.when(at > 0, cut).when(at == 0, F.lit("")))
+        if op == "ENCODE_FOR_URI":
+            # Spark's encoder is a form's: a space is "+", and "~" is written out
+            return Value("string", F.replace(F.replace(F.replace(F.url_encode(s[0]), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A")))
         if op in ("LCASE", "UCASE"):
             return Value("string", F.lower(s[0]) if op == "LCASE" else F.upper(s[0]))
         if op == "REGEX":
@@ -995,9 +1105,11 @@ class Compiler:
             n = self.number(v[0])
             # XPath rounds halves up, towards positive infinity
             return Value("number", {"ROUND": F.floor(n + 0.5), "ABS": F.abs(n), "CEIL": F.ceil(n), "FLOOR": F.floor(n)}[op])
-        if op in ("YEAR", "MONTH", "DAY"):
-            at = {"YEAR": (1, 4), "MONTH": (6, 2), "DAY": (9, 2)}[op]
+        if op in ("YEAR", "MONTH", "DAY", "HOURS", "MINUTES"):
+            at = {"YEAR": (1, 4), "MONTH": (6, 2), "DAY": (9, 2), "HOURS": (12, 2), "MINUTES": (15, 2)}[op]
             return Value("number", F.substring(s[0], *at).try_cast("int"))
+        if op == "SECONDS":
+            return Value("number", F.regexp_extract(s[0], r"T\d\d:\d\d:(\d\d(?:\.\d+)?)", 1).try_cast("double"))
         raise SparqlError(f"{op} isn't supported here")
 
     # solution modifiers
@@ -1106,6 +1218,17 @@ class Compiler:
         return Table(df.select(*[_c(c) for c in keep]), {n: t.vars[n] for n in names})
 
 
+def _sure(e, t: Table) -> bool:
+    """Is an expression bound in every row?"""
+    if isinstance(e, (Iri, Literal)):
+        return True
+    if isinstance(e, Var):
+        return e.name in t.vars and not t.vars[e.name].maybe
+    if e.op == "COALESCE":
+        return any(_sure(x, t) for x in e.args)
+    return e.op in ("STR", "CONCAT", "LCASE", "UCASE", "STRLEN", "REPLACE", "STRBEFORE", "STRAFTER", "LANG", "DATATYPE", "IRI", "URI", "ENCODE_FOR_URI") and all(_sure(x, t) for x in e.args)
+
+
 def _aggregates(e) -> bool:
     return isinstance(e, Expr) and (e.op in _AGGREGATES or any(map(_aggregates, e.args)))
 
@@ -1150,23 +1273,6 @@ def _free(g: Group) -> set[str]:
     return out
 
 
-def closure(edges: DataFrame, depth: int = 0) -> DataFrame:
-    """(a, b) for each path of one step or more.
-
-    Only pairs that are new go on to the next step, and each step is written before the next, so
-    neither the plan nor the work grows with the square of the depth; cycles end by themselves. `depth` > 0 bounds the steps.
-    """
-    edges = stored(edges, "edges")
-    known = fresh = edges
-    steps = 1
-    while not fresh.isEmpty() and (not depth or steps < depth):
-        step = fresh.alias("x").join(edges.alias("y"), F.col("x.b") == F.col("y.a")).select(F.col("x.a").alias("a"), F.col("y.b").alias("b")).distinct()
-        fresh = stored(step.join(known, ["a", "b"], "left_anti"), "paths")
-        known = known.union(fresh)
-        steps += 1
-    return known
-
-
 def constructed(compiler: Compiler, q: Select) -> DataFrame:
     """The template's triples for each solution, where all of their terms are bound and fit their places."""
     t = compiler.modify(q, compiler.group(q.where))

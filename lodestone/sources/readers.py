@@ -178,17 +178,24 @@ def numbered_order(path: Column) -> Column:
 
 # --- triples ------------------------------------------------------------------------------
 def read_ntriples(spark: SparkSession, path: str, graph: str = "") -> DataFrame:
-    """N-Triples, a line each; lines that are no triple are refused."""
-    pattern = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*$'
-    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
+    """N-Triples, a line each; lines that are no triple are refused. Blank nodes are named by their document: a file, or a folder of parts that Spark wrote."""
+    node = r"(?:<([^>]*)>|(_:[\p{L}\p{N}_](?:[\p{L}\p{N}_.\-]*[\p{L}\p{N}_\-])?))"
+    pattern = rf'^\s*{node}\s+<([^>]*)>\s+(?:{node}|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*$'
+    document = F.substring(F.sha2(F.regexp_replace("_metadata.file_path", "/part-[^/]*$", ""), 256), 1, 12)
+    lines = spark.read.text(path).select("value", document.alias("document")).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
     g = lambda k: F.regexp_extract("value", pattern, k)
     checked = lines.withColumn("value", F.when(F.col("value").rlike(pattern), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no triple: "), "value")).cast("string")))
-    iri = F.length(g(3)) > 0
-    text = F.replace(F.replace(F.replace(F.replace(g(4), F.lit("\\n"), F.lit("\n")), F.lit("\\t"), F.lit("\t")), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
-    lang = F.lower(g(5))
-    kind = F.when(lang != "", "http://www.w3.org/1999/02/22-rdf-syntax-ns#langString").when(g(6) != "", g(6)).otherwise("http://www.w3.org/2001/XMLSchema#string")
+    named = lambda k: F.when(g(k) != "", F.concat(F.lit("_:"), "document", F.lit("."), F.substr(g(k), F.lit(3))))
+    blank, iri = g(5) != "", (g(4) != "") | (g(5) != "")
+    mark = F.lit("\0")  # an escaped backslash is no beginning of another escape
+    text = F.replace(g(6), F.lit("\\\\"), mark)
+    for written, meant in (("\\n", "\n"), ("\\t", "\t"), ("\\r", "\r"), ('\\"', '"')):
+        text = F.replace(text, F.lit(written), F.lit(meant))
+    text = F.replace(text, mark, F.lit("\\"))
+    lang = F.lower(g(7))
+    kind = F.when(lang != "", "http://www.w3.org/1999/02/22-rdf-syntax-ns#langString").when(g(8) != "", g(8)).otherwise("http://www.w3.org/2001/XMLSchema#string")
     return checked.select(
-        F.lit(graph).alias("graph"), g(1).alias("s"), g(2).alias("p"), F.when(iri, g(3)).otherwise(text).alias("o"), F.when(iri, "iri").otherwise("literal").alias("o_kind"),
+        F.lit(graph).alias("graph"), F.coalesce(named(2), g(1)).alias("s"), g(3).alias("p"), F.when(blank, named(5)).when(iri, g(4)).otherwise(text).alias("o"), F.when(iri, "iri").otherwise("literal").alias("o_kind"),
         F.when(iri, "").otherwise(kind).alias("o_type"), F.when(iri, "").otherwise(lang).alias("o_lang"),
     ).distinct()
 

@@ -15,18 +15,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def resource(c: Column) -> Column:
+    """An IRI in N-Triples form; a blank node as it is."""
+    return F.when(F.startswith(c, F.lit("_:")), c).otherwise(F.concat(F.lit("<"), c, F.lit(">")))
+
+
 def term(o: Column, kind: Column, type_: Column, lang: Column) -> Column:
     """A term in N-Triples form."""
     text = F.replace(F.replace(F.replace(F.replace(o, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
+    text = F.replace(text, F.lit("\r"), F.lit("\\r"))
     plain = (type_ == "") | (type_ == "http://www.w3.org/2001/XMLSchema#string")
     literal = F.concat(F.lit('"'), text, F.lit('"'), F.when(lang != "", F.concat(F.lit("@"), lang)).when(plain, F.lit("")).otherwise(F.concat(F.lit("^^<"), type_, F.lit(">"))))
-    return F.when(kind == "iri", F.concat(F.lit("<"), o, F.lit(">"))).otherwise(literal)
+    return F.when(kind == "iri", resource(o)).otherwise(literal)
 
 
 def ntriples(triples: DataFrame) -> DataFrame:
     """(value): sorted N-Triples lines."""
     o = term(F.col("o"), F.col("o_kind"), F.coalesce("o_type", F.lit("")), F.coalesce("o_lang", F.lit("")))
-    return triples.select(F.concat(F.lit("<"), "s", F.lit("> <"), "p", F.lit("> "), o, F.lit(" .")).alias("value")).distinct().orderBy("value")
+    return triples.select(F.concat(resource(F.col("s")), F.lit(" <"), "p", F.lit("> "), o, F.lit(" .")).alias("value")).distinct().orderBy("value")
 
 
 def canonical_turtle(triples: DataFrame, prefixes: dict[str, str]) -> str:
@@ -35,7 +41,7 @@ def canonical_turtle(triples: DataFrame, prefixes: dict[str, str]) -> str:
 
     def short(c: Column) -> Column:
         s = short_iri(c, prefixes)
-        return F.when((s != c) & s.rlike(r"^[\w-]*:[\w-]*$"), s).otherwise(F.concat(F.lit("<"), c, F.lit(">")))
+        return F.when((s != c) & s.rlike(r"^[\w-]*:[\w-]*$"), s).otherwise(resource(c))
 
     o = F.when(F.col("o_kind") == "iri", short(F.col("o"))).otherwise(term(F.col("o"), F.col("o_kind"), F.coalesce("o_type", F.lit("")), F.coalesce("o_lang", F.lit(""))))
     po = triples.select("s", short(F.col("s")).alias("subject"), F.struct("p", short(F.col("p")).alias("predicate"), o.alias("object")).alias("x")).distinct()
@@ -146,7 +152,7 @@ def fingerprint(paths: list[Path]) -> str:
 def write_subgraphs(triples: DataFrame, path: str) -> None:
     """N-Triples partitioned by the resource that a subject belongs to."""
     o = term(F.col("o"), F.col("o_kind"), F.coalesce("o_type", F.lit("")), F.coalesce("o_lang", F.lit("")))
-    lines = triples.select(F.substring_index("s", "#", 1).alias("resource"), F.concat(F.lit("<"), "s", F.lit("> <"), "p", F.lit("> "), o, F.lit(" .")).alias("value")).distinct()
+    lines = triples.select(F.substring_index("s", "#", 1).alias("resource"), F.concat(resource(F.col("s")), F.lit(" <"), "p", F.lit("> "), o, F.lit(" .")).alias("value")).distinct()
     lines.repartition("resource").sortWithinPartitions("resource", "value").write.partitionBy("resource").mode("overwrite").text(path)
 
 
