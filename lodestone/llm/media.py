@@ -91,6 +91,15 @@ def feature(samples: bytes) -> str:
 
 
 # --- archives ------------------------------------------------------------------------------
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system: one without a scheme belongs to Hadoop's default file system, as it does for Spark's own readers. The source itself takes a path without a scheme for a local one, which a cluster can't share."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    if out.startswith("file:") and "://" not in path and not path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path} is local to each machine; name a folder that all executors share")
+    return out
+
+
 def _at(uri: str) -> tuple[fs.FileSystem, str]:
     if "://" not in uri and not uri.startswith("file:"):
         return fs.LocalFileSystem(), uri
@@ -308,6 +317,6 @@ def described(media: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store each text in archives in the shared folder, read the archives back and describe what they hold."""
-    path = scratch(df.sparkSession, "media")
+    path = qualified(df.sparkSession, scratch(df.sparkSession, "media"))
     store(df, path, id_col, text_col)
     return described(load(df.sparkSession, path), id_col)

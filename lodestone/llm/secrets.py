@@ -39,21 +39,22 @@ _BASE_HEX = re.compile(r"[0-9a-f]{16,}")
 
 #: name, operator, then what is assigned: an indented block, or literals and names joined by "+".
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
-_COMMENT = r"/\*(?:[^*]|\*(?!/))*+\*/"
-_GAP = rf"(?:[\x20\t]|{_COMMENT})*+"
+_GAP = r"[\x20\t]*+"
 _QUOTED = r"(?:[rRbBuUfF]{1,2}(?=[\"']))?(?:\"{3}(?:[^\"\\]|\\.|\"(?!\"\"))*+\"{3}|'{3}(?:[^'\\]|\\.|'(?!''))*+'{3}|\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+')|`[^`]*+`"
 _ATOM = rf"{_QUOTED}|[^\s\"'`,;(){{}}\[\]+]+"
 _JOIN = rf"{_GAP}(?:(?:\\?\n{_GAP})?\+(?:{_GAP}\\?\n)?{_GAP}|(?:\\?\n{_GAP})?(?=[\"']|[rRbBuUfF]{{1,2}}[\"']))"
 _BLOCK = r"[|>][+\-]?[\x20\t]*\n(?:[\x20\t]+\S[^\n]*+(?:\n|\Z))++"
 _PAIR = re.compile(rf"(?<![A-Za-z0-9_.\-])[\"']?({_NAME})[\"']?{_GAP}(=>|:=|[:=])(?!=){_GAP}(?:({_BLOCK})|(?:\({_GAP}(?:\n{_GAP})?)?((?:{_ATOM})(?:{_JOIN}(?:{_ATOM}))*))", re.S)
 _PART = re.compile(_ATOM, re.S)
-_COMMENTS = re.compile(_COMMENT, re.S)
+_LEXEME = re.compile(rf"{_QUOTED}|/\*", re.S)
 _LITERAL = re.compile(r"[rRbBuUfF]{0,2}(\"{3}|'{3}|[\"'`])")
 _LINE = re.compile(r"\S(?:[^\n]*\S)?")
 
 #: Weights of words that make a name sensitive.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "private": 0.5, "access": 0.4, "auth": 0.6, "bearer": 0.8, "key": 0.5, "signing": 0.4, "encryption": 0.4, "api": 0.4}
-_PRE = re.compile("pass|pwd|secret|token|api|cred|private|access|auth|bearer|key|sign|encrypt", re.I | re.A)
+#: A name of any weight holds one of these words once its separators are gone: a text without them has no such name.
+_PRE = re.compile("|".join(SENSITIVE))
+_SEPARATORS = str.maketrans("", "", "_.-")
 _PLACEHOLDER = re.compile(r"^(?:x+|\*+|\.+|<.*>|\$\{.*\}|%.*%|changeme|example|placeholder|none|null|true|false|todo|your[_-].*)$", re.I | re.A)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -123,20 +124,50 @@ class Value:
         return self.literal[0]
 
 
+def _comments(text: str) -> list[tuple[int, int]]:
+    """Block comments outside of literals, in one pass: one that isn't closed ends the search."""
+    out, at = [], text.find("/*")
+    at = 0 if at >= 0 else len(text)
+    while m := _LEXEME.search(text, at):
+        at = m.end()
+        if m[0] == "/*":
+            end = text.find("*/", at)
+            if end < 0:
+                break
+            at = end + 2
+            out.append((m.start(), at))
+    return out
+
+
 def _pairs(text: str) -> list[tuple[str, list[tuple[int, int, bool]]]]:
-    """(name, parts of what is assigned: begin, end, may it be a name), in text order."""
+    """(name, parts of what is assigned: begin, end, may it be a name), in text order.
+
+    Comments are blank for what stands around them, and texts of their own for what is in them."""
+    comments = _comments(text)
+    if not comments:
+        return [p for _, *p in _found(text, 0)]
+    pieces, at, out = [], 0, []
+    for a, b in comments:
+        pieces += [text[at:a], " " * (b - a)]
+        out += _found(text[a + 2 : b - 2], a + 2)
+        at = b
+    out += _found("".join([*pieces, text[at:]]), 0)
+    return [p for _, *p in sorted(out, key=lambda p: p[0])]
+
+
+def _found(text: str, base: int) -> list[tuple[int, str, list[tuple[int, int, bool]]]]:
     out = []
     for m in _PAIR.finditer(text):
         if m[3] is not None:
-            base = m.start(3)
-            parts = [(base + x.start(), base + x.end(), False) for x in _LINE.finditer(m[3], m[3].index("\n"))]
+            at = m.start(3) + base
+            parts = [(at + x.start(), at + x.end(), False) for x in _LINE.finditer(m[3], m[3].index("\n"))]
         else:
-            parts = []
-            for x in _PART.finditer(_COMMENTS.sub(lambda c: " " * len(c[0]), m[4]) if "/*" in m[4] else m[4]):
+            parts, at = [], m.start(4) + base
+            for x in _PART.finditer(m[4]):
                 quote = _LITERAL.match(x[0])
-                a, b = m.start(4) + x.start(), m.start(4) + x.end()
+                a, b = at + x.start(), at + x.end()
                 parts.append((a + quote.end(), b - len(quote[1]), False) if quote else (a, b, True))
-        out.append((m[1], parts))
+        out.append((m.start(1) + base, m[1], parts))
     return out
 
 
@@ -186,7 +217,7 @@ def _valued(text: str, pairs: list) -> list[Value]:
 
 def lexed_spans(text: str, threshold: float = 0.45) -> list[tuple[str, int, int]]:
     """Spans of literals that reach a sensitive name, directly or through other names."""
-    if not _PRE.search(text):
+    if not _PRE.search(text.translate(_SEPARATORS).lower()):
         return []
     pairs = _pairs(text)
     out: dict[tuple[int, int], str] = {}

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import struct
+import time
 import zlib
 
 import duckdb
@@ -38,6 +39,28 @@ def test_lexing():
     assert spans('password = "changeme"') == spans('colour = "Zk29slLw02Kd81ma"') == spans("The token of the church") == set()
 
 
+@pytest.mark.parametrize("pair", ['tok_en = "x8Kd93jfLQ02mzPq7"', 'pw_d = "x8Kd93jfLQ02mzPq7"', 'client.secret = "x8Kd93jfLQ02mzPq7"', "API-KEY: 'x8Kd93jfLQ02mzPq7'"])
+@settings(max_examples=40, deadline=None)
+@given(before=st.text(alphabet="ab monkey\n.", max_size=20), after=st.text(alphabet="ab key\n", max_size=20))
+def test_what_stands_around_a_pair_changes_nothing(pair, before, after):
+    own = lambda text, a: {(k, x - a, y - a) for k, x, y in secrets.lexed_spans(text) if a <= x and y <= a + len(pair)}
+    assert own(pair, 0) and own(before + "\n" + pair + "\n" + after, len(before) + 1) == own(pair, 0)
+
+
+def test_comments_are_blank_outside_and_texts_inside():
+    assert ("lexed", "x8Kd93jfLQ02mzPq7") in spans('password /* a */ = /* "b */ "x8Kd93jfLQ02mzPq7"') & spans('/* password = "x8Kd93jfLQ02mzPq7" */ x') & spans('g = "src/*.py"; password = "x8Kd93jfLQ02mzPq7"; h = "*/"')
+
+
+@pytest.mark.parametrize("unit", ["key x /* ", 'key = " ', "key = ` ", 'key="""', "key: |\n ", "*/ /*", "key = " + "'" * 3 + "\\", 'key = ("a" + '])
+def test_lexing_is_linear(unit):
+    def seconds(n):
+        began = time.process_time()
+        secrets.scan_text(unit * n)
+        return time.process_time() - began
+
+    assert seconds(80_000) < 40 * max(0.05, seconds(8_000))  # ten times the text; a square would be a hundred
+
+
 def test_long_chains_and_names():
     pieces = [f"{i:03}Kq" for i in range(200)]
     chain = "x = ''\n" + "".join(f"x = x + '{p}'\n" for p in pieces)
@@ -205,10 +228,73 @@ def test_trigram_counts_are_of_all_texts(spark):
 def test_nonnegative_risk():
     r = np.random.default_rng(0)
     good, bad = r.normal(0, 1, (800, 4)), r.normal(3, 1, (400, 4))
-    m = quality.fit(good[:400], np.concatenate([good[400:], bad]))
+    u = np.concatenate([good[400:], bad])
+    cuts = np.quantile(u, quality.QUANTILES, axis=0, method="nearest").T
+    m = quality.fit(quality.coded(good[:400], cuts), quality.Design(quality.coded(u, cuts)), cuts)
     assert abs(m.prior - 0.5) < 0.2 and (m.score(good) > 0.5).mean() > 0.9 and (m.score(bad) < 0.5).mean() > 0.9
 
 
+def test_lbfgs():
+    a = np.diag([1.0, 10.0, 100.0])
+    w = quality.minimise(lambda w: (0.5 * w @ a @ w - w.sum(), a @ w - 1), 3, 40)
+    assert np.abs(a @ w - 1).max() < 1e-2
+    # never where the function says infinity
+    seen = quality.minimise(lambda w: (np.inf if w[0] > 0.5 else (w[0] - 1) ** 2, 2 * (w - 1)), 1, 40)
+    assert 0.3 < seen[0] <= 0.5
+
+
+def test_passes_over_codes_are_sums(spark):
+    r = np.random.default_rng(3)
+    codes = r.integers(0, quality.BINS, (500, 3)).astype(np.uint8)
+    df = spark.createDataFrame([(bytearray(c.tobytes()),) for c in codes], "code binary").repartition(5)
+    here, there = quality.Design(codes), quality.Codes(df, 500, 3)
+    w = r.normal(size=here.size)
+    (a, g), (b, h) = here.negative(w), there.negative(w)
+    assert abs(a - b) < 1e-12 and np.abs(g - h).max() < 1e-12
+    cuts = np.array([-2.0, 0.0, 1.0])
+    assert np.allclose(here.above(w, cuts), there.above(w, cuts)) and np.allclose(here.above(w, cuts), [(here.margins(w) >= c).mean() for c in cuts])
+
+
+class Fetched:
+    """Counts the rows that come to the driver."""
+
+    def __init__(self, monkeypatch):
+        from pyspark.sql.classic.dataframe import DataFrame
+
+        self.most = 0
+        own = DataFrame.collect
+
+        def collect(df):
+            rows = own(df)
+            self.most = max(self.most, len(rows))
+            return rows
+
+        monkeypatch.setattr(DataFrame, "collect", collect)
+        whole = DataFrame.toPandas
+
+        def to_pandas(df):
+            rows = whole(df)
+            self.most = max(self.most, len(rows))
+            return rows
+
+        monkeypatch.setattr(DataFrame, "toPandas", to_pandas)
+
+
+@pytest.mark.parametrize("labelled", [7, None])
+def test_fits_fetch_no_more_than_their_sample(spark, monkeypatch, labelled):
+    """30,000 rows of one labelled id, or without id: the sample bounds rows, and what is unlabelled is never empty."""
+    good, bad = "The quick brown fox walked over to the old mill by the river. ", "### $$$ %%%% 777 "
+    rows = spark.range(30_000).select(F.lit(labelled).cast("long").alias("doc_id"), F.concat(F.when(F.col("id") % 2 == 0, good).otherwise(bad), F.col("id").cast("string")).alias("text"))
+    more = spark.createDataFrame([(k, good + "and sat there. " * (k % 5)) for k in range(100, 160)] + [(k, bad * (k % 7)) for k in range(200, 260)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1, 1), (None, 1, 0)] + [(k, int(k < 200), int(k >= 200)) for k in range(100, 260)], "doc_id long, quality int, toxic int")
+    fetched = Fetched(monkeypatch)
+    model = quality.train(rows.unionByName(more), labels, sample=100)
+    assert fetched.most <= 100 and model.weights.any() and model.score(np.array([quality.statistics(good)]))[0] > 0.5
+    fetched.most = 0
+    toxicity.train(rows.unionByName(more), labels, sample={1: 20, 0: 20}, size=50)
+    assert fetched.most <= max(50, toxicity.LEXICON) and fetched.most < 30_000
+
+
 # --- BPE
 @pytest.fixture(scope="module")
 def codecs():
@@ -487,3 +573,15 @@ def test_damage_is_found():
     png[50] ^= 1
     with pytest.raises(ValueError):
         media.from_png(bytes(png))
+
+
+def test_media_paths_belong_to_the_default_file_system(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        assert media.qualified(spark, "/x/y") == "file:/x/y" and media.qualified(spark, f"file://{tmp_path}/a").endswith("/a")
+        conf.set("fs.viewfs.mounttable.own.link./in", f"file://{tmp_path}")
+        conf.set("fs.defaultFS", "viewfs://own/")
+        assert media.qualified(spark, "/in/y") == "viewfs://own/in/y" and media.qualified(spark, "file:/x") == "file:/x"
+    finally:
+        conf.set("fs.defaultFS", before)
