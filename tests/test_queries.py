@@ -6,7 +6,7 @@ import re
 import duckdb
 import pytest
 
-from lodestone import more_queries, scale_queries  # noqa: F401  they register their queries
+from lodestone import index_queries, more_queries, scale_queries  # noqa: F401  they register their queries
 from lodestone import queries as Q
 
 DATA = "/root/testdata"
