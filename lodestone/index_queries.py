@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .operators import bitmaps, postings, titles
 from .plans.shared import folder
 from .queries import _FACETS, ORACLE_SQL, indexed, register, table
+from .sources import manifest
 
 
 # --- facets -----------------------------------------------------------------------------------
@@ -66,3 +67,31 @@ def similar_questions(spark, sf_dir):
 def name_classes(spark, sf_dir):
     """The least key of the parts with the same name."""
     return titles.classes(table(spark, sf_dir, "part"), "p_partkey", "p_name")
+
+
+# --- outputs ----------------------------------------------------------------------------------
+_NATIONS = "SELECT n_regionkey::VARCHAR AS resource, n_nationkey, n_name FROM nation"
+
+
+@register(f"""WITH a AS (SELECT resource, list(n_nationkey || n_name ORDER BY 1) AS l FROM ({_NATIONS}) WHERE resource != '4' GROUP BY 1),
+b AS (SELECT resource, list(n_nationkey || CASE WHEN n_nationkey = 5 THEN 'X' ELSE n_name END ORDER BY 1) AS l FROM ({_NATIONS}) WHERE resource != '3' GROUP BY 1)
+SELECT resource, CASE WHEN a.l IS NULL THEN 'new' WHEN b.l IS NULL THEN 'gone' WHEN a.l = b.l THEN 'same' ELSE 'changed' END AS state FROM a FULL JOIN b USING (resource)""")
+def manifest_states(spark, sf_dir):
+    """Nations by region, written twice: what the second run found new, changed, the same and gone."""
+    path = folder(spark, "outputs")
+    n = table(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("string").alias("resource"), "n_nationkey", "n_name")
+    line = lambda name: F.concat(F.col("n_nationkey").cast("string"), name).alias("value")
+    manifest.sync(n.where("resource != '4'").select("resource", line(F.col("n_name"))), path)
+    return manifest.sync(n.where("resource != '3'").select("resource", line(F.when(F.col("n_nationkey") == 5, "X").otherwise(F.col("n_name")))), path)
+
+
+@register("SELECT (o_custkey % 50)::VARCHAR AS resource, o_orderkey || ' ' || CASE WHEN o_orderkey % 50 = 7 AND o_custkey % 50 = 7 THEN 'new' ELSE o_orderstatus END AS value FROM orders WHERE o_custkey % 50 != 9")
+def manifest_lines(spark, sf_dir):
+    """Orders in fifty outputs, of which a second run changes one and drops one: what the folder then holds."""
+    path = folder(spark, "outputs")
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).cast("string").alias("resource"), "o_orderkey", "o_orderstatus")
+    line = lambda status: F.concat_ws(" ", F.col("o_orderkey").cast("string"), status).alias("value")
+    manifest.sync(o.select("resource", line(F.col("o_orderstatus"))), path)
+    changed = F.when((F.col("resource") == "7") & (F.col("o_orderkey") % 50 == 7), "new").otherwise(F.col("o_orderstatus"))
+    manifest.sync(o.where("resource != '9'").select("resource", line(changed)), path)
+    return manifest.lines(spark, path)
