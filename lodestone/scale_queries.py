@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import events, resolve, triples
+from .operators import blanks, events, resolve, triples
 from .plans import sparql
 from .plans.shared import folder
 from .queries import BASE, PREFIXES, XSD, ask, node, register, table
@@ -98,6 +98,23 @@ def blank_round_trip(spark, sf_dir):
     return sparql.query(readers.read_ntriples(spark, path), "SELECT ?name ?region WHERE { ?n x:name ?name ; x:part ?b . ?b x:called ?region FILTER(ISBLANK(?b) && ISIRI(?n)) }", PREFIXES)
 
 
+@register("SELECT c_mktsegment AS segment, c_nationkey AS nation, count(*) AS n FROM customer GROUP BY 1, 2")
+def blank_names(spark, sf_dir):
+    """Customers as blank nodes, told by segment, nation and orders, under two namings: how many have one canonical name in both graphs. Those alike in all are numbered."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+
+    def named(name):
+        told = (triples.Emit(BASE + "segment", F.col("c_mktsegment")), triples.iri(BASE + "nation", F.concat(F.lit(BASE + "nation/"), F.col("c_nationkey").cast("string"))))
+        views = [triples.View("blank", c, name(F.col("c_custkey")), told), triples.View("order", o, node("order", "o_orderkey"), (triples.iri(BASE + "customer", name(F.col("o_custkey"))),))]
+        return blanks.canonical(triples.Graph(views).scan())
+
+    one, two = named(lambda k: F.concat(F.lit("_:a"), k.cast("string"))), named(lambda k: F.concat(F.lit("_:b"), F.sha2(k.cast("string"), 256)))
+    both = one.intersect(two).where(blanks.is_blank(F.col("s")))
+    is_ = lambda p: F.max(F.when(F.col("p") == BASE + p, F.col("o")))
+    rows = both.groupBy("s").agg(is_("segment").alias("segment"), is_("nation").alias("nation"))
+    return rows.groupBy("segment", F.regexp_extract("nation", r"(\d+)$", 1).cast("int").alias("nation")).agg(F.count("*").alias("n"))
+
+
 @register("SELECT c_custkey AS id, split_part(c_name, '#', 1) AS before, split_part(c_name, '#', 2) AS after, 'a%20' || replace(c_mktsegment, '&', '%26') || '~' AS code FROM customer")
 def sparql_text_parts(spark, sf_dir):
     """STRBEFORE, STRAFTER, ENCODE_FOR_URI."""

@@ -36,8 +36,11 @@ def ntriples(triples: DataFrame) -> DataFrame:
 
 
 def canonical_turtle(triples: DataFrame, prefixes: dict[str, str]) -> str:
-    """Turtle with fixed prefixes and sorted triples, for a small graph: the same set gives the same bytes."""
+    """Turtle with fixed prefixes and sorted triples, for a small graph: the same set gives the same bytes, whatever its blank nodes are called."""
     from ..functions.text import short_iri
+    from ..operators import blanks
+
+    triples = blanks.canonical(triples)
 
     def short(c: Column) -> Column:
         s = short_iri(c, prefixes)
