@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import blanks, events, resolve, triples
+from .operators import blanks, changes, events, resolve, shacl, triples
 from .plans import sparql
-from .plans.shared import folder
+from .plans.shared import folder, stored
 from .queries import BASE, PREFIXES, XSD, ask, node, register, table
 from .sources import readers, sinks
 
@@ -148,3 +148,35 @@ def person_classes(spark, sf_dir):
     """Everyone of a nation is of one family; initials that begin others join the longest given name that fits."""
     given = F.element_at(F.array(*map(F.lit, ("A.", "A. B.", "A. C.", "A. B. C.", "D."))), (F.col("c_custkey") % 5 + 1).cast("int"))
     return resolve.loose_persons(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("family"), given.alias("given")))
+
+
+# --- validation of changes --------------------------------------------------------------------
+def builders_and_orders(spark, sf_dir, after: bool) -> triples.Graph:
+    """Orders and the class of their customers; afterwards every tenth customer's class and every fiftieth order's status are others."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    builds = F.col("c_mktsegment") == "BUILDING"
+    if after:
+        builds = builds != (F.col("c_custkey") % 10 == 0)
+        o = o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 50 == 0, "X").otherwise(F.col("o_orderstatus")))
+    told = (triples.a(BASE + "Order"), triples.Emit(BASE + "status", F.col("o_orderstatus")), triples.Emit(BASE + "price", F.col("o_totalprice"), type=XSD + "double"), triples.iri(BASE + "customer", F.concat(F.lit(BASE + "customer/"), F.col("o_custkey").cast("string"))))
+    return triples.Graph([triples.View("order", o, node("order", "o_orderkey"), told), triples.View("customer", c, node("customer", "c_custkey"), (triples.a(BASE + "Builder", when=builds),))])
+
+
+ORDER_RULES = [
+    shacl.Shape(
+        target_class=BASE + "Order",
+        properties=[shacl.Property(BASE + "status", in_=[shacl.literal("F"), shacl.literal("O")]), shacl.Property(BASE + "customer", class_=BASE + "Builder")],
+        sparql=[("dear", "SELECT ?this WHERE { ?this x:price ?p FILTER(?p > 300000) }")],
+    )
+]
+
+
+@register("""WITH o AS (SELECT 'http://example.org/order/' || o_orderkey AS focus, CASE WHEN o_orderkey % 50 = 0 THEN 'X' ELSE o_orderstatus END AS status, 'http://example.org/customer/' || o_custkey AS customer, o_totalprice,
+o_custkey IN (SELECT c_custkey FROM customer WHERE (c_mktsegment = 'BUILDING') <> (c_custkey % 10 = 0)) AS builds FROM orders)
+SELECT focus, 'in' AS message, status AS value FROM o WHERE status NOT IN ('F', 'O') UNION ALL SELECT focus, 'class', customer FROM o WHERE NOT builds UNION ALL SELECT focus, 'dear', '' FROM o WHERE o_totalprice > 300000""")
+def shacl_changes(spark, sf_dir):
+    """Results after a change, from those before it and the focus nodes that changed triples reach."""
+    before, after = (builders_and_orders(spark, sf_dir, x) for x in (False, True))
+    state = stored(changes.validate(ORDER_RULES, before, PREFIXES), "state")
+    delta = changes.changed(before.scan(), after.scan())
+    return changes.results(changes.revalidate(ORDER_RULES, after, delta, state, PREFIXES)).select("focus", "message", "value")
