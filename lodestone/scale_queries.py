@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .operators import blanks, changes, events, resolve, shacl, triples
 from .plans import sparql
 from .plans.shared import folder, stored
-from .queries import BASE, PREFIXES, XSD, ask, node, register, table
-from .sources import readers, sinks
+from .queries import BASE, PREFIXES, XSD, ask, graph, node, register, table
+from .sources import formats, readers, sinks
 
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -180,3 +180,26 @@ def shacl_changes(spark, sf_dir):
     state = stored(changes.validate(ORDER_RULES, before, PREFIXES), "state")
     delta = changes.changed(before.scan(), after.scan())
     return changes.results(changes.revalidate(ORDER_RULES, after, delta, state, PREFIXES)).select("focus", "message", "value")
+
+
+# --- data sources -----------------------------------------------------------------------------
+@register("SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1, 2")
+def graph_source(spark, sf_dir):
+    """Orders as canonical Turtle in sixteen files, read back by the data source with the predicates pushed into it."""
+    path = folder(spark, "turtle")
+    formats.write_turtle(graph(spark, sf_dir, "orders").scan(), path, PREFIXES, files=16)
+    of = lambda p: formats.read(spark, path).where(F.col("p") == BASE + p).select("s", F.col("o").alias(p))
+    return of("status").join(of("priority"), "s").groupBy("status", "priority").agg(F.count("*").alias("n"))
+
+
+@register("SELECT c_custkey AS key, c_name AS name, c_mktsegment AS segment, c_nationkey AS nation FROM customer")
+def yaml_source(spark, sf_dir):
+    """Customers as YAML documents, several in a file, read back under a schema."""
+    path = folder(spark, "yaml")
+    quoted = lambda c: F.substring(F.to_json(F.array(c)), 2, 1 << 20)
+    text = lambda c: F.regexp_replace(quoted(c), r"\]$", "")
+    c = table(spark, sf_dir, "customer")
+    document = F.concat(F.lit("---\nkey: "), F.col("c_custkey").cast("string"), F.lit("\nname: "), text("c_name"), F.lit("\nin:\n  segment: "), text("c_mktsegment"), F.lit("\n  nation: "), F.col("c_nationkey").cast("string"))
+    c.select(document.alias("value")).write.text(path)
+    rows = formats.read_yaml(spark, path, "key long, name string, `in` struct<segment:string,nation:int>", partition_bytes=str(1 << 20))
+    return rows.select("key", "name", "in.segment", "in.nation")

@@ -35,20 +35,24 @@ def ntriples(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat(resource(F.col("s")), F.lit(" <"), "p", F.lit("> "), o, F.lit(" .")).alias("value")).distinct().orderBy("value")
 
 
-def canonical_turtle(triples: DataFrame, prefixes: dict[str, str]) -> str:
-    """Turtle with fixed prefixes and sorted triples, for a small graph: the same set gives the same bytes, whatever its blank nodes are called."""
+def turtle_terms(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
+    """(s, p, subject, predicate, object): a set of triples with their terms as Turtle writes them."""
     from ..functions.text import short_iri
-    from ..operators import blanks
-
-    triples = blanks.canonical(triples)
 
     def short(c: Column) -> Column:
         s = short_iri(c, prefixes)
         return F.when((s != c) & s.rlike(r"^[\w-]*:[\w-]*$"), s).otherwise(resource(c))
 
     o = F.when(F.col("o_kind") == "iri", short(F.col("o"))).otherwise(term(F.col("o"), F.col("o_kind"), F.coalesce("o_type", F.lit("")), F.coalesce("o_lang", F.lit(""))))
-    po = triples.select("s", short(F.col("s")).alias("subject"), F.struct("p", short(F.col("p")).alias("predicate"), o.alias("object")).alias("x")).distinct()
-    nodes = po.groupBy("s", "subject").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    return triples.select("s", "p", short(F.col("s")).alias("subject"), short(F.col("p")).alias("predicate"), o.alias("object")).distinct()
+
+
+def canonical_turtle(triples: DataFrame, prefixes: dict[str, str]) -> str:
+    """Turtle with fixed prefixes and sorted triples, for a small graph: the same set gives the same bytes, whatever its blank nodes are called. For larger ones there is formats.write_turtle."""
+    from ..operators import blanks
+
+    po = turtle_terms(blanks.canonical(triples), prefixes)
+    nodes = po.groupBy("s", "subject").agg(F.array_sort(F.collect_list(F.struct("p", "predicate", "object"))).alias("xs"))
     body = nodes.select("s", F.concat("subject", F.lit(" "), F.array_join(F.transform("xs", lambda x: F.concat(x["predicate"], F.lit(" "), x["object"])), " ;\n    "), F.lit(" .\n")).alias("value"))
     head = "".join(f"@prefix {k}: <{v}> .\n" for k, v in sorted(prefixes.items()))
     return head + "\n" + "\n".join(r.value for r in body.orderBy("s").toLocalIterator())
