@@ -50,8 +50,9 @@ def turtle_terms(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
 def canonical_turtle(triples: DataFrame, prefixes: dict[str, str]) -> str:
     """Turtle with fixed prefixes and sorted triples, for a small graph: the same set gives the same bytes, whatever its blank nodes are called. For larger ones there is formats.write_turtle."""
     from ..operators import blanks
+    from ..plans.shared import stored
 
-    po = turtle_terms(blanks.canonical(triples), prefixes)
+    po = turtle_terms(blanks.canonical(stored(triples.select(*blanks.COLUMNS), "graph")), prefixes)
     nodes = po.groupBy("s", "subject").agg(F.array_sort(F.collect_list(F.struct("p", "predicate", "object"))).alias("xs"))
     body = nodes.select("s", F.concat("subject", F.lit(" "), F.array_join(F.transform("xs", lambda x: F.concat(x["predicate"], F.lit(" "), x["object"])), " ;\n    "), F.lit(" .\n")).alias("value"))
     head = "".join(f"@prefix {k}: <{v}> .\n" for k, v in sorted(prefixes.items()))
