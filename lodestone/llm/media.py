@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from ..plans.shared import is_shared
 from .common import map_texts, scratch
 
 ROW = 192
@@ -95,7 +96,7 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path with its file system: one without a scheme belongs to Hadoop's default file system, as it does for Spark's own readers. The source itself takes a path without a scheme for a local one, which a cluster can't share."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
-    if out.startswith("file:") and "://" not in path and not path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    if out.startswith("file:") and "://" not in path and not path.startswith("file:") and not spark.sparkContext.master.startswith("local") and not is_shared(spark, path):
         raise ValueError(f"{path} is local to each machine; name a folder that all executors share")
     return out
 

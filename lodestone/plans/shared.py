@@ -19,6 +19,13 @@ def folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def is_shared(spark: SparkSession, path: str) -> bool:
+    """Does a path without a scheme lie in the checkpoint folder or the warehouse, which all executors share wherever they are?"""
+    context = spark.sparkContext.getConf()
+    bases = [spark.conf.get("spark.checkpoint.dir", None), context.get("spark.checkpoint.dir"), spark.conf.get("spark.sql.warehouse.dir", None)]
+    return any(path.startswith(b.removeprefix("file://").removeprefix("file:").rstrip("/") + "/") for b in bases if b)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write df to a scratch folder and read it again: lineage is cut, and lost executors cost nothing that is written."""
     path = folder(df.sparkSession, label)

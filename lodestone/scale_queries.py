@@ -185,10 +185,10 @@ def shacl_changes(spark, sf_dir):
 # --- data sources -----------------------------------------------------------------------------
 @register("SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1, 2")
 def graph_source(spark, sf_dir):
-    """Orders as canonical Turtle in sixteen files, read back by the data source with the predicates pushed into it."""
+    """Orders as canonical Turtle in sixteen files, or more where there are very many, read back by the data source with the predicates pushed into it."""
     path = folder(spark, "turtle")
-    formats.write_turtle(graph(spark, sf_dir, "orders").scan(), path, PREFIXES, files=16)
-    of = lambda p: formats.read(spark, path).where(F.col("p") == BASE + p).select("s", F.col("o").alias(p))
+    formats.write_turtle(graph(spark, sf_dir, "orders").scan(), path, PREFIXES, files=max(16, table(spark, sf_dir, "orders").count() // 25_000))
+    of = lambda p: formats.read(spark, path, partition_bytes=str(8 << 20)).where(F.col("p") == BASE + p).select("s", F.col("o").alias(p))
     return of("status").join(of("priority"), "s").groupBy("status", "priority").agg(F.count("*").alias("n"))
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, WriterCommitMessage
 
+from ..plans.shared import is_shared
 from ..schema import TRIPLES
 
 #: Bytes of files that a partition reads, and rows of a batch that it sends.
@@ -50,7 +51,7 @@ def register(spark: SparkSession) -> None:
 def qualified(spark: SparkSession, path: str) -> str:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
-    if out.startswith("file:") and not path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    if out.startswith("file:") and not path.startswith("file:") and not spark.sparkContext.master.startswith("local") and not is_shared(spark, path):
         raise ValueError(f"{path} is local to each machine; name a folder that all executors share")
     return out
 
@@ -174,7 +175,7 @@ class GraphReader(_Reader):
             yield batch()
 
     def triples(self, partition: Pieces) -> Iterator[tuple]:
-        from .turtle import turtle
+        from .turtle import stream
 
         store, _ = _store(self.path)
         marks = [[f"<{v}>".encode() for v in values] for k, values in self.tests if _COLUMNS[k] == "p"]
@@ -189,7 +190,7 @@ class GraphReader(_Reader):
                 else:
                     texts = iter([f.read().decode()])
                 for text in texts:
-                    for s, p, o, kind, *more in turtle(text, self.base):
+                    for s, p, o, kind, *more in stream(text, self.base):
                         yield (self.graph, named(s), p, named(o) if kind == "iri" else o, kind, *more)
 
 
@@ -342,10 +343,11 @@ def read_yaml(spark: SparkSession, path: str, schema: str, **options: str) -> Da
 
 def write_turtle(triples: DataFrame, path: str, prefixes: dict[str, str], files: int = 64) -> None:
     """Canonical Turtle in so many files; with `blanks.canonical` before it, whatever blank nodes are called."""
-    from .sinks import turtle_terms
+    from .sinks import as_turtle
 
     spark = triples.sparkSession
     register(spark)
     file = F.pmod(F.xxhash64(F.substring_index("s", "#", 1)), F.lit(files)).cast("int")
-    rows = turtle_terms(triples, prefixes).withColumn("file", file).repartition(files, "file").sortWithinPartitions("file", "s", "p", "object")
+    # triples that are there twice belong to one file: they are made a set where they are sorted, so one exchange does
+    rows = as_turtle(triples, prefixes).withColumn("file", file).repartition(files, "file").distinct().sortWithinPartitions("file", "s", "p", "object")
     rows.select("file", "subject", "predicate", "object").write.format("lodestone_graph").option("prefixes", json.dumps(prefixes)).mode("overwrite").save(qualified(spark, path))

@@ -37,6 +37,11 @@ def ntriples(triples: DataFrame) -> DataFrame:
 
 def turtle_terms(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
     """(s, p, subject, predicate, object): a set of triples with their terms as Turtle writes them."""
+    return as_turtle(triples, prefixes).distinct()
+
+
+def as_turtle(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
+    """The same for a bag of triples."""
     from ..functions.text import short_iri
 
     def short(c: Column) -> Column:
@@ -44,7 +49,7 @@ def turtle_terms(triples: DataFrame, prefixes: dict[str, str]) -> DataFrame:
         return F.when((s != c) & s.rlike(r"^[\w-]*:[\w-]*$"), s).otherwise(resource(c))
 
     o = F.when(F.col("o_kind") == "iri", short(F.col("o"))).otherwise(term(F.col("o"), F.col("o_kind"), F.coalesce("o_type", F.lit("")), F.coalesce("o_lang", F.lit(""))))
-    return triples.select("s", "p", short(F.col("s")).alias("subject"), short(F.col("p")).alias("predicate"), o.alias("object")).distinct()
+    return triples.select("s", "p", short(F.col("s")).alias("subject"), short(F.col("p")).alias("predicate"), o.alias("object"))
 
 
 def canonical_turtle(triples: DataFrame, prefixes: dict[str, str]) -> str:

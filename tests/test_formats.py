@@ -79,3 +79,25 @@ def test_missing_and_empty(spark, tmp_path):
     assert formats.read(spark, str(tmp_path / "none")).count() == 0
     with pytest.raises(Exception, match="nowhere"):
         formats.read(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_the_shared_folder_needs_no_scheme_on_a_cluster(spark, monkeypatch):
+    """Without one a path is refused there, unless it lies in spark.checkpoint.dir or the warehouse."""
+    from lodestone.llm import media
+    from lodestone.plans.shared import folder
+
+    path = folder(spark, "turtle")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
+    for qualified in (formats.qualified, media.qualified):
+        assert qualified(spark, path) == f"file:{path}"
+        with pytest.raises(ValueError, match="local to each machine"):
+            qualified(spark, "/nowhere/else")
+
+
+def test_turtle_is_parsed_a_statement_at_a_time():
+    from lodestone.sources import turtle
+
+    rows = turtle.stream("@prefix x: <http://x/> . x:a x:p 1 , [ x:q 2 ] . x:b x:p ( 3 ) . x:c x:p nonsense")
+    assert [next(rows)[0] for _ in range(3)] == ["http://x/a", "_:g1", "http://x/a"]
+    with pytest.raises(ValueError):
+        list(rows)
