@@ -108,3 +108,41 @@ def test_bitmaps_against_records(spark, records, chosen, query):
     hits = facets.search(records, query).select("k") if query else None
     count = lambda df: sorted(map(tuple, df.collect()))
     assert count(bitmaps.counts(index, chosen, hits)) == count(facets.counts(records, query, chosen))
+
+
+def test_index_shuffles_nothing_and_is_small(spark, tmp_path):
+    """Positions are packed where the texts lie: a few bytes a character, without an exchange."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("etaoinshr") for _ in range(rnd.randrange(2, 9))) for _ in range(2000)]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(400))) for i in range(300)]
+    path = str(tmp_path / "p")
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.createDataFrame(rows, "k int, t string").repartition(2).persist()
+    df.count()
+    spark.sparkContext.setJobGroup("postings", "build")
+    postings.build(df, "k", "t", path)
+    jobs = tracker.getJobIdsForGroup("postings")
+    spark.sparkContext.setJobGroup("", "")
+    assert sum(tracker.getStageInfo(s).numCompletedTasks > 0 for j in jobs for s in tracker.getJobInfo(j).stageIds) == 1
+    size = sum(p.stat().st_size for p in (tmp_path / "p").rglob("*.parquet"))
+    assert size < 4 * sum(len(t) for _, t in rows)
+    assert {r.k for r in postings.search(spark, path, f"{words[0]} {words[1]}", "k").collect()} == {i for i, t in rows if words[0] in t and words[1] in t}
+
+
+def test_words_do_not_reach_over_texts(spark, tmp_path, monkeypatch):
+    texts = ["xabc", "defx", "abc", "", "def", "abcdef", "\0ab", "ab", "a\0", "😀ab"]
+    for size in (1 << 21, 3):
+        monkeypatch.setattr(postings, "CHUNK_CHARS", size)
+        path = str(tmp_path / f"p{size}")
+        postings.build(spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1), "k", "t", path)
+        for query in ("abcdef", "cde", "abc", "xab def", "ab", "😀ab"):
+            expected = [i for i, t in enumerate(texts) if all(w in t for w in query.split())]
+            assert sorted(r.k for r in postings.search(spark, path, query, "k").collect()) == expected
+
+
+def test_small_numbers():
+    import numpy as np
+
+    x = np.array([0, 1, 127, 128, 16383, 16384, 2097151, 2097152, 1 << 40])
+    data, ends = postings._small(x)
+    assert postings.places(data.tobytes()).tolist() == np.cumsum(x).tolist() and ends.tolist() == [1, 2, 3, 5, 7, 10, 13, 17, 23]
