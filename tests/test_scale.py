@@ -181,3 +181,16 @@ def test_blank_nodes_are_written_bare(spark, tmp_path):
     assert {r.o for r in again.where("p = 'http://x/p'").collect()} == {r.s for r in again.where("p = 'http://x/q'").collect()}  # one node in several parts
     (tmp_path / "t.ttl").write_text(sinks.canonical_turtle(df, {"x": X}))
     assert shape(readers.read_turtle(spark, str(tmp_path / "t.ttl")).collect()) == shape(df.collect())
+
+
+@pytest.mark.parametrize("small", [3, 1000])
+def test_join_with_many_pairs_of_few_keys(spark, small, monkeypatch):
+    """The smaller side is sent to all rows of the other, which are dealt to tasks whatever their keys are."""
+    rows = lambda n, key: spark.range(n).select((F.col("id") % 2).alias(key), F.col("id").alias(f"{key}_id"))
+    monkeypatch.setattr(sparql, "SPREAD_ROWS", 100)
+    for a, b in ((rows(1000, "x"), rows(small, "y")), (rows(small, "x"), rows(1000, "y"))):
+        on = F.col("x") == F.col("y")
+        got = sparql._spread(a, b, on)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, a.join(b, on).collect()))
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(sizes) >= 16 and max(sizes) <= 2 * sum(sizes) / len(sizes)
