@@ -14,7 +14,11 @@ from .operators import builders, checks, cite, events, facets, resolve, shacl, t
 from .plans import sparql
 from .plans.shared import folder
 from .queries import BASE, PREFIXES, XSD, ask, entries_of, graph, indexed, node, register, table
-from .sources import readers, sinks
+from .sources import formats, readers, sinks
+
+
+#: Rows that a task may hold where an order's lines are put together.
+TASK_ROWS = 250_000
 
 
 def s(c: str) -> Column:
@@ -282,6 +286,7 @@ def person_index(spark, sf_dir):
 def type_slugs(spark, sf_dir):
     """Labels to slugs through aliases, in the order they're first seen; unknown ones are left out."""
     l = table(spark, sf_dir, "lineitem")
+    l = l.repartition(1 + l.count() // TASK_ROWS, "l_orderkey")  # tasks grow in number, not in size
     r = l.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", F.concat("l_returnflag", F.lit("|"), "l_linestatus").alias("t")))), lambda x: x["t"]).alias("labels"))
     concepts = spark.createDataFrame([(a + b, [f"{a}|{b}"]) for a in "AR" for b in "FO"], "slug string, aliases array<string>")
     return resolve.type_slugs(r.withColumnRenamed("l_orderkey", "id"), "id", F.col("labels"), concepts)[0].select("id", F.array_join("types", "|").alias("types"))
@@ -472,9 +477,8 @@ _NATIONS = "SELECT 'http://example.org/nation/' || n_nationkey AS s, 'http://exa
 @register(_NATIONS)
 def turtle_round_trip(spark, sf_dir):
     """Canonical Turtle of a small graph, parsed again."""
-    text = sinks.canonical_turtle(graph(spark, sf_dir, "nation").scan(), PREFIXES)
     path = folder(spark, "turtle")
-    spark.createDataFrame([(text,)], "value string").write.text(path)
+    formats.write_turtle(graph(spark, sf_dir, "nation").scan(), path, PREFIXES, files=4)
     return readers.read_turtle(spark, path).select("s", "p", "o")
 
 
@@ -498,10 +502,10 @@ def yaml_round_trip(spark, sf_dir):
     """A YAML document for each region, read under a schema."""
     r, n = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
     lists = n.groupBy("n_regionkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"]).alias("nations"))
-    rows = r.join(lists, r["r_regionkey"] == lists["n_regionkey"]).select("r_regionkey", "r_name", "nations").collect()  # five regions
+    rows = r.join(lists, r["r_regionkey"] == lists["n_regionkey"])
     path = folder(spark, "yaml")
-    texts = [(x.r_regionkey, sinks.yaml_text({"k": x.r_regionkey, "name": x.r_name, "nations": list(x.nations)})) for x in rows]
-    spark.createDataFrame(texts, "part long, value string").repartition("part").write.partitionBy("part").text(path)
+    text = F.udf(lambda k, name, nations: sinks.yaml_text({"k": k, "name": name, "nations": list(nations)}), "string")
+    rows.select(F.col("r_regionkey").alias("part"), text("r_regionkey", "r_name", "nations").alias("value")).repartition("part").write.partitionBy("part").text(path)
     return readers.read_yaml(spark, f"{path}/part=*", "k long, name string, nations array<string>").select("k", "name", F.array_join("nations", "|").alias("nations"))
 
 
@@ -509,8 +513,8 @@ def yaml_round_trip(spark, sf_dir):
 def json_round_trip(spark, sf_dir):
     """Canonical JSON documents, read under a schema."""
     path = folder(spark, "json")
-    texts = [(x.r_regionkey, sinks.canonical_json({"name": x.r_name, "k": x.r_regionkey})) for x in table(spark, sf_dir, "region").collect()]  # five regions
-    spark.createDataFrame(texts, "part long, value string").repartition("part").write.partitionBy("part").text(path)
+    text = F.udf(lambda k, name: sinks.canonical_json({"name": name, "k": k}), "string")
+    table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("part"), text("r_regionkey", "r_name").alias("value")).repartition("part").write.partitionBy("part").text(path)
     return readers.read_json(spark, f"{path}/part=*", "k long, name string").select("k", "name")
 
 

@@ -80,9 +80,12 @@ def fuller_spelling(creators: Column, family: Column, given: Column) -> Column:
 
 
 def type_slugs(records: DataFrame, key: str, labels: str, concepts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Labels to concept slugs through slugs and aliases: (key, types in first-seen order), (key, label) of the unknown."""
+    """Labels to concept slugs through slugs and aliases: (key, types in first-seen order), (key, label) of the unknown.
+
+    A vocabulary is small and its labels few, so it goes to the records: joined by label, all of one label would meet in one task.
+    """
     alias = concepts.select("slug", F.explode(F.array_union(F.array("slug"), F.coalesce("aliases", F.array()))).alias("label"))
-    rows = records.select(key, F.posexplode(labels).alias("pos", "label")).join(alias, "label", "left")
+    rows = records.select(key, F.posexplode(labels).alias("pos", "label")).join(F.broadcast(alias), "label", "left")
     known = rows.where("slug IS NOT NULL").groupBy(key, "slug").agg(F.min("pos").alias("pos"))
     types = known.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "slug"))), lambda x: x["slug"]).alias("types"))
     return types, rows.where("slug IS NULL").select(key, "label")
@@ -94,7 +97,7 @@ def archive_type(records: DataFrame, key: str, type_: Column, subtype: Column, c
     both = table.select(F.col("name").alias("exact"), F.col("slug").alias("a"))
     one = table.select(F.col("name").alias("coarse"), F.col("slug").alias("b"))
     r = records.select(key, F.concat_ws("/", type_, subtype).alias("exact"), type_.alias("coarse"))
-    return r.join(both, "exact", "left").join(one, "coarse", "left").select(key, F.coalesce("a", "b").alias("slug"))
+    return r.join(F.broadcast(both), "exact", "left").join(F.broadcast(one), "coarse", "left").select(key, F.coalesce("a", "b").alias("slug"))
 
 
 def enrich(entries: DataFrame, archive: DataFrame, places: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -54,3 +54,27 @@ def test_no_import_of_the_corpus_package():
             for n in names:
                 if n.endswith(".py"):
                     assert not re.search(r"^\s*(from|import)\s.*\bllm\b", open(os.path.join(folder, n)).read(), re.M), n
+
+
+@pytest.mark.parametrize("name", ["json_round_trip", "yaml_round_trip", "turtle_round_trip"])
+def test_documents_are_made_by_tasks(spark, name, monkeypatch):
+    """No text passes through the driver."""
+
+    def refused(*_):
+        raise AssertionError("rows were brought to the driver")
+
+    for way in ("collect", "toLocalIterator", "toPandas"):
+        monkeypatch.setattr(type(spark.range(1)), way, refused)
+    out = Q.QUERIES[name](spark, f"{DATA}/sf0.001")
+    monkeypatch.undo()
+    assert out.count() > 0
+
+
+def test_type_slugs_in_small_tasks(spark, monkeypatch):
+    from lodestone import more_queries
+
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    whole = rows(Q.QUERIES["type_slugs"](spark, f"{DATA}/sf0.001"))
+    monkeypatch.setattr(more_queries, "TASK_ROWS", 500)
+    some = Q.QUERIES["type_slugs"](spark, f"{DATA}/sf0.001")
+    assert rows(some) == whole and some.rdd.getNumPartitions() >= 12
