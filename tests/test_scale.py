@@ -194,3 +194,22 @@ def test_join_with_many_pairs_of_few_keys(spark, small, monkeypatch):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, a.join(b, on).collect()))
         sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
         assert len(sizes) >= 16 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_chains_with_nodes_left_out(spark, seed, monkeypatch):
+    """Chains that meet, end and turn in circles; starts that are left out themselves."""
+    monkeypatch.setattr(orbits, "PLAIN_STEPS", 10)
+    rnd = random.Random(seed)
+    to = {f"n{k}": f"n{k + 1}" for k in range(120)} | {f"m{k}": rnd.choice([f"m{k + 1}", f"n{rnd.randrange(120)}"]) for k in range(60)} | {f"c{k}": f"c{(k + 1) % 7}" for k in range(7)} | {"s": "s"}
+    starts = rnd.sample(sorted(to), 4) + ["s", "elsewhere"]
+    expected = set()
+    for x in starts:
+        while x not in expected:
+            expected.add(x)
+            x = to.get(x, x)
+    made = orbits.contracted(spark.createDataFrame(list(to.items()), "a string, b string"))
+    sizes = [df.count() for df in made[0]]
+    assert len(sizes) > 5 and sum(sizes) < 6 * len(to)
+    found = [r.node for r in orbits.on_chains(made, spark.createDataFrame([(x,) for x in starts], "node string")).collect()]
+    assert set(found) == expected and len(found) == len(expected)
