@@ -7,9 +7,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 
 import brute
 from lodestone.llm import automaton_dedup, components, jaccard_join, suffix_dedup, units, windows
+from lodestone.llm.common import CLEANUP
 
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "x"), (5, "ab c dé \U0001d4ac " * 3), (None, "w " * 60), (6, "w " * 60), (6, "w " * 60)]
 
@@ -285,3 +287,15 @@ def test_hubs_are_joined_apart(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "a")] * 9 + [(2, "b"), (None, "c"), (3, "d")], "k long, v string")
     facts = spark.createDataFrame([(1, "one", 9), (2, "two", 1)], "k long, f string, weight long")
     assert sorted(r.v + str(r.f) for r in components.attach(rows, "k", facts, "left").collect()) == ["aone"] * 9 + ["btwo", "cNone", "dNone"]
+
+
+@pytest.mark.parametrize("spec", [suffix_dedup.spec(), automaton_dedup.spec()])
+def test_shuffles_of_the_first_pass_are_dropped(spark, spec, monkeypatch):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {x for x in manager.getAllBlocks().mkString("\n").split("\n") if x.startswith("shuffle_")}
+    df = spark.createDataFrame([(i, f"text {i} " + "the same words again and again " * 20) for i in range(50)], "doc_id long, text string")
+    before, seen, write = kept(), [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **b: (seen.append(spark.conf.get(CLEANUP, "false")), write(*a, **b))[1])
+    windows.repeated(df, spec, "doc_id", "text")
+    assert seen == ["true"] and kept() <= before  # the JVM's garbage collector may drop them too, but needn't
+    assert spark.conf.get(CLEANUP, "false") == "false"
