@@ -39,6 +39,12 @@ def test_similar_against_all_pairs(spark, least):
     assert {(r.k, r.id) for r in titles.classes(df.drop("id"), "k", "title").collect()} == {(i, first[t]) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_similar_to_by_grams_and_by_lengths(spark, monkeypatch, few):
+    monkeypatch.setattr(titles, "FEW", few)
+    test_similar_to_against_all_pairs(spark)
+
+
 def test_similar_to_against_all_pairs(spark):
     texts = texts_like(random.Random(3), 90)
     a, b = list(enumerate(texts[::2])), list(enumerate(texts[1::2]))
@@ -146,3 +152,21 @@ def test_small_numbers():
     x = np.array([0, 1, 127, 128, 16383, 16384, 2097151, 2097152, 1 << 40])
     data, ends = postings._small(x)
     assert postings.places(data.tobytes()).tolist() == np.cumsum(x).tolist() and ends.tolist() == [1, 2, 3, 5, 7, 10, 13, 17, 23]
+
+
+def test_sketches_leave_few_pairs_to_compare(spark):
+    """Texts over the same letters in unlike order: sketches part them, where the characters that both have don't."""
+    rnd = random.Random(8)
+    letters = list("the quick brown fox jumps over the lazy dog " * 4)
+    texts = []
+    for i in range(30):
+        rnd.shuffle(letters)
+        texts.append((i, "".join(letters)))
+    texts.append((30, texts[0][1][:-3] + "xyz"))
+    a = spark.createDataFrame(texts, "id int, text string").select("id", "text", titles._sketch("text").alias("bits"))
+    b = a.select(*[F.col(c).alias(f"{c}2") for c in a.columns])
+    both = a.join(b, F.col("id") < F.col("id2"))
+    n = F.length("text")
+    met = both.where(titles._lacking(F.col("bits"), F.col("bits2")) <= 3 * n - 1.5 * 0.9 * 2 * n).select("id", "id2").collect()
+    assert {tuple(r) for r in met} == {(0, 30)}
+    assert both.where(titles._shared(F.col("text"), F.col("text2")) >= 0.9 * n).count() == 31 * 30 // 2
