@@ -259,3 +259,24 @@ ne''' , 1 , -2.5 , 3e4 , true , "5"^^x:t ;; x:q ( x:a "b" ) , [ ] , [ x:r _:n ]
     for bad in ("x:a x:b x:c .", "@prefix x: <http://x/> . x:a x:b", "@prefix x: <http://x/> . 'l' x:b x:c .", "@prefix x: <http://x/> . x:a x:b ^ ."):
         with pytest.raises(ValueError):
             turtle(bad)
+
+
+def test_what_is_the_same_for_all_objects_is_not_grouped_by(spark):
+    """Pairs of a set: neither kinds and types nor a second set of the counted subjects are held in a group's keys."""
+    from lodestone import queries
+    from lodestone.operators import triples as T
+
+    def pairs(rows, o_type):
+        df = spark.createDataFrame(rows, "k long, part long")
+        g = T.Graph([T.View("order", df, queries.node("order", "k"), (T.Emit(queries.BASE + "part", F.col("part"), type=o_type),), key=False)])
+        return sparql.query(g, "SELECT ?a ?b (COUNT(DISTINCT ?o) AS ?n) WHERE { ?o x:part ?a, ?b FILTER(?a < ?b) } GROUP BY ?a ?b", queries.PREFIXES)
+
+    rows = [(1, 5), (1, 7), (1, 7), (2, 5), (2, 7), (3, 7), (4, None)]
+    out = pairs(rows, queries.XSD + "integer")
+    assert [tuple(r) for r in out.select("a", "b", "n").collect()] == [("5", "7", 2)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    keyed = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert keyed and not any("XMLSchema" in line for line in keyed)
+    # types of the rows' own are told apart as before
+    mixed = pairs(rows, F.when(F.col("k") == 2, queries.XSD + "double").otherwise(queries.XSD + "integer"))
+    assert sorted(tuple(r) for r in mixed.select("a", "b", "n").collect()) == [("5", "7", 1), ("5", "7", 1)]
