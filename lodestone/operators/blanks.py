@@ -208,7 +208,12 @@ def _numbered(decided: DataFrame) -> DataFrame:
 
 def names(triples: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(node, name): the canonical names of the blank nodes of a set of triples."""
-    every = _links(_touching(triples))
+    return _names(_touching(triples), rounds)
+
+
+def _names(touching: DataFrame, rounds: int) -> DataFrame:
+    """(node, name), of a set of triples with blank nodes."""
+    every = _links(touching)
     links = stored(every.withColumn("ground", F.when(F.col("linked"), "").otherwise(F.col("other"))), "links")
     colours = coloured(links, rounds)
     ties = colours.groupBy("colour").agg(F.count("*").alias("n")).where("n > 1").select("colour")
@@ -253,7 +258,7 @@ def canonical(triples: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     ground = _plain(triples).where(~_touches()).distinct()
     if touching.isEmpty():
         return ground
-    named = stored(names(touching, rounds), "names")
+    named = stored(_names(touching, rounds), "names")
 
     def renamed(df: DataFrame, column: str, blank: Column) -> DataFrame:
         others = [F.col(c) for c in COLUMNS if c != column]
