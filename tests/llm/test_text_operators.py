@@ -295,6 +295,47 @@ def test_fits_fetch_no_more_than_their_sample(spark, monkeypatch, labelled):
     assert fetched.most <= max(50, toxicity.LEXICON) and fetched.most < 30_000
 
 
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    """What only two hundred toxic texts of twelve thousand hold is learned, wherever they stand in an order of the ids; a bound given by a caller holds."""
+    ids = spark.range(1, 30_001).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h")).where(fold("doc_id") != 0).orderBy("h", "doc_id").limit(12_000).toPandas().doc_id.tolist()
+    late = set(ids[-200:])
+    text = lambda k, i: ("you zounderkite and " if i in late else "you idiot and ") * 2 + f"a day n{k}" if k % 2 or i in late else f"the good text of a kind of day n{k}"
+    rows = docs(spark, [(i, text(k, i)) for k, i in enumerate(ids)] + [(99_999, "such a zounderkite"), (99_998, "the good text"), (99_997, "such an idiot")])
+    labels = spark.createDataFrame([(i, int(k % 2 or i in late)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    fitted = []
+    own = toxicity.fit_logistic
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda seen, *more: fitted.append(seen.count()) or own(seen, *more))
+    got = {r.doc_id: r.score for r in toxicity.classify(rows, labels).where("doc_id > 99000").collect()}
+    assert fitted == [12_000] and got[99_999] > 0.5 and got[99_997] > 0.5 and got[99_998] < 0.5
+    toxicity.train(rows, labels, sample={1: 30, 0: 40}, size=20)
+    assert fitted[1:] == [70]
+
+
+def test_counts_of_features_are_of_all_texts(spark, monkeypatch):
+    """Also where a task sends its counts on in parts; an id's repeated text counts once, labels without texts not at all."""
+    monkeypatch.setattr(toxicity, "COUNTED", 5)
+    rows = [(i, f"word{'abcde'[i % 5]} here and {'there' * (i % 2)}") for i in range(50)]
+    known = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(0, 80, 2)], "__id long, __y int")
+    seen = toxicity.labelled(docs(spark, rows * 2), known, "doc_id", "text", None)
+    told = [(i, int(i % 3 == 0)) for i in range(0, 50, 2) if zlib.crc32(str(i).encode()) % 5]
+    assert seen.count() == len(told)
+    got = {r.f: (r.p, r.q) for r in toxicity.holders(seen.repartition(3), lambda: toxicity.Restorer(np.zeros((64, 64, 64), np.float32))).collect()}
+    want = {}
+    for i, y in told:
+        for f in toxicity.features(set(toxicity._WORD.findall(rows[i][1]))):
+            p, q = want.get(f, (0, 0))
+            want[f] = (p + y, q + 1 - y)
+    assert got == want
+
+
+def test_toxicity_without_texts_of_a_label(spark):
+    rows = docs(spark, [(i, f"the good text n{i}") for i in range(30)])
+    labels = spark.createDataFrame([(i, int(i >= 30)) for i in range(60)], "doc_id long, toxic int")
+    told = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    share = sum(i >= 30 for i in told) / len(told)
+    assert {round(r.score, 2) for r in toxicity.classify(rows, labels).collect()} == {round(share, 2)}
+
+
 # --- BPE
 @pytest.fixture(scope="module")
 def codecs():
