@@ -15,24 +15,56 @@ An empty set of changes keeps the state; changes that are null in s or p are ign
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import sparql
 from ..plans.shared import stored
 from .shacl import RDF_TYPE, RESULT, SUB_CLASS, Property, Shape, Validator
-from .triples import COLUMNS, Graph
+from .triples import COLUMNS, Graph, View, _value
 
 STATE = "rule int, focus string, path string, severity string, message string, value string"
 
 
-def changed(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Triples that are in one of two sets only, from one shuffle."""
-    side = lambda df, n: df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in COLUMNS], F.lit(n).alias("side"))
+def changed(before: Graph | DataFrame, after: Graph | DataFrame) -> DataFrame:
+    """Triples that are in one of two sets only. Views of the same kinds and templates are compared record by record,
+    each record's objects in a row and without what is the same for all; other triples from one shuffle of them all."""
+    before, after = Graph.of(before), Graph.of(after)
+    if alike(before, after):
+        return _union([_of_records(v, w) for v, w in zip(before.views, after.views)])
+    side = lambda g, n: g.scan().select(*[F.coalesce(c, F.lit("")).alias(c) for c in COLUMNS], F.lit(n).alias("side"))
     both = side(before, 1).unionByName(side(after, 2)).groupBy(COLUMNS).agg(F.bit_or("side").alias("side"))
     return both.where("side != 3").drop("side")
 
 
+def alike(before: Graph, after: Graph) -> bool:
+    """Are both graphs made of the same kinds of records with the same predicates, each once, so that a subject and a predicate have one object at most?"""
+
+    def said(g: Graph) -> list[list] | None:
+        if g.stored is not None or g.listed or len({v.kind for v in g.views}) < len(g.views):
+            return None
+        for v in g.views:
+            if not v.key or len({t.p for t in v.templates}) < len(v.templates) or any(t.each or not (isinstance(t.type, str) and isinstance(t.lang, str)) for t in v.templates):
+                return None
+        return [[v.kind, *[(t.p, t.kind, t.type, t.lang) for t in v.templates]] for v in g.views]
+
+    return (of := said(before)) is not None and of == said(after)
+
+
+def _of_records(v: View, w: View) -> DataFrame:
+    """The triples in which the records of two views of one kind differ."""
+    told = lambda x, side: x.records.select(x.subject.alias(f"s{side}"), *[_value(t).cast("string").alias(f"o{side}{k}") for k, t in enumerate(x.templates)]).where(f"s{side} IS NOT NULL")
+    both = told(v, "a").join(told(w, "b"), F.col("sa") == F.col("sb"), "full")
+    differs = [~F.col(f"oa{k}").eqNullSafe(F.col(f"ob{k}")) for k in range(len(v.templates))]
+    triple = lambda t, o: F.when(o.isNotNull(), F.struct(F.lit(t.p).alias("p"), o.alias("o"), F.lit(t.kind).alias("o_kind"), F.lit(t.type).alias("o_type"), F.lit(t.lang).alias("o_lang")))
+    cases = [F.when(d, triple(t, F.col(f"o{side}{k}"))) for k, (t, d) in enumerate(zip(v.templates, differs)) for side in "ab"]
+    rows = both.where(reduce(or_, differs)).select(F.coalesce("sa", "sb").alias("s"), F.array_compact(F.array(*cases)).alias("every"))
+    return rows.select("s", F.inline("every"))
+
+
 def rules(shapes: list[Shape]) -> list[tuple[int, Shape]]:
     """Each shape without its SPARQL constraints, and each of these alone, numbered."""
     out = []

@@ -106,7 +106,9 @@ def instances(triples: Graph | DataFrame, class_: str, closure: DataFrame | None
     known = classes_below(closure) if below is None else below
     if known is not None:
         below = known.get(class_, [])
-        return typed.where(F.col("o").isin([class_, *below]) if below else F.col("o") == class_).select(F.col("s").alias("node")).distinct()
+        of = typed.where(F.col("o").isin([class_, *below]) if below else F.col("o") == class_).select(F.col("s").alias("node"))
+        # a scan is a set: where types are all of one kind, a node has one class once
+        return of if not below and Graph.of(triples).fixed([RDF_TYPE]) else of.distinct()
     every = closure.where(F.col("super") == class_).select("sub").union(closure.sparkSession.createDataFrame([(class_,)], "sub string"))
     return typed.join(every, F.col("o") == F.col("sub"), "left_semi").select(F.col("s").alias("node")).distinct()
 
@@ -120,7 +122,7 @@ class Validator:
     def focus(self, shape: Shape) -> DataFrame:
         parts = []
         if shape.target_class:
-            parts.append(instances(self.triples, shape.target_class, self.closure))
+            parts.append(self.instances(shape.target_class))
         if shape.target_nodes:
             parts.append(self.triples.sparkSession.createDataFrame([(n,) for n in shape.target_nodes], "node string"))
         if not parts:
