@@ -20,7 +20,7 @@ of an id's rows each text counts once. Very long texts are read whole.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import groupby
 from os.path import commonprefix
@@ -292,38 +292,39 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-#: Features that a task counts before it sends them on, and tokens whose features it keeps.
-COUNTED, TOKENS = 300_000, 100_000
+#: Features that a task counts, and times that it finds one, before it sends counts on; tokens whose features it keeps.
+COUNTED, FOUND, TOKENS = 300_000, 10_000_000, 100_000
 
 
 def holders(seen: DataFrame, make: Callable[[], Restorer]) -> DataFrame:
     """(f, p, q): the numbers of toxic and other texts that hold a feature; each task adds up its own before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, known, q, p = make(), {}, Counter(), Counter()
+        # features are numbered; found are the numbers of each text of a label, one text after another
+        restorer, known, number, found = make(), {}, {}, (array("i"), array("i"))
 
         def counted() -> pa.RecordBatch:
-            names = list(p.keys() | q.keys())
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([p[f] for f in names], pa.int64()), pa.array([q[f] for f in names], pa.int64())], names=["f", "p", "q"])
+            q, p = (np.bincount(np.frombuffer(x, np.int32), minlength=len(number)) for x in found)
+            return pa.RecordBatch.from_arrays([pa.array(list(number), pa.string()), pa.array(p, pa.int64()), pa.array(q, pa.int64())], names=["f", "p", "q"])
 
         for batch in batches:
             labels = batch.column(0).to_pylist()
             for start, texts in text_chunks(batch, 1):
                 for y, text in zip(labels[start:], texts):
-                    held: set[str] = set()
+                    held: set[int] = set()
                     for token in restorer.tokens(text):
                         of = known.get(token)
                         if of is None:
-                            of = features(set(restorer.parts(token)))
+                            of = tuple(number.setdefault(f, len(number)) for f in features(set(restorer.parts(token))))
                             if len(token) <= Restorer.KEPT:
                                 if len(known) > TOKENS:
                                     known.clear()
                                 known[token] = of
                         held.update(of)
-                    (p if y else q).update(held)
-                    if len(p) + len(q) > COUNTED:
+                    found[y].extend(held)
+                    if len(number) > COUNTED or len(found[0]) + len(found[1]) > FOUND:
                         yield counted()
-                        p, q = Counter(), Counter()
+                        known, number, found = {}, {}, (array("i"), array("i"))
         yield counted()
 
     return seen.select("__y", F.col("__t").cast("string")).mapInArrow(run, "f string, p long, q long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
