@@ -97,8 +97,8 @@ UNKNOWN = 4.0
 #: Words of the labelled texts that are known at most, of up to 64 letters.
 LEXICON = 50_000
 _SEPARATORS = set(" .-_*~'`^,:;/\\#")
-#: Three letters or more spaced out, over several tokens.
-_SPACED = re.compile(r"(?<![^\s])\w[ .\-_*]\w[ .\-_*]\w(?:[ .\-_*]\w)*(?![^\s])")
+#: Three letters or more spaced out, over several tokens, and the space before them.
+_SPACED = re.compile(r"\s(\w[ .\-_*]\w[ .\-_*]\w(?:[ .\-_*]\w)*)(?![^\s])")
 #: A token with look-alikes or separators between letters, or three of a letter.
 _SUSPECT = re.compile(r"[^\W\d_][0-9@$!|+(€£.\-_*~^]{1,4}[^\W\d_]|[0-9@$!|€£][.\-_*~^]?[^\W\d_]|[^\W\d_][0-9@$!|+]*[0-9@$+](?:[.,!?;:]|$)|([^\W\d_])\1\1")
 #: Letters of several marks; letters of two scripts in a token.
@@ -107,6 +107,9 @@ _MIXED = re.compile("[a-z][%s]|[%s][a-z]|[\uff41-\uff5a]{3}" % (("".join(HOMOGLY
 #: Punctuation around a token: runs of one mark, or long ones.
 _EDGES = re.compile(r"^(?:([^\w\s])\1+|\W{3,})|(?:([^\w\s])\2+|\W{3,})$")
 _WORD = re.compile(r"[^\W\d_]+")
+#: A word with marks around it that stand for no letter: what most tokens are. None of the patterns above finds anything in it, but for three of a letter.
+_PLAIN = re.compile(r"[\"'(]*([a-zß-öø-ÿ]+)[.,;:!?\"')]*")
+_THRICE = re.compile(r"(.)\1\1")
 _STARTS = {x[0] for x in SEVERAL}
 
 
@@ -222,6 +225,9 @@ class Restorer:
 
     def words_of(self, token: str) -> list[str]:
         """The words of a token of a lower-case text, decoded if it is marked."""
+        plain = _PLAIN.fullmatch(token)
+        if plain and not _THRICE.search(plain[1]):
+            return [plain[1]]
         if _SEVERAL.search(token) or _MIXED.search(token):
             return _WORD.findall(self.decode(token))
         if _SUSPECT.search(token):
@@ -234,9 +240,9 @@ class Restorer:
         """The distinct tokens of a text in lower case; letters spaced out are a token too, without what parts them."""
         text = text.lower()
         out = set(text.split())
-        for m in _SPACED.finditer(text):
-            if any(c.isalpha() for c in m[0]):
-                out.add("\0" + m[0])
+        for m in _SPACED.finditer(" " + text):
+            if any(c.isalpha() for c in m[1]):
+                out.add("\0" + m[1])
         return out
 
     def words(self, text: str) -> set[str]:
@@ -250,11 +256,12 @@ class Restorer:
 
 
 # --- score -------------------------------------------------------------------------------
+def with_stems(word: str) -> list[str]:
+    return [word, *[word[:k] + "~" for k in STEMS if len(word) > k]]
+
+
 def features(words: set[str]) -> set[str]:
-    out = set(words)
-    for word in words:
-        out.update(word[:k] + "~" for k in STEMS if len(word) > k)
-    return out
+    return {f for word in words for f in with_stems(word)}
 
 
 class Model:
@@ -269,22 +276,28 @@ class Model:
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.restorer = model, Restorer(model.cost, model.lexicon)
+        #: Features of tokens, and tokens without any, which are most.
         self.hits: dict[str, tuple[int, ...]] = {}
+        self.nothing: set[str] = set()
+        #: What all words begin with that hold a feature of the model.
+        self.starts = {f[: STEMS[0]] for f in model.index}
 
     def indexes(self, text: str) -> set[int]:
         """The model's features in a text."""
-        hits, out = self.hits, set()
-        for token in self.restorer.tokens(text):
+        hits, nothing, index, starts, out = self.hits, self.nothing, self.model.index, self.starts, set()
+        if len(hits) + len(nothing) > 400_000:
+            hits.clear()
+            nothing.clear()
+        for token in self.restorer.tokens(text) - nothing:
             found = hits.get(token)
             if found is None:
-                if len(hits) > 400_000:
-                    hits.clear()
-                index = self.model.index
-                found = tuple(index[f] for f in features(set(self.restorer.parts(token))) if f in index)
+                found = tuple({index[f] for word in self.restorer.parts(token) if word[: STEMS[0]] in starts for f in with_stems(word) if f in index})
                 if len(token) <= Restorer.KEPT:
-                    hits[token] = found
-            if found:
-                out.update(found)
+                    if found:
+                        hits[token] = found
+                    else:
+                        nothing.add(token)
+            out.update(found)
         return out
 
     def score(self, text: str) -> float:
@@ -311,17 +324,16 @@ def holders(seen: DataFrame, make: Callable[[], Restorer]) -> DataFrame:
             labels = batch.column(0).to_pylist()
             for start, texts in text_chunks(batch, 1):
                 for y, text in zip(labels[start:], texts):
-                    held: set[int] = set()
-                    for token in restorer.tokens(text):
-                        of = known.get(token)
-                        if of is None:
-                            of = tuple(number.setdefault(f, len(number)) for f in features(set(restorer.parts(token))))
-                            if len(token) <= Restorer.KEPT:
-                                if len(known) > TOKENS:
-                                    known.clear()
-                                known[token] = of
-                        held.update(of)
-                    found[y].extend(held)
+                    if len(known) > TOKENS:
+                        known.clear()
+                    tokens = restorer.tokens(text)
+                    new = tokens.difference(known)
+                    for token in new:
+                        known[token] = tuple([number.setdefault(f, len(number)) for word in restorer.parts(token) for f in with_stems(word)])
+                    found[y].extend(set().union(*map(known.__getitem__, tokens)))
+                    for token in new:
+                        if len(token) > Restorer.KEPT:
+                            del known[token]
                     if len(number) > COUNTED or len(found[0]) + len(found[1]) > FOUND:
                         yield counted()
                         known, number, found = {}, {}, (array("i"), array("i"))

@@ -3,9 +3,11 @@
 import base64
 import hashlib
 import random
+import re
 import struct
 import time
 import zlib
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -209,6 +211,31 @@ def test_runs_are_decoded_whole_and_parted():
         assert "idiot" in r.words("in-the-street-of-the-town-" * 4 + "1d10t") and "st" + "u" * 3 not in r.words("stu" + "u" * 90 + "pid")
 
 
+def test_plain_words_pass_the_patterns_of_marks_by(monkeypatch):
+    """Most tokens are words that nothing hides; they aren't searched for marks, and the others give the same words as without this."""
+    asked, own = [], toxicity._SEVERAL
+    monkeypatch.setattr(toxicity, "_SEVERAL", SimpleNamespace(search=lambda token: asked.append(token) or own.search(token)))
+    flat = np.ones((64, 64, 64), np.float32)
+    r = toxicity.Restorer(flat)
+    got = r.words("Such (plain) \"words,\" hide größer, things; a well-made 1d10t stooop l()ser !no")
+    assert {"such", "plain", "words", "hide", "größer", "things", "a"} <= got and sorted(asked) == sorted(["well-made", "1d10t", "stooop", "l()ser", "!no"])
+    draw = random.Random(3)
+    tokens = ["".join(draw.choices("abvvß4.,()|\\/<\"'!?:;-\u0430", k=draw.randint(1, 7))) for _ in range(20_000)]
+    tokens += [draw.choice(["", "(", "'(", "!", "["]) + "".join(draw.choices("abvé", k=5)) + "".join(draw.choices(".,;:!?\"')]|+", k=draw.randint(0, 3))) for _ in range(20_000)]
+    short = [r.words_of(token) for token in tokens]
+    monkeypatch.setattr(toxicity, "_PLAIN", re.compile("(?!)"))
+    assert short == [toxicity.Restorer(flat).words_of(token) for token in tokens]
+
+
+def test_features_of_texts_whatever_was_seen_before():
+    """What a scorer keeps of tokens, with and without features, changes nothing."""
+    model = toxicity.Model(np.ones((64, 64, 64), np.float32), ["idiot", "stup~", "stupid~", "of", "y"], np.zeros(5), 0.0)
+    s = model.scorer()
+    for text in ("Stupidity of an idiot.", "nothing at all", "", "stupid, STUPIDLY; y", "i d i o t", "nothing of 1d10ts") * 2:
+        assert s.indexes(text) == {model.index[f] for f in toxicity.features(s.restorer.words(text)) if f in model.index}
+    assert s.indexes("Stupidity of an idiot.") == {0, 1, 2, 3} and {"nothing", "an"} <= s.nothing and not s.nothing & set(s.hits)
+
+
 def test_spaced_out_toxic_words_are_scored(spark):
     rows = [(i, f"the good text of a kind of day n{i}") for i in range(40)] + [(i, f"you are such a stupid idiot n{i}") for i in range(40, 80)]
     plain = ["of such a stupid day", "the you idiot day", "the " + "good text of a day " * 10 + "stupid idiot", "the good text of a kind"]
