@@ -299,3 +299,33 @@ def test_shuffles_of_the_first_pass_are_dropped(spark, spec, monkeypatch):
     windows.repeated(df, spec, "doc_id", "text")
     assert seen == ["true"] and kept() <= before  # the JVM's garbage collector may drop them too, but needn't
     assert spark.conf.get(CLEANUP, "false") == "false"
+
+
+@pytest.mark.parametrize("module, plain", [(suffix_dedup, brute.byte_dedup), (automaton_dedup, brute.word_dedup)])
+def test_rounds_find_the_same(spark, module, plain, monkeypatch):
+    """A larger input goes in rounds; each drops its shuffles, and only the results stay stored."""
+    monkeypatch.setattr(windows, "ROUNDS_FROM", 0)
+    labels, drop, own = {}, windows.drop_scratch, windows.scratch
+    monkeypatch.setattr(windows, "scratch", lambda s, label: [p := own(s, label), labels.update({p: label})][0])
+    monkeypatch.setattr(windows, "drop_scratch", lambda s, p: (labels.pop(p), drop(s, p)))
+    docs = texts(1) + [(i, t) for i, t in ODD if i is not None and i > 3]
+    docs = [(k, t) for k, (_, t) in enumerate(docs)] + [(0, "another text of one id " * 9)]
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {x for x in manager.getAllBlocks().mkString("\n").split("\n") if x.startswith("shuffle_")}
+    df, want = frame(spark, docs), plain(docs)
+    before = kept()
+    out = module.dedup(df)
+    assert kept() <= before and list(labels.values()) == ["found"] * windows.MET_ROUNDS
+    check(out.collect(), [(i, *want[i, t]) for i, t in docs])
+    assert module.dedup(frame(spark, ODD).limit(0)).collect() == []
+
+
+def test_a_round_tells_its_buckets_only():
+    import pyarrow as pa
+
+    docs = texts(4, 80)
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in docs]), pa.array([0] * len(docs)), pa.array([t for _, t in docs])], names=["id", "h", "text"])
+    told = lambda *turn: {r for b in windows._announce(suffix_dedup.spec(), 8, *turn)(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns), strict=True) if r[0] >= 0}
+    one, parts = told(), [told(k, 2) for k in range(2)]
+    assert parts[0] | parts[1] == one and not parts[0] & parts[1]
+    assert max(sum(len(p) for _, p in x) for x in parts) < 0.8 * sum(len(p) for _, p in one)
