@@ -67,6 +67,29 @@ def test_no_products(spark, name):
     assert "CartesianProduct" not in plan(df := getattr(scale_queries, name)(spark, SMALL)) and "NestedLoop" not in plan(df)
 
 
+@pytest.mark.parametrize("rows, most", [(200_000, 4_096), (1, 4_096), (200_000, 0)])
+def test_pairs_in_tiles(spark, terms, monkeypatch, rows, most):
+    """Tiles, slices of the side that is sent, and the way without tiles find the same pairs."""
+    texts = ["SELECT ?s ?z WHERE { ?s x:m ?m OPTIONAL { ?s x:n ?k } ?z x:v ?k }", "SELECT ?s ?z WHERE { { ?s x:q ?q OPTIONAL { ?s x:w ?k } } { ?z x:q ?v OPTIONAL { ?z x:q ?k FILTER(?k != 'x') } } }"]
+    names = ["sparql_bind_join", "sparql_optional_join"]
+    want = [ask(terms, t) for t in texts], [sorted(getattr(scale_queries, n)(spark, SMALL).collect()) for n in names]
+    for name, value in (("SPREAD_ROWS", 0), ("TILE", 2), ("TASK_ROWS", 3), ("BROADCAST_ROWS", rows), ("MOST_IN_TILE", most)):
+        monkeypatch.setattr(sparql, name, value)
+    assert [ask(terms, t) for t in texts] == want[0] and [sorted(getattr(scale_queries, n)(spark, SMALL).collect()) for n in names] == want[1]
+
+
+def test_many_pairs_are_written_small(spark, tmp_path):
+    name = lambda kind, c: F.concat(F.lit(f"http://example.org/{kind}/"), F.xxhash64(c).cast("string"))
+    left = spark.range(20_000).select(name("a", "id").alias("a"), (F.col("id") % 7).alias("k"))
+    right = spark.range(3_000).select(name("b", "id").alias("b"), (F.col("id") % 7).alias("k|r"))
+    pairs = sparql._spread(left, right, F.col("k") == F.col("`k|r`"), ["k"], ["k|r"]).select("a", "b")
+    pairs.write.parquet(str(tmp_path / "pairs"))
+    found = spark.read.parquet(str(tmp_path / "pairs"))
+    n = found.count()
+    assert n == sum(len(range(k, 20_000, 7)) * len(range(k, 3_000, 7)) for k in range(7)) == found.distinct().count()
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 0.6 * n
+
+
 # --- paths
 def reach(edges, start):
     seen, todo = set(), [start]
